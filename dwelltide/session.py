@@ -28,6 +28,7 @@ def local_session(cores: int | str = "*", memory: str = "16g", **conf: str) -> S
         SparkSession.builder.master(f"local[{cores}]")
         .appName("dwelltide")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
