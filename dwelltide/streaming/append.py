@@ -23,7 +23,8 @@ def closed_sessions(
     """Session features for output mode append, on Spark's own session windows.
 
     A row is dropped as late when its own window, time to time + gap, has ended, even if it
-    would touch a session that is still open; ``early_sessions`` keeps such a row.
+    would touch a session that is still open; ``early_sessions`` keeps such a row. Spark
+    applies a new limit one micro-batch after it is known, so some rows get one more chance.
     """
     return (
         timed.groupBy(key, F.session_window(event_time, interval(gap)))
