@@ -26,20 +26,20 @@ def with_event_time(events: DataFrame, delay: str, column: str = "et") -> DataFr
     return timed.withWatermark(column, delay)
 
 
-def viewed(view_time: Column, event_time: str | None = None) -> Column:
-    """True for rows with a positive view time.
+def viewed(event_time: str | None = None) -> Column:
+    """True for rows with a positive view time; a missing one counts as zero.
 
     On a stream name the event time column: a predicate that mentions it stays above the
     watermark, so that rows without views still advance event time. Without it Catalyst
     pushes the filter into the scan, which is what a table wants.
     """
-    keep = F.coalesce(view_time, F.lit(0)) > 0
+    keep = F.col("view_time") > 0
     return keep if event_time is None else F.when(F.col(event_time).isNotNull(), keep)
 
 
 def view_input(events: DataFrame) -> DataFrame:
     """Device input of a table, rows with views only."""
-    return device_input(events.filter(viewed(F.col("view_time"))))
+    return device_input(events.filter(viewed()))
 
 
 def client_versions(logs: DataFrame) -> DataFrame:

@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 from dwelltide.durations import duration_ms
 from dwelltide.functions.measures import DEFAULT_MEASURES, Measure
 from dwelltide.operators.sessions import (
-    partial_sessions,
+    HOUR_MS,
+    chained,
+    chunk_sessions,
+    session_parts,
     span_start,
-    with_session_start,
 )
 
-# Longest stretch of one key that one window group may hold.
-CHUNK_MS = 3_600_000
-
 
 def running_sessions(
     rows: DataFrame,
@@ -32,50 +31,54 @@ def running_sessions(
     ``every`` is the interval between early results; at one millisecond there is one row
     per key and event time.
 
-    A key's history is cut into chunks. Running values inside a chunk come from a window
-    per (key, chunk), and what the session held before the chunk from a window over chunk
-    totals, so no window holds all rows of a key.
+    A key's history is cut into chunks of an hour. Running values inside a chunk come from
+    a window per (key, chunk), and what the session held before the chunk from the sessions
+    at the edges of chunks, so no window holds all rows of a key.
     """
     gap_ms, every_ms = duration_ms(gap), duration_ms(every)
     if every_ms > gap_ms:
         raise ValueError("early results cannot be farther apart than the session gap")
-    # Whole intervals, and no longer than the gap: then a chunk lies in one session.
-    chunk_ms = max(every_ms, min(gap_ms, CHUNK_MS) // every_ms * every_ms)
+    chunk_ms = max(every_ms, HOUR_MS // every_ms * every_ms)  # of whole intervals
 
-    ticks = (
-        partial_sessions(rows, every_ms, key, event_ms, measures)
-        .withColumnRenamed("span", "tick")
-        .withColumn("span", span_start("tick", chunk_ms))
+    ticks = session_parts(rows, every_ms, key, event_ms, measures).withColumn(
+        "chunk", span_start("span", chunk_ms)
+    )
+    inside = (
+        Window.partitionBy(key, "chunk", "session_ms")
+        .orderBy("first_ms")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    totals = partial_sessions(rows, chunk_ms, key, event_ms, measures)
+    in_chunk = chained(ticks, gap_ms, key, "chunk").select(
+        F.col(key).alias("tick_key"),
+        F.col("chunk").alias("tick_chunk"),
+        F.col("session_ms").alias("tick_session_ms"),
+        F.col("last_ms").alias("as_of_ts"),
+        *[m.merge().over(inside).alias(m.name) for m in measures],
+    )
+
     earlier = (
-        Window.partitionBy(key, "session_ms")
-        .orderBy("span")
+        Window.partitionBy(key, "lane", "session_ms")
+        .orderBy("first_ms")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = with_session_start(totals, gap_ms, key).select(
+    parts = chunk_sessions(rows, gap_ms, chunk_ms, key, event_ms, measures)
+    carried = chained(parts, gap_ms, key, "lane").select(
         key,
-        "span",
+        "chunk",
+        "first_ms",
         "session_ms",
         *[m.merge().over(earlier).alias(f"carried_{m.name}") for m in measures],
     )
-    inside = (
-        Window.partitionBy(key, "span")
-        .orderBy("tick")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    joined = ticks.withColumnRenamed(key, "tick_key").withColumnRenamed("span", "tick_span").join(
+
+    running = in_chunk.join(
         carried,
-        F.col("tick_key").eqNullSafe(F.col(key)) & (F.col("tick_span") == F.col("span")),
-    )
-    running = joined.select(
+        F.col("tick_key").eqNullSafe(F.col(key))
+        & (F.col("tick_chunk") == F.col("chunk"))
+        & (F.col("tick_session_ms") == F.col("first_ms")),
+    ).select(
         key,
         F.timestamp_millis("session_ms").alias("session_start"),
-        F.col("last_ms").alias("as_of_ts"),
-        *[F.col(f"carried_{m.name}") for m in measures],
-        *[m.merge().over(inside).alias(m.name) for m in measures],
+        "as_of_ts",
+        *[m.add(F.col(f"carried_{m.name}"), F.col(m.name)).alias(m.name) for m in measures],
     )
-    for m in measures:
-        total = m.add(F.col(f"carried_{m.name}"), F.col(m.name))
-        running = running.withColumn(m.name, total)
     return running.select(key, "session_start", "as_of_ts", *[m.finish() for m in measures])

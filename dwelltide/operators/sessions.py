@@ -4,8 +4,10 @@ A session is a chain of one key's rows, each at most ``gap`` after the one befor
 
 Rows of a key that fall into the same span of ``gap`` milliseconds always share a session.
 So rows are first aggregated by (key, span), on the map side and without sorting, and only
-these partial sessions meet per key: at most one for each gap of the time covered, however
-many rows a key holds. A key with a third of all rows costs its task no more than another.
+these parts meet per key: at most one for each gap of the time covered, however many rows a
+key holds. Where the gap is short against the time covered, parts are chained per (key,
+chunk of time) first, and only sessions near a chunk's edge go on to meet the key's others.
+So a key with a third of all rows costs no task more than the length of history does.
 """
 
 from __future__ import annotations
@@ -18,19 +20,33 @@ from pyspark.sql import functions as F
 from dwelltide.durations import duration_ms
 from dwelltide.functions.measures import DEFAULT_MEASURES, Measure
 
+HOUR_MS = 3_600_000
+DAY_MS = 24 * HOUR_MS
+
 
 def span_start(event_ms: str, width_ms: int) -> Column:
     """Start of the fixed span that holds the time, also before 1970."""
     return F.expr(f"{event_ms} - pmod({event_ms}, {width_ms}L)")
 
 
-def partial_sessions(
-    rows: DataFrame, width_ms: int, key: str, event_ms: str, measures: Sequence[Measure]
+def session_parts(
+    rows: DataFrame,
+    width_ms: int,
+    key: str,
+    event_ms: str,
+    measures: Sequence[Measure],
+    chunk_ms: int | None = None,
 ) -> DataFrame:
-    """One row per key and span: first and last time, and every measure."""
+    """One row per key and span: first and last time, and every measure.
+
+    Spans are cut at the borders of chunks, if there are any.
+    """
+    spans = [span_start(event_ms, width_ms).alias("span")]
+    if chunk_ms:
+        spans.append(span_start(event_ms, chunk_ms).alias("chunk"))
     return (
         rows.filter(F.col(event_ms).isNotNull())
-        .groupBy(key, span_start(event_ms, width_ms).alias("span"))
+        .groupBy(key, *spans)
         .agg(
             F.min(event_ms).alias("first_ms"),
             F.max(event_ms).alias("last_ms"),
@@ -39,15 +55,45 @@ def partial_sessions(
     )
 
 
-def with_session_start(partials: DataFrame, gap_ms: int, key: str) -> DataFrame:
-    """Adds the start of the session that each partial session belongs to."""
-    by_time = Window.partitionBy(key).orderBy("span")
+def chained(parts: DataFrame, gap_ms: int, *keys: str) -> DataFrame:
+    """Adds the start of the session that each part belongs to, within its group."""
+    by_time = Window.partitionBy(*keys).orderBy("first_ms")
     so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     opens = F.col("previous_ms").isNull() | (F.col("first_ms") - F.col("previous_ms") > gap_ms)
-    return (
-        partials.withColumn("previous_ms", F.lag("last_ms").over(by_time))
-        .withColumn("session_ms", F.max(F.when(opens, F.col("first_ms"))).over(so_far))
-        .drop("previous_ms")
+    # Named first: the optimizer would otherwise compute the lag once per use.
+    return parts.select("*", F.lag("last_ms").over(by_time).alias("previous_ms")).select(
+        "*", F.max(F.when(opens, F.col("first_ms"))).over(so_far).alias("session_ms")
+    )
+
+
+def merged(chains: DataFrame, measures: Sequence[Measure], *keys: str) -> DataFrame:
+    """One row per group and session."""
+    return chains.groupBy(*keys, "session_ms").agg(
+        F.max("last_ms").alias("last_ms"), *[m.merge().alias(m.name) for m in measures]
+    )
+
+
+def chunk_sessions(
+    rows: DataFrame,
+    gap_ms: int,
+    chunk_ms: int,
+    key: str,
+    event_ms: str,
+    measures: Sequence[Measure],
+) -> DataFrame:
+    """Sessions within each chunk of a key, as parts of the key's sessions.
+
+    ``lane`` is null for the at most two sessions of a chunk that may reach beyond it; every
+    other session has a lane of its own, so that it need not meet them.
+    """
+    width = min(gap_ms, chunk_ms)
+    parts = session_parts(rows, width, key, event_ms, measures, chunk_ms)
+    inside = merged(chained(parts, gap_ms, key, "chunk"), measures, key, "chunk")
+    whole = (F.col("session_ms") - F.col("chunk") >= gap_ms) & (
+        F.col("last_ms") + gap_ms < F.col("chunk") + chunk_ms
+    )
+    return inside.withColumn("lane", F.when(whole, F.col("session_ms"))).withColumnRenamed(
+        "session_ms", "first_ms"
     )
 
 
@@ -72,10 +118,11 @@ def session_features(
 ) -> DataFrame:
     """One row per session with its measures."""
     gap_ms = duration_ms(gap)
-    partials = partial_sessions(rows, gap_ms, key, event_ms, measures)
-    return (
-        with_session_start(partials, gap_ms, key)
-        .groupBy(key, "session_ms")
-        .agg(F.max("last_ms").alias("last_ms"), *[m.merge().alias(m.name) for m in measures])
-        .select(*feature_columns(gap_ms, key, measures))
-    )
+    if gap_ms >= HOUR_MS:
+        keys = [key]
+        parts = session_parts(rows, gap_ms, key, event_ms, measures)
+    else:
+        keys = [key, "lane"]
+        parts = chunk_sessions(rows, gap_ms, DAY_MS, key, event_ms, measures)
+    sessions = merged(chained(parts, gap_ms, *keys), measures, *keys)
+    return sessions.select(*feature_columns(gap_ms, key, measures))

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dwelltide.functions.measures import DEFAULT_MEASURES, Measure
@@ -62,7 +61,7 @@ def timed_views(events: DataFrame, lateness: str = LATENESS, now_ms: int | None
     The watermark comes first: rows without views advance event time too.
     """
     timed = with_event_time(events, lateness)
-    views = device_input(timed, "et").filter(viewed(F.col("view_time"), "et"))
+    views = device_input(timed.filter(viewed("et")), "et")
     return observe_latency(views, now_ms=now_ms)
 
 

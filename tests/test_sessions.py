@@ -46,12 +46,14 @@ def test_start_and_end_are_timestamps(spark):
     assert (start, end) == (1500, 2500)
 
 
-@pytest.mark.parametrize("gap", [1, 7, 50])
-def test_many_random_rows(spark, gap):
+@pytest.mark.parametrize(
+    ("gap", "length"), [(1, 900), (7, 900), (50, 900), (60_000, 3 * DAY), (5_000_000, 9 * DAY)]
+)
+def test_many_random_rows(spark, gap, length):
     dice = random.Random(gap)
     # One device has a third of the rows, and times cross zero.
     devices = [dice.choice(["hot", str(i % 40), str(i % 40)]) for i in range(3_000)]
-    rows = [(d, dice.randint(0, 9), dice.randint(-900, 900)) for d in devices]
+    rows = [(d, dice.randint(0, 9), dice.randint(-length, length)) for d in devices]
     found = features(spark, [r for r in rows if r[0] is not None], gap)
     assert found == sorted(plain_sessions([r for r in rows if r[0] is not None], gap))
 
@@ -96,7 +98,20 @@ def test_own_measures(spark):
     assert tuple(result.select("low", "high", "known", "newest").head()) == (-2, 5, 2, -2)
 
 
-@pytest.mark.parametrize(("gap", "every"), [(50, 1), (50, 7), (50, 50), (7_300_000, 1000)])
+def test_sessions_across_chunk_borders(spark):
+    border = 10 * DAY
+    rows = [("a", 1, border - 1000 + t) for t in range(0, 2000, 10)]
+    rows += [("b", 1, border - 10), ("b", 2, border), ("c", 1, border - 10), ("c", 2, border + 1)]
+    rows += [("d", 1, day * DAY + t) for day in range(5) for t in range(0, DAY, 30 * 60_000)]
+    for gap in (10, 30 * 60_000):
+        assert features(spark, rows, gap) == sorted(plain_sessions(rows, gap))
+
+
+@pytest.mark.parametrize(
+    ("gap", "every"),
+    [(50, 1), (50, 7), (50, 50), (100_000, 1), (1_700_000, 7_000), (7_300_000, 1000),
+     (40_000_000, 9_000_000)],
+)
 def test_running_values(spark, gap, every):
     dice = random.Random(every)
     span = 2_000 if gap == 50 else 30_000_000
