@@ -7,11 +7,15 @@ milliseconds, so that results do not depend on a session's time zone display.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from dwelltide.functions.payload import (
     decode_payload,
     encode_payload,
@@ -225,9 +229,12 @@ def two_column_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Streams: run to the end of the present input, result read back from the sink --------
 
 
-def _run_job(spark: SparkSession, start, events: DataFrame, gap: str, **how) -> JobFolders:
+def _run_job(spark: SparkSession, start, events: DataFrame, gap: str) -> JobFolders:
     folders = JobFolders(run_folder(spark, "jobs"), "device_features")
-    query = start(spark, events, folders, gap, trigger={"availableNow": True}, **how)
+    cores = spark.sparkContext.defaultParallelism
+    query = start(
+        spark, events, folders, gap, state_partitions=cores, trigger={"availableNow": True}
+    )
     query.awaitTermination()
     return folders
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dwelltide.session import shared_folder
+
 
 def block_bucket(position: str, total: str, buckets: int) -> Column:
     """Bucket of a zero-based position among ``total``."""
@@ -39,6 +41,7 @@ def assign_buckets(
     """
     if buckets < 1:
         raise ValueError("need at least one bucket")
+    shared_folder(ids.sparkSession)
     order = [*(order_by or []), *([] if id_col in (order_by or []) else [id_col])]
     copies = ids.groupBy(*order).agg(F.count(F.lit(1)).alias("copies"))
     ranges = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +12,11 @@ from dwelltide.functions.measures import DEFAULT_MEASURES, Measure
 from dwelltide.operators.project import device_input, view_input, viewed, with_event_time
 from dwelltide.operators.sessions import session_features
 from dwelltide.session import STATEFUL_SETTINGS, settings
+from dwelltide.sources.streams import Stream
 from dwelltide.streaming.append import closed_sessions
 from dwelltide.streaming.early import early_sessions
 from dwelltide.streaming.metrics import observe_emitted, observe_latency
-from dwelltide.streaming.sinks import FeatureSinks, FeatureTable, write_log_batch
+from dwelltide.streaming.sinks import FeatureSinks, FeatureTable
 
 # The job's session gap, lateness bound and interval of early results.
 SESSION_GAP = "180 days"
@@ -92,8 +93,27 @@ def feature_table(features: DataFrame, path: str, buckets: int = 256) -> Feature
     return FeatureTable(path, features.schema, order=present, buckets=buckets)
 
 
-def _start(writer, trigger: dict) -> StreamingQuery:
-    return writer.trigger(**trigger).start()
+def _start(
+    spark: SparkSession,
+    features: DataFrame,
+    mode: str,
+    write: Callable[[DataFrame, int], None],
+    folders: JobFolders,
+    state_partitions: int | None,
+    trigger: dict | None,
+) -> StreamingQuery:
+    stateful = dict(STATEFUL_SETTINGS)
+    if state_partitions:
+        stateful["spark.sql.shuffle.partitions"] = str(state_partitions)
+    with settings(spark, stateful):
+        return (
+            features.writeStream.queryName(folders.job_name)
+            .outputMode(mode)
+            .option("checkpointLocation", folders.checkpoint)
+            .foreachBatch(write)
+            .trigger(**(trigger or {"processingTime": EARLY_EVERY}))
+            .start()
+        )
 
 
 def start_running(
@@ -104,23 +124,22 @@ def start_running(
     lateness: str = LATENESS,
     key_columns: Sequence[str] | None = ("device_id",),
     buckets: int = 256,
+    state_partitions: int | None = None,
     trigger: dict | None = None,
     measures: Sequence[Measure] = DEFAULT_MEASURES,
     compact_every: int = 720,
 ) -> StreamingQuery:
-    """Early and final results into feature table and record log."""
+    """Early and final results into feature table and record log.
+
+    ``state_partitions`` is fixed when the job first starts; by default the session's
+    number of shuffle partitions.
+    """
     features = running_features(events, gap, lateness, measures)
     table = feature_table(features, folders.table, buckets)
     table.create(spark)
-    sinks = FeatureSinks(table, folders.log, key_columns, compact_every=compact_every)
-    with settings(spark, STATEFUL_SETTINGS):
-        writer = (
-            features.writeStream.queryName(folders.job_name)
-            .outputMode("update")
-            .option("checkpointLocation", folders.checkpoint)
-            .foreachBatch(sinks)
-        )
-        return _start(writer, trigger or {"processingTime": EARLY_EVERY})
+    log = Stream(folders.log, key_columns=key_columns).sink()
+    sinks = FeatureSinks(table, log, compact_every)
+    return _start(spark, features, "update", sinks, folders, state_partitions, trigger)
 
 
 def start_final(
@@ -130,20 +149,11 @@ def start_final(
     gap: int | str = SESSION_GAP,
     lateness: str = LATENESS,
     key_columns: Sequence[str] | None = ("device_id",),
+    state_partitions: int | None = None,
     trigger: dict | None = None,
     measures: Sequence[Measure] = DEFAULT_MEASURES,
 ) -> StreamingQuery:
     """Closed sessions into the record log."""
     features = final_features(events, gap, lateness, measures)
-
-    def write(rows: DataFrame, batch_id: int) -> None:
-        write_log_batch(rows, batch_id, folders.log, key_columns)
-
-    with settings(spark, STATEFUL_SETTINGS):
-        writer = (
-            features.writeStream.queryName(folders.job_name)
-            .outputMode("append")
-            .option("checkpointLocation", folders.checkpoint)
-            .foreachBatch(write)
-        )
-        return _start(writer, trigger or {"processingTime": EARLY_EVERY})
+    log = Stream(folders.log, key_columns=key_columns).sink()
+    return _start(spark, features, "append", log, folders, state_partitions, trigger)

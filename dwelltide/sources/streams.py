@@ -7,15 +7,16 @@ the caller always win over the stream's own. Credentials come from the environme
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dwelltide.functions.payload import to_records
+from dwelltide.functions.payload import MAX_RECORD_BYTES
 from dwelltide.sources.decode import as_struct, decode_binary, decode_json, decode_text
+from dwelltide.streaming.sinks import write_log_batch
 
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "text", "binaryFile")
 
@@ -44,7 +45,7 @@ class Stream:
     key_columns: Sequence[str] | None = None
     payload: str = "value"
 
-    def reader_options(self, overrides: Mapping[str, str] | None = None) -> dict[str, str]:
+    def all_options(self, overrides: Mapping[str, str] | None = None) -> dict[str, str]:
         defaults = {} if self.format in FILE_FORMATS else CONNECTOR_DEFAULTS
         return {**defaults, **self.options, **(overrides or {})}
 
@@ -55,7 +56,7 @@ class Stream:
             raise ValueError(f"stream {self.location!r} needs a schema")
         if quarantine and self.decoder != "json":
             raise ValueError("only JSON payloads can be quarantined")
-        reader = reader.format(self.format).options(**self.reader_options(overrides))
+        reader = reader.format(self.format).options(**self.all_options(overrides))
         if self.decoder is None and self.schema is not None:
             reader = reader.schema(as_struct(self.schema))
         elif self.format in ("parquet", "orc", "json"):
@@ -90,9 +91,18 @@ class Stream:
         """The records present now."""
         return self._load(spark.read, overrides, quarantine)
 
-    def records(self, rows: DataFrame) -> DataFrame:
-        """Rows encoded for this stream, as ``(partition_key, payload)``."""
-        return to_records(rows, self.key_columns)
+    def sink(
+        self, overrides: Mapping[str, str] | None = None, max_bytes: int = MAX_RECORD_BYTES
+    ) -> Callable[[DataFrame, int], None]:
+        """A ``foreachBatch`` function that appends rows, encoded, to the stream's log."""
+        if self.format != "parquet":
+            raise ValueError(f"records are written as parquet files, not {self.format!r}")
+
+        def write(rows: DataFrame, batch_id: int) -> None:
+            options = self.all_options(overrides)
+            write_log_batch(rows, batch_id, self.location, self.key_columns, max_bytes, options)
+
+        return write
 
     def with_options(self, **options: str) -> Stream:
         return replace(self, options={**self.options, **options})

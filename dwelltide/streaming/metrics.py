@@ -35,8 +35,15 @@ def observe_latency(
 
 
 def observe_emitted(results: DataFrame, name: str = "emitted") -> DataFrame:
-    """The same results, counted per micro-batch."""
-    return results.observe(name, F.count(F.lit(1)).alias("n"))
+    """The same rows, results counted per micro-batch; markers of absorbed sessions apart."""
+    if "absorbed" not in results.columns:
+        return results.observe(name, F.count(F.lit(1)).alias("n"))
+    return results.observe(
+        name,
+        F.count_if(~F.col("absorbed")).alias("n"),
+        F.count_if("closed").alias("closed"),
+        F.count_if("absorbed").alias("absorbed"),
+    )
 
 
 class MetricsListener(StreamingQueryListener):

@@ -6,7 +6,7 @@ micro-batch again changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,12 +31,14 @@ def write_log_batch(
     path: str,
     key_columns: Sequence[str] | None = None,
     max_bytes: int = MAX_RECORD_BYTES,
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Rows as records of one micro-batch; oversized ones into a partition of their own."""
     records = to_records(rows, key_columns).withColumn(
         "oversized", is_oversized("payload", max_bytes)
     )
-    records.write.mode("overwrite").partitionBy("oversized").parquet(f"{path}/batch_id={batch_id}")
+    writer = records.write.mode("overwrite").options(**(options or {}))
+    writer.partitionBy("oversized").parquet(f"{path}/batch_id={batch_id}")
 
 
 def read_log(spark: SparkSession, path: str, oversized: bool = False) -> DataFrame:
@@ -186,17 +188,14 @@ class FeatureSinks:
     """
 
     table: FeatureTable
-    log_path: str | None = None
-    key_columns: Sequence[str] | None = None
-    max_bytes: int = MAX_RECORD_BYTES
+    log: Callable[[DataFrame, int], None] | None = None
     compact_every: int = 720
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
         self.table.write_batch(rows, batch_id)
-        if self.log_path:
-            written = self.table.batch(spark, batch_id)
-            write_log_batch(written, batch_id, self.log_path, self.key_columns, self.max_bytes)
+        if self.log:
+            self.log(self.table.batch(spark, batch_id), batch_id)
         if batch_id and batch_id % self.compact_every == 0:
             self.table.compact(spark, batch_id)
             self.table.expire(spark)

@@ -202,6 +202,16 @@ def test_metrics(spark, tmp_path):
     assert sum(s["rows"] for s in second["state"]) > 0
 
 
+def test_an_idle_source_does_not_hold_back_event_time(spark, tmp_path):
+    busy = Feed(spark, tmp_path / "busy").hours(("a", 1, 1)).hours(("b", 1, 100)).hours(("c", 1, 3))
+    idle = Feed(spark, tmp_path / "idle").hours(("z", 1, 0))
+    both = busy.stream().unionByName(idle.stream())
+    features = running_features(both, "1 hour", "2 hours")
+    _, progress = run(spark, features, "update", tmp_path)
+    marks = [p.eventTime["watermark"] for p in progress if p.eventTime]
+    assert max(marks) == "1970-01-05T02:00:00.000Z"
+
+
 def test_latency_metric_of_a_table(spark):
     from pyspark.sql import Observation
 

@@ -31,10 +31,10 @@ def test_the_caller_wins_over_the_stream_and_the_stream_over_defaults():
         "arn", FLAT_EVENT, format="kinesis", decoder="json",
         options={"region": "r1", "scan.stream.initpos": "TRIM_HORIZON"},
     )
-    options = stream.reader_options({"region": "r2"})
+    options = stream.all_options({"region": "r2"})
     assert options == {**CONNECTOR_DEFAULTS, "scan.stream.initpos": "TRIM_HORIZON", "region": "r2"}
-    assert stream.with_options(region="r3").reader_options()["region"] == "r3"
-    assert Stream("path", FLAT_EVENT).reader_options() == {}
+    assert stream.with_options(region="r3").all_options()["region"] == "r3"
+    assert Stream("path", FLAT_EVENT).all_options() == {}
 
 
 def test_presets():
@@ -67,11 +67,22 @@ def test_table_and_stream_of_one_preset(spark, tmp_path):
 def test_payload_stream(spark, tmp_path):
     stream = Stream(f"{tmp_path}/log", FLAT_EVENT, decoder="json", payload="payload")
     rows = [("a", 1, 2**53 + 1), ("b", None, 6)]
-    stream.records(spark.createDataFrame(rows, FLAT_EVENT)).write.parquet(stream.location)
+    stream.sink()(spark.createDataFrame(rows, FLAT_EVENT), 0)
     assert sorted(tuple(r) for r in stream.table(spark).collect()) == rows
     assert collect_stream(spark, stream.source(spark), tmp_path) == rows
 
 
+def test_the_caller_wins_on_the_sink_too(spark, tmp_path):
+    stream = Stream(f"{tmp_path}/log", options={"compression": "gzip"})
+    rows = spark.createDataFrame([("a", 1, 5)], FLAT_EVENT)
+    stream.sink()(rows, 0)
+    stream.sink({"compression": "none"})(rows, 1)
+    files = [[p.name for p in tmp_path.glob(f"log/batch_id={n}/*/*.parquet")] for n in (0, 1)]
+    assert ".gz." in files[0][0] and ".gz." not in files[1][0]
+    with pytest.raises(ValueError, match="parquet"):
+        Stream("arn", format="kinesis").sink()
+
+
 def test_text_stream(spark, tmp_path):
     spark.createDataFrame([("x y",), ("",)], "value string").write.text(f"{tmp_path}/in")
     rows = text_stream(f"{tmp_path}/in").source(spark)
