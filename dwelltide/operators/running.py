@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 
 from dwelltide.durations import duration_ms
 from dwelltide.functions.measures import DEFAULT_MEASURES, Measure
-from dwelltide.operators.sessions import (
-    HOUR_MS,
-    chained,
-    chunk_sessions,
-    session_parts,
-    span_start,
-)
+from dwelltide.operators.sessions import chained, chunk_sessions, session_parts, span_start
+
+# Most intervals of one key that a window group may hold: an hour at one millisecond.
+TICKS_PER_CHUNK = 3_600_000
+
+CARRIED_FIRST = ("first_ms", "is_tick")
 
 
 def running_sessions(
@@ -31,30 +30,15 @@ def running_sessions(
     ``every`` is the interval between early results; at one millisecond there is one row
     per key and event time.
 
-    A key's history is cut into chunks of an hour. Running values inside a chunk come from
-    a window per (key, chunk), and what the session held before the chunk from the sessions
-    at the edges of chunks, so no window holds all rows of a key.
+    A key's history is cut into chunks of time. What a session held before a chunk comes from
+    the sessions at the edges of chunks and stands, as one more row, before its intervals in
+    the chunk. So running values are windows per (key, chunk), and none holds all rows of a
+    key.
     """
     gap_ms, every_ms = duration_ms(gap), duration_ms(every)
     if every_ms > gap_ms:
         raise ValueError("early results cannot be farther apart than the session gap")
-    chunk_ms = max(every_ms, HOUR_MS // every_ms * every_ms)  # of whole intervals
-
-    ticks = session_parts(rows, every_ms, key, event_ms, measures).withColumn(
-        "chunk", span_start("span", chunk_ms)
-    )
-    inside = (
-        Window.partitionBy(key, "chunk", "session_ms")
-        .orderBy("first_ms")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    in_chunk = chained(ticks, gap_ms, key, "chunk").select(
-        F.col(key).alias("tick_key"),
-        F.col("chunk").alias("tick_chunk"),
-        F.col("session_ms").alias("tick_session_ms"),
-        F.col("last_ms").alias("as_of_ts"),
-        *[m.merge().over(inside).alias(m.name) for m in measures],
-    )
+    chunk_ms = every_ms * TICKS_PER_CHUNK
 
     earlier = (
         Window.partitionBy(key, "lane", "session_ms")
@@ -66,19 +50,37 @@ def running_sessions(
         key,
         "chunk",
         "first_ms",
-        "session_ms",
-        *[m.merge().over(earlier).alias(f"carried_{m.name}") for m in measures],
+        F.col("first_ms").alias("last_ms"),
+        F.col("session_ms").alias("start_ms"),
+        F.lit(False).alias("is_tick"),
+        *[m.merge().over(earlier).alias(m.name) for m in measures],
+    )
+    ticks = session_parts(rows, every_ms, key, event_ms, measures).select(
+        key,
+        span_start("span", chunk_ms).alias("chunk"),
+        "first_ms",
+        "last_ms",
+        F.lit(None).cast("bigint").alias("start_ms"),
+        F.lit(True).alias("is_tick"),
+        *[m.name for m in measures],
     )
 
-    running = in_chunk.join(
-        carried,
-        F.col("tick_key").eqNullSafe(F.col(key))
-        & (F.col("tick_chunk") == F.col("chunk"))
-        & (F.col("tick_session_ms") == F.col("first_ms")),
-    ).select(
+    in_chunk = chained(carried.unionByName(ticks), gap_ms, key, "chunk", order=CARRIED_FIRST)
+    inside = (
+        Window.partitionBy(key, "chunk", "session_ms")
+        .orderBy(*CARRIED_FIRST)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    running = in_chunk.select(
+        key,
+        "is_tick",
+        F.min("start_ms").over(inside).alias("start_ms"),
+        F.col("last_ms").alias("as_of_ts"),
+        *[m.merge().over(inside).alias(m.name) for m in measures],
+    ).filter("is_tick")
+    return running.select(
         key,
-        F.timestamp_millis("session_ms").alias("session_start"),
+        F.timestamp_millis("start_ms").alias("session_start"),
         "as_of_ts",
-        *[m.add(F.col(f"carried_{m.name}"), F.col(m.name)).alias(m.name) for m in measures],
+        *[m.finish() for m in measures],
     )
-    return running.select(key, "session_start", "as_of_ts", *[m.finish() for m in measures])

@@ -55,9 +55,11 @@ def session_parts(
     )
 
 
-def chained(parts: DataFrame, gap_ms: int, *keys: str) -> DataFrame:
+def chained(
+    parts: DataFrame, gap_ms: int, *keys: str, order: Sequence[str] = ("first_ms",)
+) -> DataFrame:
     """Adds the start of the session that each part belongs to, within its group."""
-    by_time = Window.partitionBy(*keys).orderBy("first_ms")
+    by_time = Window.partitionBy(*keys).orderBy(*order)
     so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     opens = F.col("previous_ms").isNull() | (F.col("first_ms") - F.col("previous_ms") > gap_ms)
     # Named first: the optimizer would otherwise compute the lag once per use.

@@ -86,11 +86,13 @@ def final_features(
     return observe_emitted(closed_sessions(timed_views(events, lateness), gap, measures=measures))
 
 
-def feature_table(features: DataFrame, path: str, buckets: int = 256) -> FeatureTable:
+def feature_table(
+    features: DataFrame, path: str, buckets: int = 256, writers: int = 16
+) -> FeatureTable:
     """The table that takes the rows of ``running_features``."""
     order = ("last_recv_ts", "n_views", "closed")
     present = [name for name in order if name in features.columns]
-    return FeatureTable(path, features.schema, order=present, buckets=buckets)
+    return FeatureTable(path, features.schema, order=present, buckets=buckets, writers=writers)
 
 
 def _start(
@@ -124,6 +126,7 @@ def start_running(
     lateness: str = LATENESS,
     key_columns: Sequence[str] | None = ("device_id",),
     buckets: int = 256,
+    writers: int = 16,
     state_partitions: int | None = None,
     trigger: dict | None = None,
     measures: Sequence[Measure] = DEFAULT_MEASURES,
@@ -135,7 +138,7 @@ def start_running(
     number of shuffle partitions.
     """
     features = running_features(events, gap, lateness, measures)
-    table = feature_table(features, folders.table, buckets)
+    table = feature_table(features, folders.table, buckets, writers)
     table.create(spark)
     log = Stream(folders.log, key_columns=key_columns).sink()
     sinks = FeatureSinks(table, log, compact_every)
@@ -149,11 +152,12 @@ def start_final(
     gap: int | str = SESSION_GAP,
     lateness: str = LATENESS,
     key_columns: Sequence[str] | None = ("device_id",),
+    writers: int = 16,
     state_partitions: int | None = None,
     trigger: dict | None = None,
     measures: Sequence[Measure] = DEFAULT_MEASURES,
 ) -> StreamingQuery:
     """Closed sessions into the record log."""
     features = final_features(events, gap, lateness, measures)
-    log = Stream(folders.log, key_columns=key_columns).sink()
+    log = Stream(folders.log, key_columns=key_columns).sink(writers=writers)
     return _start(spark, features, "append", log, folders, state_partitions, trigger)

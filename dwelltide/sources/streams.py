@@ -92,15 +92,25 @@ class Stream:
         return self._load(spark.read, overrides, quarantine)
 
     def sink(
-        self, overrides: Mapping[str, str] | None = None, max_bytes: int = MAX_RECORD_BYTES
+        self,
+        overrides: Mapping[str, str] | None = None,
+        max_bytes: int = MAX_RECORD_BYTES,
+        writers: int | None = None,
     ) -> Callable[[DataFrame, int], None]:
         """A ``foreachBatch`` function that appends rows, encoded, to the stream's log."""
         if self.format != "parquet":
             raise ValueError(f"records are written as parquet files, not {self.format!r}")
 
         def write(rows: DataFrame, batch_id: int) -> None:
-            options = self.all_options(overrides)
-            write_log_batch(rows, batch_id, self.location, self.key_columns, max_bytes, options)
+            write_log_batch(
+                rows,
+                batch_id,
+                self.location,
+                self.key_columns,
+                max_bytes,
+                self.all_options(overrides),
+                writers,
+            )
 
         return write
 

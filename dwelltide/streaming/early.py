@@ -31,7 +31,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # the slots of every measure. A latest value has two slots, its time and itself.
 FIRST, LAST, SLOTS = 0, 1, 2
 
-LIVE, CLOSED, ABSORBED = "live", "closed", "absorbed"
+LIVE, CLOSED, ABSORBED, LATE = "live", "closed", "absorbed", "late"
 
 
 def slot_names(measures: Sequence[Measure]) -> list[str]:
@@ -203,6 +203,7 @@ class SessionProcessor(StatefulProcessor):
             live, list(arrived.values()), self.gap_ms, self.kinds
         ):
             if not members and self._ended(session, watermark):
+                yield self._row(key, session, LATE)
                 continue
             kept.append(session)
             if changed and self.early:
@@ -240,7 +241,8 @@ def early_sessions(
 
     Besides the features, ``closed`` marks a session's last result and ``absorbed`` the
     start of a session that became part of another, to be deleted downstream. With ``early``
-    off only closed sessions come out.
+    off only closed sessions come out. Late rows are counted, as the sessions they would
+    have made, in the metric ``late``.
     """
     gap_ms = duration_ms(gap)
     names = slot_names(measures)
@@ -262,8 +264,9 @@ def early_sessions(
         "update",
         "eventTime",
     )
-    absorbed = F.col("status") == ABSORBED
-    return emitted.select(
+    absorbed, late = F.col("status") == ABSORBED, F.col("status") == LATE
+    on_time = emitted.observe("late", F.count_if(late).alias("sessions")).filter(~late)
+    return on_time.select(
         key,
         F.timestamp_millis("first_ms").alias("session_start"),
         F.when(~absorbed, F.timestamp_millis(F.col("last_ms") + gap_ms)).alias("session_end"),

@@ -32,11 +32,17 @@ def write_log_batch(
     key_columns: Sequence[str] | None = None,
     max_bytes: int = MAX_RECORD_BYTES,
     options: Mapping[str, str] | None = None,
+    writers: int | None = None,
 ) -> None:
-    """Rows as records of one micro-batch; oversized ones into a partition of their own."""
+    """Rows as records of one micro-batch; oversized ones into a partition of their own.
+
+    A stateful stream has as many partitions as its state; ``writers`` limits the files.
+    """
     records = to_records(rows, key_columns).withColumn(
         "oversized", is_oversized("payload", max_bytes)
     )
+    if writers:
+        records = records.repartition(writers, "partition_key")
     writer = records.write.mode("overwrite").options(**(options or {}))
     writer.partitionBy("oversized").parquet(f"{path}/batch_id={batch_id}")
 
@@ -81,7 +87,8 @@ class FeatureTable:
 
     A micro-batch appends its changes; a reader takes the newest row per key. So a write
     costs what changed and not what the table holds. ``compact`` folds the changes into a
-    new base every so often. Rows with ``deleted`` true remove their key.
+    new base every so often. Rows with ``deleted`` true remove their key. ``writers`` is the
+    number of files of a micro-batch, ``buckets`` that of the parts of a base.
     """
 
     path: str
@@ -90,6 +97,7 @@ class FeatureTable:
     order: Sequence[str] = ("last_recv_ts",)
     deleted: str = "absorbed"
     buckets: int = 256
+    writers: int = 16
 
     def _columns(self) -> T.StructType:
         return T.StructType(
@@ -104,9 +112,8 @@ class FeatureTable:
 
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
         columns = as_struct(self.schema).fieldNames()
-        rows.select(*columns).write.mode("overwrite").parquet(
-            f"{self.path}/changes/batch_id={batch_id}"
-        )
+        changes = rows.select(*columns).repartition(self.writers, *self.keys)
+        changes.write.mode("overwrite").parquet(f"{self.path}/changes/batch_id={batch_id}")
 
     def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """What one micro-batch wrote."""
@@ -184,7 +191,8 @@ class FeatureSinks:
 
     The result of the micro-batch is computed once, by the table write; the log is written
     from those files. Nothing is held in executor memory that a lost executor would take
-    with it.
+    with it. Compaction holds the stream up; with ``compact_every`` zero, call it elsewhere,
+    which is safe while the stream goes on.
     """
 
     table: FeatureTable
@@ -196,6 +204,6 @@ class FeatureSinks:
         self.table.write_batch(rows, batch_id)
         if self.log:
             self.log(self.table.batch(spark, batch_id), batch_id)
-        if batch_id and batch_id % self.compact_every == 0:
+        if self.compact_every and batch_id and batch_id % self.compact_every == 0:
             self.table.compact(spark, batch_id)
             self.table.expire(spark)

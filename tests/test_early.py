@@ -60,8 +60,9 @@ def test_rows_far_behind_are_kept_as_long_as_their_session_lives(spark, tmp_path
 def test_late_limit_is_exact(spark, tmp_path):
     feed = Feed(spark, tmp_path).hours(("m", 1, 100))
     feed.add(("a", 5, 88 * HOUR), ("b", 7, 88 * HOUR + 1))
-    batches, _ = emitted(spark, feed, tmp_path)
+    batches, progress = emitted(spark, feed, tmp_path)
     assert [row[0] for row in batches[1]] == ["b"]
+    assert [p.observedMetrics["late"]["sessions"] for p in progress[:2]] == [0, 1]
 
 
 def test_a_late_row_that_touches_an_open_session_joins_it(spark, tmp_path):

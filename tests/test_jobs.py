@@ -33,7 +33,7 @@ def rows_of(frame, *columns):
 
 def job(spark, feed, folders, gap="10 hours", **how):
     query = start_running(
-        spark, feed.stream(), folders, gap, "1 day", buckets=3, trigger=NOW, **how
+        spark, feed.stream(), folders, gap, "1 day", buckets=3, writers=2, trigger=NOW, **how
     )
     query.awaitTermination()
     return feature_table(running_features(feed.stream(), gap), folders.table, 3)
@@ -95,6 +95,14 @@ def test_running_a_batch_again_changes_nothing(spark, tmp_path):
     assert (rows_of(table.latest(spark), "*"), rows_of(read_log(spark, folders.log), "*")) == before
 
 
+def test_a_batch_has_no_more_files_than_writers(spark, tmp_path):
+    feed = Feed(spark, tmp_path).hours(*[(f"d{i}", 1, 1) for i in range(40)])
+    folders = JobFolders(str(tmp_path), "job")
+    job(spark, feed, folders)
+    for path in ("table/changes/batch_id=0", "log/batch_id=0/oversized=false"):
+        assert len(list(tmp_path.glob(f"job/{path}/*.parquet"))) == 2
+
+
 def test_restart_from_the_checkpoint(spark, tmp_path):
     whole = history(Feed(spark, tmp_path / "whole"))
     expected = job(spark, whole, JobFolders(str(tmp_path), "whole"))
@@ -114,7 +122,10 @@ def test_restart_of_the_final_job(spark, tmp_path):
     folders = JobFolders(str(tmp_path), "final")
     for rows in ([("a", 2, 5), ("m", 1, 50)], [("m", 1, 100)]):
         feed.hours(*rows)
-        start_final(spark, feed.stream(), folders, "10 hours", "2 hours", trigger=NOW).awaitTermination()
+        query = start_final(
+            spark, feed.stream(), folders, "10 hours", "2 hours", writers=2, trigger=NOW
+        )
+        query.awaitTermination()
     schema = final_features(feed.stream()).schema
     log = decode_log(read_log(spark, folders.log), schema)
     assert rows_of(log, "device_id", "cvt_total") == [("a", 3), ("m", 1)]

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 
 from dwelltide.durations import duration_ms, interval
 from dwelltide.functions.measures import Measure
+from dwelltide.operators import running
 from dwelltide.operators.running import running_sessions
 from dwelltide.operators.sessions import session_features
 from tests.plain import plain_running, plain_sessions
@@ -112,7 +113,10 @@ def test_sessions_across_chunk_borders(spark):
     [(50, 1), (50, 7), (50, 50), (100_000, 1), (1_700_000, 7_000), (7_300_000, 1000),
      (40_000_000, 9_000_000)],
 )
-def test_running_values(spark, gap, every):
+@pytest.mark.parametrize("ticks", [None, 40, 1000])
+def test_running_values(spark, monkeypatch, gap, every, ticks):
+    if ticks:
+        monkeypatch.setattr(running, "TICKS_PER_CHUNK", ticks)
     dice = random.Random(every)
     span = 2_000 if gap == 50 else 30_000_000
     rows = [
