@@ -60,12 +60,6 @@ class Measure:
         combine = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max, "latest": F.max}
         return combine[self.kind](self.name)
 
-    def add(self, left: Column, right: Column) -> Column:
-        """Two partial results of which either may be null."""
-        if self.kind in ("sum", "count"):
-            return F.coalesce(left + right, left, right)
-        return F.least(left, right) if self.kind == "min" else F.greatest(left, right)
-
     def finish(self) -> Column:
         column = newest_value(self.name) if self.kind == "latest" else F.col(self.name)
         return column.alias(self.name)

@@ -14,6 +14,7 @@ _TIME_FORMATS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
+# Fixed value: the log's limit for one record.
 MAX_RECORD_BYTES = 1024 * 1024
 
 

@@ -66,6 +66,13 @@ def test_final_sessions_drop_a_late_row_that_touches_an_open_one(spark, tmp_path
     assert found == [(90, 3)]
 
 
+def test_rows_without_views_advance_event_time_of_the_final_job(spark, tmp_path):
+    feed = Feed(spark, tmp_path).hours(("a", 5, 1)).hours(("b", 0, 100)).hours(("b", 0, 100))
+    feed.hours(("a", 7, 2))
+    _, progress = run(spark, final_features(feed.stream(), "1 hour", "2 hours"), "append", tmp_path)
+    assert sum(s.numRowsDroppedByWatermark for p in progress for s in p.stateOperators) == 1
+
+
 def test_table_log_and_batch_agree(spark, tmp_path):
     feed = history(Feed(spark, tmp_path))
     folders = JobFolders(str(tmp_path), "job")
