@@ -56,7 +56,9 @@ def device_features(
     return session_features(view_input(events), gap, measures=measures)
 
 
-def timed_views(events: DataFrame, lateness: str = LATENESS, now_ms: int | None = None) -> DataFrame:
+def timed_views(
+    events: DataFrame, lateness: str = LATENESS, now_ms: int | None = None
+) -> DataFrame:
     """Device input of a stream, rows with views only, latency observed.
 
     The watermark comes first: rows without views advance event time too.

@@ -53,14 +53,14 @@ def partial_rows(gap_ms: int, key: str, event_ms: str, measures: Sequence[Measur
         import pyarrow.compute as pc
 
         def newest_last(table: Any, column: str) -> Any:
-            present = pc.if_else(table[column].is_valid(), table["time"], None)
-            return table.append_column("at", present).sort_by(
-                [(name, "ascending") for name in ("code", "span", "time", column)]
+            present = pc.if_else(table[column].is_valid(), table["_time"], None)
+            return table.append_column("_at", present).sort_by(
+                [(name, "ascending") for name in ("_code", "_span", "_time", column)]
             )
 
         def grouped(table: Any, aggregates: list) -> Any:
             # Single-threaded, so that "last" means last and groups stay in order.
-            return table.group_by(["code", "span"], use_threads=False).aggregate(aggregates)
+            return table.group_by(["_code", "_span"], use_threads=False).aggregate(aggregates)
 
         for batch in batches:
             if batch.num_rows == 0:
@@ -69,21 +69,21 @@ def partial_rows(gap_ms: int, key: str, event_ms: str, measures: Sequence[Measur
             times = batch.column(event_ms)
             spans = pa.array(np.floor_divide(times.to_numpy(), gap_ms))
             inputs = {c: batch.column(c) for _, c in plan if c is not None}
-            table = pa.table({**inputs, "code": keys.indices, "span": spans, "time": times})
-            table = table.sort_by([("code", "ascending"), ("span", "ascending")])
+            table = pa.table({**inputs, "_code": keys.indices, "_span": spans, "_time": times})
+            table = table.sort_by([("_code", "ascending"), ("_span", "ascending")])
 
-            wanted = [("time", "min"), ("time", "max"), ([], "count_all")]
+            wanted = [("_time", "min"), ("_time", "max"), ([], "count_all")]
             wanted += [(column, kind) for kind, column in dict.fromkeys(plain) if column]
             main = grouped(table, wanted)
             newest = {
-                c: grouped(newest_last(table, c), [("at", "last"), (c, "last")])
+                c: grouped(newest_last(table, c), [("_at", "last"), (c, "last")])
                 for c in dict.fromkeys(latest)
             }
-            columns = [keys.dictionary.take(main["code"].combine_chunks())]
-            columns += [main["time_min"], main["time_max"]]
+            columns = [keys.dictionary.take(main["_code"].combine_chunks())]
+            columns += [main["_time_min"], main["_time_max"]]
             for kind, column in plan:
                 if kind == "latest":
-                    columns += [newest[column]["at_last"], newest[column][f"{column}_last"]]
+                    columns += [newest[column]["_at_last"], newest[column][f"{column}_last"]]
                 else:
                     columns.append(main[f"{column}_{kind}" if column else "count_all"])
             names = [key, "first_ms", "last_ms"] + [f"slot_{i}" for i in range(len(columns) - 3)]

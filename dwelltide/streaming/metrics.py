@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,7 +64,7 @@ class MetricsListener(StreamingQueryListener):
                 "query": progress["name"],
                 "batch_id": progress["batchId"],
                 "input_rows": progress["numInputRows"],
-                "rows_per_second": progress.get("processedRowsPerSecond"),
+                "rows_per_second": float(progress.get("processedRowsPerSecond") or 0),
                 "watermark": progress.get("eventTime", {}).get("watermark"),
                 "state": [
                     {
@@ -89,3 +90,32 @@ def report_metrics(spark: SparkSession, report: Callable[[dict], None]) -> Metri
     listener = MetricsListener(report)
     spark.streams.addListener(listener)
     return listener
+
+
+METRICS_SCHEMA = (
+    "query string, batch_id bigint, input_rows bigint, rows_per_second double, "
+    "watermark string, state string, metrics map<string, string>"
+)
+
+
+class MetricsTable:
+    """Keeps one job's reports as rows of a table, written a number at a time."""
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 60) -> None:
+        self.spark, self.path, self.every = spark, path, every
+        self.waiting: list[tuple] = []
+        self.writing = threading.Lock()  # two writes at once would undo each other
+
+    def __call__(self, report: dict) -> None:
+        known = ("query", "batch_id", "input_rows", "rows_per_second", "watermark")
+        observed = {k: json.dumps(v) for k, v in report.items() if k not in (*known, "state")}
+        self.waiting.append((*[report[k] for k in known], json.dumps(report["state"]), observed))
+        if len(self.waiting) >= self.every:
+            self.flush()
+
+    def flush(self) -> None:
+        with self.writing:
+            rows, self.waiting = self.waiting, []
+            if rows:
+                frame = self.spark.createDataFrame(rows, METRICS_SCHEMA)
+                frame.coalesce(1).write.mode("append").parquet(self.path)

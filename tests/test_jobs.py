@@ -19,7 +19,7 @@ from dwelltide.plans.device_features import (
 from dwelltide.plans.printing import await_any, start_client_and_event_print, start_text_print
 from dwelltide.sources.streams import CLIENT_LOG, FLAT_EVENT
 from dwelltide.streaming.append import closed_sessions
-from dwelltide.streaming.metrics import observe_latency, report_metrics
+from dwelltide.streaming.metrics import MetricsTable, observe_latency, report_metrics
 from dwelltide.streaming.sinks import FeatureTable, decode_log, read_log, write_log_batch
 from tests.streams import HOUR, Feed, run
 
@@ -69,7 +69,8 @@ def test_final_sessions_drop_a_late_row_that_touches_an_open_one(spark, tmp_path
 def test_rows_without_views_advance_event_time_of_the_final_job(spark, tmp_path):
     feed = Feed(spark, tmp_path).hours(("a", 5, 1)).hours(("b", 0, 100)).hours(("b", 0, 100))
     feed.hours(("a", 7, 2))
-    _, progress = run(spark, final_features(feed.stream(), "1 hour", "2 hours"), "append", tmp_path)
+    features = final_features(feed.stream(), "1 hour", "2 hours")
+    _, progress = run(spark, features, "append", tmp_path)
     assert sum(s.numRowsDroppedByWatermark for p in progress for s in p.stateOperators) == 1
 
 
@@ -77,7 +78,8 @@ def test_table_log_and_batch_agree(spark, tmp_path):
     feed = history(Feed(spark, tmp_path))
     folders = JobFolders(str(tmp_path), "job")
     table = job(spark, feed, folders)
-    expected = rows_of(device_features(spark.read.parquet(f"{tmp_path}/in/*"), "10 hours"), *FEATURES)
+    events = spark.read.parquet(f"{tmp_path}/in/*")
+    expected = rows_of(device_features(events, "10 hours"), *FEATURES)
     assert rows_of(table.latest(spark), *FEATURES) == expected
 
     log = decode_log(read_log(spark, folders.log), running_features(feed.stream()).schema)
@@ -202,7 +204,8 @@ def test_an_unfinished_batch_is_not_read(spark, tmp_path):
 def test_metrics(spark, tmp_path):
     feed = history(Feed(spark, tmp_path))
     reports = []
-    listener = report_metrics(spark, reports.append)
+    table = MetricsTable(spark, f"{tmp_path}/metrics", every=2)
+    listener = report_metrics(spark, lambda report: (table(report), reports.append(report)))
     try:
         job(spark, feed, JobFolders(str(tmp_path), "measured"))
         deadline = time.time() + 30
@@ -219,6 +222,14 @@ def test_metrics(spark, tmp_path):
     assert second["input_rows"] == 2 and second["latency"]["n"] == 1
     assert sum(s["rows"] for s in second["state"]) > 0
 
+    table.flush()
+    kept = spark.read.parquet(f"{tmp_path}/metrics")
+    assert rows_of(kept.filter("input_rows > 0"), "batch_id", "input_rows") == [
+        (0, 2), (1, 2), (2, 2),
+    ]
+    seen = kept.filter("batch_id = 0").selectExpr("get_json_object(metrics['latency'], '$.n')")
+    assert seen.head()[0] == "2"
+
 
 def test_an_idle_source_does_not_hold_back_event_time(spark, tmp_path):
     busy = Feed(spark, tmp_path / "busy").hours(("a", 1, 1)).hours(("b", 1, 100)).hours(("c", 1, 3))
@@ -246,10 +257,12 @@ def test_two_printing_streams(spark, tmp_path):
     logs = Feed(spark, tmp_path / "logs", CLIENT_LOG).add(("tv", "1"), ("web", "2"))
     events = Feed(spark, tmp_path / "events", FLAT_EVENT).add(("d", 0, 5))
     folder = str(tmp_path)
-    queries = start_client_and_event_print(logs.stream(), events.stream(), folder=folder, trigger=NOW)
-    for query in queries:
+    for query in start_client_and_event_print(
+        logs.stream(), events.stream(), folder=folder, trigger=NOW
+    ):
         query.awaitTermination()
-    assert rows_of(spark.read.parquet(f"{folder}/client_versions"), "*") == [("tv", "1"), ("web", "2")]
+    versions = spark.read.parquet(f"{folder}/client_versions")
+    assert rows_of(versions, "*") == [("tv", "1"), ("web", "2")]
     assert rows_of(spark.read.parquet(f"{folder}/raw_events"), "value") == [
         ('{"deviceId":"d","recvTimestamp":"5"}',)
     ]

@@ -30,7 +30,8 @@ def test_rows_of_all_types_survive_the_trip(spark):
     )
     moment = datetime.datetime(2024, 2, 29, 23, 59, 59, 123456)
     full = (
-        True, -5, 2**63 - 1, 1e-300, Decimal('123456789012.3456'), 'quote " \n ünï', b"\x00\xff",
+        True, -5,
+        2**63 - 1, 1e-300, Decimal('123456789012.3456'), 'quote " \n ünï', b"\x00\xff",
         datetime.date(1969, 12, 31), moment.replace(tzinfo=UTC), moment, [1, None, 3],
         {"k": 2**60, "": 0}, ("", [(None,), (7,)]),
     )
