@@ -24,7 +24,7 @@ from dwelltide.functions.payload import (
 from dwelltide.functions.proto_json import proto_json
 from dwelltide.operators.buckets import assign_buckets, find_buckets
 from dwelltide.operators.latency import latency_histogram
-from dwelltide.operators.latest import latest_values
+from dwelltide.operators.latest import latest_values, newest_per_key
 from dwelltide.operators.project import client_versions, view_input
 from dwelltide.operators.records import oversized_records
 from dwelltide.operators.running import running_sessions
@@ -40,6 +40,7 @@ from dwelltide.plans.printing import start_client_and_event_print, start_text_pr
 from dwelltide.session import run_folder
 from dwelltide.sources.decode import decode_json, split_malformed
 from dwelltide.sources.streams import Stream, from_latest, text_stream
+from dwelltide.streaming.metrics import LAG_BOUNDS, latency_measures
 from dwelltide.streaming.sinks import decode_log, read_log
 
 SMALLEST = "/root/testdata/sf0.001"
@@ -104,10 +105,12 @@ def session_features_query(gap: str) -> Callable[[SparkSession, str], DataFrame]
     return run
 
 
-def session_running_query(every: str) -> Callable[[SparkSession, str], DataFrame]:
+def session_running_query(
+    every: str, gap: str = "6 hours"
+) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         views = view_input(_flat_table(spark, sf_dir))
-        return _millis(running_sessions(views, "6 hours", every))
+        return _millis(running_sessions(views, gap, every))
 
     return run
 
@@ -120,6 +123,12 @@ def latency_histogram_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latency_histogram(view_input(_flat_table(spark, sf_dir)), NOW_MS, 3600)
 
 
+def latency_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metric of the streaming jobs, as of a time amid the events."""
+    views = view_input(_flat_table(spark, sf_dir))
+    return views.agg(*latency_measures(now_ms=START_MS)).drop("percentiles_s")
+
+
 def from_latest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view_input(from_latest(_flat_table(spark, sf_dir), START_MS))
 
@@ -257,13 +266,9 @@ def stream_log_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = running_features(events, "6 hours")
     folders = _run_job(spark, start_running, events, "6 hours")
     rows = decode_log(read_log(spark, folders.log), features.schema)
-    order = F.struct("batch_id", "last_recv_ts", "n_views", "closed")
-    columns = [c for c in rows.columns if c not in ("device_id", "session_start")]
-    newest = rows.groupBy("device_id", "session_start").agg(
-        F.max_by(F.struct(*columns), order).alias("newest")
-    )
-    live = newest.select("device_id", "session_start", "newest.*").filter(~F.col("absorbed"))
-    return _millis(live)
+    order = ["batch_id", "last_recv_ts", "n_views", "closed"]
+    newest = newest_per_key(rows, ["device_id", "session_start"], order)
+    return _millis(newest.filter(~F.col("absorbed")))
 
 
 def stream_final_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,10 +332,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "from_latest": from_latest_query,
         "session_features_6h": session_features_query("6 hours"),
         "session_features_180d": session_features_query("180 days"),
+        "session_features_10min": session_features_query("10 minutes"),
         "session_running_6h": session_running_query("1 millisecond"),
         "session_running_6h_every_5s": session_running_query("5 seconds"),
         "session_running_6h_every_1h": session_running_query("1 hour"),
+        "session_running_10min": session_running_query("1 millisecond", "10 minutes"),
         "latest_per_device": latest_per_device,
+        "latency_metrics": latency_metrics,
         "latency_histogram": latency_histogram_query,
         "props_decoded": props_decoded,
         "props_quarantined": event_types_quarantined,
@@ -443,7 +451,9 @@ def oracle_sql() -> dict[str, str]:
         "from_latest": f"WITH {_FLAT} SELECT * FROM views WHERE recv_timestamp >= {START_MS}",
         "session_features_6h": _sessions_sql(six_hours),
         "session_features_180d": _sessions_sql(half_year),
+        "session_features_10min": _sessions_sql(_HOUR // 6),
         "session_running_6h": _running_sql(six_hours, 1),
+        "session_running_10min": _running_sql(_HOUR // 6, 1),
         "session_running_6h_every_5s": _running_sql(six_hours, 5_000),
         "session_running_6h_every_1h": _running_sql(six_hours, _HOUR),
         "latest_per_device": f"""
@@ -453,6 +463,17 @@ FROM (SELECT *, row_number() OVER (
         PARTITION BY device_id ORDER BY recv_timestamp DESC, view_time DESC) AS place
       FROM views)
 WHERE place = 1
+""",
+        "latency_metrics": f"""
+WITH {_FLAT},
+lags AS (
+  SELECT CASE WHEN recv_timestamp <= {START_MS} THEN ({START_MS} - recv_timestamp) // 1000
+              ELSE -((recv_timestamp - {START_MS}) // 1000) END AS lag
+  FROM views
+)
+SELECT count(*) AS n, min(lag) AS min_s, max(lag) AS max_s, sum(lag) / count(*) AS avg_s,
+       {", ".join(f"count(*) FILTER (lag <= {b}) AS le_{b}_s" for b in LAG_BOUNDS)}
+FROM lags
 """,
         "latency_histogram": f"""
 WITH {_FLAT}

@@ -6,7 +6,7 @@ import json
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -16,23 +16,27 @@ from dwelltide.functions.clock import lag_seconds
 LAG_BOUNDS = (1, 5, 30, 60, 300, 1800, 7200)
 
 
-def observe_latency(
-    rows: DataFrame,
-    name: str = "latency",
-    now_ms: int | None = None,
-    event_ms: str = "recv_timestamp",
-) -> DataFrame:
-    """The same rows, with the distribution of their ingest latency as a metric."""
+def latency_measures(event_ms: str = "recv_timestamp", now_ms: int | None = None) -> list[Column]:
+    """Aggregates that describe the distribution of ingest latency, in seconds."""
     lag = lag_seconds(event_ms, now_ms)
-    return rows.observe(
-        name,
+    return [
         F.count(F.lit(1)).alias("n"),
         F.min(lag).alias("min_s"),
         F.max(lag).alias("max_s"),
         F.avg(lag).alias("avg_s"),
         F.percentile_approx(lag, [0.5, 0.95, 0.99]).alias("percentiles_s"),
         *[F.count_if(lag <= bound).alias(f"le_{bound}_s") for bound in LAG_BOUNDS],
-    )
+    ]
+
+
+def observe_latency(
+    rows: DataFrame,
+    name: str | Observation = "latency",
+    now_ms: int | None = None,
+    event_ms: str = "recv_timestamp",
+) -> DataFrame:
+    """The same rows, with the distribution of their ingest latency as a metric."""
+    return rows.observe(name, *latency_measures(event_ms, now_ms))
 
 
 def observe_emitted(results: DataFrame, name: str = "emitted") -> DataFrame:
