@@ -53,10 +53,17 @@ EVENTS = (
     "props string"
 )
 
+# Columns used, stated so that no job has to read them from the files first.
+SCHEMAS = {
+    "events": EVENTS,
+    "documents": "doc_id bigint, text string, lang string, source string",
+    "customer": "c_custkey bigint",
+}
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _flat(events: DataFrame) -> DataFrame:

@@ -88,7 +88,8 @@ class FeatureTable:
     A micro-batch appends its changes; a reader takes the newest row per key. So a write
     costs what changed and not what the table holds. ``compact`` folds the changes into a
     new base every so often. Rows with ``deleted`` true remove their key. ``writers`` is the
-    number of files of a micro-batch, ``buckets`` that of the parts of a base.
+    number of files of a micro-batch, ``buckets`` that of the parts of a base: one task
+    writes a part, so let it be about a gigabyte.
     """
 
     path: str
