@@ -43,6 +43,15 @@ from dwelltide.sources.streams import Stream, from_latest, text_stream
 from dwelltide.streaming.metrics import LAG_BOUNDS, latency_measures
 from dwelltide.streaming.sinks import decode_log, read_log
 
+try:
+    import corpus_pipeline
+    from dwelltide.llm import queries as llm_queries
+except ModuleNotFoundError as error:
+    # The subpackage may be left out as a whole; a fault inside it is still one.
+    if error.name not in ("corpus_pipeline", "dwelltide.llm", "dwelltide.llm.queries"):
+        raise
+    llm_queries = None
+
 SMALLEST = "/root/testdata/sf0.001"
 NOW_MS = 1_706_745_600_000  # 2024-02-01 00:00 UTC, after the last event
 START_MS = 1_705_276_800_000  # 2024-01-15 00:00 UTC, amid the events
@@ -334,6 +343,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return own_queries() | (
+        llm_queries.queries() | {"pipeline": corpus_pipeline.run} if llm_queries else {}
+    )
+
+
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Those of the stream and session library itself."""
     return {
         "view_input": view_input_query,
         "from_latest": from_latest_query,
@@ -452,6 +468,15 @@ _JSON_LINE = """
 
 
 def oracle_sql() -> dict[str, str]:
+    more = {}
+    if llm_queries:
+        more = llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            more["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return own_oracle_sql() | more
+
+
+def own_oracle_sql() -> dict[str, str]:
     six_hours, half_year = 6 * _HOUR, 180 * 24 * _HOUR
     return {
         "view_input": f"WITH {_FLAT} SELECT * FROM views",

@@ -29,10 +29,10 @@ def sorted_rows(columns, rows):
     return sorted(repr([row[i] for i in order]) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(entry_module.own_queries()))
 def test_query_matches_sql(spark, duck, name):
-    result = entry_module.queries()[name](spark, SF_DIR)
-    expected = duck.sql(entry_module.oracle_sql()[name])
+    result = entry_module.own_queries()[name](spark, SF_DIR)
+    expected = duck.sql(entry_module.own_oracle_sql()[name])
     assert sorted(result.columns) == sorted(expected.columns)
     rows = [tuple(row) for row in result.collect()]
     assert rows
@@ -40,7 +40,7 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(entry_module.own_queries()) == set(entry_module.own_oracle_sql())
 
 
 def test_entry(spark):
