@@ -62,13 +62,13 @@ stops AS (
                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ),
 level AS (
-  SELECT (1.5 * all_size - stopped)::DOUBLE / w_left AS lambda
+  SELECT (1.5 * all_size - stopped)::DOUBLE / w_left AS height
   FROM stops
   WHERE 2 * source_size >= (1.5 * all_size - stopped)::DOUBLE / w_left * w
   ORDER BY source_size / w, source NULLS LAST LIMIT 1
 ),
 targets AS (
-  SELECT source, source_size, least(w * lambda, 2.0 * source_size)::DOUBLE AS target
+  SELECT source, source_size, least(w * height, 2.0 * source_size)::DOUBLE AS target
   FROM weighted, level
 )
 """
