@@ -8,13 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwelltide.llm.mixing import plan_mix, taken_words
+from dwelltide.llm.neighbours import nearest_neighbours
 from dwelltide.llm.simhash import hex_fingerprint, near_duplicates
+from dwelltide.llm.top_scores import top_scores
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_embeddings(spark, sf_dir), F.col("vec_id") % 20 == 0, k=20)
+
+
+def best_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_scores(_embeddings(spark, sf_dir), F.col("vec_id") % 50 == 0, k=5)
+
+
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(plan_mix(_documents(spark, sf_dir)))
 
@@ -30,7 +44,9 @@ def simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_nearest_neighbours": neighbours,
         "op3_source_mix": source_mix,
+        "op5_top_scores": best_scores,
         "op8_simhash_classes": simhash_classes,
     }
 
@@ -76,6 +92,37 @@ targets AS (
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_nearest_neighbours": """
+WITH good AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v) AS score
+  FROM good q JOIN good c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(place AS INT) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+      FROM scored)
+WHERE place <= 20
+""",
+        "op5_top_scores": """
+WITH good AS (
+  SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM good q JOIN good c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(place AS INT) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+      FROM scored)
+WHERE place <= 5
+""",
         "op3_source_mix": f"""
 WITH {_TARGETS},
 keyed AS (
