@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dwelltide.llm.language import held_out, identify_languages, learn_languages
 from dwelltide.llm.mixing import plan_mix, taken_words
 from dwelltide.llm.neighbours import nearest_neighbours
 from dwelltide.llm.simhash import hex_fingerprint, near_duplicates
+from dwelltide.llm.token_counts import count_tokens
 from dwelltide.llm.top_scores import top_scores
 
 
@@ -33,6 +37,25 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(plan_mix(_documents(spark, sf_dir)))
 
 
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = learn_languages(docs.filter(~held_out("doc_id")))
+    found = identify_languages(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "lang_pred",
+        "score",
+        F.col("lang_accepted").alias("accepted"),
+    )
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    counted = count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 def simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_duplicates(_documents(spark, sf_dir), shingle=3, max_bits=2)
     return rows.select(
@@ -46,7 +69,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_nearest_neighbours": neighbours,
         "op3_source_mix": source_mix,
+        "op4_token_counts": token_counts,
         "op5_top_scores": best_scores,
+        "op7_languages": languages,
         "op8_simhash_classes": simhash_classes,
     }
 
