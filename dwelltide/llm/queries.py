@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from dwelltide.llm.language import held_out, identify_languages, learn_languages
 from dwelltide.llm.mixing import plan_mix, taken_words
 from dwelltide.llm.neighbours import nearest_neighbours
+from dwelltide.llm.secret_scan import BASE_KINDS, find_secrets, joined_spans
 from dwelltide.llm.simhash import hex_fingerprint, near_duplicates
 from dwelltide.llm.token_counts import count_tokens
 from dwelltide.llm.top_scores import top_scores
@@ -56,6 +57,21 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(_documents(spark, sf_dir).select("doc_id", "text"))
+    base = F.filter("spans", lambda s: ~s["confirmed"])
+
+    def number(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(number(kind).alias(f"n_{kind}") for kind in BASE_KINDS),
+        F.sha2(joined_spans(base), 256).alias("base_sha256"),
+        joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
 def simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_duplicates(_documents(spark, sf_dir), shingle=3, max_bits=2)
     return rows.select(
@@ -73,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_top_scores": best_scores,
         "op7_languages": languages,
         "op8_simhash_classes": simhash_classes,
+        "op10_secrets": secrets,
     }
 
 
