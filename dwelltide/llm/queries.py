@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from dwelltide.llm.language import held_out, identify_languages, learn_languages
 from dwelltide.llm.mixing import plan_mix, taken_words
 from dwelltide.llm.neighbours import nearest_neighbours
+from dwelltide.llm.packing import pack_sequences
 from dwelltide.llm.secret_scan import BASE_KINDS, find_secrets, joined_spans
 from dwelltide.llm.simhash import hex_fingerprint, near_duplicates
 from dwelltide.llm.token_counts import count_tokens
 from dwelltide.llm.top_scores import top_scores
+from dwelltide.llm.url_lists import listed_captures, url_host
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +53,65 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Start of the year in which the pages count as fetched.
+YEAR_START = 1_704_067_200
+
+
+def _captures(pages: DataFrame) -> DataFrame:
+    """Pages with a fetch time that their id gives."""
+    seconds = (F.col("page_id") * 7919 % 366) * 86_400 + F.col("page_id") % 86_400
+    return pages.select("page_id", "url", (F.lit(YEAR_START) + seconds).alias("fetched_at"))
+
+
+def _list_history(pages: DataFrame) -> DataFrame:
+    """Dated lists over the pages' own hosts, domains and URLs: what is listed, and when, follows
+    from a hash of it. A third of the entries is removed again, half of those come back."""
+    host = url_host(F.col("url"))
+    domain = F.regexp_extract(host, r"[^.]+\.[^.]+$", 0)
+    plain = F.regexp_replace("url", r"#.*$", "")
+    values = F.array(
+        F.struct(F.lit("domain").alias("kind"), host.alias("value")),
+        F.struct(F.lit("domain").alias("kind"), domain.alias("value")),
+        F.struct(F.lit("url").alias("kind"), plain.alias("value")),
+    )
+    listed = pages.select(F.inline(values)).filter("value <> ''").distinct()
+    digits = F.md5("value")
+
+    def number(at: int) -> F.Column:
+        return F.conv(F.substring(digits, at, 2), 16, 10).cast("long")
+
+    dated = listed.select(
+        "kind", "value", number(1).alias("which"),
+        (F.lit(YEAR_START) + number(3) * 86_400).alias("added"),
+        (number(5) * 86_400 + 1).alias("days"), number(7).alias("later"),
+    ).filter("which < 96")
+    def step(action: str, at: F.Column) -> F.Column:
+        return F.struct(F.lit(action).alias("action"), at.alias("at"))
+
+    added, days, later = F.col("added"), F.col("days"), F.col("later")
+    steps = F.array_compact(
+        F.array(
+            step("add", added),
+            F.when(later % 3 == 0, step("remove", added + days)),
+            F.when(later % 6 == 0, step("add", added + 2 * days)),
+        )
+    )
+    name = F.when(F.col("which") < 32, "trusted").when(F.col("which") < 64, "spam")
+    return dated.select(
+        name.otherwise("unsafe").alias("list"), "kind", "value", F.inline(steps)
+    )
+
+
+def url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    found = listed_captures(_captures(pages), _list_history(pages), allow_lists=("trusted",))
+    return found.withColumn("matches", F.array_join("matches", ","))
+
+
+def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_sequences(_documents(spark, sf_dir))
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     counted = count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512)
@@ -84,11 +145,13 @@ def simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_nearest_neighbours": neighbours,
+        "op2_url_lists": url_lists,
         "op3_source_mix": source_mix,
         "op4_token_counts": token_counts,
         "op5_top_scores": best_scores,
         "op7_languages": languages,
         "op8_simhash_classes": simhash_classes,
+        "op9_packed_sequences": packed_sequences,
         "op10_secrets": secrets,
     }
 
@@ -149,6 +212,57 @@ SELECT query_id, CAST(place AS INT) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
       FROM scored)
 WHERE place <= 20
+""",
+        "op2_url_lists": f"""
+WITH captures AS (
+  SELECT page_id, url, {YEAR_START} + (page_id * 7919 % 366) * 86400 + page_id % 86400 AS fetched_at
+  FROM pages
+),
+hosts AS (
+  SELECT DISTINCT url,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)', 1)) AS host,
+         regexp_replace(url, '#.*$', '') AS plain
+  FROM pages WHERE url IS NOT NULL
+),
+listed AS (
+  SELECT 'domain' AS kind, host AS value FROM hosts
+  UNION SELECT 'domain', regexp_extract(host, '[^.]+\\.[^.]+$') FROM hosts
+  UNION SELECT 'url', plain FROM hosts
+),
+dated AS (
+  SELECT kind, value, ('0x' || substr(md5(value), 1, 2))::BIGINT AS which,
+         {YEAR_START} + ('0x' || substr(md5(value), 3, 2))::BIGINT * 86400 AS added,
+         ('0x' || substr(md5(value), 5, 2))::BIGINT * 86400 + 1 AS days,
+         ('0x' || substr(md5(value), 7, 2))::BIGINT AS later
+  FROM listed WHERE value <> ''
+),
+named AS (
+  SELECT *, CASE WHEN which < 32 THEN 'trusted' WHEN which < 64 THEN 'spam' ELSE 'unsafe' END AS list
+  FROM dated WHERE which < 96
+),
+active AS (
+  SELECT list, kind, value, added AS valid_from,
+         CASE WHEN later % 3 = 0 THEN added + days END AS valid_to FROM named
+  UNION ALL
+  SELECT list, kind, value, added + 2 * days, NULL FROM named WHERE later % 6 = 0
+),
+labels AS (SELECT url, host, string_split(host, '.') AS parts FROM hosts WHERE host <> ''),
+keys AS (
+  SELECT url, 'domain' AS kind, array_to_string(parts[i:], '.') AS value
+  FROM (SELECT url, parts, unnest(range(1, len(parts) + 1)) AS i FROM labels)
+  UNION SELECT url, 'url', plain FROM hosts
+),
+met AS (
+  SELECT c.page_id, a.list, a.list || ':' || a.kind || ':' || a.value AS entry
+  FROM captures c JOIN keys k ON c.url = k.url
+  JOIN active a ON a.kind = k.kind AND a.value = k.value
+   AND c.fetched_at >= a.valid_from AND (a.valid_to IS NULL OR c.fetched_at < a.valid_to)
+)
+SELECT c.page_id, c.url, c.fetched_at,
+       coalesce(string_agg(DISTINCT m.entry, ',' ORDER BY m.entry), '') AS matches,
+       coalesce(bool_or(m.list <> 'trusted') AND NOT bool_or(m.list = 'trusted'), false) AS blocked
+FROM captures c LEFT JOIN met m ON c.page_id = m.page_id
+GROUP BY ALL
 """,
         "op5_top_scores": """
 WITH good AS (
