@@ -13,6 +13,7 @@ from dwelltide.llm.language import held_out, identify_languages, learn_languages
 from dwelltide.llm.mixing import plan_mix, taken_words
 from dwelltide.llm.neighbours import nearest_neighbours
 from dwelltide.llm.packing import pack_sequences
+from dwelltide.llm import pii
 from dwelltide.llm.secret_scan import BASE_KINDS, find_secrets, joined_spans
 from dwelltide.llm.simhash import hex_fingerprint, near_duplicates
 from dwelltide.llm.token_counts import count_tokens
@@ -40,6 +41,22 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(plan_mix(_documents(spark, sf_dir)))
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    found = pii.find_pii(docs, pii.fit_pii(docs))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def number(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(number(kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(joined_spans(base), 256).alias("base_sha256"),
+        joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
 def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     model = learn_languages(docs.filter(~held_out("doc_id")))
@@ -149,6 +166,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_source_mix": source_mix,
         "op4_token_counts": token_counts,
         "op5_top_scores": best_scores,
+        "op6_personal_data": personal_data,
         "op7_languages": languages,
         "op8_simhash_classes": simhash_classes,
         "op9_packed_sequences": packed_sequences,
