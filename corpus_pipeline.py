@@ -1,42 +1,74 @@
 """A corpus from raw documents to packed sequences: five stages, each one operator.
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as
-Parquet and read again as the next one's documents.
+Parquet and read again as the next one's documents. All but the last return the columns of
+documents.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from dwelltide.llm import secret_scan
+from dwelltide.llm.language import identify_languages, learn_languages
 from dwelltide.llm.mixing import mixed, plan_mix
+from dwelltide.llm.packing import pack_sequences
 from dwelltide.llm.simhash import near_duplicates
 from dwelltide.session import run_folder
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the corpus teaches stay, and take the language found:
+    without a letter, or too far from every learned language, they go."""
+    found = identify_languages(docs, learn_languages(docs))
+    columns = [F.col("lang_pred").alias(c) if c == "lang" else F.col(c) for c in docs.columns]
+    return found.filter("lang_accepted").select(*columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates stays: the one of the smallest id."""
-    rows = near_duplicates(docs, shingle=3, max_bits=2).checkpoint()
-    staying = rows.filter("stays").select("doc_id", "copies").distinct()
-    kept = docs.join(
-        staying.withColumnRenamed("doc_id", "kept_id"),
-        docs["doc_id"].eqNullSafe(staying["doc_id"]),
-    )
-    once = kept.filter("copies = 1")
-    return once.select(*docs.columns)
+    return _one_of_each(docs, near_duplicates(docs, shingle=3, max_bits=2).checkpoint())
+
+
+def _one_of_each(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    staying = rows.filter("stays").select(F.col("doc_id").alias("kept_id"), "copies").distinct()
+    kept = docs.join(staying, docs["doc_id"].eqNullSafe(F.col("kept_id")))
+    alone = kept.filter("copies = 1").select(*docs.columns)
+    if staying.filter("copies > 1").isEmpty():
+        return alone
+    # An id on several rows of a class: one of them, the first by its columns.
+    row = F.struct(*(F.col(c) for c in docs.columns))
+    repeated = kept.filter("copies > 1").groupBy("kept_id").agg(F.min(row).alias("row"))
+    return alone.unionByName(repeated.select("row.*"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; a secret's kind in brackets stands in its place."""
+    cleaned = secret_scan.redact(secret_scan.find_secrets(docs, spans_col="_spans"), spans_col="_spans")
+    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources in their target proportions, documents repeated where a target asks for it."""
-    return mixed(docs, plan_mix(docs))
+    """Sources in their target proportions: a document stands there as often as it is taken."""
+    mix = mixed(docs, plan_mix(docs))
+    return mix.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per piece of a document, with its text and its place in a packed sequence."""
+    return pack_sequences(docs, with_text=True)
 
 
 STAGES = [
+    ("language_id", language_id),
     ("simhash_near_dedup", simhash_near_dedup),
-    ("mix_sources", mix_sources),
+    ("secret_scan", redact_secrets),
+    ("source_mixing", mix_sources),
+    ("best_fit_packing", best_fit_packing),
 ]
 
+# Hashes, trained centroids and bins have no SQL; tests compare with brute force instead.
 ORACLE_SQL = None
 
 
