@@ -112,9 +112,10 @@ def _linked_in_bucket(prints: np.ndarray, ring: int, max_bits: int) -> list[tupl
         near = np.arange(j)
         for mask, budget in masks[1:]:
             near = near[np.bitwise_count(apart[near] & mask) <= budget]
-        for label in np.unique(joined[near]):
+        labels, first = np.unique(joined[near], return_index=True)
+        for label, other in zip(labels, near[first]):
             if joined[j] != label:
-                links.append((int(prints[label]), int(prints[j])))
+                links.append((int(prints[other]), int(prints[j])))
                 low, high = sorted((label, joined[j]))
                 joined[: j + 1][joined[: j + 1] == high] = low
     return links
