@@ -61,8 +61,7 @@ def best_fit(
         where[item] = number
         used[number] += size
         left -= size
-        if free > size:
-            insort(room, (free - size, number))
+        insort(room, (free - size, number))
     return where, [min(c for c in lengths if c >= words) for words in used]
 
 
@@ -106,7 +105,7 @@ def pack_sequences(
     ``sequence`` names the bin, ``place`` is the piece's first word inside it, ``start`` and
     ``end`` are code points of the text. A text of up to the longest length is one piece, a
     longer one is cut between words; pieces together are the whole text. Null texts, and texts
-    without words, have one piece of 0 words in a sequence of its own or with others. Repeated
+    without words, have one piece of 0 words, in a full sequence if there is one. Repeated
     rows are packed each. Ties go to the bin opened first. An empty table gives an empty one.
     Other columns are not read.
     """
