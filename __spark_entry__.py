@@ -14,7 +14,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
+ROOT = str(Path(__file__).resolve().parent)
+sys.path.insert(0, ROOT)
 
 from dwelltide.functions.payload import (
     decode_payload,
@@ -343,9 +344,21 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return own_queries() | (
-        llm_queries.queries() | {"pipeline": corpus_pipeline.run} if llm_queries else {}
-    )
+    more = llm_queries.queries() | {"pipeline": corpus_pipeline.run} if llm_queries else {}
+    return own_queries() | {name: _found_by_workers(query) for name, query in more.items()}
+
+
+def _found_by_workers(
+    query: Callable[[SparkSession, str], DataFrame],
+) -> Callable[[SparkSession, str], DataFrame]:
+    """Python workers of a local session find this package wherever the session was started;
+    on a cluster it is installed, or sent with ``--py-files``."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
