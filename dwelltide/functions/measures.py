@@ -2,15 +2,17 @@
 
 Every measure is associative and independent of row order, because sessions are built from
 partial results and merge. One list of measures serves the batch operators (as Spark
-aggregates) and the stateful stream (as a vector of longs per session).
+aggregates) and the stateful stream (as a row of slots per session).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A newest value is aggregated as one decimal, event_time * 2^64 + (value + 2^63): its maximum
 # is the value at the latest time, ties going to the greater value. A struct would order the
@@ -31,13 +33,18 @@ def newest_value(code: str) -> Column:
     return F.expr(f"cast(pmod({code}, {_SPAN}) - {_SHIFT} as bigint)")
 
 
+WHOLE, FRACTIONAL = "bigint", "double"
+
+
 @dataclass(frozen=True)
 class Measure:
-    """``kind`` is sum, count, min, max or latest; ``column`` holds whole numbers."""
+    """``kind`` is sum, count, min, max or latest. ``type`` is that of the values: whole
+    numbers, or doubles for a column of a fractional type; ``typed`` sets it."""
 
     name: str
     kind: str
     column: str | None = None
+    type: str = WHOLE
 
     def __post_init__(self) -> None:
         if self.kind not in ("sum", "count", "min", "max", "latest"):
@@ -49,10 +56,14 @@ class Measure:
         """Aggregate of input rows."""
         if self.kind == "count":
             column = F.count(F.lit(1) if self.column is None else F.col(self.column))
-        elif self.kind == "latest":
+        elif self.kind == "latest" and self.type == WHOLE:
             column = F.max(newest_code(event_time, self.column))
+        elif self.kind == "latest":
+            value = F.col(self.column).cast(self.type)
+            stamped = F.struct(F.col(event_time).alias("at"), value.alias("value"))
+            column = F.max(F.when(value.isNotNull(), stamped))
         else:
-            column = getattr(F, self.kind)(self.column)
+            column = getattr(F, self.kind)(F.col(self.column).cast(self.type))
         return column.alias(self.name)
 
     def merge(self) -> Column:
@@ -61,10 +72,32 @@ class Measure:
         return combine[self.kind](self.name)
 
     def finish(self) -> Column:
-        column = newest_value(self.name) if self.kind == "latest" else F.col(self.name)
+        column = F.col(self.name)
+        if self.kind == "latest":
+            column = newest_value(self.name) if self.type == WHOLE else column["value"]
         return column.alias(self.name)
 
 
+def typed(measures: Sequence[Measure], schema: T.StructType) -> tuple[Measure, ...]:
+    """The measures with the types of their columns; batch and stream then compute alike.
+
+    Doubles and floats are measured as doubles. A column that holds neither these nor whole
+    numbers of up to 64 bits is refused, rather than rounded.
+    """
+    found = []
+    for m in measures:
+        kind = None if m.kind == "count" else schema[m.column].dataType
+        if kind is None:
+            found.append(m)
+        elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+            found.append(replace(m, type=WHOLE))
+        elif isinstance(kind, (T.FloatType, T.DoubleType)):
+            found.append(replace(m, type=FRACTIONAL))
+        else:
+            raise ValueError(f"measure {m.name!r}: cannot measure a column of {kind.simpleString()}")
+    return tuple(found)
+
+
 DEFAULT_MEASURES = (
     Measure("cvt_total", "sum", "view_time"),
     Measure("n_views", "count"),

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from dwelltide.sources.decode import one_record
+
 # Micros and null array elements must survive the trip.
 _TIME_FORMATS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -25,9 +27,9 @@ def encode_payload(columns: Sequence[str] | None = None) -> Column:
 
 
 def decode_payload(payload: Column | str, schema: StructType | str) -> Column:
-    """The struct that ``encode_payload`` wrote; a malformed payload fails the query."""
+    """The struct that ``encode_payload`` wrote; a payload that is not one fails the query."""
     column = F.col(payload) if isinstance(payload, str) else payload
-    return F.from_json(column.cast("string"), schema, {"mode": "FAILFAST", **_TIME_FORMATS})
+    return one_record(column.cast("string"), schema, _TIME_FORMATS)
 
 
 def partition_key(key_columns: Sequence[str]) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwelltide.functions.measures import Measure
+from dwelltide.functions.measures import Measure, typed
 
 
 def newest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -25,7 +25,7 @@ def latest_values(
     rows: DataFrame, value: str, key: str = "device_id", event_ms: str = "recv_timestamp"
 ) -> DataFrame:
     """Time and value of each key's latest row; of equal times, the greater value."""
-    latest = Measure(f"last_{value}", "latest", value)
+    (latest,) = typed([Measure(f"last_{value}", "latest", value)], rows.schema)
     return (
         rows.groupBy(key)
         .agg(F.max(event_ms).alias("last_recv_ts"), latest.partial(event_ms))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwelltide.durations import duration_ms
-from dwelltide.functions.measures import DEFAULT_MEASURES, Measure
+from dwelltide.functions.measures import DEFAULT_MEASURES, Measure, typed
 from dwelltide.operators.sessions import chained, chunk_sessions, session_parts, span_start
 
 # Most intervals of one key that a window group may hold: an hour at one millisecond.
@@ -36,6 +36,7 @@ def running_sessions(
     key.
     """
     gap_ms, every_ms = duration_ms(gap), duration_ms(every)
+    measures = typed(measures, rows.schema)
     if every_ms > gap_ms:
         raise ValueError("early results cannot be farther apart than the session gap")
     chunk_ms = every_ms * TICKS_PER_CHUNK

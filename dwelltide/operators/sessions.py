@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwelltide.durations import duration_ms
-from dwelltide.functions.measures import DEFAULT_MEASURES, Measure
+from dwelltide.functions.measures import DEFAULT_MEASURES, Measure, typed
 
 HOUR_MS = 3_600_000
 DAY_MS = 24 * HOUR_MS
@@ -119,7 +119,7 @@ def session_features(
     measures: Sequence[Measure] = DEFAULT_MEASURES,
 ) -> DataFrame:
     """One row per session with its measures."""
-    gap_ms = duration_ms(gap)
+    gap_ms, measures = duration_ms(gap), typed(measures, rows.schema)
     if gap_ms >= HOUR_MS:
         keys = [key]
         parts = session_parts(rows, gap_ms, key, event_ms, measures)

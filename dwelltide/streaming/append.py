@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwelltide.durations import duration_ms, interval
-from dwelltide.functions.measures import DEFAULT_MEASURES, Measure
+from dwelltide.functions.measures import DEFAULT_MEASURES, Measure, typed
 from dwelltide.operators.sessions import feature_columns
 
 
@@ -26,6 +26,7 @@ def closed_sessions(
     would touch a session that is still open; ``early_sessions`` keeps such a row. Spark
     applies a new limit one micro-batch after it is known, so some rows get one more chance.
     """
+    measures = typed(measures, timed.schema)
     return (
         timed.groupBy(key, F.session_window(event_time, interval(gap)))
         .agg(

@@ -22,13 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from dwelltide.durations import duration_ms
-from dwelltide.functions.measures import DEFAULT_MEASURES, Measure
+from dwelltide.functions.measures import DEFAULT_MEASURES, WHOLE, Measure, typed
 
 # Executors need not have this module installed: it travels with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# A session in state and on its way there is a list of longs: first time, last time, then
-# the slots of every measure. A latest value has two slots, its time and itself.
+# A session in state and on its way there is a row: first time, last time, then the slots of
+# every measure. A latest value has two slots, its time and itself.
 FIRST, LAST, SLOTS = 0, 1, 2
 
 LIVE, CLOSED, ABSORBED, LATE = "live", "closed", "absorbed", "late"
@@ -41,6 +41,13 @@ def slot_names(measures: Sequence[Measure]) -> list[str]:
     return names
 
 
+def slot_types(measures: Sequence[Measure]) -> list[str]:
+    types = []
+    for m in measures:
+        types += [WHOLE, m.type] if m.kind == "latest" else [m.type]
+    return types
+
+
 def partial_rows(gap_ms: int, key: str, event_ms: str, measures: Sequence[Measure]):
     """A ``mapInArrow`` function: per Arrow batch, one row per key and span of ``gap_ms``."""
     plain = [(m.kind, m.column) for m in measures if m.kind != "latest"]
@@ -150,9 +157,15 @@ class SessionProcessor(StatefulProcessor):
     """
 
     def __init__(
-        self, gap_ms: int, kinds: Sequence[str], columns: Sequence[str], early: bool
+        self,
+        gap_ms: int,
+        kinds: Sequence[str],
+        columns: Sequence[str],
+        session: str,
+        early: bool,
     ) -> None:
         self.gap_ms = gap_ms
+        self.session = session
         self.columns = tuple(columns)
         self.kinds = tuple(kinds)
         self.early = early
@@ -160,7 +173,9 @@ class SessionProcessor(StatefulProcessor):
     def init(self, handle) -> None:
         self.result = Row(*self.columns)
         self.handle = handle
-        self.state = handle.getValueState("open", "sessions array<array<bigint>>, timer bigint")
+        self.state = handle.getValueState(
+            "open", f"sessions array<struct<{self.session}>>, timer bigint"
+        )
 
     def _ended(self, session: list, watermark: int) -> bool:
         return session[LAST] + self.gap_ms <= watermark
@@ -176,7 +191,7 @@ class SessionProcessor(StatefulProcessor):
         if timer is None or first_end < timer:
             self.handle.registerTimer(first_end)
             timer = first_end
-        self.state.update((sessions, timer))
+        self.state.update(([tuple(session) for session in sessions], timer))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
@@ -244,25 +259,38 @@ def early_sessions(
     off only closed sessions come out. Late rows are counted, as the sessions they would
     have made, in the metric ``late``.
     """
-    gap_ms = duration_ms(gap)
-    names = slot_names(measures)
+    gap_ms, measures = duration_ms(gap), typed(measures, timed.schema)
+    names, types = slot_names(measures), [WHOLE, WHOLE, *slot_types(measures)]
     key_type = timed.schema[key].dataType.simpleString()
-    inputs = dict.fromkeys(m.column for m in measures if m.column not in (None, event_ms))
-    longs = ["first_ms", "last_ms", *[f"slot_{i}" for i in range(len(names))]]
-    layout = f"`{key}` {key_type}, " + ", ".join(f"{name} bigint" for name in longs)
+    # A column that is only counted need not be a number.
+    inputs = {
+        m.column: F.when(F.col(m.column).isNotNull(), F.lit(1)).cast(WHOLE)
+        for m in measures
+        if m.kind == "count" and m.column not in (None, event_ms)
+    }
+    inputs |= {
+        m.column: F.col(m.column).cast(m.type)
+        for m in measures
+        if m.kind != "count" and m.column != event_ms
+    }
+    slots = ["first_ms", "last_ms", *[f"slot_{i}" for i in range(len(names))]]
+    layout = f"`{key}` {key_type}, " + ", ".join(f"{n} {t}" for n, t in zip(slots, types))
+    session = ",".join(f"{n}:{t}" for n, t in zip(slots, types))
 
     parts = (
         timed.filter(F.col(event_ms).isNotNull())
-        .select(key, F.col(event_ms).cast("bigint"), *[F.col(c).cast("bigint") for c in inputs])
-        .mapInArrow(
-            partial_rows(gap_ms, key, event_ms, measures), layout
+        .select(
+            key,
+            F.col(event_ms).cast("bigint"),
+            *[column.alias(name) for name, column in inputs.items()],
         )
+        .mapInArrow(partial_rows(gap_ms, key, event_ms, measures), layout)
+    )
+    processor = SessionProcessor(
+        gap_ms, [m.kind for m in measures], [key, *slots, "status"], session, early
     )
     emitted = parts.groupBy(key).transformWithState(
-        SessionProcessor(gap_ms, [m.kind for m in measures], [key, *longs, "status"], early),
-        f"{layout}, status string",
-        "update",
-        "eventTime",
+        processor, f"{layout}, status string", "update", "eventTime"
     )
     absorbed, late = F.col("status") == ABSORBED, F.col("status") == LATE
     on_time = emitted.observe("late", F.count_if(late).alias("sessions")).filter(~late)
