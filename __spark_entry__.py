@@ -291,7 +291,7 @@ def stream_log_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_final_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed sessions only, from the record log."""
     events = _flat_stream(spark, sf_dir)
-    folders = _run_job(spark, start_final, events, "6 hours")
+    folders = _run_job(spark, start_final, events, "6 hours").final
     schema = (
         "device_id string, session_start timestamp, session_end timestamp, "
         "first_recv_ts bigint, last_recv_ts bigint, cvt_total bigint, n_views bigint, "

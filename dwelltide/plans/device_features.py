@@ -6,15 +6,18 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dwelltide.functions.measures import DEFAULT_MEASURES, Measure
 from dwelltide.operators.project import device_input, view_input, viewed, with_event_time
 from dwelltide.operators.sessions import session_features
 from dwelltide.session import STATEFUL_SETTINGS, settings
+from dwelltide.sources.decode import MALFORMED
 from dwelltide.sources.streams import Stream
 from dwelltide.streaming.append import closed_sessions
 from dwelltide.streaming.early import early_sessions
+from dwelltide.streaming.folders import register_run
 from dwelltide.streaming.metrics import observe_emitted, observe_latency
 from dwelltide.streaming.sinks import FeatureSinks, FeatureTable
 
@@ -46,6 +49,23 @@ class JobFolders:
     def log(self) -> str:
         return self._folder("log")
 
+    @property
+    def runs(self) -> str:
+        return self._folder("runs")
+
+    @property
+    def final(self) -> JobFolders:
+        """The folders of the job of closed sessions, apart from those of early results."""
+        return JobFolders(self.base, f"{self.job_name}/final")
+
+    @property
+    def quarantine(self) -> str:
+        return self._folder("quarantine")
+
+    @property
+    def metrics(self) -> str:
+        return self._folder("metrics")
+
 
 def device_features(
     events: DataFrame,
@@ -103,6 +123,7 @@ def _start(
     mode: str,
     write: Callable[[DataFrame, int], None],
     folders: JobFolders,
+    name: str,
     state_partitions: int | None,
     trigger: dict | None,
 ) -> StreamingQuery:
@@ -111,7 +132,7 @@ def _start(
         stateful["spark.sql.shuffle.partitions"] = str(state_partitions)
     with settings(spark, stateful):
         return (
-            features.writeStream.queryName(folders.job_name)
+            features.writeStream.queryName(name)
             .outputMode(mode)
             .option("checkpointLocation", folders.checkpoint)
             .foreachBatch(write)
@@ -120,6 +141,42 @@ def _start(
         )
 
 
+def start_quarantine(
+    spark: SparkSession,
+    events: DataFrame,
+    folders: JobFolders,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """The texts that a quarantined source could not decode, kept in a folder of their own."""
+    bad = events.filter(F.col(MALFORMED).isNotNull())
+    return (
+        bad.select(MALFORMED, F.current_timestamp().alias("seen_at"))
+        .writeStream.queryName(f"{folders.job_name}-quarantine")
+        .option("checkpointLocation", f"{folders.quarantine}_checkpoint")
+        .trigger(**(trigger or {"processingTime": EARLY_EVERY}))
+        .start(folders.quarantine, format="parquet", outputMode="append")
+    )
+
+
+def _well_formed(
+    spark: SparkSession, events: DataFrame, folders: JobFolders, trigger: dict | None
+) -> DataFrame:
+    """The decoded events. Of a quarantined source the others go to their folder; a job that
+    ends with the present input has them there before it starts itself."""
+    if MALFORMED not in events.columns:
+        return events
+    query = start_quarantine(spark, events, folders, trigger)
+    if trigger and "processingTime" not in trigger:
+        query.awaitTermination()
+    return events.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
+
+
+def _writers(spark: SparkSession, writers: int | None, state_partitions: int | None) -> int:
+    """Files per micro-batch: by default one for every four state partitions."""
+    partitions = state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return writers or max(1, partitions // 4)
+
+
 def start_running(
     spark: SparkSession,
     events: DataFrame,
@@ -128,7 +185,7 @@ def start_running(
     lateness: str = LATENESS,
     key_columns: Sequence[str] | None = ("device_id",),
     buckets: int = 256,
-    writers: int = 16,
+    writers: int | None = None,
     state_partitions: int | None = None,
     trigger: dict | None = None,
     measures: Sequence[Measure] = DEFAULT_MEASURES,
@@ -137,14 +194,20 @@ def start_running(
     """Early and final results into feature table and record log.
 
     ``state_partitions`` is fixed when the job first starts; by default the session's
-    number of shuffle partitions.
+    number of shuffle partitions. A job that starts on a new checkpoint goes on in the same
+    table and log, as their next run. What a quarantined source could not decode goes to the
+    folder ``quarantine``.
     """
+    writers = _writers(spark, writers, state_partitions)
+    run = register_run(spark, folders.checkpoint, folders.runs, "early results")
+    events = _well_formed(spark, events, folders, trigger)
     features = running_features(events, gap, lateness, measures)
     table = feature_table(features, folders.table, buckets, writers)
     table.create(spark)
-    log = Stream(folders.log, key_columns=key_columns).sink()
-    sinks = FeatureSinks(table, log, compact_every)
-    return _start(spark, features, "update", sinks, folders, state_partitions, trigger)
+    log = Stream(folders.log, key_columns=key_columns).sink(run=run)
+    sinks = FeatureSinks(table, log, compact_every, run)
+    name = folders.job_name
+    return _start(spark, features, "update", sinks, folders, name, state_partitions, trigger)
 
 
 def start_final(
@@ -154,12 +217,17 @@ def start_final(
     gap: int | str = SESSION_GAP,
     lateness: str = LATENESS,
     key_columns: Sequence[str] | None = ("device_id",),
-    writers: int = 16,
+    writers: int | None = None,
     state_partitions: int | None = None,
     trigger: dict | None = None,
     measures: Sequence[Measure] = DEFAULT_MEASURES,
 ) -> StreamingQuery:
-    """Closed sessions into the record log."""
+    """Closed sessions into a record log, with checkpoint and log in ``folders.final``."""
+    writers = _writers(spark, writers, state_partitions)
+    own = folders.final
+    run = register_run(spark, own.checkpoint, own.runs, "closed sessions")
+    events = _well_formed(spark, events, own, trigger)
     features = final_features(events, gap, lateness, measures)
-    log = Stream(folders.log, key_columns=key_columns).sink(writers=writers)
-    return _start(spark, features, "append", log, folders, state_partitions, trigger)
+    log = Stream(own.log, key_columns=key_columns).sink(writers=writers, run=run)
+    name = f"{folders.job_name}-final"
+    return _start(spark, features, "append", log, own, name, state_partitions, trigger)

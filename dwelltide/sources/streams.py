@@ -96,8 +96,10 @@ class Stream:
         overrides: Mapping[str, str] | None = None,
         max_bytes: int = MAX_RECORD_BYTES,
         writers: int | None = None,
+        run: int = 0,
     ) -> Callable[[DataFrame, int], None]:
-        """A ``foreachBatch`` function that appends rows, encoded, to the stream's log."""
+        """A ``foreachBatch`` function that appends rows, encoded, to the stream's log. ``run``
+        numbers the checkpoint of the stream that feeds it."""
         if self.format != "parquet":
             raise ValueError(f"records are written as parquet files, not {self.format!r}")
 
@@ -110,6 +112,7 @@ class Stream:
                 max_bytes,
                 self.all_options(overrides),
                 writers,
+                run,
             )
 
         return write

@@ -1,0 +1,146 @@
+"""Folders of finished writes: micro-batches, the parts they are merged into, and runs.
+
+A write is a folder of its own and finished once Spark has left its mark there. Micro-batches
+are numbered by run and batch: a run is a checkpoint, and a new checkpoint, whose batches count
+from 0 again, gets the next run. Numbers of later runs are greater, so nothing that an earlier
+run wrote is replaced or comes after it.
+"""
+
+from __future__ import annotations
+
+import json
+from dataclasses import dataclass
+
+from pyspark.sql import SparkSession
+
+#: Micro-batches of a run, more than any will have.
+RUN_SPAN = 1 << 40
+
+
+def batch_number(run: int, batch_id: int) -> int:
+    return run * RUN_SPAN + batch_id
+
+
+def file_system(spark: SparkSession, path: str):
+    """Spark's file system of a path, and the path in its terms."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    fs, path = file_system(spark, folder)
+    if not fs.exists(path):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(path)]
+
+
+def is_finished(spark: SparkSession, folder: str) -> bool:
+    fs, mark = file_system(spark, f"{folder}/_SUCCESS")
+    return fs.exists(mark)
+
+
+def size_of(spark: SparkSession, folder: str) -> int:
+    fs, path = file_system(spark, folder)
+    return fs.getContentSummary(path).getLength()
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    fs, path = file_system(spark, folder)
+    fs.delete(path, True)
+
+
+def finished_batches(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers N of the finished folders ``batch_id=N``, ascending, from one listing.
+
+    A run writes a micro-batch only after the one before is finished, so the mark is looked
+    for in each run's last folder alone.
+    """
+    numbers = sorted(
+        int(name.removeprefix("batch_id="))
+        for name in names_in(spark, folder)
+        if name.startswith("batch_id=")
+    )
+    last = {n // RUN_SPAN: n for n in numbers}
+    return [
+        n
+        for n in numbers
+        if n != last[n // RUN_SPAN] or is_finished(spark, f"{folder}/batch_id={n}")
+    ]
+
+
+@dataclass(frozen=True, order=True)
+class Part:
+    """What the micro-batches after one, up to another, were merged into."""
+
+    upto: int
+    after: int
+    buckets: int = 0
+
+    @property
+    def name(self) -> str:
+        return f"after={self.after},upto={self.upto},buckets={self.buckets}"
+
+
+def parts_in(spark: SparkSession, folder: str) -> list[Part]:
+    found = []
+    for name in names_in(spark, folder):
+        if name.startswith("after=") and is_finished(spark, f"{folder}/{name}"):
+            fields = dict(field.split("=") for field in name.split(","))
+            found.append(Part(*(int(fields[k]) for k in ("upto", "after", "buckets"))))
+    return sorted(found)
+
+
+def chain(parts: list[Part], upto: int | None = None) -> list[Part]:
+    """The parts that together hold everything from the start on, the widest first choice."""
+    known = [p for p in parts if p.upto > p.after and (upto is None or p.upto <= upto)]
+    links: list[Part] = []
+    end = -1
+    while following := [p for p in known if p.after == end]:
+        links.append(max(following))
+        end = links[-1].upto
+    return links
+
+
+def merge_from(sizes: list[int], new: int) -> int:
+    """From which link of a chain on to merge with what is new, of ``new`` bytes.
+
+    A link is taken up once what comes after it is half its size, so a row is merged again
+    only when the part it lies in has grown by half: the cost follows the changes, with a
+    factor of the logarithm of the whole.
+    """
+    at = len(sizes)
+    while at and sizes[at - 1] < 2 * new:
+        at -= 1
+        new += sizes[at]
+    return at
+
+
+def register_run(spark: SparkSession, checkpoint: str, runs: str, kind: str) -> int:
+    """The run of a checkpoint: the next free one of the folder ``runs`` at its first start.
+
+    The checkpoint remembers it, and the kind of job; a checkpoint of another kind is
+    refused. A checkpoint from before there were runs is run 0.
+    """
+    fs, marker = file_system(spark, f"{checkpoint}/job_run")
+    if fs.exists(marker):
+        known = json.loads(spark.read.text(f"{checkpoint}/job_run").first()["value"])
+        if known["kind"] != kind:
+            raise ValueError(f"{checkpoint} is the checkpoint of another job: {known['kind']}")
+        return known["run"]
+    run = 0
+    if not fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/metadata")):
+        taken = [int(name) for name in names_in(spark, runs) if name.isdigit()]
+        run = max(taken, default=-1) + 1
+    _write_new(spark, f"{runs}/{run}", checkpoint)
+    _write_new(spark, f"{checkpoint}/job_run", json.dumps({"run": run, "kind": kind}))
+    return run
+
+
+def _write_new(spark: SparkSession, path: str, text: str) -> None:
+    """A file that must not exist yet; of two jobs that start at once, one fails."""
+    fs, file = file_system(spark, path)
+    out = fs.create(file, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()

@@ -136,7 +136,7 @@ def test_restart_of_the_final_job(spark, tmp_path):
         )
         query.awaitTermination()
     schema = final_features(feed.stream()).schema
-    log = decode_log(read_log(spark, folders.log), schema)
+    log = decode_log(read_log(spark, folders.final.log), schema)
     assert rows_of(log, "device_id", "cvt_total") == [("a", 3), ("m", 1)]
 
 

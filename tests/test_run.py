@@ -25,7 +25,9 @@ def test_device_features(spark, streams, final):
         + ["--state-partitions", "2", "--option", "maxFilesPerTrigger=100"]
         + ["--final"] * final
     )
-    records = read_log(spark, f"{streams}/jobs/device_features/log").count()
+    records = read_log(
+        spark, f"{streams}/jobs/device_features/{'final/' if final else ''}log"
+    ).count()
     assert records == (1 if final else 2)  # live, and closed
 
 
