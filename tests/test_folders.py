@@ -1,0 +1,152 @@
+"""Runs, parts and segments: nothing is lost by a new checkpoint, a compaction or a retention."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from dwelltide.plans.device_features import JobFolders, feature_table, running_features, start_final, start_running
+from dwelltide.sources.streams import Stream
+from dwelltide.streaming import sinks
+from dwelltide.streaming.folders import RUN_SPAN, Part, batch_number, chain, finished_batches, merge_from, parts_in, register_run
+from dwelltide.streaming.sinks import FeatureTable, RecordLog, decode_log, read_log, write_log_batch
+from tests.streams import Feed
+from tests.test_jobs import FEATURES, NOW, SMALL, history, rows_of
+
+
+def test_the_widest_parts_make_the_chain():
+    parts = [Part(-1, -1), Part(3, -1), Part(7, 3), Part(5, 3), Part(9, 7), Part(20, 10)]
+    assert chain(parts) == [Part(3, -1), Part(7, 3), Part(9, 7)]
+    assert chain(parts, 6) == [Part(3, -1), Part(5, 3)]
+    assert chain([Part(9, -1), *parts]) == [Part(9, -1)]
+    assert chain([]) == []
+
+
+def test_parts_are_merged_when_outgrown():
+    assert merge_from([1000, 100], 10) == 2
+    assert merge_from([1000, 100], 60) == 1
+    assert merge_from([300, 100], 60) == 0
+    assert merge_from([], 5) == 0
+
+
+def test_a_table_in_tiers_is_the_table(spark, tmp_path):
+    tiers = FeatureTable(f"{tmp_path}/a", SMALL, ["k"], ["t"], "gone", buckets=3, bucketed_from=0)
+    plain = FeatureTable(f"{tmp_path}/b", SMALL, ["k"], ["t"], "gone")
+    for table in (tiers, plain):
+        table.create(spark)
+    wide = [(f"k{i}", i, 1, False) for i in range(3000)]
+    for number in range(8):
+        rows = wide if number == 0 else [(f"k{number}", None, number, True), (f"n{number}", number, 1, None), ("k9", number, number, False)]
+        for table in (tiers, plain):
+            table.write_batch(spark.createDataFrame(rows, SMALL), number)
+        if number in (0, 2, 3, 5):
+            tiers.compact(spark, number)
+            tiers.compact(spark, number)
+        assert rows_of(tiers.latest(spark), "*") == rows_of(plain.latest(spark), "*")
+    links = chain(parts_in(spark, tiers._parts))
+    assert links[0] == Part(0, -1, 3) and len(links) > 1, "the wide part is not written again"
+    tiers.expire(spark, keep=1)
+    assert rows_of(tiers.latest(spark), "*") == rows_of(plain.latest(spark), "*")
+    for value in ("k9", "k2", "n3", "absent"):
+        expected = rows_of(plain.latest(spark).filter(F.col("k") == value), "*")
+        assert rows_of(tiers.lookup(spark, value), "*") == expected == rows_of(plain.lookup(spark, value), "*")
+    plan = tiers.lookup(spark, "k9")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [(bucket" in plan, plan
+    assert rows_of(tiers.lookup(spark, "k9", "n3"), "k") == [("k9",), ("n3",)]
+
+
+def stream_rows(table, spark):
+    return rows_of(table.latest(spark), *FEATURES)
+
+
+def test_a_new_checkpoint_replaces_and_hides_nothing(spark, tmp_path):
+    feed = history(Feed(spark, tmp_path / "one"))
+    folders = JobFolders(str(tmp_path), "job")
+
+    def start(stream):
+        query = start_running(spark, stream, folders, "10 hours", "1 day", buckets=3, trigger=NOW)
+        query.awaitTermination()
+        return feature_table(running_features(stream, "10 hours"), folders.table, 3)
+
+    table = start(feed.stream())
+    table.compact(spark, 2)
+    before, log = stream_rows(table, spark), rows_of(read_log(spark, folders.log), "*")
+    (tmp_path / "job/checkpoint").rename(tmp_path / "old_checkpoint")
+    more = Feed(spark, tmp_path / "two").hours(("x", 1, 900)).hours(("y", 2, 901), ("a", 9, 950))
+    table = start(more.stream())
+    after = stream_rows(table, spark)
+    assert set(before) < set(after) and {r[0] for r in set(after) - set(before)} == {"x", "y", "a"}
+    records = rows_of(read_log(spark, folders.log), "*")
+    assert set(log) < set(records)
+    batches = finished_batches(spark, f"{folders.table}/changes")
+    assert [n for n in batches if n >= RUN_SPAN][:2] == [RUN_SPAN, RUN_SPAN + 1]
+    # A replayed micro-batch of the new run replaces only itself.
+    again = spark.createDataFrame(table.batch(spark, RUN_SPAN).collect(), table.schema)
+    table.write_batch(again, RUN_SPAN)
+    write_log_batch(again, 0, folders.log, ["device_id"], run=1)
+    assert stream_rows(table, spark) == after and rows_of(read_log(spark, folders.log), "*") == records
+
+
+def test_a_checkpoint_keeps_its_run_and_kind(spark, tmp_path):
+    base = str(tmp_path)
+    assert [register_run(spark, f"{base}/c{i}", f"{base}/runs", "x") for i in (0, 1, 0, 2)] == [0, 1, 0, 2]
+    with pytest.raises(ValueError, match="another job: x"):
+        register_run(spark, f"{base}/c1", f"{base}/runs", "y")
+    assert batch_number(2, 5) == 2 * RUN_SPAN + 5
+
+
+def test_early_and_final_results_have_folders_of_their_own(spark, tmp_path):
+    feed = Feed(spark, tmp_path).hours(("a", 1, 1)).hours(("b", 1, 100)).hours(("b", 1, 101))
+    folders = JobFolders(str(tmp_path), "job")
+    for start in (start_running, start_final):
+        start(spark, feed.stream(), folders, "10 hours", "2 hours", trigger=NOW).awaitTermination()
+    assert read_log(spark, folders.log).count() == 4
+    assert read_log(spark, folders.final.log).count() == 1
+    assert folders.final.checkpoint != folders.checkpoint
+
+
+def test_the_log_in_segments_is_the_log(spark, tmp_path):
+    path = f"{tmp_path}/log"
+    log = RecordLog(path)
+    for number in range(6):
+        rows = spark.createDataFrame([(f"d{i}", "x" * (20 if i else 200), number) for i in range(4)], "d string, s string, n int")
+        write_log_batch(rows, number, path, ["d"], max_bytes=100)
+        if number == 4:
+            before = rows_of(read_log(spark, path), "*"), rows_of(read_log(spark, path, oversized=True), "*")
+            log.compact(spark, 1)
+            log.compact(spark, 3)
+            log.compact(spark, 3)
+            log.tidy(spark)
+            assert finished_batches(spark, path) == [4]
+            assert (rows_of(read_log(spark, path), "*"), rows_of(read_log(spark, path, oversized=True), "*")) == before
+    decoded = decode_log(read_log(spark, path), "d string, s string, n int")
+    assert sorted(r["n"] for r in decoded.collect()) == sorted(n for n in range(6) for _ in range(3))
+    assert decoded.filter("n <> batch_id").count() == 0
+    log.expire(spark, before=2)
+    assert sorted({r["batch_id"] for r in read_log(spark, path).collect()}) == [2, 3, 4, 5]
+    log.compact(spark, 5)
+    log.tidy(spark)
+    assert sorted({r["batch_id"] for r in read_log(spark, path).collect()}) == [2, 3, 4, 5]
+
+
+def test_what_cannot_be_decoded_is_kept(spark, tmp_path):
+    texts = ['{"device_id":"a","view_time":1,"recv_timestamp":5}', "broken", '{"device_id":"b","view_time":2,"recv_timestamp":6}{"x":1}', ""]
+    spark.createDataFrame([(t.encode(),) for t in texts], "value binary").coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = Stream(f"{tmp_path}/in", "device_id string, view_time int, recv_timestamp bigint", decoder="json")
+    for start, folders in ((start_running, JobFolders(str(tmp_path), "j")), (start_final, JobFolders(str(tmp_path), "j"))):
+        start(spark, stream.source(spark, quarantine=True), folders, trigger=NOW).awaitTermination()
+        kept = folders.quarantine if start is start_running else folders.final.quarantine
+        assert rows_of(spark.read.parquet(kept), "malformed_payload") == rows_of(spark.createDataFrame([(t,) for t in texts if t != texts[0]], "t string"), "t")
+    table = feature_table(running_features(stream.source(spark, quarantine=True).drop("malformed_payload")), f"{tmp_path}/j/table")
+    assert rows_of(table.latest(spark), "device_id", "cvt_total") == [("a", 1)]
+
+
+def test_a_failed_compaction_stops_the_stream(spark, tmp_path, monkeypatch):
+    table = FeatureTable(f"{tmp_path}/t", SMALL, ["k"], ["t"], "gone")
+    table.create(spark)
+    both = sinks.FeatureSinks(table, compact_every=1)
+    monkeypatch.setattr(FeatureTable, "compact", lambda *_: 1 / 0)
+    rows = spark.createDataFrame([("a", 1, 1, False)], SMALL)
+    both(rows, 0)
+    both(rows, 1)
+    sinks._COMPACTING.submit(int).result()
+    with pytest.raises(ZeroDivisionError):
+        both(rows, 2)
