@@ -13,20 +13,23 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 ROOT = str(Path(__file__).resolve().parent)
 sys.path.insert(0, ROOT)
 
+from dwelltide.functions.measures import Measure
 from dwelltide.functions.payload import (
     decode_payload,
     encode_payload,
     partition_key,
 )
 from dwelltide.functions.proto_json import proto_json
-from dwelltide.operators.buckets import assign_buckets, find_buckets
+from dwelltide.operators.buckets import assign_buckets, find_buckets, hash_bucket
 from dwelltide.operators.latency import latency_histogram
 from dwelltide.operators.latest import latest_values, newest_per_key
-from dwelltide.operators.project import client_versions, view_input
+from dwelltide.operators.project import client_versions, view_input, with_event_time
 from dwelltide.operators.records import oversized_records
 from dwelltide.operators.running import running_sessions
 from dwelltide.operators.sessions import session_features
@@ -38,11 +41,13 @@ from dwelltide.plans.device_features import (
     start_running,
 )
 from dwelltide.plans.printing import start_client_and_event_print, start_text_print
-from dwelltide.session import run_folder
+from dwelltide.session import STATEFUL_SETTINGS, run_folder, settings
 from dwelltide.sources.decode import decode_json, split_malformed
-from dwelltide.sources.streams import Stream, from_latest, text_stream
-from dwelltide.streaming.metrics import LAG_BOUNDS, latency_measures
-from dwelltide.streaming.sinks import decode_log, read_log
+from dwelltide.sources.streams import Stream, from_latest, preset, text_stream
+from dwelltide.streaming.early import early_sessions
+from dwelltide.streaming.folders import file_system
+from dwelltide.streaming.metrics import LAG_BOUNDS, latency_measures, metrics_table
+from dwelltide.streaming.sinks import FeatureSinks, decode_log, read_log
 
 try:
     import corpus_pipeline
@@ -143,7 +148,13 @@ def latency_histogram_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latency_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metric of the streaming jobs, as of a time amid the events."""
     views = view_input(_flat_table(spark, sf_dir))
-    return views.agg(*latency_measures(now_ms=START_MS)).drop("percentiles_s")
+    found = views.agg(*latency_measures(now_ms=START_MS))
+    # Approximate to a rank in ten thousand: in whole days they are those of any engine.
+    places = [
+        F.floor(F.col("percentiles_s")[i] / 86_400).alias(f"p{p}_days")
+        for i, p in enumerate((50, 95, 99))
+    ]
+    return found.select(*[c for c in found.columns if c != "percentiles_s"], *places)
 
 
 def from_latest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,6 +182,22 @@ def event_types_quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def props_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Props made into doubled, trailed, blank and null payloads by turns: only what is
+    exactly one record is decoded, the others keep their text."""
+    turn = F.col("event_id") % 5
+    payloads = _table(spark, sf_dir, "events").select(
+        "event_id",
+        F.when(turn == 1, F.concat("props", "props"))
+        .when(turn == 2, F.concat("props", F.lit(" x")))
+        .when(turn == 3, F.lit("  "))
+        .when(turn == 0, F.col("props"))
+        .alias("value"),
+    )
+    decoded = decode_json(payloads, "k bigint", quarantine=True, keep=("event_id",))
+    return decoded.select("event_id", "k", F.col("malformed_payload").alias("malformed"))
+
+
 def _raw_events(events: DataFrame) -> DataFrame:
     """Events as records of several types, for the JSON writer."""
     return events.select(
@@ -213,11 +240,13 @@ def bucket_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     assigned = assign_buckets(users, "id", BUCKETS)
     found = find_buckets(wanted, assigned, "id", BUCKETS)
     listed = assigned.select(F.col("id").alias("listed_id"))
-    # The hash differs between engines, so of a fallback only its range is shown.
+    # The hash differs between engines, so a fallback shows no bucket.
     return found.join(listed, F.col("id") == F.col("listed_id"), "left").select(
         "id",
         F.when(F.col("listed_id").isNotNull(), F.col("bucket")).alias("listed_bucket"),
-        F.col("bucket").between(0, BUCKETS - 1).alias("in_range"),
+        F.when(F.col("listed_id").isNotNull(), "listed")
+        .when(F.col("bucket") == hash_bucket("id", BUCKETS), "hashed")
+        .alias("found_by"),
     )
 
 
@@ -235,7 +264,7 @@ def partition_key_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_key.groupBy("device_id").agg(
         F.sum("copies").alias("n_records"),
         F.count("row_key").alias("row_keys"),
-        (F.min("device_key") == F.max("device_key")).alias("one_device_key"),
+        F.countDistinct("device_key").alias("device_keys"),
     )
 
 
@@ -255,14 +284,73 @@ def two_column_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Streams: run to the end of the present input, result read back from the sink --------
 
 
-def _run_job(spark: SparkSession, start, events: DataFrame, gap: str) -> JobFolders:
-    folders = JobFolders(run_folder(spark, "jobs"), "device_features")
+def _job_folders(spark: SparkSession) -> JobFolders:
+    return JobFolders(run_folder(spark, "jobs"), "device_features")
+
+
+def _run_job(
+    spark: SparkSession,
+    start: Callable[..., StreamingQuery],
+    events: DataFrame,
+    gap: str,
+    folders: JobFolders | None = None,
+    **how,
+) -> tuple[JobFolders, list[StreamingQueryProgress]]:
+    """A job to the end of the present input; its folders and the progress of its batches."""
+    folders = folders or _job_folders(spark)
     cores = spark.sparkContext.defaultParallelism
     query = start(
-        spark, events, folders, gap, state_partitions=cores, trigger={"availableNow": True}
+        spark, events, folders, gap, state_partitions=cores, trigger={"availableNow": True}, **how
     )
     query.awaitTermination()
-    return folders
+    return folders, list(query.recentProgress)
+
+
+ARRIVALS = 8
+
+
+def _arrive(spark: SparkSession, sf_dir: str, folder: str, first: int, last: int) -> None:
+    """Flat events as files of the stream ``flat``, each an eighth of the time covered, in the
+    order in which they come: up to an hour and a half after their time, so that every file
+    holds rows that lie before the end of the one before, and rows that join its sessions."""
+    flat = _table(spark, sf_dir, "events").select(
+        "event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("at"), "user_id", "value"
+    )
+    late = F.pmod(F.col("event_id") * 7919, F.lit(5400)) * 1000
+    covered = flat.agg(F.min("at").alias("begin"), F.max("at").alias("end")).first()
+    width = (covered["end"] - covered["begin"] + 5_400_000) // ARRIVALS + 1
+    arrival = F.floor((F.col("at") + late - covered["begin"]) / width).cast("int")
+    rows = flat.select(
+        F.col("user_id").cast("string").alias("device_id"),
+        F.floor("value").cast("int").alias("view_time"),
+        F.col("at").alias("recv_timestamp"),
+        arrival.alias("arrival"),
+    ).filter(F.col("arrival").between(first, last - 1))
+    rows.repartition(ARRIVALS, "arrival").write.mode("append").partitionBy("arrival").parquet(
+        f"{folder}/flat"
+    )
+    for number in range(first, last):
+        fs, path = file_system(spark, f"{folder}/flat/arrival={number}")
+        for file in fs.listStatus(path) if fs.exists(path) else []:
+            # Files are read in order of their times.
+            fs.setTimes(file.getPath(), 1_700_000_000_000 + 1000 * number, -1)
+
+
+def _run_in_two_goes(
+    spark: SparkSession, sf_dir: str, start: Callable[..., StreamingQuery], gap: str, **how
+) -> tuple[JobFolders, DataFrame]:
+    """The job over half of the files, one per micro-batch, then again from its checkpoint
+    over the others; its folders and its input."""
+    folder, folders = run_folder(spark, "streams"), _job_folders(spark)
+    with_rows = 0
+    for first in (0, ARRIVALS // 2):
+        _arrive(spark, sf_dir, folder, first, first + ARRIVALS // 2)
+        events = preset("flat", folder).source(spark, {"maxFilesPerTrigger": "1"})
+        _, progress = _run_job(spark, start, events, gap, folders, **how)
+        with_rows += sum(p.numInputRows > 0 for p in progress)
+    if with_rows < ARRIVALS:
+        raise RuntimeError(f"{with_rows} micro-batches had rows, not {ARRIVALS}")
+    return folders, events
 
 
 def stream_running_query(gap: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -270,7 +358,7 @@ def stream_running_query(gap: str) -> Callable[[SparkSession, str], DataFrame]:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         events = _flat_stream(spark, sf_dir)
-        folders = _run_job(spark, start_running, events, gap)
+        folders, _ = _run_job(spark, start_running, events, gap)
         table = feature_table(running_features(events, gap), folders.table)
         return _millis(table.latest(spark))
 
@@ -281,23 +369,99 @@ def stream_log_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Early results, from the record log: of each session the newest record."""
     events = _flat_stream(spark, sf_dir)
     features = running_features(events, "6 hours")
-    folders = _run_job(spark, start_running, events, "6 hours")
+    folders, _ = _run_job(spark, start_running, events, "6 hours")
     rows = decode_log(read_log(spark, folders.log), features.schema)
     order = ["batch_id", "last_recv_ts", "n_views", "closed"]
     newest = newest_per_key(rows, ["device_id", "session_start"], order)
     return _millis(newest.filter(~F.col("absorbed")))
 
 
+FINAL_SCHEMA = (
+    "device_id string, session_start timestamp, session_end timestamp, "
+    "first_recv_ts bigint, last_recv_ts bigint, cvt_total bigint, n_views bigint, "
+    "last_view_time bigint"
+)
+
+
+def _closed(spark: SparkSession, folders: JobFolders) -> DataFrame:
+    return _millis(decode_log(read_log(spark, folders.final.log), FINAL_SCHEMA))
+
+
 def stream_final_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed sessions only, from the record log."""
     events = _flat_stream(spark, sf_dir)
-    folders = _run_job(spark, start_final, events, "6 hours").final
-    schema = (
-        "device_id string, session_start timestamp, session_end timestamp, "
-        "first_recv_ts bigint, last_recv_ts bigint, cvt_total bigint, n_views bigint, "
-        "last_view_time bigint"
+    return _closed(spark, _run_job(spark, start_final, events, "6 hours")[0])
+
+
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Early results of late and bridging rows in many micro-batches, with a restart and
+    compactions amid them, from the feature table."""
+    folders, events = _run_in_two_goes(
+        spark, sf_dir, start_running, "6 hours", compact_every=3
     )
-    return _millis(decode_log(read_log(spark, folders.log), schema))
+    table = feature_table(running_features(events, "6 hours"), folders.table)
+    return _millis(table.latest(spark))
+
+
+def stream_final_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed sessions of the same, from the record log."""
+    return _closed(spark, _run_in_two_goes(spark, sf_dir, start_final, "6 hours")[0])
+
+
+def stream_emitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of emitted results as the job counts them, its metrics kept as a table."""
+    events = _flat_stream(spark, sf_dir)
+    folders = _job_folders(spark)
+    with metrics_table(spark, folders.metrics):
+        _run_job(spark, start_final, events, "6 hours", folders)
+    kept = spark.read.parquet(folders.metrics)
+    emitted = F.get_json_object(F.col("metrics")["emitted"], "$.n").cast("bigint")
+    return kept.agg(F.sum(emitted).alias("n_emitted"), F.sum("input_rows").alias("n_read"))
+
+
+FRACTIONS = (
+    Measure("part_total", "sum", "part"),
+    Measure("part_least", "min", "part"),
+    Measure("part_most", "max", "part"),
+    Measure("part_last", "latest", "part"),
+    Measure("n_rows", "count"),
+)
+
+
+def _parts(events: DataFrame) -> DataFrame:
+    """Values in eighths, which every engine adds up alike."""
+    return events.select(
+        F.col("user_id").cast("string").alias("device_id"),
+        (F.floor(F.col("value") * 8) / 8).alias("part"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("recv_timestamp"),
+    )
+
+
+def session_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of a fractional column."""
+    rows = _parts(_table(spark, sf_dir, "events"))
+    return _millis(session_features(rows, "6 hours", measures=FRACTIONS))
+
+
+def stream_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by the stateful stream."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    events = Stream(sf_dir, EVENTS, options={"pathGlobFilter": "events.parquet"})
+    timed = with_event_time(_parts(events.source(spark)), "2 hours")
+    features = early_sessions(timed, "6 hours", measures=FRACTIONS)
+    folder = run_folder(spark, "fractions")
+    table = feature_table(features, f"{folder}/table")
+    table.create(spark)
+    with settings(spark, STATEFUL_SETTINGS):
+        query = (
+            features.writeStream.outputMode("update")
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .foreachBatch(FeatureSinks(table))
+            .trigger(availableNow=True)
+            .start()
+        )
+    query.awaitTermination()
+    return _millis(table.latest(spark))
 
 
 def two_stream_print(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,6 +542,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latency_histogram": latency_histogram_query,
         "props_decoded": props_decoded,
         "props_quarantined": event_types_quarantined,
+        "props_strict": props_strict,
         "proto_json": proto_json_query,
         "payload_roundtrip": payload_roundtrip,
         "bucket_assignment": bucket_assignment,
@@ -390,6 +555,11 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_running_180d": stream_running_query("180 days"),
         "stream_log_6h": stream_log_query,
         "stream_final_6h": stream_final_query,
+        "stream_restart_6h": stream_restart,
+        "stream_final_restart_6h": stream_final_restart,
+        "stream_emitted": stream_emitted,
+        "session_fractions_6h": session_fractions,
+        "stream_fractions_6h": stream_fractions,
         "two_stream_print": two_stream_print,
         "text_print": text_print,
     }
@@ -467,6 +637,39 @@ WINDOW so_far AS (PARTITION BY device_id, session_no ORDER BY tick ROWS UNBOUNDE
     )
 
 
+_CLOSED = """
+SELECT * FROM sessions
+WHERE session_end_ms <= (SELECT max(recv_timestamp) FROM flat) - 7200000
+"""
+
+
+def _fractions_sql(gap_ms: int) -> str:
+    return f"""
+WITH parts AS (
+  SELECT CAST(user_id AS VARCHAR) AS device_id, floor(value * 8) / 8 AS part,
+         epoch_us(ts) // 1000 AS recv_timestamp
+  FROM events
+),
+marked AS (
+  SELECT *, recv_timestamp - lag(recv_timestamp) OVER (
+           PARTITION BY device_id ORDER BY recv_timestamp, part) AS pause
+  FROM parts
+),
+numbered AS (
+  SELECT *, sum(CASE WHEN pause <= {gap_ms} THEN 0 ELSE 1 END) OVER (
+           PARTITION BY device_id ORDER BY recv_timestamp, part
+           ROWS UNBOUNDED PRECEDING) AS session_no
+  FROM marked
+)
+SELECT device_id, min(recv_timestamp) AS session_start_ms,
+       max(recv_timestamp) + {gap_ms} AS session_end_ms,
+       min(recv_timestamp) AS first_recv_ts, max(recv_timestamp) AS last_recv_ts,
+       sum(part) AS part_total, min(part) AS part_least, max(part) AS part_most,
+       arg_max(part, {{'t': recv_timestamp, 'v': part}}) AS part_last, count(*) AS n_rows
+FROM numbered GROUP BY device_id, session_no
+"""
+
+
 _JSON_LINE = """
 '{' || concat_ws(',',
   CASE WHEN event_id <> 0 THEN '"eventId":"' || event_id || '"' END,
@@ -517,6 +720,7 @@ lags AS (
   FROM views
 )
 SELECT count(*) AS n, min(lag) AS min_s, max(lag) AS max_s, sum(lag) / count(*) AS avg_s,
+       {", ".join(f"floor(quantile_disc(lag, 0.{p}) / 86400)::BIGINT AS p{p}_days" for p in (50, 95, 99))},
        {", ".join(f"count(*) FILTER (lag <= {b}) AS le_{b}_s" for b in LAG_BOUNDS)}
 FROM lags
 """,
@@ -553,14 +757,15 @@ WITH listed AS (
   SELECT user_id, CAST(ntile({BUCKETS}) OVER (ORDER BY user_id) - 1 AS INT) AS bucket
   FROM (SELECT DISTINCT user_id FROM events)
 )
-SELECT c.c_custkey AS id, listed.bucket AS listed_bucket, true AS in_range
+SELECT c.c_custkey AS id, listed.bucket AS listed_bucket,
+       CASE WHEN listed.user_id IS NULL THEN 'hashed' ELSE 'listed' END AS found_by
 FROM (SELECT DISTINCT c_custkey FROM customer) c LEFT JOIN listed ON c.c_custkey = listed.user_id
 """,
         "partition_key_spread": f"""
 WITH {_FLAT}
 SELECT device_id, count(*) AS n_records,
        count(DISTINCT {{'v': view_time, 't': recv_timestamp}}) AS row_keys,
-       true AS one_device_key
+       count(DISTINCT device_id) AS device_keys
 FROM views GROUP BY device_id
 """,
         "oversized_records": """
@@ -572,9 +777,21 @@ FROM documents WHERE octet_length(encode(text)) > 20000
         "stream_running_180d": _sessions_sql(half_year),
         "stream_log_6h": _sessions_sql(six_hours),
         "stream_final_6h": _sessions_cte(six_hours)
-        + """
-SELECT * FROM sessions
-WHERE session_end_ms <= (SELECT max(recv_timestamp) FROM flat) - 7200000
+        + _CLOSED,
+        "stream_restart_6h": _sessions_sql(six_hours),
+        "stream_final_restart_6h": _sessions_cte(six_hours) + _CLOSED,
+        "stream_emitted": _sessions_cte(six_hours)
+        + f"""
+SELECT (SELECT count(*) FROM ({_CLOSED})) AS n_emitted, (SELECT count(*) FROM events) AS n_read
+""",
+        "session_fractions_6h": _fractions_sql(six_hours),
+        "stream_fractions_6h": _fractions_sql(six_hours),
+        "props_strict": """
+SELECT event_id,
+       CASE WHEN event_id % 5 = 0 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
+       CASE event_id % 5 WHEN 1 THEN props || props WHEN 2 THEN props || ' x' WHEN 3 THEN '  '
+            WHEN 4 THEN '' END AS malformed
+FROM events
 """,
         "two_stream_print": f"""
 SELECT 'client_versions' AS stream, source || '|' || lang AS line FROM documents

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,11 +41,18 @@ def partition_key(key_columns: Sequence[str]) -> Column:
     return F.xxhash64(*key_columns).cast("string")
 
 
-def to_records(rows: DataFrame, key_columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows as ``(partition_key, payload)``."""
+def to_records(
+    rows: DataFrame,
+    key_columns: Sequence[str] | None = None,
+    encoder: Callable[[Sequence[str]], Column] | None = None,
+    key: Callable[[Sequence[str]], Column] | None = None,
+) -> DataFrame:
+    """Rows as ``(partition_key, payload)``; ``encoder`` and ``key`` make them from the names
+    of the columns in place of JSON and of the hash of ``key_columns``."""
+    names = key_columns or rows.columns
     return rows.select(
-        partition_key(key_columns or rows.columns).alias("partition_key"),
-        encode_payload(rows.columns).alias("payload"),
+        (key or partition_key)(names).cast("string").alias("partition_key"),
+        (encoder or encode_payload)(rows.columns).cast("binary").alias("payload"),
     )
 
 

@@ -22,6 +22,7 @@ from dwelltide.plans.printing import (
     start_text_print,
 )
 from dwelltide.sources.streams import preset, text_stream
+from dwelltide.streaming.metrics import metrics_table
 
 
 def _option(text: str) -> tuple[str, str]:
@@ -43,6 +44,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     typed = argparse.ArgumentParser(add_help=False)
     typed.add_argument("--format", default="parquet")
     typed.add_argument("--decoder", choices=["text", "json", "binary"])
+    typed.add_argument("--starting", choices=["latest", "earliest"])
 
     features = jobs.add_parser("device-features", parents=[common, typed])
     features.add_argument("--jobs", required=True, help="folder of the jobs' own folders")
@@ -52,6 +54,11 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     features.add_argument("--every", default=EARLY_EVERY)
     features.add_argument("--final", action="store_true", help="closed sessions only")
     features.add_argument("--state-partitions", type=int)
+    features.add_argument("--writers", type=int, help="files per micro-batch")
+    features.add_argument("--buckets", type=int, default=256, help="of the feature table")
+    features.add_argument("--compact-every", type=int, default=720, help="micro-batches; 0: never")
+    features.add_argument("--quarantine", action="store_true", help="keep what cannot be decoded")
+    features.add_argument("--metrics-every", type=int, default=60, help="reports per write")
 
     printing = jobs.add_parser("print-clients-and-events", parents=[common, typed])
     printing.add_argument("--raw-schema", required=True, help="columns of the raw events")
@@ -78,29 +85,43 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
                 logs.source(spark), events.source(spark), folder=args.to, trigger=trigger
             )
         )
-    starter = start_final if args.final else start_running
+    flat = preset("flat", args.streams, starting=args.starting, **how)
+    settings = {"writers": args.writers, "state_partitions": args.state_partitions}
+    if not args.final:
+        settings |= {"buckets": args.buckets, "compact_every": args.compact_every}
     return [
-        starter(
+        (start_final if args.final else start_running)(
             spark,
-            preset("flat", args.streams, **how).source(spark),
-            JobFolders(args.jobs, args.name),
+            flat.source(spark, quarantine=args.quarantine),
+            folders(args),
             args.gap,
             args.lateness,
-            state_partitions=args.state_partitions,
             trigger=trigger or {"processingTime": args.every},
+            **settings,
         )
     ]
 
 
+def folders(args: argparse.Namespace) -> JobFolders:
+    return JobFolders(args.jobs, args.name)
+
+
+def _await(spark: SparkSession, queries: list[StreamingQuery], once: bool) -> None:
+    if not once:
+        await_any(spark)
+    for query in queries if once else ():
+        query.awaitTermination()
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     args = arguments(argv)
     spark = SparkSession.builder.appName(f"dwelltide {args.job}").getOrCreate()
-    queries = start(spark, args)
-    if args.once:
-        for query in queries:
-            query.awaitTermination()
-    else:
-        await_any(spark)
+    if args.job != "device-features":
+        _await(spark, start(spark, args), args.once)
+        return
+    own = folders(args).final if args.final else folders(args)
+    with metrics_table(spark, own.metrics, args.metrics_every):
+        _await(spark, start(spark, args), args.once)
 
 
 if __name__ == "__main__":

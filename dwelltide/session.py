@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -57,7 +59,8 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder the cluster names; a temporary one on a local master only."""
+    """The checkpoint folder the cluster names; on a local master only, a temporary one, which
+    goes when the process ends."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
@@ -65,6 +68,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="dwelltide-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
     return folder
 

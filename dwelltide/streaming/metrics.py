@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -118,8 +119,24 @@ class MetricsTable:
             self.flush()
 
     def flush(self) -> None:
+        """Writes what waits. Reports whose write fails wait on, for the next one."""
         with self.writing:
-            rows, self.waiting = self.waiting, []
+            rows = list(self.waiting)
             if rows:
                 frame = self.spark.createDataFrame(rows, METRICS_SCHEMA)
                 frame.coalesce(1).write.mode("append").parquet(self.path)
+                del self.waiting[: len(rows)]
+
+
+@contextmanager
+def metrics_table(spark: SparkSession, path: str, every: int = 60) -> Iterator[MetricsTable]:
+    """Reports of all streams go to a table while the block runs; what waits is written at
+    its end, after the reports still on their way have come in."""
+    table = MetricsTable(spark, path, every)
+    listener = report_metrics(spark, table)
+    try:
+        yield table
+    finally:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        spark.streams.removeListener(listener)
+        table.flush()

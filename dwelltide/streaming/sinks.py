@@ -49,12 +49,14 @@ def write_log_batch(
     options: Mapping[str, str] | None = None,
     writers: int | None = None,
     run: int = 0,
+    encoder: Callable[[Sequence[str]], Column] | None = None,
+    key: Callable[[Sequence[str]], Column] | None = None,
 ) -> None:
     """Rows as records of one micro-batch; oversized ones into a partition of their own.
 
     A stateful stream has as many partitions as its state; ``writers`` limits the files.
     """
-    records = to_records(rows, key_columns).withColumn(
+    records = to_records(rows, key_columns, encoder, key).withColumn(
         "oversized", is_oversized("payload", max_bytes)
     )
     if writers:

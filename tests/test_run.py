@@ -47,3 +47,18 @@ def test_wrong_arguments(capsys):
         with pytest.raises(SystemExit):
             arguments(wrong)
     assert "key=value" in capsys.readouterr().err
+
+
+def test_settings_metrics_and_quarantine(spark, tmp_path):
+    texts = ['{"device_id":"a","view_time":1,"recv_timestamp":1}', "broken", '{"device_id":"b","view_time":2,"recv_timestamp":2}']
+    spark.createDataFrame([(t.encode(),) for t in texts], "value binary").write.parquet(f"{tmp_path}/flat")
+    main(
+        ["device-features", "--streams", str(tmp_path), "--jobs", f"{tmp_path}/jobs", "--once", "--decoder", "json"]
+        + ["--quarantine", "--writers", "1", "--buckets", "2", "--compact-every", "1", "--state-partitions", "2"]
+        + ["--starting", "earliest"]
+    )
+    own = f"{tmp_path}/jobs/device_features"
+    assert [r[0] for r in spark.read.parquet(f"{own}/quarantine").collect()] == ["broken"]
+    metrics = spark.read.parquet(f"{own}/metrics").filter("query = 'device_features'")
+    emitted = metrics.selectExpr("sum(cast(get_json_object(metrics['emitted'], '$.n') as int))").first()[0]
+    assert emitted == read_log(spark, f"{own}/log").count() == 2

@@ -32,7 +32,7 @@ def test_the_caller_wins_over_the_stream_and_the_stream_over_defaults():
         options={"region": "r1", "scan.stream.initpos": "TRIM_HORIZON"},
     )
     options = stream.all_options({"region": "r2"})
-    assert options == {**CONNECTOR_DEFAULTS, "scan.stream.initpos": "TRIM_HORIZON", "region": "r2"}
+    assert options == {**CONNECTOR_DEFAULTS["kinesis"], "scan.stream.initpos": "TRIM_HORIZON", "region": "r2"}
     assert stream.with_options(region="r3").all_options()["region"] == "r3"
     assert Stream("path", FLAT_EVENT).all_options() == {}
 
@@ -99,3 +99,45 @@ def test_json_files(spark, tmp_path):
 def test_start_at_latest(spark):
     rows = spark.createDataFrame([("a", 1, 5), ("a", 1, 6)], FLAT_EVENT)
     assert [r["recv_timestamp"] for r in from_latest(rows, 6).collect()] == [6]
+
+
+def test_a_connector_has_its_own_options_only():
+    assert Stream("s", FLAT_EVENT, format="kafka", decoder="json").all_options() == {}
+    late = Stream("s", FLAT_EVENT, format="kafka", decoder="json", starting="latest")
+    assert late.all_options() == {"startingOffsets": "latest"}
+    early = Stream("s", FLAT_EVENT, format="kinesis", decoder="json", starting="earliest")
+    assert early.all_options()["startingposition"] == "TRIM_HORIZON"
+    assert late.all_options({"startingOffsets": "earliest"}) == {"startingOffsets": "earliest"}
+
+
+def test_files_start_at_a_time(spark, tmp_path):
+    spark.createDataFrame([("a", 1, 5), ("b", 1, 9)], FLAT_EVENT).write.parquet(f"{tmp_path}/flat")
+    late = preset("flat", str(tmp_path), starting="latest", start_ms=9)
+    assert [r["device_id"] for r in late.table(spark).collect()] == ["b"]
+    assert preset("flat", str(tmp_path), starting="latest").table(spark).count() == 0
+    assert preset("flat", str(tmp_path), starting="earliest").table(spark).count() == 2
+    with pytest.raises(ValueError, match="latest"):
+        preset("flat", str(tmp_path), starting="yesterday").table(spark)
+
+
+def test_functions_for_decoder_encoder_and_key(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from dwelltide.streaming.sinks import read_log
+
+    spark.createDataFrame([(b"a;1",), (b"b;2",)], "value binary").write.parquet(f"{tmp_path}/in")
+    own = Stream(
+        f"{tmp_path}/in",
+        decoder=lambda v: F.from_csv(v.cast("string"), "name string, n int", {"sep": ";", "mode": "FAILFAST"}),
+    )
+    rows = own.table(spark)
+    assert sorted(map(tuple, rows.collect())) == [("a", 1), ("b", 2)]
+    out = Stream(
+        f"{tmp_path}/log",
+        encoder=lambda names: F.concat_ws("|", *names),
+        key=lambda names: F.upper(names[0]),
+        key_columns=["name"],
+    )
+    out.sink()(rows, 0)
+    found = sorted((r["partition_key"], bytes(r["payload"])) for r in read_log(spark, f"{tmp_path}/log").collect())
+    assert found == [("A", b"a|1"), ("B", b"b|2")]
