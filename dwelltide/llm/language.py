@@ -34,9 +34,9 @@ LENGTHS = (0, 32, 128, 512, 2048)
 LENIENCY = 0.5
 OUTSIDE = 0.001
 ROWS_AT_ONCE = 256
+BYTES_AT_ONCE = 1 << 20
 
 _LETTER = re.compile(r"[^\W\d_]")
-_MULTIPLIERS = np.array([1, 257, 65_537], dtype=np.uint32)
 # Bytes of words: letters, and all that UTF-8 uses beyond ASCII; the rest separates.
 _PLAIN = bytes(
     b if chr(b).isascii() and chr(b).isalpha() or b >= 128 else 32 for b in range(256)
@@ -51,13 +51,16 @@ def _grams(text: str) -> np.ndarray:
     """How often each component's n-grams stand in the text."""
     raw = np.frombuffer(b" " + text.lower().encode().translate(_PLAIN) + b" ", dtype=np.uint8)
     space = raw == 32
-    raw = raw[np.append(True, ~(space[1:] & space[:-1]))].astype(np.uint32)
+    raw = raw[np.append(True, ~(space[1:] & space[:-1]))]
     counts = np.zeros(WIDTH, dtype=np.float32)
-    gram = np.zeros(len(raw), dtype=np.uint32)
-    for n in range(1, 4):
-        gram = gram[: len(raw) - n + 1] * np.uint32(256) + raw[n - 1 :]
-        mixed = (gram + np.uint32(n)) * np.uint32(2_654_435_761)
-        counts += np.bincount(mixed >> np.uint32(19), minlength=WIDTH)
+    for at in range(0, len(raw), BYTES_AT_ONCE):
+        part = raw[at : at + BYTES_AT_ONCE + 2]
+        gram = np.zeros(len(part), dtype=np.uint32)
+        for n in range(1, 4):
+            # Two bytes more than its own: the n-grams that start in this part.
+            gram = gram[: len(part) - n + 1] * np.uint32(256) + part[n - 1 :]
+            mixed = (gram[:BYTES_AT_ONCE] + np.uint32(n)) * np.uint32(2_654_435_761)
+            counts += np.bincount(mixed >> np.uint32(19), minlength=WIDTH)
     return counts
 
 

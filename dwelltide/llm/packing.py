@@ -26,6 +26,9 @@ LENGTHS = (512, 1024, 2048, 4096)
 ROWS_TOGETHER = 8192
 WORDS_TOGETHER = 4_000_000
 
+#: Words of longer texts are counted without a list of them.
+LISTED_LENGTH = 1_000_000
+
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -79,7 +82,10 @@ def packed_together(
 def _pieces(text: str, longest: int) -> list[tuple[int, int, int]]:
     """(start, end, words) of the parts of a text of at most ``longest`` words, which together
     are the whole text."""
-    words = len(text.encode().split())
+    if len(text) <= LISTED_LENGTH:
+        words = len(text.encode().split())
+    else:
+        words = sum(1 for _ in _WORD.finditer(text))
     if words <= longest:
         return [(0, len(text), words)]
     pieces, start, seen = [], 0, 0

@@ -21,6 +21,8 @@ from tokenizers import Tokenizer
 
 #: Pre-tokens kept in a worker's cache; then it starts anew.
 CACHED = 500_000
+#: Longer texts are split as they are read, without a list of their pre-tokens.
+LISTED_LENGTH = 1_000_000
 #: Longer pre-tokens are not kept.
 CACHED_LENGTH = 64
 
@@ -75,7 +77,9 @@ class _Counter:
             return 0
         if _OTHER.search(text) or (self.special and self.special.search(text)):
             return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        return sum(map(self.lengths.__getitem__, _SPLIT.findall(text)))
+        if len(text) <= LISTED_LENGTH:
+            return sum(map(self.lengths.__getitem__, _SPLIT.findall(text)))
+        return sum(self.lengths[match[0]] for match in _SPLIT.finditer(text))
 
 
 #: Counters of this worker process, by tokenizer.

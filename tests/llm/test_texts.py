@@ -350,3 +350,31 @@ def test_lengths_of_runs():
 def test_spans_as_text(spark):
     row = spark.range(1).select(F.array(F.struct(F.lit("ip").alias("kind"), F.lit(1).alias("start"), F.lit(9).alias("end"))).alias("s"))
     assert row.select(secret_scan.joined_spans(F.col("s"))).first()[0] == "ip:1:9"
+
+
+def test_long_texts_are_read_in_parts_and_whole(monkeypatch):
+    from dwelltide.llm import language
+
+    text = "Ein langer Text, é und mehr davon. " * 50
+    whole = language._grams(text)
+    monkeypatch.setattr(language, "BYTES_AT_ONCE", 7)
+    assert (language._grams(text) == whole).all() and whole.sum() > 3000
+    monkeypatch.setattr(token_counts, "LISTED_LENGTH", 10)
+    monkeypatch.setattr(packing, "LISTED_LENGTH", 10)
+    with open(BPE, encoding="utf-8") as file:
+        counter = token_counts._Counter(file.read(), {})
+    assert counter.count(text) == len(Tokenizer.from_file(BPE).encode(text).ids)
+    assert sum(words for _, _, words in packing._pieces(text, 64)) == len(text.split())
+
+
+def test_columns_of_any_name_are_kept(spark):
+    docs = spark.range(2).select(
+        F.col("id").alias("doc_id"), F.lit("a@b.cd and token = abcdefgh12").alias("text"),
+        F.lit(1).alias("base"), F.lit(2).alias("doc"), F.lit(3).alias("way0"), F.lit(4).alias("candidates"), F.lit(5).alias("a.b"),
+    )
+    model = pii.fit_pii(docs)
+    for found in (pii.find_pii(docs, model), secret_scan.find_secrets(docs)):
+        assert found.columns == [*docs.columns, "spans"]
+        row = found.first()
+        assert (row["base"], row["doc"], row["way0"], row["candidates"], row["a.b"]) == (1, 2, 3, 4, 5)
+        assert len(row["spans"]) == 1
