@@ -121,10 +121,15 @@ def session_features(
     """One row per session with its measures."""
     gap_ms, measures = duration_ms(gap), typed(measures, rows.schema)
     if gap_ms >= HOUR_MS:
-        keys = [key]
         parts = session_parts(rows, gap_ms, key, event_ms, measures)
-    else:
-        keys = [key, "lane"]
-        parts = chunk_sessions(rows, gap_ms, DAY_MS, key, event_ms, measures)
-    sessions = merged(chained(parts, gap_ms, *keys), measures, *keys)
+        sessions = merged(chained(parts, gap_ms, key), measures, key)
+        return sessions.select(*feature_columns(gap_ms, key, measures))
+    # Sessions that lie inside a day meet nothing: only those near its border go on. Both
+    # ways read the same shuffle.
+    parts = chunk_sessions(rows, gap_ms, DAY_MS, key, event_ms, measures)
+    names = [key, "session_ms", "last_ms", *[m.name for m in measures]]
+    whole = parts.filter("lane IS NOT NULL").withColumnRenamed("first_ms", "session_ms")
+    near = parts.filter("lane IS NULL")
+    joined = merged(chained(near, gap_ms, key), measures, key)
+    sessions = whole.select(*names).unionByName(joined.select(*names))
     return sessions.select(*feature_columns(gap_ms, key, measures))

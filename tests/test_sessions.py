@@ -143,3 +143,17 @@ def test_durations():
     for wrong in ("", "soon", "3 fortnights", 0, "0 days"):
         with pytest.raises(ValueError):
             duration_ms(wrong)
+
+
+def test_sessions_inside_a_day_are_shuffled_once(spark, tmp_path):
+    rows = [("a", 1, t * 60_000) for t in range(0, 5000, 7)] + [("b", 2, 86_400_000 - 5)]
+    spark.createDataFrame(rows, "device_id string, view_time int, recv_timestamp bigint").write.parquet(f"{tmp_path}/v")
+    table = spark.read.parquet(f"{tmp_path}/v")
+    features = session_features(table, "10 minutes")
+    features.collect()
+    plan = features._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final or plan.count("ReusedExchange") > 0, plan
+    assert sorted(r["n_views"] for r in features.collect()) == sorted(
+        r["n_views"] for r in session_features(table, 600_000).collect()
+    )
