@@ -19,7 +19,7 @@ from pyspark.sql.streaming.listener import StreamingQueryProgress
 ROOT = str(Path(__file__).resolve().parent)
 sys.path.insert(0, ROOT)
 
-from dwelltide.functions.measures import Measure
+from dwelltide.functions.measures import Accumulator, Measure
 from dwelltide.functions.payload import (
     decode_payload,
     encode_payload,
@@ -437,6 +437,19 @@ def _parts(events: DataFrame) -> DataFrame:
     )
 
 
+MEAN_VIEW = Accumulator(
+    "mean_view_time",
+    (Measure("total", "sum", "view_time"), Measure("n", "count")),
+    lambda total, n: total / n,
+)
+
+
+def session_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result of one's own, from parts that merge."""
+    views = view_input(_flat_table(spark, sf_dir))
+    return _millis(session_features(views, "6 hours", measures=[MEAN_VIEW]))
+
+
 def session_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of a fractional column."""
     rows = _parts(_table(spark, sf_dir, "events"))
@@ -559,6 +572,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_final_restart_6h": stream_final_restart,
         "stream_emitted": stream_emitted,
         "session_fractions_6h": session_fractions,
+        "session_means_6h": session_means,
         "stream_fractions_6h": stream_fractions,
         "two_stream_print": two_stream_print,
         "text_print": text_print,
@@ -785,6 +799,12 @@ FROM documents WHERE octet_length(encode(text)) > 20000
 SELECT (SELECT count(*) FROM ({_CLOSED})) AS n_emitted, (SELECT count(*) FROM events) AS n_read
 """,
         "session_fractions_6h": _fractions_sql(six_hours),
+        "session_means_6h": _sessions_cte(six_hours)
+        + """
+SELECT device_id, session_start_ms, session_end_ms, first_recv_ts, last_recv_ts,
+       cvt_total::DOUBLE / n_views AS mean_view_time
+FROM sessions
+""",
         "stream_fractions_6h": _fractions_sql(six_hours),
         "props_strict": """
 SELECT event_id,

@@ -7,10 +7,10 @@ aggregates) and the stateful stream (as a row of slots per session).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,14 +78,49 @@ class Measure:
         return column.alias(self.name)
 
 
-def typed(measures: Sequence[Measure], schema: T.StructType) -> tuple[Measure, ...]:
-    """The measures with the types of their columns; batch and stream then compute alike.
+@dataclass(frozen=True)
+class Accumulator:
+    """A result of one's own, made of measures: they start empty, take rows and merge, and
+    ``result`` makes one column of theirs, in the order given. Average view time:
+
+        Accumulator("mean", (Measure("s", "sum", "view_time"), Measure("n", "count")),
+                    lambda s, n: s / n)
+    """
+
+    name: str
+    parts: tuple[Measure, ...]
+    result: Callable[..., Column]
+
+    def measures(self) -> list[Measure]:
+        return [replace(m, name=f"{self.name}__{m.name}") for m in self.parts]
+
+
+def with_results(features: DataFrame, measures: Sequence[Measure | Accumulator]) -> DataFrame:
+    """Accumulators' columns in place of those of their parts; the others stay as they are."""
+    own = {a.name: a for a in measures if isinstance(a, Accumulator)}
+    if not own:
+        return features
+    parts = {m.name: a.name for a in own.values() for m in a.measures()}
+    columns = []
+    for name in features.columns:
+        if name not in parts:
+            columns.append(F.col(name))
+        elif (a := own.pop(parts[name], None)) is not None:
+            columns.append(a.result(*[F.col(m.name) for m in a.measures()]).alias(a.name))
+    return features.select(*columns)
+
+
+def typed(
+    measures: Sequence[Measure | Accumulator], schema: T.StructType
+) -> tuple[Measure, ...]:
+    """The measures with the types of their columns, accumulators as their parts; batch and
+    stream then compute alike.
 
     Doubles and floats are measured as doubles. A column that holds neither these nor whole
     numbers of up to 64 bits is refused, rather than rounded.
     """
     found = []
-    for m in measures:
+    for m in [m for a in measures for m in (a.measures() if isinstance(a, Accumulator) else [a])]:
         kind = None if m.kind == "count" else schema[m.column].dataType
         if kind is None:
             found.append(m)

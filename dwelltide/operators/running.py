@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwelltide.durations import duration_ms
-from dwelltide.functions.measures import DEFAULT_MEASURES, Measure, typed
+from dwelltide.functions.measures import DEFAULT_MEASURES, Accumulator, Measure, typed, with_results
 from dwelltide.operators.sessions import chained, chunk_sessions, session_parts, span_start
 
 # Most intervals of one key that a window group may hold: an hour at one millisecond.
@@ -23,7 +23,7 @@ def running_sessions(
     every: int | str = 1,
     key: str = "device_id",
     event_ms: str = "recv_timestamp",
-    measures: Sequence[Measure] = DEFAULT_MEASURES,
+    measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
 ) -> DataFrame:
     """Each session's value after every interval in which it changed.
 
@@ -36,7 +36,7 @@ def running_sessions(
     key.
     """
     gap_ms, every_ms = duration_ms(gap), duration_ms(every)
-    measures = typed(measures, rows.schema)
+    given, measures = measures, typed(measures, rows.schema)
     if every_ms > gap_ms:
         raise ValueError("early results cannot be farther apart than the session gap")
     chunk_ms = every_ms * TICKS_PER_CHUNK
@@ -79,9 +79,10 @@ def running_sessions(
         F.col("last_ms").alias("as_of_ts"),
         *[m.merge().over(inside).alias(m.name) for m in measures],
     ).filter("is_tick")
-    return running.select(
+    found = running.select(
         key,
         F.timestamp_millis("start_ms").alias("session_start"),
         "as_of_ts",
         *[m.finish() for m in measures],
     )
+    return with_results(found, given)

@@ -18,7 +18,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwelltide.durations import duration_ms
-from dwelltide.functions.measures import DEFAULT_MEASURES, Measure, typed
+from dwelltide.functions.measures import (
+    DEFAULT_MEASURES,
+    Accumulator,
+    Measure,
+    typed,
+    with_results,
+)
 
 HOUR_MS = 3_600_000
 DAY_MS = 24 * HOUR_MS
@@ -116,10 +122,18 @@ def session_features(
     gap: int | str,
     key: str = "device_id",
     event_ms: str = "recv_timestamp",
-    measures: Sequence[Measure] = DEFAULT_MEASURES,
+    measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
 ) -> DataFrame:
     """One row per session with its measures."""
-    gap_ms, measures = duration_ms(gap), typed(measures, rows.schema)
+    return with_results(
+        _session_features(rows, duration_ms(gap), key, event_ms, typed(measures, rows.schema)),
+        measures,
+    )
+
+
+def _session_features(
+    rows: DataFrame, gap_ms: int, key: str, event_ms: str, measures: Sequence[Measure]
+) -> DataFrame:
     if gap_ms >= HOUR_MS:
         parts = session_parts(rows, gap_ms, key, event_ms, measures)
         sessions = merged(chained(parts, gap_ms, key), measures, key)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from dwelltide.functions.measures import DEFAULT_MEASURES, Measure
+from dwelltide.functions.measures import DEFAULT_MEASURES, Accumulator, Measure
 from dwelltide.operators.project import device_input, view_input, viewed, with_event_time
 from dwelltide.operators.sessions import session_features
 from dwelltide.session import STATEFUL_SETTINGS, settings
@@ -70,7 +70,7 @@ class JobFolders:
 def device_features(
     events: DataFrame,
     gap: int | str = SESSION_GAP,
-    measures: Sequence[Measure] = DEFAULT_MEASURES,
+    measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
 ) -> DataFrame:
     """The batch form: session features of a table of flat events."""
     return session_features(view_input(events), gap, measures=measures)
@@ -92,7 +92,7 @@ def running_features(
     events: DataFrame,
     gap: int | str = SESSION_GAP,
     lateness: str = LATENESS,
-    measures: Sequence[Measure] = DEFAULT_MEASURES,
+    measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
 ) -> DataFrame:
     """The streaming form with early results, for output mode update."""
     return observe_emitted(early_sessions(timed_views(events, lateness), gap, measures=measures))
@@ -102,7 +102,7 @@ def final_features(
     events: DataFrame,
     gap: int | str = SESSION_GAP,
     lateness: str = LATENESS,
-    measures: Sequence[Measure] = DEFAULT_MEASURES,
+    measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
 ) -> DataFrame:
     """The streaming form that emits a session once it has closed, for output mode append."""
     return observe_emitted(closed_sessions(timed_views(events, lateness), gap, measures=measures))
@@ -188,7 +188,7 @@ def start_running(
     writers: int | None = None,
     state_partitions: int | None = None,
     trigger: dict | None = None,
-    measures: Sequence[Measure] = DEFAULT_MEASURES,
+    measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
     compact_every: int = 720,
 ) -> StreamingQuery:
     """Early and final results into feature table and record log.
@@ -220,7 +220,7 @@ def start_final(
     writers: int | None = None,
     state_partitions: int | None = None,
     trigger: dict | None = None,
-    measures: Sequence[Measure] = DEFAULT_MEASURES,
+    measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
 ) -> StreamingQuery:
     """Closed sessions into a record log, with checkpoint and log in ``folders.final``."""
     writers = _writers(spark, writers, state_partitions)

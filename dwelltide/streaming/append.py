@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwelltide.durations import duration_ms, interval
-from dwelltide.functions.measures import DEFAULT_MEASURES, Measure, typed
+from dwelltide.functions.measures import DEFAULT_MEASURES, Accumulator, Measure, typed, with_results
 from dwelltide.operators.sessions import feature_columns
 
 
@@ -18,7 +18,7 @@ def closed_sessions(
     key: str = "device_id",
     event_ms: str = "recv_timestamp",
     event_time: str = "et",
-    measures: Sequence[Measure] = DEFAULT_MEASURES,
+    measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
 ) -> DataFrame:
     """Session features for output mode append, on Spark's own session windows.
 
@@ -26,8 +26,8 @@ def closed_sessions(
     would touch a session that is still open; ``early_sessions`` keeps such a row. Spark
     applies a new limit one micro-batch after it is known, so some rows get one more chance.
     """
-    measures = typed(measures, timed.schema)
-    return (
+    given, measures = measures, typed(measures, timed.schema)
+    found = (
         timed.groupBy(key, F.session_window(event_time, interval(gap)))
         .agg(
             F.min(event_ms).alias("session_ms"),
@@ -36,3 +36,4 @@ def closed_sessions(
         )
         .select(*feature_columns(duration_ms(gap), key, measures))
     )
+    return with_results(found, given)

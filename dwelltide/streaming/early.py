@@ -22,7 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from dwelltide.durations import duration_ms
-from dwelltide.functions.measures import DEFAULT_MEASURES, WHOLE, Measure, typed
+from dwelltide.functions.measures import (
+    DEFAULT_MEASURES,
+    WHOLE,
+    Accumulator,
+    Measure,
+    typed,
+    with_results,
+)
 
 # Executors need not have this module installed: it travels with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -249,7 +256,7 @@ def early_sessions(
     gap: int | str,
     key: str = "device_id",
     event_ms: str = "recv_timestamp",
-    measures: Sequence[Measure] = DEFAULT_MEASURES,
+    measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
     early: bool = True,
 ) -> DataFrame:
     """Session features for output mode update, from rows with a watermark.
@@ -259,7 +266,7 @@ def early_sessions(
     off only closed sessions come out. Late rows are counted, as the sessions they would
     have made, in the metric ``late``.
     """
-    gap_ms, measures = duration_ms(gap), typed(measures, timed.schema)
+    gap_ms, given, measures = duration_ms(gap), measures, typed(measures, timed.schema)
     names, types = slot_names(measures), [WHOLE, WHOLE, *slot_types(measures)]
     key_type = timed.schema[key].dataType.simpleString()
     # A column that is only counted need not be a number.
@@ -294,7 +301,7 @@ def early_sessions(
     )
     absorbed, late = F.col("status") == ABSORBED, F.col("status") == LATE
     on_time = emitted.observe("late", F.count_if(late).alias("sessions")).filter(~late)
-    return on_time.select(
+    found = on_time.select(
         key,
         F.timestamp_millis("first_ms").alias("session_start"),
         F.when(~absorbed, F.timestamp_millis(F.col("last_ms") + gap_ms)).alias("session_end"),
@@ -304,3 +311,4 @@ def early_sessions(
         (F.col("status") == CLOSED).alias("closed"),
         absorbed.alias("absorbed"),
     )
+    return with_results(found, given)

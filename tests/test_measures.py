@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from dwelltide.functions.measures import FRACTIONAL, WHOLE, Measure, typed
+from dwelltide.functions.measures import FRACTIONAL, WHOLE, Accumulator, Measure, typed
 from dwelltide.operators.latest import latest_values
 from dwelltide.operators.project import with_event_time
 from dwelltide.operators.running import running_sessions
@@ -90,3 +90,25 @@ def test_other_types_are_refused(spark):
     for column in "cd":
         with pytest.raises(ValueError, match="cannot measure"):
             typed([Measure("x", "sum", column)], schema)
+
+
+def test_results_of_ones_own_in_batch_and_stream(spark, tmp_path):
+    mean = Accumulator("mean", (Measure("s", "sum", "part"), Measure("n", "count", "part")), lambda s, n: s / n)
+    width = Accumulator("width", (Measure("a", "max", "n"), Measure("b", "min", "n")), lambda a, b: a - b)
+    measures = [mean, Measure("rows", "count"), width]
+    rows = [("a", 1.5, None, 7, "x", 0), ("a", 2.5, None, 3, "x", HOUR), ("a", None, None, 5, "x", 2 * HOUR)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    batch = session_features(table, "3 hours", measures=measures)
+    assert batch.columns[-3:] == ["mean", "rows", "width"]
+    assert [tuple(r)[-3:] for r in batch.collect()] == [(2.0, 3, 4)]
+    running = running_sessions(table, "3 hours", "1 hour", measures=measures).collect()
+    assert sorted(tuple(r)[-3:] for r in running) == [(1.5, 1, 0), (2.0, 2, 4), (2.0, 3, 4)]
+    feed = Feed(spark, tmp_path, SCHEMA).add(rows[0], rows[1]).add(rows[2]).add(("z", 1.0, None, 1, "x", 99 * HOUR))
+    feed.add(("z", 1.0, None, 1, "x", 100 * HOUR))
+    timed = with_event_time(feed.stream(), "1 hour")
+    batches, _ = run(spark, early_sessions(timed, "3 hours", measures=measures), "update", tmp_path)
+    values = [(r["mean"], r["rows"], r["width"]) for b in batches for r in b if r["device_id"] == "a"]
+    assert values == [(2.0, 2, 4), (2.0, 3, 4), (2.0, 3, 4)]
+    closed = closed_sessions(timed, "3 hours", measures=measures)
+    batches, _ = run(spark, closed, "append", tmp_path / "closed")
+    assert [(r["mean"], r["rows"], r["width"]) for b in batches for r in b] == [(2.0, 3, 4)]
