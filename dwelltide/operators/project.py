@@ -16,13 +16,16 @@ def device_input(events: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def with_event_time(events: DataFrame, delay: str, column: str = "et") -> DataFrame:
-    """Event time from the receive time in milliseconds, with its lateness bound.
+def with_event_time(
+    events: DataFrame, delay: str, column: str = "et", event_ms: str | Column = "recv_timestamp"
+) -> DataFrame:
+    """Event time from a time in milliseconds, by default the receive time, with its lateness
+    bound. ``event_ms`` is a column's name, or an expression of one's own.
 
     The watermark is the maximum over all partitions and all sources of ``events``, so an
     idle partition or an idle source of a union never holds it back.
     """
-    timed = events.withColumn(column, F.timestamp_millis("recv_timestamp"))
+    timed = events.withColumn(column, F.timestamp_millis(event_ms))
     return timed.withWatermark(column, delay)
 
 

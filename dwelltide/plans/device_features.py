@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,7 +14,7 @@ from dwelltide.operators.project import device_input, view_input, viewed, with_e
 from dwelltide.operators.sessions import session_features
 from dwelltide.session import STATEFUL_SETTINGS, settings
 from dwelltide.sources.decode import MALFORMED
-from dwelltide.sources.streams import Stream
+from dwelltide.sources.streams import KeyFunction, Stream
 from dwelltide.streaming.append import closed_sessions
 from dwelltide.streaming.early import early_sessions
 from dwelltide.streaming.folders import register_run
@@ -26,6 +26,8 @@ SESSION_GAP = "180 days"
 LATENESS = "7200 seconds"
 EARLY_EVERY = "5 seconds"
 
+RECEIVED = "recv_timestamp"
+
 
 @dataclass(frozen=True)
 class JobFolders:
@@ -77,13 +79,18 @@ def device_features(
 
 
 def timed_views(
-    events: DataFrame, lateness: str = LATENESS, now_ms: int | None = None
+    events: DataFrame,
+    lateness: str = LATENESS,
+    now_ms: int | None = None,
+    event_ms: str | Column = RECEIVED,
 ) -> DataFrame:
-    """Device input of a stream, rows with views only, latency observed.
+    """Device input of a stream, rows with views only, latency observed. ``event_ms`` is the
+    time that counts, a column or an expression; it stands as receive time from then on.
 
     The watermark comes first: rows without views advance event time too.
     """
-    timed = with_event_time(events, lateness)
+    own = F.col(event_ms) if isinstance(event_ms, str) else event_ms
+    timed = with_event_time(events.withColumn(RECEIVED, own), lateness)
     views = device_input(timed.filter(viewed("et")), "et")
     return observe_latency(views, now_ms=now_ms)
 
@@ -93,9 +100,11 @@ def running_features(
     gap: int | str = SESSION_GAP,
     lateness: str = LATENESS,
     measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
+    event_ms: str | Column = RECEIVED,
 ) -> DataFrame:
     """The streaming form with early results, for output mode update."""
-    return observe_emitted(early_sessions(timed_views(events, lateness), gap, measures=measures))
+    views = timed_views(events, lateness, event_ms=event_ms)
+    return observe_emitted(early_sessions(views, gap, measures=measures))
 
 
 def final_features(
@@ -103,9 +112,11 @@ def final_features(
     gap: int | str = SESSION_GAP,
     lateness: str = LATENESS,
     measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
+    event_ms: str | Column = RECEIVED,
 ) -> DataFrame:
     """The streaming form that emits a session once it has closed, for output mode append."""
-    return observe_emitted(closed_sessions(timed_views(events, lateness), gap, measures=measures))
+    views = timed_views(events, lateness, event_ms=event_ms)
+    return observe_emitted(closed_sessions(views, gap, measures=measures))
 
 
 def feature_table(
@@ -190,21 +201,24 @@ def start_running(
     trigger: dict | None = None,
     measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
     compact_every: int = 720,
+    event_ms: str | Column = RECEIVED,
+    key: KeyFunction | None = None,
 ) -> StreamingQuery:
     """Early and final results into feature table and record log.
 
     ``state_partitions`` is fixed when the job first starts; by default the session's
     number of shuffle partitions. A job that starts on a new checkpoint goes on in the same
     table and log, as their next run. What a quarantined source could not decode goes to the
-    folder ``quarantine``.
+    folder ``quarantine``. ``event_ms`` is the time column or an expression for it, ``key`` makes a
+    record's key of the names in ``key_columns``.
     """
     writers = _writers(spark, writers, state_partitions)
     run = register_run(spark, folders.checkpoint, folders.runs, "early results")
     events = _well_formed(spark, events, folders, trigger)
-    features = running_features(events, gap, lateness, measures)
+    features = running_features(events, gap, lateness, measures, event_ms)
     table = feature_table(features, folders.table, buckets, writers)
     table.create(spark)
-    log = Stream(folders.log, key_columns=key_columns).sink(run=run)
+    log = Stream(folders.log, key_columns=key_columns, key=key).sink(run=run)
     sinks = FeatureSinks(table, log, compact_every, run)
     name = folders.job_name
     return _start(spark, features, "update", sinks, folders, name, state_partitions, trigger)
@@ -221,13 +235,15 @@ def start_final(
     state_partitions: int | None = None,
     trigger: dict | None = None,
     measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
+    event_ms: str | Column = RECEIVED,
+    key: KeyFunction | None = None,
 ) -> StreamingQuery:
     """Closed sessions into a record log, with checkpoint and log in ``folders.final``."""
     writers = _writers(spark, writers, state_partitions)
     own = folders.final
     run = register_run(spark, own.checkpoint, own.runs, "closed sessions")
     events = _well_formed(spark, events, own, trigger)
-    features = final_features(events, gap, lateness, measures)
-    log = Stream(own.log, key_columns=key_columns).sink(writers=writers, run=run)
+    features = final_features(events, gap, lateness, measures, event_ms)
+    log = Stream(own.log, key_columns=key_columns, key=key).sink(writers=writers, run=run)
     name = f"{folders.job_name}-final"
     return _start(spark, features, "append", log, own, name, state_partitions, trigger)

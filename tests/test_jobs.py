@@ -283,3 +283,16 @@ def test_a_job_waits_for_its_queries(spark, tmp_path):
     threading.Timer(3, query.stop).start()
     await_any(spark, 60)
     assert not query.isActive
+
+
+def test_a_time_and_a_key_of_ones_own(spark, tmp_path):
+    rows = [("a", 1, 1), ("a", 2, 3)]
+    feed = Feed(spark, tmp_path, "device_id string, view_time int, seen_s long").add(*rows)
+    own_time = {"event_ms": F.col("seen_s") * 1000, "key": lambda names: F.concat(F.lit("k-"), names[0])}
+    folders = JobFolders(str(tmp_path), "job")
+    query = start_running(spark, feed.stream(), folders, "10 hours", trigger=NOW, **own_time)
+    query.awaitTermination()
+    features = running_features(feed.stream(), "10 hours", event_ms=F.col("seen_s") * 1000)
+    table = feature_table(features, folders.table)
+    assert rows_of(table.latest(spark), "device_id", "first_recv_ts", "last_recv_ts") == [("a", 1000, 3000)]
+    assert rows_of(read_log(spark, folders.log), "partition_key") == [("k-a",)]
