@@ -7,6 +7,8 @@ documents.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,10 @@ from dwelltide.llm.packing import pack_sequences
 from dwelltide.llm.simhash import near_duplicates
 from dwelltide.session import run_folder
 
+#: Documents per Arrow batch: they are long, and a batch stands in memory several times on its
+#: way to Python and back.
+BATCH_ROWS = "1000"
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the corpus teaches stay, and take the language found:
@@ -60,12 +66,22 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return pack_sequences(docs, with_text=True)
 
 
+def _in_small_batches(
+    stage: Callable[[SparkSession, DataFrame, str], DataFrame],
+) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("language_id", language_id),
-    ("simhash_near_dedup", simhash_near_dedup),
-    ("secret_scan", redact_secrets),
-    ("source_mixing", mix_sources),
-    ("best_fit_packing", best_fit_packing),
+    ("language_id", _in_small_batches(language_id)),
+    ("simhash_near_dedup", _in_small_batches(simhash_near_dedup)),
+    ("secret_scan", _in_small_batches(redact_secrets)),
+    ("source_mixing", _in_small_batches(mix_sources)),
+    ("best_fit_packing", _in_small_batches(best_fit_packing)),
 ]
 
 # Hashes, trained centroids and bins have no SQL; tests compare with brute force instead.
