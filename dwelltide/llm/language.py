@@ -3,7 +3,7 @@
 A text becomes a vector over hashed byte n-grams (lengths 1 to 3) of its letters in lower
 case, weighted by how rare an n-gram is among the learned documents and scaled to length 1.
 Every language has several centroids, found by clustering. The nearest centroid by cosine
-names the language; a text much farther from it than learned texts of its length is rejected.
+names the language; a text much farther from it than any learned text of its length is rejected.
 """
 
 from __future__ import annotations
@@ -28,10 +28,10 @@ SAMPLE_PER_LANGUAGE = 600
 CENTROIDS = 4
 ROUNDS = 12
 #: Texts of at least so many n-grams have a rejection bound of their own, from the sample's
-#: texts that are as short or shorter.
+#: texts of all languages that are as short or shorter: few words tell little, and are kept.
 LENGTHS = (0, 32, 128, 512, 2048)
 #: A text is rejected below this share of the cosine that all but ``OUTSIDE`` of the sample reach.
-LENIENCY = 0.5
+LENIENCY = 0.25
 OUTSIDE = 0.001
 ROWS_AT_ONCE = 256
 BYTES_AT_ONCE = 1 << 20
@@ -75,8 +75,7 @@ def _vectors(texts: list[str], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 @dataclass(frozen=True)
 class Languages:
-    """Learned: rarity per component, centroids with their language, bounds per language and
-    length."""
+    """Learned: rarity per component, centroids with their language, bounds per length."""
 
     names: tuple[str, ...]
     idf: np.ndarray
@@ -150,7 +149,7 @@ def learn_languages(
 
     per_language = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not per_language:
-        return Languages((), idf, np.zeros((0, WIDTH)), np.zeros(0, int), np.zeros((0, len(LENGTHS))))
+        return Languages((), idf, np.zeros((0, WIDTH)), np.zeros(0, int), np.zeros(len(LENGTHS)))
     names = tuple(sorted(per_language))
     every = F.create_map(
         *(F.lit(x) for n in names for x in (n, max(1, per_language[n] // sample_per_language)))
@@ -177,7 +176,7 @@ def learn_languages(
     langs = np.array(sample.column("lang").to_pylist(), dtype=object)
     sizes = np.asarray(sample.column("size"))
     packed = sample.column("vector").to_pylist()
-    centroids, of_language, bounds, known = [], [], [], []
+    centroids, of_language, reached, known = [], [], [], []
     for name in names:
         own = np.flatnonzero(langs == name)
         if not len(own):
@@ -188,16 +187,17 @@ def learn_languages(
         vectors, lengths = vectors[order], sizes[own][order]
         centres = _centroids(vectors, CENTROIDS)
         nearest = (vectors @ centres.T).max(axis=1)
-        row = []
-        for below in (*LENGTHS[1:], np.inf):
-            alike = nearest[lengths < below]
-            row.append(LENIENCY * float(np.quantile(alike, OUTSIDE)) if len(alike) else 0.0)
+        reached.append((lengths, nearest))
         centroids.append(centres)
         of_language += [len(known)] * len(centres)
-        bounds.append(row)
         known.append(name)
     if not known:
-        return Languages((), idf, np.zeros((0, WIDTH)), np.zeros(0, int), np.zeros((0, len(LENGTHS))))
+        return Languages((), idf, np.zeros((0, WIDTH)), np.zeros(0, int), np.zeros(len(LENGTHS)))
+    lengths, nearest = (np.concatenate(x) for x in zip(*reached))
+    bounds = []
+    for below in (*LENGTHS[1:], np.inf):
+        alike = nearest[lengths < below]
+        bounds.append(LENIENCY * float(np.quantile(alike, OUTSIDE)) if len(alike) else 0.0)
     return Languages(
         tuple(known), idf, np.concatenate(centroids), np.array(of_language), np.array(bounds)
     )
@@ -216,7 +216,7 @@ def _predicted(texts: list[str | None], model: Languages) -> tuple[list[str], np
         cosine = np.clip(cosines[np.arange(len(part)), best], 0, 1)
         length = np.searchsorted(LENGTHS, sizes, side="right") - 1
         scores[part] = cosine
-        accepted[part] = cosine >= model.bounds[language, length]
+        accepted[part] = cosine >= model.bounds[length]
         for i, x in zip(part, language):
             names[i] = model.names[x]
     return names, scores, accepted
