@@ -17,11 +17,12 @@ from dwelltide.llm.language import identify_languages, learn_languages
 from dwelltide.llm.mixing import mixed, plan_mix
 from dwelltide.llm.packing import pack_sequences
 from dwelltide.llm.simhash import near_duplicates
-from dwelltide.session import run_folder
+from dwelltide.session import run_folder, settings
 
 #: Documents per Arrow batch: they are long, and a batch stands in memory several times on its
 #: way to Python and back.
 BATCH_ROWS = "1000"
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,7 +71,8 @@ def _in_small_batches(
     stage: Callable[[SparkSession, DataFrame, str], DataFrame],
 ) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        # Spark reads it when the stage's result is written, so it stays set.
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
         return stage(spark, docs, sf_dir)
 
     return run
@@ -92,8 +94,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each from the files of the one before."""
     folder = run_folder(spark, "corpus")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for number, (name, stage) in enumerate(STAGES):
-        path = f"{folder}/{number}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    with settings(spark, {BATCH_SETTING: BATCH_ROWS}):
+        for number, (name, stage) in enumerate(STAGES):
+            path = f"{folder}/{number}-{name}"
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
     return docs

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dwelltide.llm.mixing import mixed, plan_mix, ranked_weights, taken_words, targets
+from dwelltide.session import settings
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, source string, size string, shard string, key int"
@@ -128,3 +129,17 @@ def test_extra_copies_are_whole_but_for_the_last(spark):
     whole = [t for t in texts if len(t.split()) == 3]
     assert len(texts) - len(whole) <= 1 and sum(len(t.split()) for t in texts) == 225
     assert out.filter(F.col("size") != "x").count() == 0
+
+
+def test_a_large_shard_goes_to_several_tasks_in_order(spark, monkeypatch):
+    from dwelltide.llm import mixing
+
+    monkeypatch.setattr(mixing, "WORDS_PER_TASK", 50)
+    frame, _ = many(spark)
+    mix = plan_mix(frame, shards=2, blocks_per_shard=8)
+    assert mix.tasks_per_shard > 20
+    out = mixed(frame, mix, "in_shard").withColumn("task", F.spark_partition_id())
+    with settings(spark, {"spark.sql.adaptive.enabled": "false"}):  # else few rows share a task
+        tasks = out.groupBy("in_shard").agg(F.countDistinct("task").alias("n")).collect()
+    assert all(r["n"] > 1 for r in tasks)
+    assert out.count() == mixed(frame, plan_mix(frame, shards=2, blocks_per_shard=8)).count()
