@@ -16,13 +16,15 @@ from dwelltide.llm import secret_scan
 from dwelltide.llm.language import identify_languages, learn_languages
 from dwelltide.llm.mixing import mixed, plan_mix
 from dwelltide.llm.packing import pack_sequences
-from dwelltide.llm.simhash import near_duplicates
+from dwelltide.llm.simhash import fingerprint, near_duplicates
 from dwelltide.session import run_folder, settings
 
 #: Documents per Arrow batch: they are long, and a batch stands in memory several times on its
 #: way to Python and back.
 BATCH_ROWS = "1000"
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Words of a shingle of the near-duplicate stage.
+SHINGLE = 3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,18 +37,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates stays: the one of the smallest id."""
-    return _one_of_each(docs, near_duplicates(docs, shingle=3, max_bits=2).checkpoint())
+    return _one_of_each(docs, near_duplicates(docs, shingle=SHINGLE, max_bits=2).checkpoint())
 
 
 def _one_of_each(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    staying = rows.filter("stays").select(F.col("doc_id").alias("kept_id"), "copies").distinct()
-    kept = docs.join(staying, docs["doc_id"].eqNullSafe(F.col("kept_id")))
-    alone = kept.filter("copies = 1").select(*docs.columns)
+    staying = rows.filter("stays").select(
+        F.col("doc_id").alias("kept_id"), F.col("fingerprint").alias("kept_print"), "copies"
+    ).distinct()
+    # Null and repeated ids stand in several classes: only id and fingerprint name one.
+    of_class = F.col("row.doc_id").eqNullSafe(F.col("kept_id")) & (F.col("print") == F.col("kept_print"))
+    row = F.struct(*(F.col(c) for c in docs.columns)).alias("row")
+    kept = docs.select(row, fingerprint(docs["text"], SHINGLE).alias("print")).join(staying, of_class)
+    alone = kept.filter("copies = 1").select("row.*")
     if staying.filter("copies > 1").isEmpty():
         return alone
-    # An id on several rows of a class: one of them, the first by its columns.
-    row = F.struct(*(F.col(c) for c in docs.columns))
-    repeated = kept.filter("copies > 1").groupBy("kept_id").agg(F.min(row).alias("row"))
+    # Several rows of an id in a class: one of them, the first by its columns.
+    repeated = kept.filter("copies > 1").groupBy("kept_id", "kept_print").agg(F.min("row").alias("row"))
     return alone.unionByName(repeated.select("row.*"))
 
 

@@ -89,6 +89,16 @@ def fingerprints(
     return rows.mapInArrow(run, f"id {kind}, fingerprint long")
 
 
+def fingerprint(text: Column, shingle: int = 3) -> Column:
+    """The fingerprint of each text as a column beside the others of its row."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield _signed([simhash(item.as_py(), shingle) for item in batch])
+
+    return F.arrow_udf(run, "long")(text.cast("string"))
+
+
 def _segments(max_bits: int) -> list[tuple[int, int]]:
     """(first bit, width) of each segment of the ring."""
     count = max_bits + 1

@@ -69,3 +69,14 @@ def test_odd_documents(spark, sf_dir, number):
         assert len([r for r in found if r["doc_id"] == 3]) == 2 and len([r for r in found if r["doc_id"] is None]) == 5
     empty = stage(spark, spark.createDataFrame([], DOCUMENT), sf_dir)
     assert empty.collect() == []
+
+
+def test_each_class_of_null_and_repeated_ids_keeps_one(spark, sf_dir):
+    texts = [" ".join(f"{t}{i * i % 97}" for i in range(60)) for t in "abcdef"]
+    a, b, c, d, e, f = texts
+    rows = [(None, a), (None, a), (None, b), (None, b), (None, c), (5, d), (5, d), (5, e), (5, e)]
+    rows += [(3, f), (5, f), (None, f), (5, f)]  # the class keeps id 3, though other classes keep 5 and null
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCUMENT)
+    found = corpus_pipeline.simhash_near_dedup(spark, docs, sf_dir).collect()
+    expected = [(None, a), (None, b), (None, c), (5, d), (5, e), (3, f)]
+    assert sorted(map(repr, expected)) == sorted(repr((r["doc_id"], r["text"])) for r in found)
