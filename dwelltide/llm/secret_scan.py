@@ -12,7 +12,8 @@ import base64
 import binascii
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +35,22 @@ KINDS = (*BASE_KINDS, "key", "signed_token")
 _WORDS = ("passw", "secret", "token", "api")
 #: Shorter runs hold no key.
 KEY_RUN = 40
-_BASE64 = re.compile(rf"[A-Za-z0-9+/_-]{{{KEY_RUN},}}={{0,2}}")
-_HEX_KEY = re.compile(rf"[0-9A-Fa-f]{{{KEY_RUN},}}")
-_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([^-]*)-----END \1-----")
-_SIGNED = re.compile(r"[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----")
+_HEADER = re.compile(r"^[ \t]*[\w-]+:[^\n]*$", re.MULTILINE)
+# What code and JSON write in the place of a line break, a slash, or a sign.
+_ESCAPE = re.compile(r"\\+(?:[nrt]|u00(?:2[bBfF]|3[dD]|0[aAdD])|(?=/))")
+#: What may stand between the lines of a key: white space, quotes joined by a sign, comment signs.
+_GAP = re.compile(r"""(?:\\*+["'`]\s*+[+.&,\\]?\s*+\\*+["'`]|\\?\s|(?<=\s)[>#*|]+|\x00)+""")
+# Where the bytes of DER (0x30, a length) or of "openssh" may begin.
+_BASE64_START = re.compile(r"M(?:[A-P]|(?=[\s\x00\\\"'`]))|b3Bl")
+_HEX_START = re.compile(r"30|6[fF]70")
+_BASE64_PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
+_HEX_PIECE = re.compile(r"[0-9A-Fa-f]+")
+_HEX_GAP = re.compile(r"""(?:\\*+["'`]\s*+[+.&,\\]?\s*+\\*+["'`]|\\x|0[xX]|\\?\s|[:,\x00]|(?<=\s)[>#*|]+)+""")
+_BASE64_END = re.compile(r"(?![A-Za-z0-9+/_-])|(?=-----)")
+_HEX_END = re.compile(r"(?![0-9A-Fa-f])")
+_PADDING = re.compile(r"(?:\x00*=){0,2}")
+_DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]*+)++")
 
 
 def _members(of: str) -> np.ndarray:
@@ -49,7 +62,6 @@ def _members(of: str) -> np.ndarray:
 _DIGITS = "0123456789"
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _IN_HEX = _members(_DIGITS + "abcdefABCDEF")
-_IN_BASE64 = _members(_DIGITS + _LETTERS + _LETTERS.upper() + "+/_-.")
 
 
 def _longest_run(raw: np.ndarray, members: np.ndarray) -> int:
@@ -186,32 +198,143 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
+def _plain(text: str) -> str:
+    """The text with escapes as what they stand for, each in as many characters as it had."""
+    if "\\" not in text:
+        return text
+
+    def written(m: re.Match) -> str:
+        run = m[0]
+        if run[-1] in "nrt":
+            return "\n" * len(run)
+        if run[-1] == "\\":
+            return "\0" * len(run)
+        sign = chr(int(run[-2:], 16))
+        return "\n" * len(run) if sign in "\n\r" else "\0" * (len(run) - 1) + sign
+
+    return _ESCAPE.sub(written, text)
+
+
+@dataclass(frozen=True)
+class _Code:
+    """How bytes are written: where they may begin, in which pieces and gaps they go on."""
+
+    start: re.Pattern
+    piece: re.Pattern
+    gap: re.Pattern
+    end: re.Pattern
+    bits: int
+
+    def read(self, text: str, at: int, count: int) -> tuple[bytes, int] | None:
+        """The first ``count`` bytes from ``at`` on, and the place after them."""
+        left, pieces = -(-count * 8 // self.bits), []
+        while left <= len(text) - at:
+            piece = self.piece.match(text, at, min(len(text), at + left))
+            if not piece:
+                return None
+            pieces.append(piece[0])
+            at, left = piece.end(), left - len(piece[0])
+            if not left:
+                run = "".join(pieces)
+                data = _from_base64(run) if self.bits == 6 else bytes.fromhex(run)
+                return (data[:count], at) if data else None
+            gap = self.gap.match(text, at)
+            if not gap:
+                return None
+            at = gap.end()
+        return None
+
+    def key_end(self, text: str, at: int) -> int | None:
+        """Where a key that begins at ``at`` ends, if one does."""
+
+        def head(count: int) -> bytes | None:
+            found = self.read(text, at, count)
+            return found and found[0]
+
+        size = _key_size(head)
+        if size is None or -(-size * 8 // self.bits) < KEY_RUN:
+            return None
+        found = self.read(text, at, size)
+        if not found or not self.end.match(text, found[1]) or not _is_key(found[0]):
+            return None
+        return _PADDING.match(text, found[1]).end() if self.bits == 6 else found[1]
+
+
+_CODES = (
+    _Code(_BASE64_START, _BASE64_PIECE, _GAP, _BASE64_END, 6),
+    _Code(_HEX_START, _HEX_PIECE, _HEX_GAP, _HEX_END, 4),
+)
+
+
+def _key_size(head: Callable[[int], bytes | None]) -> int | None:
+    """How many bytes a key has by what it says itself; ``head`` gives its first ones."""
+    data = head(8)
+    if not data:
+        return None
+    if data[0] == _SEQUENCE:
+        more = data[1] & 0x7F if data[1] >= 0x80 else 0
+        if more > 4 or data[2 + more] != _INTEGER:
+            return None
+        return 2 + more + (int.from_bytes(data[2 : 2 + more], "big") if more else data[1])
+    if data != _OPENSSH[:8]:
+        return None
+    at = len(_OPENSSH)
+    for _ in range(3):  # cipher, key derivation, its options
+        if not (data := head(at + 4)):
+            return None
+        at += 4 + int.from_bytes(data[at:], "big")
+    if not (data := head(at + 4)):
+        return None
+    keys, at = int.from_bytes(data[at:], "big"), at + 4
+    if not 1 <= keys <= 16:
+        return None
+    for _ in range(keys + 1):  # public keys, and the private ones together
+        if not (data := head(at + 4)):
+            return None
+        at += 4 + int.from_bytes(data[at:], "big")
+    return at
+
+
+def _armoured(text: str) -> Iterator[tuple[int, int]]:
+    """Starts and ends of armoured keys; an armour that another one interrupts is none."""
+    begins = list(_BEGIN.finditer(text))
+    for m, after in zip(begins, [*(n.start() for n in begins[1:]), len(text)]):
+        close = f"-----END {m[1]}-----"
+        end = text.find(close, m.end(), after)
+        if end < 0:
+            continue
+        body = _GAP.sub(lambda g: g[0] if g[0].isspace() else "\n", text[m.end() : end])
+        headers = " ".join(_HEADER.findall(body))
+        data = _from_base64(re.sub(r"\s+", "", _HEADER.sub("", body)))
+        # An encrypted key shows no structure; its armour says what it is.
+        if data and (_is_key(data) or "ENCRYPTED" in m[1] or "ENCRYPTED" in headers):
+            yield m.start(), end + len(close)
+
+
 def confirmed_spans(text: str) -> list[Span]:
-    """Findings whose decoded content is built like a key or a signed token."""
-    found = set()
-    if "-----BEGIN " in text:
-        for m in _ARMOUR.finditer(text):
-            body = re.sub(r"\s+|[\w-]+: [^\n]*\n", "", m[2])
-            data = _from_base64(body)
-            # An encrypted key shows no structure; its armour says what it is.
-            if data and (_is_key(data) or "ENCRYPTED" in m[0][:200]):
-                found.add((m.start(), KINDS.index("key"), m.end()))
-    raw = np.frombuffer(text.encode(), dtype=np.uint8)
-    if _longest_run(raw, _IN_BASE64) >= KEY_RUN:
-        for m in _BASE64.finditer(text):
-            # DER starts with 0x30, an OpenSSH key with "openssh": few runs need decoding.
-            if m[0][0] == "M" or m[0].startswith("b3BlbnNza"):
-                data = _from_base64(m[0])
-                if data and _is_key(data):
-                    found.add((m.start(), KINDS.index("key"), m.end()))
-        if "eyJ" in text:
-            for m in _SIGNED.finditer(text):
-                if m[0].startswith("eyJ") and is_signed_token(m[0]):
-                    found.add((m.start(), KINDS.index("signed_token"), m.end()))
-        if _longest_run(raw, _IN_HEX) >= KEY_RUN:
-            for m in _HEX_KEY.finditer(text):
-                if len(m[0]) % 2 == 0 and m[0].startswith("30") and _is_key(bytes.fromhex(m[0])):
-                    found.add((m.start(), KINDS.index("key"), m.end()))
+    """Findings whose decoded content is built like a key or a signed token.
+
+    A key may be wrapped over lines, in quotes or with escaped line breaks, with or without
+    armour; it is as long as its own lengths say, and its run ends there.
+    """
+    found, place = set(), KINDS.index("key")
+    plain = _plain(text)
+    if "-----BEGIN " in plain:
+        found.update((start, place, end) for start, end in _armoured(plain))
+    for code in _CODES:
+        done = 0
+        for m in code.start.finditer(plain):
+            if m.start() >= done and (end := code.key_end(plain, m.start())):
+                found.add((m.start(), place, end))
+                done = end
+    if plain.count(".") > 1:
+        for m in _DOTTED.finditer(plain):
+            pieces, at, done = m[0].split("."), m.start(), 0
+            for i, piece in enumerate(pieces[:-2]):
+                if i >= done and is_signed_token(run := ".".join(pieces[i : i + 3])):
+                    found.add((at, KINDS.index("signed_token"), at + len(run)))
+                    done = i + 3
+                at += len(piece) + 1
     return sorted(found)
 
 

@@ -328,6 +328,57 @@ def test_secrets(spark):
     assert secret_scan.find_secrets(docs.limit(0)).collect() == []
 
 
+def wrapped(text, width=64, between="\n"):
+    return between.join(text[i : i + width] for i in range(0, len(text), width))
+
+
+ENCRYPTED = f"Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{'0A' * 16}\n\n{wrapped(b64(bytes(range(160))))}"
+WRITTEN = [
+    (lambda k: f"-----BEGIN RSA PRIVATE KEY-----\n{k}\n-----END RSA PRIVATE KEY-----", ENCRYPTED),
+    (lambda k: json.dumps(f"-----BEGIN RSA PRIVATE KEY-----\n{k}\n-----END RSA PRIVATE KEY-----")[1:-1], ENCRYPTED),
+    (lambda k: json.dumps(f"-----BEGIN PRIVATE KEY-----\n{wrapped(k)}\n-----END PRIVATE KEY-----\n")[1:-3], b64(PKCS8)),
+    (lambda k: f"-----BEGIN PRIVATE KEY-----\\n{wrapped(k, 64, chr(92) + 'n')}\\n-----END PRIVATE KEY-----", b64(PKCS8)),
+    (lambda k: '-----BEGIN PRIVATE KEY-----\\n" +\n  "' + wrapped(k, 64, '\\n" +\n  "') + '\\n" +\n  "-----END PRIVATE KEY-----', b64(PKCS8)),
+    (lambda k: wrapped(k), b64(RSA)), (lambda k: wrapped(k, 32, "\r\n    "), b64(EC)), (lambda k: wrapped(k, 76), b64(SSH)),
+    (lambda k: wrapped(k, 64, "\\n"), b64(PKCS8)), (lambda k: k.replace("/", "\\/").replace("=", "\\u003d"), b64(PKCS8)),
+    (lambda k: wrapped(k, 60), RSA.hex()), (lambda k: wrapped(k, 2, ":"), EC.hex().upper()), (lambda k: k, SSH.hex()),
+    (lambda k: "\\x" + wrapped(k, 2, "\\x"), EC.hex()),
+]
+
+
+@pytest.mark.parametrize("number", range(len(WRITTEN)))
+@pytest.mark.parametrize("around", [("", ""), ("key: \\n", "\\n and words"), ('"', '",\n"next"')])
+def test_keys_in_other_written_forms(number, around):
+    form, key = WRITTEN[number]
+    written = form(key)
+    text = around[0] + written + around[1]
+    found = secret_scan.confirmed_spans(text)
+    start = len(around[0]) + 2 * written.startswith("\\x")
+    assert (start, secret_scan.KINDS.index("key"), len(around[0] + written)) in found
+    # One byte less is no key, where no armour says so.
+    if "BEGIN" not in written:
+        assert not secret_scan.confirmed_spans(around[0] + form(key.rstrip("=")[:-4]) + ".")
+
+
+def test_tokens_are_known_by_what_they_decode_to():
+    spaced = base64.urlsafe_b64encode(b'{ "alg": "HS256" }').decode().rstrip("=") + "." + JWT.split(".", 1)[1]
+    lines = base64.urlsafe_b64encode(b'\n{\n"alg": "none"}').decode().rstrip("=") + "." + JWT.split(".")[1] + "."
+    assert not spaced.startswith("eyJ") and not lines.startswith("eyJ")
+    kind = secret_scan.KINDS.index("signed_token")
+    for token in (JWT, spaced, lines):
+        for before in ("", "jwt\\n", "auth.bearer."):
+            assert secret_scan.confirmed_spans(f"{before}{token} end") == [(len(before), kind, len(before + token))]
+    assert not secret_scan.confirmed_spans("www.example.org a.b.c 1.2.3.4 ...")
+
+
+def test_keys_between_interrupted_armours_and_in_long_runs():
+    whole = f"-----BEGIN RSA PRIVATE KEY-----\n{wrapped(b64(RSA))}\n-----END RSA PRIVATE KEY-----"
+    text = "-----BEGIN RSA PRIVATE KEY-----\ncut off\n" + whole
+    assert (text.index(whole), 3, len(text)) in secret_scan.confirmed_spans(text)
+    for odd in ("M" * 300_000, "30" * 150_000, "MIIC" * 75_000, "-----BEGIN PRIVATE KEY-----" * 10_000, "a." * 100_000, '"\n' * 100_000, "M\n" * 100_000):
+        assert secret_scan.confirmed_spans(odd) == []
+
+
 def test_query_of_secrets(spark, sf_dir, llm):
     texts = texts_of(spark, sf_dir)
     found = llm["op10_secrets"](spark, sf_dir).collect()
