@@ -27,12 +27,18 @@ WIDTH = 8192
 SAMPLE_PER_LANGUAGE = 600
 CENTROIDS = 4
 ROUNDS = 12
-#: Texts of at least so many n-grams have a rejection bound of their own, from the sample's
-#: texts of all languages that are as short or shorter: few words tell little, and are kept.
+#: Texts of at least so many n-grams have a rejection bound of their own. Below ``LONG`` it comes
+#: from the sample's texts of all languages that are as short or shorter: few words tell little,
+#: and are kept. From there on it comes from the texts of that length alone.
 LENGTHS = (0, 32, 128, 512, 2048)
+LONG = 512
 #: A text is rejected below this share of the cosine that all but ``OUTSIDE`` of the sample reach.
 LENIENCY = 0.25
+LONG_LENIENCY = 0.5
 OUTSIDE = 0.001
+#: With fewer sampled texts of its length, a long text's bound is from all long ones as long or
+#: shorter; with fewer of these too, it is that of short texts.
+ENOUGH = 100
 ROWS_AT_ONCE = 256
 BYTES_AT_ONCE = 1 << 20
 
@@ -106,6 +112,20 @@ def _centroids(vectors: np.ndarray, count: int) -> np.ndarray:
     return centres
 
 
+def _bounds(lengths: np.ndarray, nearest: np.ndarray) -> np.ndarray:
+    """The rejection bound of each length, from the sample's lengths and cosines."""
+    bounds = []
+    for low, below in zip(LENGTHS, (*LENGTHS[1:], np.inf)):
+        alike, leniency = nearest[lengths < below], LENIENCY
+        for shortest in (low, LONG):
+            own = nearest[(lengths >= shortest) & (lengths < below)]
+            if low >= LONG and len(own) >= ENOUGH:
+                alike, leniency = own, LONG_LENIENCY
+                break
+        bounds.append(leniency * float(np.quantile(alike, OUTSIDE)) if len(alike) else 0.0)
+    return np.array(bounds)
+
+
 def learn_languages(
     docs: DataFrame,
     text_col: str = "text",
@@ -194,12 +214,8 @@ def learn_languages(
     if not known:
         return Languages((), idf, np.zeros((0, WIDTH)), np.zeros(0, int), np.zeros(len(LENGTHS)))
     lengths, nearest = (np.concatenate(x) for x in zip(*reached))
-    bounds = []
-    for below in (*LENGTHS[1:], np.inf):
-        alike = nearest[lengths < below]
-        bounds.append(LENIENCY * float(np.quantile(alike, OUTSIDE)) if len(alike) else 0.0)
     return Languages(
-        tuple(known), idf, np.concatenate(centroids), np.array(of_language), np.array(bounds)
+        tuple(known), idf, np.concatenate(centroids), np.array(of_language), _bounds(lengths, nearest)
     )
 
 

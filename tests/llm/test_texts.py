@@ -65,6 +65,38 @@ def test_odd_texts_and_unknown_scripts(spark):
     assert {r["lang_pred"] for r in identify_languages(asked, nothing).collect()} == {"und"}
 
 
+FINNISH = (
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja "
+    "omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. Jokaisella on oikeus elämään, "
+    "vapauteen ja henkilökohtaiseen turvallisuuteen. Ketään ei saa pitää orjana tai orjuutettuna. "
+)
+
+
+def test_long_texts_of_unlearned_languages_and_noise_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = learn_languages(docs)
+    assert (model.bounds[3:] > 0.18).all() and (model.bounds < 0.4).all()
+    rng = random.Random(3)
+    words = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 10))) for _ in range(n)) for n in (60, 300, 900)]
+    noise = ["".join(rng.choices("ABCDEFabcdefghijklmnopqrstuvwxyz0123456789+/", k=n)) for n in (400, 4000)]
+    rows = [(i, t, None) for i, t in enumerate([FINNISH, FINNISH * 3, FINNISH * 20, *words, *noise])]
+    found = identify_languages(frame(spark, rows), model).collect()
+    assert [r["doc_id"] for r in found if r["lang_accepted"]] == []
+    kept = identify_languages(docs, model).filter("lang_accepted").count()
+    assert kept >= 0.999 * docs.filter(F.col("text").rlike("[^\\W\\d_]")).count()
+
+
+def test_bounds_of_few_long_texts():
+    import numpy as np
+    from dwelltide.llm.language import _bounds
+
+    short, long = [100.0] * 50, [600.0] * 99
+    cosines = np.array([0.2] * 50 + [0.6] * 99 + [0.8])
+    assert _bounds(np.array(short + long + [9000.0]), cosines)[3:] == pytest.approx([0.05, 0.3])
+    assert _bounds(np.array(short + long + [600.0]), cosines)[3:] == pytest.approx([0.3, 0.3])
+    assert (_bounds(np.zeros(0), np.zeros(0)) == 0).all()
+
+
 def test_fold():
     assert "crc32" in str(held_out("doc_id"))
 
