@@ -143,3 +143,40 @@ def test_a_large_shard_goes_to_several_tasks_in_order(spark, monkeypatch):
         tasks = out.groupBy("in_shard").agg(F.countDistinct("task").alias("n")).collect()
     assert all(r["n"] > 1 for r in tasks)
     assert out.count() == mixed(frame, plan_mix(frame, shards=2, blocks_per_shard=8)).count()
+
+
+@pytest.mark.parametrize("rows", [
+    [(None, f"a{i} b{i} c{i} d{i}", "s") for i in range(80)],
+    [(9, f"a{i}", "s") for i in range(60)] + [(None, "a b c", "t")] * 81,
+    [(None, "same words here", None)] * 70 + [(i, "x y z v w", None) for i in range(5)] + [(4, "q r", "u")],
+])
+def test_rows_of_one_id_are_taken_whole_but_one(spark, monkeypatch, rows):
+    from dwelltide.llm import mixing
+
+    monkeypatch.setattr(mixing, "COPIES_AT_ONCE", 20)
+    frame = docs(spark, rows)
+    sizes, weights = {}, {}
+    for _, text, source in rows:
+        sizes[source] = sizes.get(source, 0) + len(text.split())
+    for i, source in enumerate(sorted(sizes, key=lambda s: (s is None, s or ""))):
+        weights[source] = (5, 2, 1)[i]
+    out = mixed(frame, plan_mix(frame, shards=4, blocks_per_shard=8), "in_shard").collect()
+    whole = {}
+    for _, text, source in rows:
+        whole[source, text] = whole.get((source, text), 0) + 1
+    got, cut, shards = {}, [], set()
+    for r in out:
+        got[r["source"]] = got.get(r["source"], 0) + len(r["text"].split())
+        cut += [r["source"]] * ((r["source"], r["text"]) not in whole)
+        shards.add(r["in_shard"])
+    expected = plain_targets(sizes, weights, 1.5, 2.0)
+    assert got == {s: int(t + 0.5) for s, t in expected.items() if t}
+    assert len(cut) == len(set(cut)) and shards == set(range(4))
+
+
+def test_equal_but_for_nulls_are_different_rows(spark):
+    kind = "doc_id long, text string, source string, a string, b string, c array<string>"
+    rows = [(1, "x y", "s", "n", None, None), (1, "x y", "s", None, "n", None), (1, "x y", "s", None, None, ["n", None]), (1, "x y", "s", None, None, [None, "n"])]
+    frame = spark.createDataFrame(rows, kind)
+    found = mixed(frame, plan_mix(frame, share=1.0, ceiling=1.0)).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, rows))
