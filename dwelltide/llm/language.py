@@ -23,7 +23,7 @@ from dwelltide.session import shared_folder
 UNDETERMINED = "und"
 #: Vector components that n-grams are hashed to.
 WIDTH = 8192
-#: Learned documents per language, at most about so many, from which centroids are clustered.
+#: Learned documents per language, at most so many, from which centroids are clustered.
 SAMPLE_PER_LANGUAGE = 600
 CENTROIDS = 4
 ROUNDS = 12
@@ -112,6 +112,15 @@ def _centroids(vectors: np.ndarray, count: int) -> np.ndarray:
     return centres
 
 
+def _has_letters(text_col: str) -> Column:
+    """Never false for a text that ``_has_letter`` holds for."""
+    return F.col(text_col).rlike(r"[\p{L}\p{Nl}\p{No}\p{Cn}]")
+
+
+def _by_language(values: dict[str, int]) -> Column:
+    return F.create_map(*(F.lit(x) for pair in values.items() for x in pair))[F.col("lang")]
+
+
 def _bounds(lengths: np.ndarray, nearest: np.ndarray) -> np.ndarray:
     """The rejection bound of each length, from the sample's lengths and cosines."""
     bounds = []
@@ -136,8 +145,9 @@ def learn_languages(
     """Learn from the rows of ``docs`` that have a language and a text with a letter.
 
     The rarity of n-grams is counted over all of them. Centroids and rejection bounds come
-    from a sample of about ``sample_per_language`` documents of each language, drawn by a hash
-    of the id; that is the only thing that reaches the driver, beside one count per component.
+    from a sample of at most ``sample_per_language`` documents of each language, those of the
+    lowest hashes of id and text; equal rows count once. Beside it, one count per component and
+    a few times as many hashes reach the driver.
     Rows of null language or text, and without letters, teach nothing. Without any row left,
     no language is known.
     """
@@ -147,6 +157,7 @@ def learn_languages(
         F.col(text_col).cast("string").alias("text"),
         F.col(id_col).cast("string").alias("id"),
     ).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    rows = rows.select("lang", "text", F.xxhash64(F.col("id").isNull(), "id", "text").alias("hash"))
 
     def document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = np.zeros(WIDTH + 1, dtype=np.int64), False
@@ -167,14 +178,22 @@ def learn_languages(
         with_gram[row["gram"]] = row["n"]
     idf = np.log((1 + with_gram[WIDTH]) / (1 + with_gram[:WIDTH])).astype(np.float32) + 1
 
-    per_language = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    drawn = rows.filter(_has_letters("text"))
+    kinds = drawn.groupBy("lang").agg(F.approx_count_distinct("hash", 0.02).alias("n"))
+    per_language = {r["lang"]: r["n"] for r in kinds.collect()}
     if not per_language:
         return Languages((), idf, np.zeros((0, WIDTH)), np.zeros(0, int), np.zeros(len(LENGTHS)))
     names = tuple(sorted(per_language))
-    every = F.create_map(
-        *(F.lit(x) for n in names for x in (n, max(1, per_language[n] // sample_per_language)))
-    )
-    drawn = rows.filter(F.pmod(F.xxhash64("id"), every[F.col("lang")]) == 0)
+    # About twice as many as wanted, by the estimated counts; of them the lowest.
+    drawn = drawn.filter(F.pmod("hash", _by_language({
+        n: max(1, per_language[n] // (2 * sample_per_language)) for n in names
+    })) == 0)
+    hashes: dict[str, list[int]] = {n: [] for n in names}
+    for row in drawn.select("lang", "hash").distinct().collect():
+        hashes[row["lang"]].append(row["hash"])
+    last = {n: sorted(own)[:sample_per_language][-1] for n, own in hashes.items() if own}
+    if last:
+        drawn = drawn.filter(F.col("hash") <= _by_language(last)).dropDuplicates(["lang", "hash"])
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -97,6 +97,19 @@ def test_bounds_of_few_long_texts():
     assert (_bounds(np.zeros(0), np.zeros(0)) == 0).all()
 
 
+def test_sample_is_bounded_and_drawn_by_id_and_text(spark, monkeypatch):
+    from dwelltide.llm import language
+
+    english, german = "the quick brown fox number {} of this land", "der schnelle Fuchs {} und das Land"
+    rows = [(None, german.format("a" * i), "de") for i in range(90)] + [(7, english.format("b" * i), "en") for i in range(90)]
+    rows += [(8, "all the same words of a text", "en")] * 3000 + [(i, "12 34", "de") for i in range(2000)]
+    sizes = []
+    monkeypatch.setattr(language, "_centroids", lambda v, n, real=language._centroids: sizes.append(len(v)) or real(v, n))
+    model = learn_languages(frame(spark, rows), sample_per_language=20)
+    assert model.names == ("de", "en") and sizes == [20, 20]
+    assert (learn_languages(frame(spark, rows).repartition(7), sample_per_language=20).centroids == model.centroids).all()
+
+
 def test_fold():
     assert "crc32" in str(held_out("doc_id"))
 
