@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dwelltide.llm.hard_negatives import hard_negatives
 from dwelltide.llm.language import held_out, identify_languages, learn_languages
 from dwelltide.llm.mixing import plan_mix, taken_words
 from dwelltide.llm.neighbours import nearest_neighbours
@@ -19,6 +20,8 @@ from dwelltide.llm.simhash import hex_fingerprint, near_duplicates
 from dwelltide.llm.token_counts import count_tokens
 from dwelltide.llm.top_scores import top_scores
 from dwelltide.llm.url_lists import listed_captures, url_host
+from dwelltide.llm.warc import read_records, write_archives
+from dwelltide.session import run_folder
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,6 +162,20 @@ def simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mined_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _embeddings(spark, sf_dir).withColumn("label", label)
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = run_folder(spark, "warc")
+    index = write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
+    return read_records(index, folder, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_nearest_neighbours": neighbours,
@@ -171,6 +188,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash_classes": simhash_classes,
         "op9_packed_sequences": packed_sequences,
         "op10_secrets": secrets,
+        "op11_hard_negatives": mined_negatives,
+        "op13_web_archives": web_archives,
     }
 
 
@@ -316,5 +335,50 @@ SELECT doc_id, size, source_size, target,
              WHEN so_far - at_place <= rest THEN (rest - so_far + at_place) * size // at_place
              ELSE 0 END)::BIGINT AS taken
 FROM summed
+""",
+        "op11_hard_negatives": """
+WITH good AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike,
+         list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM good a JOIN good c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v)
+  WHERE a.vec_id % 100 = 0
+),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+        FROM scored WHERE alike)
+  WHERE place <= 5
+)
+SELECT anchor_id, positive_id, CAST(place AS INT) AS rank, negative_id, positive_score, negative_score
+FROM (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS place
+  FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.alike
+   AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+)
+WHERE place <= 10
+""",
+        # Five hex digits are four base32 ones.
+        "op13_web_archives": """
+WITH pages_read AS (
+  SELECT page_id, html, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha1(encode(coalesce(html, ''))) AS h,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+  FROM pages
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(1 + ((('0x' || substr(h, CAST(1 + 5 * (i // 4) AS INT), 5))::BIGINT
+                    >> CAST(15 - 5 * (i % 4) AS INT)) & 31) AS INT), 1)), '') AS payload_digest,
+       CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM pages_read
 """,
     }

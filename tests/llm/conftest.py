@@ -18,7 +18,7 @@ def duck(sf_dir):
     import duckdb
 
     connection = duckdb.connect()
-    for name in ("documents", "embeddings", "pages"):
+    for name in ("documents", "embeddings", "pages", "conversations"):
         connection.execute(
             f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')"
         )
