@@ -13,14 +13,20 @@ KEY_ROWS = 100_000
 
 
 def lookup(
-    rows: DataFrame, table: DataFrame, keys: Sequence[str], values: Sequence[str], uses: str, total: int
+    rows: DataFrame,
+    table: DataFrame,
+    keys: Sequence[str],
+    values: Sequence[str],
+    uses: str,
+    total: int,
+    spread: Sequence[str],
 ) -> DataFrame:
     """``rows`` with the ``values`` that ``table`` has for their ``keys``, null where it has none.
 
     ``table`` has one row per key; its column ``uses`` says about how many of the ``total``
     rows ask for it. Keys of many uses are sent to all executors: at most ``KEY_ROWS`` of them,
     by that count. Their rows take no part in the join that answers the others: they stand
-    there under numbers of their own, so they meet in no task.
+    there under a hash of the columns ``spread``, so they meet in no task.
     """
     limit = max(KEY_ROWS, -(-total // KEY_ROWS))
     named = table.select(
@@ -40,7 +46,7 @@ def lookup(
         hit = hit & (F.col(k) == F.col(f"h_{k}"))
     found = rows.join(F.broadcast(hot), hit, "left")
     # Uneven numbers only, so that none is the lane of the others.
-    own = F.xxhash64(F.monotonically_increasing_id()).bitwiseOR(F.lit(1).cast("long"))
+    own = F.xxhash64(*spread).bitwiseOR(F.lit(1).cast("long"))
     lane = F.when(F.col("is_hot") | F.col(keys[0]).isNull(), own).otherwise(F.lit(0).cast("long"))
     found = found.withColumn("lane", lane)
     met = F.col("lane") == F.col("t_lane")

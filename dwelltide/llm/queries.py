@@ -15,6 +15,7 @@ from dwelltide.llm.mixing import plan_mix, taken_words
 from dwelltide.llm.neighbours import nearest_neighbours
 from dwelltide.llm.packing import pack_sequences
 from dwelltide.llm import pii
+from dwelltide.llm.prefix_trie import prefix_trie
 from dwelltide.llm.secret_scan import BASE_KINDS, find_secrets, joined_spans
 from dwelltide.llm.simhash import hex_fingerprint, near_duplicates
 from dwelltide.llm.token_counts import count_tokens
@@ -168,6 +169,12 @@ def mined_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(vectors, F.col("vec_id") % 100 == 0)
 
 
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    own = F.col("conv_id")
+    return prefix_trie(turns, own - own % 100, F.crc32(own.cast("string")) % 6, max_head=5)
+
+
 def web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_folder(spark, "warc")
     index = write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
@@ -189,6 +196,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_packed_sequences": packed_sequences,
         "op10_secrets": secrets,
         "op11_hard_negatives": mined_negatives,
+        "op12_prefix_trie": conversation_trie,
         "op13_web_archives": web_archives,
     }
 
@@ -364,6 +372,53 @@ FROM (
    AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
 )
 WHERE place <= 10
+""",
+        # The CRC-32 of an id's digits, bit by bit; a node is named by its turns' joined hashes.
+        "op12_prefix_trie": r"""
+WITH convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda acc, c: xor(acc >> 8, list_reduce(
+             list_prepend(xor(acc, c) & 255, list_transform(range(8), lambda i: i::BIGINT)),
+             lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END))
+         ), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, name) AS i
+  FROM (SELECT conv_id, turn, length(coalesce(text, '')) AS chars,
+               sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS name
+        FROM conversations)
+),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS part, o.i, o.name, o.chars
+  FROM convs c JOIN ordered o ON o.conv_id = c.base AND o.i <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, o.i, o.name, o.chars FROM convs c JOIN ordered o ON o.conv_id = c.conv_id AND o.i > c.h
+),
+paths AS (
+  SELECT conv_id, row_number() OVER way AS depth, chars, string_agg(name, '') OVER way AS path
+  FROM rebuilt WINDOW way AS (PARTITION BY conv_id ORDER BY part, i)
+  UNION ALL
+  SELECT conv_id, 0, 0, '' FROM convs
+),
+members AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS is_end FROM paths),
+nodes AS (
+  SELECT depth, path, left(path, 64 * (depth - 1)) AS above, min(conv_id) AS conv_id, count(*) AS n_convs,
+         max(chars) AS chars,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (is_end), '')) AS ends_sha256
+  FROM members GROUP BY depth, path
+),
+children AS (SELECT above AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY above),
+counted AS (SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON n.path = c.path),
+tops AS (
+  SELECT left(path, 64 * d) AS path, count(*) FILTER (n_children = 0) AS n_leaves,
+         sum((n_convs - 1) * chars)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM counted) GROUP BY 1
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, t.n_leaves, t.saved_tokens, n.ends_sha256
+FROM counted n JOIN tops t ON n.path = t.path LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.above
 """,
         # Five hex digits are four base32 ones.
         "op13_web_archives": """

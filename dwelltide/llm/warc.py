@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwelltide.llm.hot_keys import lookup
+from dwelltide.session import shared_folder
 
 #: An archive is closed at this size, and a task reads at most such a part of one.
 ARCHIVE_BYTES = 256 << 20
@@ -198,6 +199,7 @@ def write_archives(
     to all executors by digest (see ``hot_keys``); the others' table is joined, by broadcast if
     Spark finds it small.
     """
+    shared_folder(pages.sparkSession)
     payload = F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(
         F.col(f"`{id_col}`").cast("long").alias("page_id"),
@@ -213,7 +215,10 @@ def write_archives(
         .checkpoint()
     )
     total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    known = lookup(rows, counted, ["same"], ["first_id"], "n", total) if total else rows.withColumn("first_id", F.lit(None).cast("long"))
+    if total:
+        known = lookup(rows, counted, ["same"], ["first_id"], "n", total, spread=["page_id", "url"])
+    else:
+        known = rows.withColumn("first_id", F.lit(None).cast("long"))
     refers_to = F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id"))
     written = known.select(
         "page_id", "url", "payload", F.sha1("payload").alias("sha1"), refers_to.alias("refers_to")
