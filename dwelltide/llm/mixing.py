@@ -5,7 +5,8 @@ block is a random part of its source. A source's target says how many of its blo
 takes, once or more often. The quotas of all sources are dealt to the output shards by a
 tree: a node draws, without replacement, the blocks that go to its left half, so the quotas
 of its children are a multivariate-hypergeometric draw and add up exactly. A leaf then owns
-its blocks alone, and its rows are shuffled inside the shard.
+its blocks alone, and its rows are shuffled inside the shard. What is taken of a document
+is what the leaves' blocks hold of it, in both ``taken_words`` and ``mixed``.
 
 Only DataFrame operations; tables that are joined by broadcast have one row per source or
 per block, and both numbers are checked or follow from the parameters.
@@ -23,8 +24,12 @@ from dwelltide.llm.words import word_count, words
 from dwelltide.session import shared_folder
 
 KEY_BITS = 60
-#: Parts into which a source's boundary block is cut, level by level, to find its last words.
-PARTS = 4096
+#: Bits of the order that one level of the search for a source's last words looks at, and rows
+#: of a source that are few enough to be looked at one by one.
+PART_BITS = 12
+FEW_ROWS = 10_000
+#: Columns that place a row in its source's random order.
+ORDER = ("key", "tie", "row")
 #: Words of a shard that one task shuffles and sorts, about; a larger shard goes to several.
 WORDS_PER_TASK = 2_000_000
 #: Sources, and blocks, up to which their tables are sent to all executors.
@@ -57,11 +62,17 @@ def _key(id_col: str, seed: int) -> Column:
     return F.conv(F.substring(F.md5(name), 1, KEY_BITS // 4), 16, 10).cast("long")
 
 
-def _tie(docs: DataFrame) -> Column:
-    """The place of a row among rows of the same key, by all its columns: 60 bits."""
+def _tie(text: Column) -> Column:
+    """The place of a row among rows of the same key, by its text: 60 bits."""
+    digits = F.substring(F.md5(F.coalesce(text, F.lit(""))), 1, KEY_BITS // 4)
+    return F.conv(digits, 16, 10).cast("long")
+
+
+def _row(docs: DataFrame) -> Column:
+    """The place of a row among rows of the same key and text, by all its columns: 60 bits."""
     parts = []
     for name, kind in docs.dtypes:
-        column = F.col(f"`{name}`")
+        column = F.col(f"`{name.replace('`', '``')}`")
         if kind.startswith(("array", "map", "struct", "variant")):
             column = F.to_json(F.struct(column), {"ignoreNullFields": "false"})
         parts += [column.isNull(), column]
@@ -131,8 +142,8 @@ def plan_mix(
     own. A source is passed over as often as its target holds it whole; the last pass takes
     documents in the order of a hash of their ids and ends inside one of them, so that what
     is taken is the target rounded to a word. Among rows of the same id the order goes on by a
-    hash of all their columns, and equal rows are counted, so ``mixed`` takes all but one whole.
-    ``taken_words`` follows its SQL there: such rows share the words left by size, rounded down.
+    hash of the text, then of all columns, and equal rows are numbered; so all are taken whole
+    but the one in which a pass ends, in ``taken_words`` and ``mixed`` alike.
 
     A null source is a source; null texts and texts without words have size 0 and are taken
     with 0 words; a null id counts as the empty one. Repeated rows are rows. An empty table,
@@ -147,7 +158,8 @@ def plan_mix(
         F.col(source_col).cast("string").alias("source"),
         word_count(F.col(text_col).cast("string")).alias("size"),
         _key(id_col, seed).alias("key"),
-        _tie(docs).alias("tie"),
+        _tie(F.col(text_col).cast("string")).alias("tie"),
+        _row(docs).alias("row"),
     ).checkpoint()
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size")).checkpoint()
     if weights is None:
@@ -172,78 +184,55 @@ def plan_mix(
             / F.greatest(F.lit(1), F.round(F.col("source_size") / F.lit(per_block)))
         ).alias("block_width"),
     ).checkpoint()
-    ends = _boundaries(sized, rules, sources)
-    ends = ends.join(_sent(_tied_ends(sized, ends, sources), sources), F.col("source").eqNullSafe(F.col("t_source")))
-    end_of = ends.select(
-        F.col("source").alias("e_source"), "end_key", "end_rest", "end_size", "end_tie", "tie_rest"
-    )
+    ends = _ends(sized, rules, sources).withColumnRenamed("source", "e_source")
     rules = rules.join(
-        _sent(end_of, sources), F.col("source").eqNullSafe(F.col("e_source")), "left"
+        _sent(ends, sources), F.col("source").eqNullSafe(F.col("e_source")), "left"
     ).drop("e_source").checkpoint()
     units = _units(sized, rules, sources, shards, seed, per_block)
     tasks = max(1, math.ceil(taken / shards / WORDS_PER_TASK))
     return Mix(sized, rules, units, sources, blocks, tasks, seed, id_col, text_col, source_col)
 
 
-def _boundaries(sized: DataFrame, rules: DataFrame, sources: int) -> DataFrame:
-    """``(source, end_key, end_rest, end_size)``: the key at which a source's last pass ends,
-    the words still taken there, and the words of all rows of that key. A source whose last
-    pass takes all words has no row."""
-    state = rules.select(
-        "source",
-        F.lit(0).cast("long").alias("low"),
-        F.lit(1 << KEY_BITS).alias("span"),
-        F.col("block_width").alias("width"),
-        "rest",
+def _crossing(sums: DataFrame, *order: str) -> DataFrame:
+    """Of ``(source, ..., words, rest)`` per source the row in which its words pass the rest, with
+    ``left``: what the rest still holds there. A source whose words do not has no row."""
+    so_far = F.sum("words").over(
+        Window.partitionBy("source").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     )
-    parts = F.ceil(F.col("span") / F.lit(PARTS)).cast("long")
-    exact = F.lit(1).cast("long")
-    for width in (parts, parts, exact, None):
-        near = state.select(*(F.col(c).alias(f"s_{c}") for c in state.columns))
-        inside = sized.join(
-            _sent(near, sources), F.col("source").eqNullSafe(F.col("s_source"))
-        ).filter((F.col("key") >= F.col("s_low")) & (F.col("key") < F.col("s_low") + F.col("s_span")))
-        part = F.expr("(key - s_low) div s_width").alias("part")
-        sums = inside.groupBy("source", "s_low", "s_width", "s_rest", part).agg(
-            F.sum("size").alias("words")
-        )
-        so_far = F.sum("words").over(
-            Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
-        )
-        crossing = sums.withColumn("so_far", so_far).filter(
-            (F.col("so_far") > F.col("s_rest")) & (F.col("so_far") - F.col("words") <= F.col("s_rest"))
+    left = F.col("rest") - F.col("so_far") + F.col("words")
+    found = sums.withColumn("so_far", so_far).withColumn("left", left)
+    return found.filter((F.col("so_far") > F.col("rest")) & (F.col("left") >= 0)).drop("so_far", "words", "rest")
+
+
+def _ends(sized: DataFrame, rules: DataFrame, sources: int) -> DataFrame:
+    """``(source, end_key, end_tie, end_row, end_rest)``: the row at which a source's last pass
+    ends, and the words still taken from the rows that equal it. A source whose last pass
+    takes all words, or none, has no row.
+
+    Words are summed by parts of the order, and only the part in which the pass ends is looked
+    at further, until a source has few rows there or all of them are equal."""
+    rest = rules.filter("rest > 0").select(F.col("source").alias("s_source"), "rest")
+    inside = sized.filter("size > 0").join(_sent(rest, sources), F.col("source").eqNullSafe(F.col("s_source")))
+    inside = inside.select("source", *ORDER, "size", "rest")
+    steps = [(column, shift) for column in ORDER for shift in range(KEY_BITS - PART_BITS, -1, -PART_BITS)]
+    for column, shift in steps:
+        part = F.shiftright(column, shift)
+        sums = inside.groupBy("source", "rest", part.alias("part")).agg(
+            F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows")
         )
-        state = crossing.select(
-            "source",
-            (F.col("s_low") + F.col("part") * F.col("s_width")).alias("low"),
-            F.col("s_width").alias("span"),
-            (F.col("s_rest") - F.col("so_far") + F.col("words")).alias("rest"),
-            "words",
-        )
-        if width is not None:
-            state = state.withColumn("width", width)
-        state = state.checkpoint()
-    return state.select(
-        "source",
-        F.col("low").alias("end_key"),
-        F.col("rest").alias("end_rest"),
-        F.col("words").alias("end_size"),
-    )
-
-
-def _tied_ends(sized: DataFrame, ends: DataFrame, sources: int) -> DataFrame:
-    """``(t_source, end_tie, tie_rest)``: where among the rows of its end key a source's last
-    pass ends, and the words still taken from the equal rows there."""
-    at = ends.select(F.col("source").alias("t_source"), "end_key")
-    tied = sized.join(
-        _sent(at, sources),
-        F.col("source").eqNullSafe(F.col("t_source")) & (F.col("key") == F.col("end_key")),
-    ).select("source", "size", F.col("tie").alias("key")).checkpoint()
-    rules = ends.select(
-        "source", F.col("end_rest").alias("rest"), F.lit((1 << KEY_BITS) // PARTS).alias("block_width")
-    )
-    return _boundaries(tied, rules, sources).select(
-        F.col("source").alias("t_source"), F.col("end_key").alias("end_tie"), F.col("end_rest").alias("tie_rest")
+        at = _crossing(sums, "part").select(
+            F.col("source").alias("s_source"), F.col("part").alias("s_part"), "left", "rows"
+        ).checkpoint()
+        inside = inside.join(
+            _sent(at, sources), F.col("source").eqNullSafe(F.col("s_source")) & (part == F.col("s_part"))
+        ).select("source", *ORDER, "size", F.col("left").alias("rest"))
+        if (at.agg(F.max("rows")).first()[0] or 0) <= FEW_ROWS:
+            break
+        inside = inside.checkpoint()
+    # Few rows, or equal ones, which the aggregation makes one.
+    equal = inside.groupBy("source", "rest", *ORDER).agg(F.sum("size").alias("words"))
+    return _crossing(equal, *ORDER).select(
+        "source", *(F.col(c).alias(f"end_{c}") for c in ORDER), F.col("left").alias("end_rest")
     )
 
 
@@ -313,23 +302,13 @@ def _units(
     return placed.select("source", "pass", "block", "shard", "key_block", "parts").checkpoint()
 
 
-def _last_pass(size: Column) -> Column:
-    """Words that the last pass takes of a document; rows of the end key share what is left."""
-    return (
-        F.when(F.col("rest") <= 0, F.lit(0))
-        .when(F.col("end_key").isNull() | (F.col("key") < F.col("end_key")), size)
-        .when(F.col("key") == F.col("end_key"), F.expr("end_rest * size div end_size"))
-        .otherwise(F.lit(0))
-        .cast("long")
-    )
-
-
-def _last_whole(size: Column) -> Column:
-    """Words that the last pass takes of a document, whole ones as long as the words last."""
-    before = (F.col("key") < F.col("end_key")) | (
-        (F.col("key") == F.col("end_key")) & (F.col("tie") < F.col("end_tie"))
-    )
-    left = F.col("tie_rest") - F.col("copy") * size
+def _last(size: Column) -> Column:
+    """Words that the last pass takes of a document: whole ones as long as the words last."""
+    before = F.lit(False)
+    for column in reversed(ORDER):
+        own, end = F.col(column), F.col(f"end_{column}")
+        before = (own < end) | ((own == end) & before)
+    left = F.col("end_rest") - F.col("copy") * size
     return (
         F.when(F.col("rest") <= 0, F.lit(0))
         .when(F.col("end_key").isNull() | before, size)
@@ -340,12 +319,15 @@ def _last_whole(size: Column) -> Column:
 
 
 def _ends_here() -> Column:
-    return (F.col("key") == F.col("end_key")) & (F.col("tie") == F.col("end_tie"))
+    here = F.lit(True)
+    for column in ORDER:
+        here = here & (F.col(column) == F.col(f"end_{column}"))
+    return here
 
 
 def _numbered(rows: DataFrame, sized: DataFrame) -> DataFrame:
-    """``rows`` of ``(doc, source, key, tie)`` with ``copy``: equal rows are numbered from 0."""
-    same = ["source", "key", "tie"]
+    """``rows`` of ``(doc, source, key, tie, row)`` with ``copy``: equal rows are numbered from 0."""
+    same = ["source", *ORDER]
     repeated = (
         sized.filter(F.col("size") > 0).groupBy(*same).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         .select(*(F.col(c).alias(f"r_{c}") for c in same)).checkpoint()
@@ -353,31 +335,59 @@ def _numbered(rows: DataFrame, sized: DataFrame) -> DataFrame:
     first = F.lit(0).cast("long")
     if repeated.isEmpty():
         return rows.withColumn("copy", first)
-    found = F.col("source").eqNullSafe(F.col("r_source")) & (F.col("key") == F.col("r_key")) & (F.col("tie") == F.col("r_tie"))
+    found = F.col("source").eqNullSafe(F.col("r_source"))
+    for column in ORDER:
+        found = found & (F.col(column) == F.col(f"r_{column}"))
     once = rows.join(repeated, found, "left_anti").withColumn("copy", first)
     # Equal rows become one with their number, and as many again, in several places.
     counted = rows.join(repeated, found, "left_semi").groupBy(*same).agg(
         F.first("doc").alias("doc"), F.count(F.lit(1)).alias("n")
     )
     chunks = counted.withColumn("chunk", F.explode(F.expr(f"sequence(0L, (n - 1) div {COPIES_AT_ONCE})")))
-    made = chunks.repartition("key", "tie", "chunk").withColumn(
+    made = chunks.repartition(*ORDER, "chunk").withColumn(
         "copy",
         F.explode(F.expr(f"sequence(chunk * {COPIES_AT_ONCE}, least(n, (chunk + 1) * {COPIES_AT_ONCE}) - 1)")),
     )
     return once.unionByName(made.select("doc", *same, "copy"))
 
 
-def taken_words(mix: Mix) -> DataFrame:
-    """``(id, size, source_size, target, taken)`` of every document."""
+def _placed(rows: DataFrame, mix: Mix) -> DataFrame:
+    """``rows`` of ``(doc, source, key, tie, row, copy)`` with their source's rule and the block
+    that holds them."""
     rule = mix.rules.withColumnRenamed("source", "r_source")
-    return mix.sized.join(
-        _sent(rule, mix.sources), F.col("source").eqNullSafe(F.col("r_source"))
-    ).select(
-        F.col("id").alias(mix.id_col),
-        "size",
-        "source_size",
-        "target",
-        (F.col("passes") * F.col("size") + _last_pass(F.col("size"))).alias("taken"),
+    split = mix.units.filter("parts > 1").select(
+        F.col("source").alias("s_source"), F.col("key_block").alias("s_block"), "parts"
+    ).distinct()
+    source = F.col("source")
+    rows = rows.join(_sent(rule, mix.sources), source.eqNullSafe(F.col("r_source"))).join(
+        _sent(split, mix.blocks * 2),
+        source.eqNullSafe(F.col("s_source")) & (F.expr("key div block_width") == F.col("s_block")),
+        "left",
+    )
+    parts = F.coalesce("parts", F.lit(1).cast("long"))
+    sub = F.pmod(F.xxhash64(F.lit(mix.seed), "tie", "row", "copy"), parts)
+    return rows.withColumn("block", _block("key div block_width", sub))
+
+
+def taken_words(mix: Mix) -> DataFrame:
+    """``(id, size, source_size, target, taken)`` of every document: what the blocks that the tree
+    dealt to the shards hold of it, over all passes."""
+    rows = mix.sized.select(F.struct("id", "size").alias("doc"), "source", *ORDER)
+    rows = _placed(_numbered(rows, mix.sized), mix)
+    size = F.col("doc.size")
+    whole = F.col("pass") <= F.col("passes")
+    dealt = (
+        mix.units.join(
+            _sent(mix.rules.select(F.col("source").alias("p_source"), "passes"), mix.sources),
+            F.col("source").eqNullSafe(F.col("p_source")),
+        )
+        .groupBy(F.col("source").alias("u_source"), F.col("block").alias("u_block"))
+        .agg(F.count_if(whole).alias("whole"), F.count_if(~whole).alias("ending"))
+    )
+    held = F.col("source").eqNullSafe(F.col("u_source")) & (F.col("block") == F.col("u_block")) & (size > 0)
+    taken = F.coalesce(F.col("whole") * size + F.col("ending") * _last(size), F.lit(0).cast("long"))
+    return rows.join(_sent(dealt, mix.blocks * 6), held, "left").select(
+        F.col("doc.id").alias(mix.id_col), size.alias("size"), "source_size", "target", taken.alias("taken")
     )
 
 
@@ -390,42 +400,27 @@ def mixed(docs: DataFrame, mix: Mix, shard_col: str | None = None) -> DataFrame:
     without words are in no mix. A task gets a range of a shard's random order, of about
     ``WORDS_PER_TASK`` words however large the shard is, and sorts it.
     """
-    text, own = F.col(f"doc.{mix.text_col}").cast("string"), docs.columns
-    rule = mix.rules.select(
-        F.col("source").alias("r_source"),
-        "passes", "rest", "block_width", "end_key", "end_tie", "tie_rest",
-    )
+    text, own = F.col(f"doc.`{mix.text_col}`").cast("string"), docs.columns
     unit = mix.units.select(
         F.col("source").alias("u_source"), F.col("pass").alias("u_pass"), F.col("block").alias("u_block"), "shard"
     )
-    split = mix.units.filter("parts > 1").select(
-        F.col("source").alias("s_source"), F.col("key_block").alias("s_block"), "parts"
-    ).distinct()
     rows = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in own)).alias("doc"),
         F.col(mix.source_col).cast("string").alias("source"),
         _key(mix.id_col, mix.seed).alias("key"),
-        _tie(docs).alias("tie"),
+        _tie(F.col(mix.text_col).cast("string")).alias("tie"),
+        _row(docs).alias("row"),
     )
-    rows = _numbered(rows, mix.sized)
-    source = F.col("source")
-    rows = rows.join(_sent(rule, mix.sources), source.eqNullSafe(F.col("r_source")))
+    rows = _placed(_numbered(rows, mix.sized), mix)
     # Sizes are counted again only where a pass ends.
     rows = rows.withColumn("size", F.when(_ends_here(), word_count(text)).otherwise(text.rlike(r"[^\x20\x09-\x0D]").cast("long")))
-    rows = rows.filter(F.col("size") > 0).withColumn("last", _last_whole(F.col("size")))
+    rows = rows.filter(F.col("size") > 0).withColumn("last", _last(F.col("size")))
     passes = F.col("passes") + (F.col("last") > 0).cast("long")
     rows = rows.withColumn("n", passes).filter(F.col("n") > 0)
-    rows = rows.join(
-        _sent(split, mix.blocks * 2),
-        source.eqNullSafe(F.col("s_source")) & (F.expr("key div block_width") == F.col("s_block")),
-        "left",
-    )
-    sub = F.pmod(F.xxhash64(F.lit(mix.seed), "tie", "copy"), F.coalesce("parts", F.lit(1).cast("long")))
-    rows = rows.withColumn("block", _block("key div block_width", sub))
     rows = rows.withColumn("pass", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
     rows = rows.join(
         _sent(unit, mix.blocks * 6),
-        source.eqNullSafe(F.col("u_source"))
+        F.col("source").eqNullSafe(F.col("u_source"))
         & (F.col("pass") == F.col("u_pass"))
         & (F.col("block") == F.col("u_block")),
     )
@@ -435,7 +430,7 @@ def mixed(docs: DataFrame, mix: Mix, shard_col: str | None = None) -> DataFrame:
         (F.when(cut, first).otherwise(text) if c == mix.text_col else F.col(f"doc.`{c}`")).alias(c)
         for c in own
     ]
-    place = F.xxhash64(F.lit(mix.seed), "key", "tie", "copy", "pass")
+    place = F.xxhash64(F.lit(mix.seed), *ORDER, "copy", "pass")
     part = F.floor((F.col("place") / 2.0**64 + 0.5) * mix.tasks_per_shard)
     return (
         rows.select(F.struct(*columns).alias("doc"), "shard", place.alias("place"))

@@ -204,7 +204,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _SIZED = r"""
 sized AS (
   SELECT doc_id, source,
-         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         substr(md5(coalesce(text, '')), 1, 15) AS tie
   FROM documents
 )
 """
@@ -333,15 +334,11 @@ keyed AS (
 ),
 summed AS (
   SELECT *, floor(target + 0.5)::BIGINT - passes * source_size AS rest,
-         sum(size) OVER (PARTITION BY source ORDER BY place RANGE UNBOUNDED PRECEDING) AS so_far,
-         sum(size) OVER (PARTITION BY source, place) AS at_place
+         sum(size) OVER (PARTITION BY source ORDER BY place, tie ROWS UNBOUNDED PRECEDING) AS so_far
   FROM keyed
 )
 SELECT doc_id, size, source_size, target,
-       (passes * size + CASE WHEN rest <= 0 THEN 0
-             WHEN so_far <= rest THEN size
-             WHEN so_far - at_place <= rest THEN (rest - so_far + at_place) * size // at_place
-             ELSE 0 END)::BIGINT AS taken
+       (passes * size + greatest(0, least(size, rest - so_far + size)))::BIGINT AS taken
 FROM summed
 """,
         "op11_hard_negatives": """
