@@ -12,7 +12,9 @@ import base64
 import binascii
 import json
 import re
-from collections.abc import Callable, Iterator
+from array import array
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,18 +37,23 @@ KINDS = (*BASE_KINDS, "key", "signed_token")
 _WORDS = ("passw", "secret", "token", "api")
 #: Shorter runs hold no key.
 KEY_RUN = 40
+#: Elements that one part of a key has at most: an RSA key, the longest kind, has nine.
+KEY_PARTS = 64
 _BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----")
 _HEADER = re.compile(r"^[ \t]*[\w-]+:[^\n]*$", re.MULTILINE)
 # What code and JSON write in the place of a line break, a slash, or a sign.
-_ESCAPE = re.compile(r"\\+(?:[nrt]|u00(?:2[bBfF]|3[dD]|0[aAdD])|(?=/))")
+_ESCAPE = re.compile(r"(?<!\\)\\++(?:[nrt]|u00(?:2[bBfF]|3[dD]|0[aAdD])|(?=/))")
 #: What may stand between the lines of a key: white space, quotes joined by a sign, comment signs.
-_GAP = re.compile(r"""(?:\\*+["'`]\s*+[+.&,\\]?\s*+\\*+["'`]|\\?\s|(?<=\s)[>#*|]+|\x00)+""")
+_GAP = re.compile(r"""(?:(?<!\\)\\*+["'`]\s*+[+.&,\\]?\s*+\\*+["'`]|\\?\s|(?<=\s)[>#*|]+|\x00)+""")
 # Where the bytes of DER (0x30, a length) or of "openssh" may begin.
 _BASE64_START = re.compile(r"M(?:[A-P]|(?=[\s\x00\\\"'`]))|b3Bl")
-_HEX_START = re.compile(r"30|6[fF]70")
+# In one run, a short length is followed by the number that every key begins with.
+_HEX_START = re.compile(
+    r"30(?=8[1-4]|[0-7][0-9A-Fa-f](?:02|[^0-9A-Fa-f])|[^0-9A-Fa-f]|[0-9A-Fa-f][^0-9A-Fa-f])|6[fF]70"
+)
 _BASE64_PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
 _HEX_PIECE = re.compile(r"[0-9A-Fa-f]+")
-_HEX_GAP = re.compile(r"""(?:\\*+["'`]\s*+[+.&,\\]?\s*+\\*+["'`]|\\x|0[xX]|\\?\s|[:,\x00]|(?<=\s)[>#*|]+)+""")
+_HEX_GAP = re.compile(r"""(?:(?<!\\)\\*+["'`]\s*+[+.&,\\]?\s*+\\*+["'`]|\\x|0[xX]|\\?\s|[:,\x00]|(?<=\s)[>#*|]+)+""")
 _BASE64_END = re.compile(r"(?![A-Za-z0-9+/_-])|(?=-----)")
 _HEX_END = re.compile(r"(?![0-9A-Fa-f])")
 _PADDING = re.compile(r"(?:\x00*=){0,2}")
@@ -74,18 +81,19 @@ def _longest_run(raw: np.ndarray, members: np.ndarray) -> int:
 # --- What decoded bytes are ------------------------------------------------------------
 
 
-def _der(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
+def _der(data: bytes | _Bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
     """(tag, content start, content end) of the elements that fill the range, or None."""
     found = []
     while at < end:
-        if at + 2 > end:
+        if at + 2 > end or len(found) == KEY_PARTS:
             return None
-        tag, length, at = data[at], data[at + 1], at + 2
+        head = data[at : at + 6]
+        tag, length, at = head[0], head[1], at + 2
         if length >= 0x80:
             size = length & 0x7F
             if not 1 <= size <= 4 or at + size > end:
                 return None
-            length = int.from_bytes(data[at : at + size], "big")
+            length = int.from_bytes(head[2 : 2 + size], "big")
             if length < 0x80:  # DER has a shorter form for it
                 return None
             at += size
@@ -99,13 +107,13 @@ def _der(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
 _INTEGER, _OCTETS, _OID, _SEQUENCE = 0x02, 0x04, 0x06, 0x30
 
 
-def is_der_private_key(data: bytes) -> bool:
+def is_der_private_key(data: bytes | _Bytes) -> bool:
     """PKCS #1, PKCS #8, SEC 1 or DSA, by the types and nested lengths of its parts."""
     outer = _der(data, 0, len(data))
     if not outer or len(outer) != 1 or outer[0][0] != _SEQUENCE:
         return False
     parts = _der(data, *outer[0][1:])
-    if not parts or parts[0][0] != _INTEGER:
+    if not parts or parts[0][0] != _INTEGER or parts[0][2] - parts[0][1] > 16:
         return False
     tags = [tag for tag, _, _ in parts]
     first = int.from_bytes(data[parts[0][1] : parts[0][2]], "big")
@@ -122,8 +130,8 @@ def is_der_private_key(data: bytes) -> bool:
 _OPENSSH = b"openssh-key-v1\0"
 
 
-def is_openssh_key(data: bytes) -> bool:
-    if not data.startswith(_OPENSSH):
+def is_openssh_key(data: bytes | _Bytes) -> bool:
+    if data[: len(_OPENSSH)] != _OPENSSH:
         return False
 
     def field(at: int) -> int:
@@ -144,7 +152,7 @@ def is_openssh_key(data: bytes) -> bool:
     return at == len(data)
 
 
-def _is_key(data: bytes) -> bool:
+def _is_key(data: bytes | _Bytes) -> bool:
     return is_der_private_key(data) or is_openssh_key(data)
 
 
@@ -225,39 +233,85 @@ class _Code:
     end: re.Pattern
     bits: int
 
-    def read(self, text: str, at: int, count: int) -> tuple[bytes, int] | None:
-        """The first ``count`` bytes from ``at`` on, and the place after them."""
-        left, pieces = -(-count * 8 // self.bits), []
-        while left <= len(text) - at:
-            piece = self.piece.match(text, at, min(len(text), at + left))
-            if not piece:
-                return None
-            pieces.append(piece[0])
-            at, left = piece.end(), left - len(piece[0])
-            if not left:
-                run = "".join(pieces)
-                data = _from_base64(run) if self.bits == 6 else bytes.fromhex(run)
-                return (data[:count], at) if data else None
-            gap = self.gap.match(text, at)
-            if not gap:
-                return None
-            at = gap.end()
+    def decoded(self, run: str) -> bytes:
+        return (_from_base64(run) or b"") if self.bits == 6 else bytes.fromhex(run)
+
+    def digits(self, size: int) -> int:
+        return -(-size * 8 // self.bits)
+
+
+class _Stretch:
+    """Pieces and gaps that follow one another from a place on. Their digits are numbered through,
+    so where bytes lie and end is found without reading those between."""
+
+    def __init__(self, code: _Code, text: str, at: int) -> None:
+        self.code, self.text = code, text
+        self.starts, self.before = array("q"), array("q")
+        self.digits = 0
+        piece = code.piece.match(text, at)
+        while piece:
+            self.starts.append(piece.start())
+            self.before.append(self.digits)
+            self.end = piece.end()
+            self.digits += self.end - piece.start()
+            gap = code.gap.match(text, self.end)
+            piece = gap and code.piece.match(text, gap.end())
+
+    def number(self, at: int) -> int:
+        """Digits before a place in a piece."""
+        k = bisect_right(self.starts, at) - 1
+        return self.before[k] + at - self.starts[k]
+
+    def after(self, digits: int) -> int:
+        """The place behind so many digits."""
+        k = bisect_left(self.before, digits) - 1
+        return self.starts[k] + digits - self.before[k]
+
+    def read(self, first: int, last: int) -> str:
+        """The digits from one number up to another."""
+        k, parts = bisect_right(self.before, first) - 1, []
+        while first < last:
+            stop = self.before[k + 1] if k + 1 < len(self.before) else self.digits
+            at = self.starts[k] - self.before[k]
+            upto = min(last, stop)
+            parts.append(self.text[at + first : at + upto])
+            first, k = upto, k + 1
+        return "".join(parts)
+
+
+class _Bytes:
+    """Bytes written in a stretch, decoded where they are looked at."""
+
+    def __init__(self, stretch: _Stretch, first: int, size: int) -> None:
+        self.stretch, self.first, self.size = stretch, first, size
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, part: slice) -> bytes:
+        start, stop, _ = part.indices(self.size)
+        code = self.stretch.code
+        # Three bytes are four digits of base64, one byte is two of hex.
+        octets, digits = (3, 4) if code.bits == 6 else (1, 2)
+        group = start // octets
+        last = min(-(-stop // octets) * digits, code.digits(self.size))
+        run = self.stretch.read(self.first + group * digits, self.first + last)
+        return code.decoded(run)[start - group * octets : stop - group * octets]
+
+
+def key_end(stretch: _Stretch, at: int) -> int | None:
+    """Where a key that begins at a place of the stretch ends, if one does.
+
+    Looks at few bytes: where the key says that it ends, the stretch has to hold it and a piece
+    to end; then the heads of its parts have to lead there."""
+    code, text, first = stretch.code, stretch.text, stretch.number(at)
+    size = _key_size(_Bytes(stretch, first, (stretch.digits - first) * code.bits // 8))
+    if size is None or code.digits(size) < KEY_RUN or first + code.digits(size) > stretch.digits:
         return None
-
-    def key_end(self, text: str, at: int) -> int | None:
-        """Where a key that begins at ``at`` ends, if one does."""
-
-        def head(count: int) -> bytes | None:
-            found = self.read(text, at, count)
-            return found and found[0]
-
-        size = _key_size(head)
-        if size is None or -(-size * 8 // self.bits) < KEY_RUN:
-            return None
-        found = self.read(text, at, size)
-        if not found or not self.end.match(text, found[1]) or not _is_key(found[0]):
-            return None
-        return _PADDING.match(text, found[1]).end() if self.bits == 6 else found[1]
+    end = stretch.after(first + code.digits(size))
+    if not code.end.match(text, end) or not _is_key(_Bytes(stretch, first, size)):
+        return None
+    return _PADDING.match(text, end).end() if code.bits == 6 else end
 
 
 _CODES = (
@@ -266,32 +320,35 @@ _CODES = (
 )
 
 
-def _key_size(head: Callable[[int], bytes | None]) -> int | None:
-    """How many bytes a key has by what it says itself; ``head`` gives its first ones."""
-    data = head(8)
-    if not data:
+def _key_size(data: _Bytes) -> int | None:
+    """How many bytes a key has by what its first ones say."""
+    head = data[:8]
+    if len(head) < 8:
         return None
-    if data[0] == _SEQUENCE:
-        more = data[1] & 0x7F if data[1] >= 0x80 else 0
-        if more > 4 or data[2 + more] != _INTEGER:
+    if head[0] == _SEQUENCE:
+        more = head[1] & 0x7F if head[1] >= 0x80 else 0
+        if more > 4 or head[2 + more] != _INTEGER:
             return None
-        return 2 + more + (int.from_bytes(data[2 : 2 + more], "big") if more else data[1])
-    if data != _OPENSSH[:8]:
+        return 2 + more + (int.from_bytes(head[2 : 2 + more], "big") if more else head[1])
+    if head != _OPENSSH[:8]:
         return None
+
+    def number(at: int) -> int | None:
+        found = data[at : at + 4]
+        return int.from_bytes(found, "big") if len(found) == 4 else None
+
     at = len(_OPENSSH)
     for _ in range(3):  # cipher, key derivation, its options
-        if not (data := head(at + 4)):
+        if (length := number(at)) is None:
             return None
-        at += 4 + int.from_bytes(data[at:], "big")
-    if not (data := head(at + 4)):
-        return None
-    keys, at = int.from_bytes(data[at:], "big"), at + 4
-    if not 1 <= keys <= 16:
+        at += 4 + length
+    if (keys := number(at)) is None or not 1 <= keys <= 16:
         return None
+    at += 4
     for _ in range(keys + 1):  # public keys, and the private ones together
-        if not (data := head(at + 4)):
+        if (length := number(at)) is None:
             return None
-        at += 4 + int.from_bytes(data[at:], "big")
+        at += 4 + length
     return at
 
 
@@ -315,16 +372,22 @@ def confirmed_spans(text: str) -> list[Span]:
     """Findings whose decoded content is built like a key or a signed token.
 
     A key may be wrapped over lines, in quotes or with escaped line breaks, with or without
-    armour; it is as long as its own lengths say, and its run ends there.
+    armour; it is as long as its own lengths say, and its run ends there. The time is in
+    proportion to the text, whatever lengths are claimed in it.
     """
     found, place = set(), KINDS.index("key")
     plain = _plain(text)
     if "-----BEGIN " in plain:
         found.update((start, place, end) for start, end in _armoured(plain))
     for code in _CODES:
-        done = 0
+        done, stretch = 0, None
         for m in code.start.finditer(plain):
-            if m.start() >= done and (end := code.key_end(plain, m.start())):
+            if m.start() < done:
+                continue
+            # No key begins in a gap, so every stretch is gone through once.
+            if stretch is None or m.start() >= stretch.end:
+                stretch = _Stretch(code, plain, m.start())
+            if end := key_end(stretch, m.start()):
                 found.add((m.start(), place, end))
                 done = end
     if plain.count(".") > 1:
@@ -343,7 +406,7 @@ def find_secrets(docs: DataFrame, text_col: str = "text", spans_col: str = "span
 
     Offsets count code points, the end is exclusive. ``confirmed`` findings come from decoded
     structure, the others from the base patterns; findings of different kinds may overlap.
-    Null and empty texts have none, and texts are read whole. Repeated rows are answered
+    Null and empty texts have none, and texts are read whole, in time proportional to them. Repeated rows are answered
     alike; a column of the name ``spans_col`` is replaced. An empty table gives an empty one.
     """
     kind = pa.list_(
