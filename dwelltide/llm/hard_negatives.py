@@ -83,16 +83,38 @@ class Tree:
         return np.array([min(max(s, LONG[0]), LONG[1]) for s in sums], dtype=np.int64)
 
 
-def best_first(
-    tree: Tree, query: np.ndarray, allowed: np.ndarray, lows: np.ndarray, highs: np.ndarray, k: int, seen: list | None = None
-) -> list[list[tuple[int, int]]]:
-    """For each window ``lows <= score <= highs`` the best ``k`` allowed rows as (score, id), ties to
-    the smaller id. ``seen`` collects the leaves that were read."""
+class Windows:
+    """The best ``k`` rows so far of each window ``low <= score <= high``, ties to the smaller id."""
+
+    def __init__(self, lows: list[int], highs: list[int], k: int) -> None:
+        self.highs, self.k = np.array(highs, dtype=np.int64), k
+        self.heaps: list[list[tuple[int, int]]] = [[] for _ in lows]
+        # Scores below these can't be among the best of their window.
+        self.floors = np.array(lows, dtype=np.int64)
+
+    def add(self, scores: np.ndarray, ids: np.ndarray, allowed: np.ndarray) -> None:
+        fits = allowed[:, None] & (scores[:, None] >= self.floors) & (scores[:, None] <= self.highs)
+        for w in np.flatnonzero(fits.any(axis=0)).tolist():
+            heap, at = self.heaps[w], np.flatnonzero(fits[:, w])
+            for found in zip(scores[at].tolist(), (-ids[at]).tolist()):
+                if len(heap) < self.k:
+                    heapq.heappush(heap, found)
+                elif found > heap[0]:
+                    heapq.heapreplace(heap, found)
+            if len(heap) == self.k:
+                self.floors[w] = max(self.floors[w], heap[0][0])
+
+    def best(self) -> list[list[tuple[int, int]]]:
+        """(score, id) of each window, best first."""
+        return [[(score, -minus) for score, minus in sorted(heap, reverse=True)] for heap in self.heaps]
+
+
+def best_first(tree: Tree, query: np.ndarray, allowed: np.ndarray, windows: Windows, seen: list | None = None) -> None:
+    """Adds a tree's allowed rows to the windows, as far as they are among the best. ``seen``
+    collects the leaves that were read."""
     exact = np.abs(query).sum() * tree.largest < EXACT
     up, down, size = np.maximum(query, 0), np.minimum(query, 0), np.abs(query)
-    heaps: list[list[tuple[int, int]]] = [[] for _ in lows]
-    # Scores below these can't be among the best of their window.
-    floors = lows.copy()
+    floors, highs = windows.floors, windows.highs
 
     def bounds(level: int, part: slice) -> tuple[np.ndarray, np.ndarray]:
         low, high = (box[part] for box in tree.levels[level])
@@ -115,7 +137,7 @@ def best_first(
             heapq.heappush(queue, (-best[i], level, first + i, upper[i], lower[i]))
 
     queue: list[tuple[float, int, int, float, float]] = []
-    if len(tree.ids) and len(lows):
+    if len(tree.ids) and len(floors):
         top = len(tree.levels) - 1
         push(top, 0, *bounds(top, slice(0, 1)))
     while queue:
@@ -130,18 +152,7 @@ def best_first(
         part = tree.rows(node)
         if seen is not None:
             seen.append(node)
-        scores = tree.scores(part, query, exact)
-        fits = allowed[part][:, None] & (scores[:, None] >= floors) & (scores[:, None] <= highs)
-        for w in np.flatnonzero(fits.any(axis=0)).tolist():
-            heap, at = heaps[w], np.flatnonzero(fits[:, w])
-            for found in zip(scores[at].tolist(), (-tree.ids[part][at]).tolist()):
-                if len(heap) < k:
-                    heapq.heappush(heap, found)
-                elif found > heap[0]:
-                    heapq.heapreplace(heap, found)
-            if len(heap) == k:
-                floors[w] = max(floors[w], heap[0][0])
-    return [[(score, -minus) for score, minus in sorted(heap, reverse=True)] for heap in heaps]
+        windows.add(tree.scores(part, query, exact), tree.ids[part], allowed[part])
 
 
 def _runs(rows: DataFrame, trees: int) -> DataFrame:
@@ -209,7 +220,7 @@ def _trees(table: pa.Table) -> Iterator[tuple[int, Tree]]:
 
 
 def _search(trees: DataFrame, anchors: DataFrame, groups: int, stripes: int, k: int, same: bool) -> DataFrame:
-    """``(anchor_id, place, other_id, score)``: the best ``k`` of every tree for every window of
+    """``(anchor_id, place, other_id, score)``: the best ``k`` of all trees for every window of
     ``anchors(id, label, vector, lows, highs)``; rows of the same label, or those of others."""
     asking = anchors.select(
         F.pmod(F.xxhash64("id"), F.lit(groups)).alias("group"),
@@ -224,19 +235,20 @@ def _search(trees: DataFrame, anchors: DataFrame, groups: int, stripes: int, k:
 
     def cell(asked: pa.Table, held: pa.Table) -> pa.Table:
         rows = asked.select(["id", "label", "vector", "lows", "highs"]).to_pylist()
-        found = []
+        # All trees of the cell fill the same windows, so a later one is searched less.
+        windows = [Windows(r["lows"], r["highs"], k) for r in rows]
+        queries = [np.floor(np.array(r["vector"], dtype=np.float64)) for r in rows]
         for width, tree in _trees(held):
-            for r in rows:
-                if len(r["vector"]) != width:
+            for r, query, kept in zip(rows, queries, windows):
+                if len(query) != width:
                     continue
                 alike = tree.labels == r["label"]
                 allowed = (alike if same else ~alike) & (tree.ids != r["id"])
-                if not allowed.any():
-                    continue
-                windows = [np.array(r[c], dtype=np.int64) for c in ("lows", "highs")]
-                query = np.floor(np.array(r["vector"], dtype=np.float64))
-                best = best_first(tree, query, allowed, *windows, k)
-                found += [(r["id"], w, i, s) for w, rows_ in enumerate(best) for s, i in rows_]
+                if allowed.any():
+                    best_first(tree, query, allowed, kept)
+        found = [
+            (r["id"], w, i, s) for r, kept in zip(rows, windows) for w, best in enumerate(kept.best()) for s, i in best
+        ]
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
         columns = list(zip(*found)) if found else [[], [], [], []]
         arrays = [pa.array(c, type=t) for c, t in zip(columns, types)]

@@ -105,14 +105,20 @@ def test_search_reads_few_leaves_of_clustered_rows(monkeypatch):
     query, every = vectors[0], np.ones(4000, dtype=bool)
     scores = tree.vectors @ query
     top = int(scores.max())
-    lows, highs = np.array([-top, int(0.3 * top)]), np.array([top, int(0.5 * top)])
-    seen = []
-    found = H.best_first(tree, query, every, lows, highs, 5, seen)
-    for (low, high), best in zip(zip(lows, highs), found):
+    lows, highs = [-top, int(0.3 * top)], [top, int(0.5 * top)]
+    seen, windows = [], H.Windows(lows, highs, 5)
+    H.best_first(tree, query, every, windows, seen)
+    for low, high, best in zip(lows, highs, windows.best()):
         pairs = sorted((-int(s), int(i)) for s, i in zip(scores, tree.ids) if low <= s <= high)[:5]
         assert best == [(-s, i) for s, i in pairs]
     assert len(seen) == len(set(seen)) < len(tree.levels[0][0]) / 4
-    assert H.best_first(tree, query, ~every, lows, highs, 5) == [[], []]
+    # A second tree with the same rows has little to add, and is hardly read.
+    again = []
+    H.best_first(tree, query, tree.ids % 2 == 0, windows, again)
+    assert len(again) <= len(seen)
+    none = H.Windows(lows, highs, 5)
+    H.best_first(tree, query, ~every, none)
+    assert none.best() == [[], []]
 
 
 def test_query_matches_sql(spark, sf_dir, llm, duck):
