@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dwelltide.llm.rows import columns, quoted, row_hash
 from dwelltide.llm.words import word_count, words
 from dwelltide.session import shared_folder
 
@@ -70,13 +71,7 @@ def _tie(text: Column) -> Column:
 
 def _row(docs: DataFrame) -> Column:
     """The place of a row among rows of the same key and text, by all its columns: 60 bits."""
-    parts = []
-    for name, kind in docs.dtypes:
-        column = F.col(f"`{name.replace('`', '``')}`")
-        if kind.startswith(("array", "map", "struct", "variant")):
-            column = F.to_json(F.struct(column), {"ignoreNullFields": "false"})
-        parts += [column.isNull(), column]
-    return F.shiftrightunsigned(F.xxhash64(*parts), 64 - KEY_BITS)
+    return F.shiftrightunsigned(row_hash(docs), 64 - KEY_BITS)
 
 
 def _sent(rows: DataFrame, count: int) -> DataFrame:
@@ -400,12 +395,12 @@ def mixed(docs: DataFrame, mix: Mix, shard_col: str | None = None) -> DataFrame:
     without words are in no mix. A task gets a range of a shard's random order, of about
     ``WORDS_PER_TASK`` words however large the shard is, and sorts it.
     """
-    text, own = F.col(f"doc.`{mix.text_col}`").cast("string"), docs.columns
+    text, own = F.col(f"doc.{quoted(mix.text_col)}").cast("string"), docs.columns
     unit = mix.units.select(
         F.col("source").alias("u_source"), F.col("pass").alias("u_pass"), F.col("block").alias("u_block"), "shard"
     )
     rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in own)).alias("doc"),
+        F.struct(*columns(docs)).alias("doc"),
         F.col(mix.source_col).cast("string").alias("source"),
         _key(mix.id_col, mix.seed).alias("key"),
         _tie(F.col(mix.text_col).cast("string")).alias("tie"),
@@ -426,14 +421,14 @@ def mixed(docs: DataFrame, mix: Mix, shard_col: str | None = None) -> DataFrame:
     )
     cut = _ends_here() & (F.col("pass") > F.col("passes")) & (F.col("last") < F.col("size"))
     first = F.array_join(F.slice(words(text), 1, F.col("last").cast("int")), " ")
-    columns = [
-        (F.when(cut, first).otherwise(text) if c == mix.text_col else F.col(f"doc.`{c}`")).alias(c)
+    kept = [
+        (F.when(cut, first).otherwise(text) if c == mix.text_col else F.col(f"doc.{quoted(c)}")).alias(c)
         for c in own
     ]
     place = F.xxhash64(F.lit(mix.seed), *ORDER, "copy", "pass")
     part = F.floor((F.col("place") / 2.0**64 + 0.5) * mix.tasks_per_shard)
     return (
-        rows.select(F.struct(*columns).alias("doc"), "shard", place.alias("place"))
+        rows.select(F.struct(*kept).alias("doc"), "shard", place.alias("place"))
         .withColumn("part", part)
         .repartition("shard", "part")
         .sortWithinPartitions("shard", "place")

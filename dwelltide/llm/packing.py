@@ -125,20 +125,23 @@ def pack_sequences(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, chunk = TaskContext.get().partitionId(), 0
+        ids, texts, held, words_held = [], [], [], 0
+        # However Spark cuts the rows into batches, those packed together are the same.
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            held: list[tuple[int, int, int, int, int]] = []
-            rows_held = words_held = 0
+            id_type = batch.column(0).type
             for row in range(batch.num_rows):
-                text = texts[row].as_py() or ""
-                for number, (start, end, words) in enumerate(_pieces(text, lengths[-1])):
-                    held.append((row, number, start, end, words))
+                text = batch.column(1)[row].as_py()
+                for number, (start, end, words) in enumerate(_pieces(text or "", lengths[-1])):
+                    held.append((len(ids), number, start, end, words))
                     words_held += words
-                rows_held += 1
-                if rows_held == ROWS_TOGETHER or words_held >= WORDS_TOGETHER or row == batch.num_rows - 1:
-                    yield packed(ids, texts, held, f"{task}-{chunk}")
+                ids.append(batch.column(0)[row].as_py())
+                texts.append(text if with_text else None)
+                if len(ids) == ROWS_TOGETHER or words_held >= WORDS_TOGETHER:
+                    yield packed(pa.array(ids, type=id_type), texts, held, f"{task}-{chunk}")
                     chunk += 1
-                    held, rows_held, words_held = [], 0, 0
+                    ids, texts, held, words_held = [], [], [], 0
+        if ids:
+            yield packed(pa.array(ids, type=id_type), texts, held, f"{task}-{chunk}")
 
     def packed(ids, texts, held, name: str) -> pa.RecordBatch:
         where, sizes = packed_together([h[4] for h in held], lengths)
@@ -160,7 +163,7 @@ def pack_sequences(
             pa.array([filled[b] for b in where], pa.int64()),
         ]
         if with_text:
-            whole = [texts[r].as_py() for r in row]
+            whole = [texts[r] for r in row]
             cut = [t if t is None else t[s:e] for t, s, e in zip(whole, start, end)]
             columns.append(pa.array(cut, pa.string()))
         return pa.RecordBatch.from_arrays(columns, names=names)

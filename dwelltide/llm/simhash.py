@@ -249,6 +249,7 @@ def near_duplicates(
     text_col: str = "text",
     shingle: int = 3,
     max_bits: int = 2,
+    print_col: str | None = None,
 ) -> DataFrame:
     """``(id, fingerprint, component, stays, copies)`` of every row of ``docs``.
 
@@ -259,14 +260,18 @@ def near_duplicates(
 
     Null and empty texts have no words and the fingerprint 0, linked like any other. A text
     of fewer words than a shingle is one shingle. Repeated rows each keep a row. An empty
-    table gives an empty one. Other columns are not read.
+    table gives an empty one. Other columns are not read. If ``print_col`` holds the
+    fingerprints already, the texts are not read either.
 
     Equal fingerprints are one row from the first aggregation on, so a group of copies of
     any size weighs as much as one text; only the last join sees its rows, and it needs no
     rows of a key together.
     """
     shared_folder(docs.sparkSession)
-    rows = fingerprints(docs, id_col, text_col, shingle).checkpoint()
+    if print_col:
+        rows = docs.select(F.col(id_col).alias("id"), F.col(print_col).alias("fingerprint"))
+    else:
+        rows = fingerprints(docs, id_col, text_col, shingle).checkpoint()
     best = F.struct(F.col("id").isNull().alias("unknown"), "id", "fingerprint", "copies")
     kinds = rows.groupBy("fingerprint", "id").agg(F.count(F.lit(1)).alias("copies"))
     prints = kinds.groupBy("fingerprint").agg(F.min(best).alias("best")).checkpoint()

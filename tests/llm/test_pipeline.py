@@ -4,6 +4,7 @@ import corpus_pipeline
 import pytest
 from dwelltide.llm import secret_scan
 from dwelltide.llm.simhash import simhash
+from dwelltide.session import settings
 
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -71,6 +72,47 @@ def test_odd_documents(spark, sf_dir, number):
     assert empty.collect() == []
 
 
+#: Columns called like those of operators, and of types that have no order.
+ODD = (
+    ", score double, lang_pred string, lang_accepted string, _spans string, spans string, `a.b` string, `t``ick` int,"
+    " row string, doc string, source_size long, found int, copies long, props map<string,int>, list array<struct<x:int>>"
+)
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_columns_of_any_name_and_type_stay(spark, sf_dir, number):
+    more = lambda i: (
+        i + 0.5, f"p{i}", "yes", f"_s{i}", f"s{i}", f"ab{i}", i, "r", "d", i, i, i, {"k": i, "l": None}, [(i,), (None,)],
+    )
+    text = "the quick brown fox and the words of a text that goes on"
+    rows = [(i, f"{text} {chr(97 + i) * 5} {i * i} {i * 31 % 7}" * 3, "en", "s", 9, *more(i)) for i in range(12)]
+    rows += [rows[3], rows[3], (4, rows[4][1], "en", "s", 9, *more(40)), (None, rows[5][1], "en", "s", 9, *more(41))]
+    rows.append((50, None, None, None, None, *[None] * 14))
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.shuffle.partitions")}
+    docs = spark.createDataFrame(rows, DOCUMENT + ODD)
+    found = corpus_pipeline.STAGES[number][1](spark, docs, sf_dir)
+    assert found.columns == docs.columns
+    given = {}
+    for r in docs.collect():
+        given.setdefault(r["doc_id"], []).append(list(r)[5:])
+    kept = found.collect()
+    assert kept and all(list(r)[5:] in given[r["doc_id"]] for r in kept)
+    assert before == {k: spark.conf.get(k, None) for k in before}
+    assert found.limit(0).collect() == [] and docs.dtypes == found.dtypes
+    if number == 1:
+        # Texts that differ by a few words may be near; each class keeps one row.
+        assert len(kept) == len({r["doc_id"] for r in kept}) == len({simhash(r["text"]) for r in kept})
+
+
+def test_packing_does_not_depend_on_batches(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = []
+    for size in ("10000", "100", "7"):
+        with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": size}):
+            found.append(sorted(map(tuple, corpus_pipeline.best_fit_packing(spark, docs, sf_dir).collect())))
+    assert found[0] == found[1] == found[2]
+
+
 def test_each_class_of_null_and_repeated_ids_keeps_one(spark, sf_dir):
     texts = [" ".join(f"{t}{i * i % 97}" for i in range(60)) for t in "abcdef"]
     a, b, c, d, e, f = texts
