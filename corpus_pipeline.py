@@ -3,12 +3,16 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as
 Parquet and read again as the next one's documents. All but the last return the columns of
 documents.
+
+Documents may have further columns, of any name and type, those of an operator's own results and
+names with dots included: a stage carries the whole row as one column past its operator.
+Nulls may stand in any column. Repeated rows are documents of their own, but for the
+near-duplicate stage, which keeps one of them. An empty table gives an empty one. Stages leave
+the session's settings as they are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,80 +20,92 @@ from dwelltide.llm import secret_scan
 from dwelltide.llm.language import identify_languages, learn_languages
 from dwelltide.llm.mixing import mixed, plan_mix
 from dwelltide.llm.packing import pack_sequences
+from dwelltide.llm.rows import carried, quoted, row_hash, unpacked
 from dwelltide.llm.simhash import fingerprint, near_duplicates
-from dwelltide.session import run_folder, settings
+from dwelltide.session import run_folder
 
-#: Documents per Arrow batch: they are long, and a batch stands in memory several times on its
-#: way to Python and back.
-BATCH_ROWS = "1000"
-BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
-#: Words of a shingle of the near-duplicate stage.
-SHINGLE = 3
+#: Words of a shingle of the near-duplicate stage, and bits by which fingerprints may differ.
+SHINGLE, MAX_BITS = 3, 2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the corpus teaches stay, and take the language found:
-    without a letter, or too far from every learned language, they go."""
-    found = identify_languages(docs, learn_languages(docs))
-    columns = [F.col("lang_pred").alias(c) if c == "lang" else F.col(c) for c in docs.columns]
-    return found.filter("lang_accepted").select(*columns)
-
+    without a letter, or too far from every learned language, they go.
 
-def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates stays: the one of the smallest id."""
-    return _one_of_each(docs, near_duplicates(docs, shingle=SHINGLE, max_bits=2).checkpoint())
+    Null and empty texts have no letter. Texts are read whole, however long. Languages equally
+    near go by name, so repeated rows are answered alike. Documents of a null language teach
+    nothing, and are answered. Columns called like the operator's results stay.
+    """
+    found = identify_languages(carried(docs, F.col("text")), learn_languages(docs))
+    return unpacked(found.filter("lang_accepted"), docs.columns, lang=F.col("lang_pred"))
 
 
-def _one_of_each(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    staying = rows.filter("stays").select(
-        F.col("doc_id").alias("kept_id"), F.col("fingerprint").alias("kept_print"), "copies"
-    ).distinct()
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates stays: the one of the smallest id, null last.
+
+    Null and empty texts are alike, and one of them stays. Of several rows of that id in a
+    class, repeated or not, the one of the smallest hash over all columns stays, whatever types
+    these have. Null ids stand in as many classes as their texts do. Fingerprints are computed once,
+    and written beside the documents.
+    """
+    marked = f"{run_folder(spark, 'prints')}/documents"
+    rows = carried(
+        docs, F.col("doc_id").alias("id"), fingerprint(F.col("text"), SHINGLE).alias("print"), row_hash(docs).alias("tie")
+    )
+    rows.write.parquet(marked)
+    rows = spark.read.parquet(marked)
+    classes = near_duplicates(rows, id_col="id", print_col="print", max_bits=MAX_BITS)
+    staying = classes.filter("stays").select(
+        F.col("id").alias("kept_id"), F.col("fingerprint").alias("kept_print"), "copies"
+    ).distinct().checkpoint()
     # Null and repeated ids stand in several classes: only id and fingerprint name one.
-    of_class = F.col("row.doc_id").eqNullSafe(F.col("kept_id")) & (F.col("print") == F.col("kept_print"))
-    row = F.struct(*(F.col(c) for c in docs.columns)).alias("row")
-    kept = docs.select(row, fingerprint(docs["text"], SHINGLE).alias("print")).join(staying, of_class)
-    alone = kept.filter("copies = 1").select("row.*")
-    if staying.filter("copies > 1").isEmpty():
-        return alone
-    # Several rows of an id in a class: one of them, the first by its columns.
-    repeated = kept.filter("copies > 1").groupBy("kept_id", "kept_print").agg(F.min("row").alias("row"))
-    return alone.unionByName(repeated.select("row.*"))
+    of_class = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("print") == F.col("kept_print"))
+    kept = rows.join(staying, of_class)
+    alone = kept.filter("copies = 1").select("row")
+    if not staying.filter("copies > 1").isEmpty():
+        repeated = kept.filter("copies > 1").groupBy("kept_id", "kept_print")
+        alone = alone.unionByName(repeated.agg(F.min_by("row", "tie").alias("row")).select("row"))
+    return unpacked(alone, docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents stay; a secret's kind in brackets stands in its place."""
-    cleaned = secret_scan.redact(secret_scan.find_secrets(docs, spans_col="_spans"), spans_col="_spans")
-    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """All documents stay; a secret's kind in brackets stands in its place, and ``n_chars`` follows.
 
+    Null and empty texts have no secrets and stay as they are. Texts are read whole, in time
+    proportional to them. Overlapping findings become one. Repeated rows are answered alike.
+    """
+    found = secret_scan.redact(secret_scan.find_secrets(carried(docs, F.col("text"))))
+    return unpacked(found, docs.columns, text=F.col("text"), n_chars=F.length("text").cast("long"))
 
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources in their target proportions: a document stands there as often as it is taken."""
-    mix = mixed(docs, plan_mix(docs))
-    return mix.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources in their target proportions: a document stands there as often as it is taken.
 
-def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece of a document, with its text and its place in a packed sequence."""
-    return pack_sequences(docs, with_text=True)
+    A null source is a source; null texts and texts without words go. Of the one document in which a
+    source's last pass ends, its first words stay, and ``n_chars`` follows. Rows of one id, repeated or
+    not, are placed by text, then by a hash over all columns, and are taken one by one.
+    """
+    mix = carried(mixed(docs, plan_mix(docs)))
+    n_chars = F.length(f"row.{quoted('text')}").cast("long")
+    return unpacked(mix, docs.columns, n_chars=n_chars)
 
 
-def _in_small_batches(
-    stage: Callable[[SparkSession, DataFrame, str], DataFrame],
-) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        # Spark reads it when the stage's result is written, so it stays set.
-        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
-        return stage(spark, docs, sf_dir)
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per piece of a document, with its text and its place in a packed sequence.
 
-    return run
+    Null texts, and those without words, are one piece of no words. Long texts are cut between
+    words into pieces that are the whole text together. Repeated rows are packed each. Pieces of
+    equal length go to the bin opened first. Columns but id and text are not read.
+    """
+    return pack_sequences(docs, with_text=True)
 
 
 STAGES = [
-    ("language_id", _in_small_batches(language_id)),
-    ("simhash_near_dedup", _in_small_batches(simhash_near_dedup)),
-    ("secret_scan", _in_small_batches(redact_secrets)),
-    ("source_mixing", _in_small_batches(mix_sources)),
-    ("best_fit_packing", _in_small_batches(best_fit_packing)),
+    ("language_id", language_id),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("secret_scan", redact_secrets),
+    ("source_mixing", mix_sources),
+    ("best_fit_packing", best_fit_packing),
 ]
 
 # Hashes, trained centroids and bins have no SQL; tests compare with brute force instead.
@@ -100,9 +116,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each from the files of the one before."""
     folder = run_folder(spark, "corpus")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    with settings(spark, {BATCH_SETTING: BATCH_ROWS}):
-        for number, (name, stage) in enumerate(STAGES):
-            path = f"{folder}/{number}-{name}"
-            stage(spark, docs, sf_dir).write.parquet(path)
-            docs = spark.read.parquet(path)
+    for number, (name, stage) in enumerate(STAGES):
+        path = f"{folder}/{number}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
