@@ -11,7 +11,7 @@ import sys
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryProgress
@@ -19,13 +19,14 @@ from pyspark.sql.streaming.listener import StreamingQueryProgress
 ROOT = str(Path(__file__).resolve().parent)
 sys.path.insert(0, ROOT)
 
-from dwelltide.functions.measures import Accumulator, Measure
+from dwelltide.functions.clock import lag_seconds
+from dwelltide.functions.measures import Accumulator, Measure, distinct_count
 from dwelltide.functions.payload import (
     decode_payload,
     encode_payload,
     partition_key,
 )
-from dwelltide.functions.proto_json import proto_json
+from dwelltide.functions.proto_json import from_proto_json, proto_json
 from dwelltide.operators.buckets import assign_buckets, find_buckets, hash_bucket
 from dwelltide.operators.latency import latency_histogram
 from dwelltide.operators.latest import latest_values, newest_per_key
@@ -45,9 +46,22 @@ from dwelltide.session import STATEFUL_SETTINGS, run_folder, settings
 from dwelltide.sources.decode import decode_json, split_malformed
 from dwelltide.sources.streams import Stream, from_latest, preset, text_stream
 from dwelltide.streaming.early import early_sessions
-from dwelltide.streaming.folders import file_system
-from dwelltide.streaming.metrics import LAG_BOUNDS, latency_measures, metrics_table
-from dwelltide.streaming.sinks import FeatureSinks, decode_log, read_log
+from dwelltide.streaming.metrics import (
+    LAG_BOUNDS,
+    latency_measures,
+    latency_over,
+    metrics_table,
+    observe_latency,
+)
+from dwelltide.streaming.open_sessions import OpenSessions, union_of
+from dwelltide.streaming.sinks import (
+    PUT_BYTES,
+    PUT_RECORDS,
+    FeatureSinks,
+    decode_log,
+    read_log,
+    write_log_batch,
+)
 
 try:
     import corpus_pipeline
@@ -154,7 +168,8 @@ def latency_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("percentiles_s")[i] / 86_400).alias(f"p{p}_days")
         for i, p in enumerate((50, 95, 99))
     ]
-    return found.select(*[c for c in found.columns if c != "percentiles_s"], *places)
+    left_out = ("percentiles_s", "sketch")
+    return found.select(*[c for c in found.columns if c not in left_out], *places)
 
 
 def from_latest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,6 +229,15 @@ def proto_json_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", proto_json(rows).alias("json"))
 
 
+def proto_json_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON lines read back, nested and in an array too."""
+    rows = _raw_events(_table(spark, sf_dir, "events"))
+    nested = rows.select("event_id", F.struct(*rows.columns).alias("whole_event"), F.array(F.struct("user_id", "view_time")).alias("parts"))
+    text = nested.select(proto_json(nested).alias("json"))
+    read = text.select(from_proto_json(F.col("json"), nested.schema).alias("row")).select("row.*")
+    return read.select("event_id", "whole_event.event_type", F.col("parts")[0].user_id.alias("user_id"), "whole_event.view_time", "whole_event.recv_timestamp")
+
+
 def payload_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events")
     payloads = events.select(encode_payload(events.columns).alias("payload"))
@@ -284,6 +308,12 @@ def two_column_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Streams: run to the end of the present input, result read back from the sink --------
 
 
+#: Of the feature tables here, which are small.
+TABLE_BUCKETS = 8
+
+KINDS = distinct_count("n_types", "event_type")
+
+
 def _job_folders(spark: SparkSession) -> JobFolders:
     return JobFolders(run_folder(spark, "jobs"), "device_features")
 
@@ -309,7 +339,7 @@ def _run_job(
 ARRIVALS = 8
 
 
-def _arrive(spark: SparkSession, sf_dir: str, folder: str, first: int, last: int) -> None:
+def _arrive(spark: SparkSession, sf_dir: str, folder: str, first: int, last: int, which: str = "true") -> None:
     """Flat events as files of the stream ``flat``, each an eighth of the time covered, in the
     order in which they come: up to an hour and a half after their time, so that every file
     holds rows that lie before the end of the one before, and rows that join its sessions."""
@@ -326,14 +356,17 @@ def _arrive(spark: SparkSession, sf_dir: str, folder: str, first: int, last: int
         F.col("at").alias("recv_timestamp"),
         arrival.alias("arrival"),
     ).filter(F.col("arrival").between(first, last - 1))
+    rows = rows.filter(F.expr(which.replace("user_id", "cast(device_id as bigint)")))
     rows.repartition(ARRIVALS, "arrival").write.mode("append").partitionBy("arrival").parquet(
         f"{folder}/flat"
     )
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     for number in range(first, last):
-        fs, path = file_system(spark, f"{folder}/flat/arrival={number}")
-        for file in fs.listStatus(path) if fs.exists(path) else []:
+        path = hadoop(f"{folder}/flat/arrival={number}")
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for file in files.listStatus(path) if files.exists(path) else []:
             # Files are read in order of their times.
-            fs.setTimes(file.getPath(), 1_700_000_000_000 + 1000 * number, -1)
+            files.setTimes(file.getPath(), 1_700_000_000_000 + 1000 * number, -1)
 
 
 def _run_in_two_goes(
@@ -358,8 +391,8 @@ def stream_running_query(gap: str) -> Callable[[SparkSession, str], DataFrame]:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         events = _flat_stream(spark, sf_dir)
-        folders, _ = _run_job(spark, start_running, events, gap)
-        table = feature_table(running_features(events, gap), folders.table)
+        folders, _ = _run_job(spark, start_running, events, gap, buckets=TABLE_BUCKETS)
+        table = feature_table(running_features(events, gap), folders.table, TABLE_BUCKETS)
         return _millis(table.latest(spark))
 
     return run
@@ -369,7 +402,7 @@ def stream_log_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Early results, from the record log: of each session the newest record."""
     events = _flat_stream(spark, sf_dir)
     features = running_features(events, "6 hours")
-    folders, _ = _run_job(spark, start_running, events, "6 hours")
+    folders, _ = _run_job(spark, start_running, events, "6 hours", buckets=TABLE_BUCKETS)
     rows = decode_log(read_log(spark, folders.log), features.schema)
     order = ["batch_id", "last_recv_ts", "n_views", "closed"]
     newest = newest_per_key(rows, ["device_id", "session_start"], order)
@@ -393,19 +426,128 @@ def stream_final_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _closed(spark, _run_job(spark, start_final, events, "6 hours")[0])
 
 
-def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Early results of late and bridging rows in many micro-batches, with a restart and
-    compactions amid them, from the feature table."""
-    folders, events = _run_in_two_goes(
-        spark, sf_dir, start_running, "6 hours", compact_every=3
+def stream_restart_query(state: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Early results of late and bridging rows in many micro-batches, with a restart amid them,
+    from the feature table; open sessions keyed or in a table."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        how = {"state": state, "buckets": TABLE_BUCKETS}
+        folders, events = _run_in_two_goes(spark, sf_dir, start_running, "6 hours", **how)
+        table = feature_table(running_features(events, "6 hours"), folders.table, TABLE_BUCKETS)
+        return _millis(table.latest(spark))
+
+    return run
+
+
+def stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources, of which one falls silent halfway: after a minute event time goes on without
+    it, and sessions close by the other. The clock goes half a minute per micro-batch."""
+    folder, folders = run_folder(spark, "sources"), _job_folders(spark)
+    _arrive(spark, sf_dir, f"{folder}/steady", 0, ARRIVALS, "user_id % 2 = 0")
+    _arrive(spark, sf_dir, f"{folder}/silent", 0, ARRIVALS // 2, "user_id % 2 = 1")
+    once = {"maxFilesPerTrigger": "1"}
+    events = union_of({name: preset("flat", f"{folder}/{name}").source(spark, once) for name in ("steady", "silent")})
+    began, asked = 1_700_000_000_000, []
+
+    def clock() -> int:
+        asked.append(1)
+        return began + 30_000 * len(asked)
+
+    how = {"state": "table", "source": "source", "sources": ("steady", "silent"), "clock": clock}
+    _run_job(spark, start_running, events, "6 hours", folders, buckets=TABLE_BUCKETS, **how)
+    schema = running_features(preset("flat", f"{folder}/steady").source(spark), "6 hours").schema
+    closed = decode_log(read_log(spark, folders.log), schema).filter("closed")
+    return _millis(closed)
+
+
+def _latest_kinds(spark: SparkSession, events: DataFrame, state: str | None) -> DataFrame:
+    measures = [KINDS]
+    if state is None:
+        return session_features(events, "6 hours", measures=measures)
+    folder = run_folder(spark, "kinds")
+    sessions = OpenSessions(spark, f"{folder}/open", events.schema, "6 hours", "2 hours", measures=measures, buckets=TABLE_BUCKETS)
+    table = feature_table(sessions.features_schema(spark), f"{folder}/table", TABLE_BUCKETS)
+    sessions.sink = FeatureSinks(table)
+    query = (
+        events.writeStream.option("checkpointLocation", f"{folder}/checkpoint")
+        .foreachBatch(sessions).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return table.latest(spark)
+
+
+def session_kinds_query(streaming: bool) -> Callable[[SparkSession, str], DataFrame]:
+    """How many types of events a session has, by sketches that merge; of so few the estimate is
+    exact."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        stream = Stream(sf_dir, EVENTS, options={"pathGlobFilter": "events.parquet"})
+        events = stream.source(spark) if streaming else _table(spark, sf_dir, "events")
+        rows = events.select(
+            F.col("user_id").cast("string").alias("device_id"),
+            F.unix_millis(F.col("ts").cast("timestamp")).alias("recv_timestamp"),
+            "event_type",
+        )
+        return _millis(_latest_kinds(spark, rows, "table" if streaming else None))
+
+    return run
+
+
+def stream_latency_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of all micro-batches together, from the sketch that each left in the metrics
+    table: whether their ranks are right to 2 %, as the sketch's size promises."""
+    folder = run_folder(spark, "latency")
+    _arrive(spark, sf_dir, folder, 0, ARRIVALS)
+    flat = preset("flat", folder)
+    views = view_input(flat.source(spark, {"maxFilesPerTrigger": "1"}))
+    with metrics_table(spark, f"{folder}/metrics"):
+        query = (
+            observe_latency(views, now_ms=NOW_MS).writeStream.format("noop").queryName("latency")
+            .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    reports = spark.read.parquet(f"{folder}/metrics").filter("query = 'latency'")
+    merged = latency_over(reports).first()
+    lag = lag_seconds("recv_timestamp", NOW_MS)
+    places = []
+    for p, value in zip((50, 95, 99), merged["percentiles_s"]):
+        below, upto = F.count_if(lag < value) / F.count(F.lit(1)), F.count_if(lag <= value) / F.count(F.lit(1))
+        places.append(((below <= p / 100 + 0.02) & (upto >= p / 100 - 0.02)).alias(f"p{p}_within"))
+    known = [F.lit(merged[c]).alias(c) for c in ("n", "min_s", "max_s")]
+    return view_input(flat.table(spark)).agg(*places).select(*known, "*")
+
+
+def log_puts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written to the log, and how they would be put: batches over a limit, and batches that
+    the next record would have fitted into."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = f"{run_folder(spark, 'log')}/log"
+    write_log_batch(documents, 0, path, ["doc_id"], writers=4)
+    records = read_log(spark, path).select("writer", "put", F.octet_length("payload").cast("long").alias("size"), "payload", "partition_key")
+    order = Window.partitionBy("writer").orderBy("partition_key", "payload")
+    firsts = records.select("writer", "put", "size", F.row_number().over(order).alias("place"))
+    puts = firsts.groupBy("writer", "put").agg(
+        F.count(F.lit(1)).alias("records"), F.sum("size").alias("bytes"), F.min_by("size", "place").alias("first_size")
+    )
+    following = F.lead("first_size").over(Window.partitionBy("writer").orderBy("put"))
+    room = (F.col("records") < PUT_RECORDS) & (F.col("bytes") + F.col("next_size") <= PUT_BYTES)
+    return puts.withColumn("next_size", following).agg(
+        F.sum("records").alias("n_records"),
+        F.count_if((F.col("records") > PUT_RECORDS) | (F.col("bytes") > PUT_BYTES)).alias("n_over"),
+        F.count_if(room).alias("n_needless"),
     )
-    table = feature_table(running_features(events, "6 hours"), folders.table)
-    return _millis(table.latest(spark))
 
 
-def stream_final_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Closed sessions of the same, from the record log."""
-    return _closed(spark, _run_in_two_goes(spark, sf_dir, start_final, "6 hours")[0])
+def stream_final_restart_query(merge_late: bool) -> Callable[[SparkSession, str], DataFrame]:
+    """Closed sessions of the same, from the record log; by Spark's session windows, or by the
+    keyed state, which merges late rows before it judges them."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        how = {"merge_late": merge_late}
+        return _closed(spark, _run_in_two_goes(spark, sf_dir, start_final, "6 hours", **how)[0])
+
+    return run
 
 
 def stream_emitted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -463,8 +605,7 @@ def stream_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     timed = with_event_time(_parts(events.source(spark)), "2 hours")
     features = early_sessions(timed, "6 hours", measures=FRACTIONS)
     folder = run_folder(spark, "fractions")
-    table = feature_table(features, f"{folder}/table")
-    table.create(spark)
+    table = feature_table(features, f"{folder}/table", TABLE_BUCKETS)
     with settings(spark, STATEFUL_SETTINGS):
         query = (
             features.writeStream.outputMode("update")
@@ -568,8 +709,16 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_running_180d": stream_running_query("180 days"),
         "stream_log_6h": stream_log_query,
         "stream_final_6h": stream_final_query,
-        "stream_restart_6h": stream_restart,
-        "stream_final_restart_6h": stream_final_restart,
+        "stream_restart_6h": stream_restart_query("keyed"),
+        "stream_table_restart_6h": stream_restart_query("table"),
+        "stream_two_sources_6h": stream_two_sources,
+        "stream_final_restart_6h": stream_final_restart_query(False),
+        "stream_merged_restart_6h": stream_final_restart_query(True),
+        "stream_latency_merged": stream_latency_merged,
+        "session_kinds_6h": session_kinds_query(False),
+        "stream_kinds_6h": session_kinds_query(True),
+        "log_puts": log_puts,
+        "proto_json_read": proto_json_read,
         "stream_emitted": stream_emitted,
         "session_fractions_6h": session_fractions,
         "session_means_6h": session_means,
@@ -684,6 +833,51 @@ FROM numbered GROUP BY device_id, session_no
 """
 
 
+def _kinds_sql(gap_ms: int) -> str:
+    return f"""
+WITH marked AS (
+  SELECT CAST(user_id AS VARCHAR) AS device_id, event_type, epoch_us(ts) // 1000 AS recv_timestamp,
+         epoch_us(ts) // 1000 - lag(epoch_us(ts) // 1000) OVER (PARTITION BY user_id ORDER BY ts) AS pause
+  FROM events
+),
+numbered AS (
+  SELECT *, sum(CASE WHEN pause <= {gap_ms} THEN 0 ELSE 1 END) OVER (
+           PARTITION BY device_id ORDER BY recv_timestamp ROWS UNBOUNDED PRECEDING) AS session_no
+  FROM marked
+)
+SELECT device_id, min(recv_timestamp) AS session_start_ms, max(recv_timestamp) + {gap_ms} AS session_end_ms,
+       min(recv_timestamp) AS first_recv_ts, max(recv_timestamp) AS last_recv_ts,
+       count(DISTINCT event_type) AS n_types
+FROM numbered GROUP BY device_id, session_no
+"""
+
+
+def _two_sources_sql(gap_ms: int) -> str:
+    """Odd users up to the fourth arrival only; sessions that the even ones' time has closed."""
+    return (
+        f"""
+WITH timed AS (
+  SELECT user_id, value, epoch_us(ts) // 1000 AS seen_at, (event_id * 7919 % 5400) * 1000 AS late,
+         min(epoch_us(ts) // 1000) OVER () AS first_at, max(epoch_us(ts) // 1000) OVER () AS last_at
+  FROM events
+),
+flat AS (
+  SELECT CAST(user_id AS VARCHAR) AS device_id, CAST(floor(value) AS BIGINT) AS view_time, seen_at AS recv_timestamp,
+         user_id % 2 = 0 AS steady
+  FROM timed
+  WHERE user_id % 2 = 0
+     OR (seen_at + late - first_at) // ((last_at - first_at + 5400000) // {ARRIVALS} + 1) < {ARRIVALS // 2}
+),
+views AS (SELECT * FROM flat WHERE view_time > 0)
+"""
+        + _sessions_cte(gap_ms).split("SELECT * FROM flat WHERE view_time > 0)", 1)[1]
+        + """
+SELECT * FROM sessions
+WHERE session_end_ms <= (SELECT max(recv_timestamp) FROM flat WHERE steady) - 7200000
+"""
+    )
+
+
 _JSON_LINE = """
 '{' || concat_ws(',',
   CASE WHEN event_id <> 0 THEN '"eventId":"' || event_id || '"' END,
@@ -794,6 +988,23 @@ FROM documents WHERE octet_length(encode(text)) > 20000
         + _CLOSED,
         "stream_restart_6h": _sessions_sql(six_hours),
         "stream_final_restart_6h": _sessions_cte(six_hours) + _CLOSED,
+        "stream_table_restart_6h": _sessions_sql(six_hours),
+        "stream_merged_restart_6h": _sessions_cte(six_hours) + _CLOSED,
+        "stream_two_sources_6h": _two_sources_sql(six_hours),
+        "stream_latency_merged": f"""
+WITH {_FLAT}, lags AS (SELECT ({NOW_MS} - recv_timestamp) // 1000 AS lag FROM views)
+SELECT count(*) AS n, min(lag) AS min_s, max(lag) AS max_s,
+       true AS p50_within, true AS p95_within, true AS p99_within
+FROM lags
+""",
+        "session_kinds_6h": _kinds_sql(six_hours),
+        "stream_kinds_6h": _kinds_sql(six_hours),
+        "log_puts": "SELECT count(*) AS n_records, 0 AS n_over, 0 AS n_needless FROM documents",
+        "proto_json_read": """
+SELECT event_id, event_type, user_id, CAST(floor(value) AS INT) AS view_time,
+       epoch_us(ts) // 1000 AS recv_timestamp
+FROM events
+""",
         "stream_emitted": _sessions_cte(six_hours)
         + f"""
 SELECT (SELECT count(*) FROM ({_CLOSED})) AS n_emitted, (SELECT count(*) FROM events) AS n_read

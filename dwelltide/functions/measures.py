@@ -95,7 +95,56 @@ class Accumulator:
         return [replace(m, name=f"{self.name}__{m.name}") for m in self.parts]
 
 
-def with_results(features: DataFrame, measures: Sequence[Measure | Accumulator]) -> DataFrame:
+@dataclass(frozen=True)
+class Merged:
+    """An accumulator with a merge of one's own: aggregate functions of Spark over rows and over
+    its own buffers, a sketch's for one. ``add`` makes a buffer of rows, ``combine`` one of buffers,
+    ``result`` the value that is shown. Distinct values, about:
+
+        Merged("kinds", lambda: F.hll_sketch_agg("kind"), F.hll_union_agg, F.hll_sketch_estimate)
+
+    The batch operators and the open sessions kept as a table have it; the keyed state, whose
+    merges run in Python, has not.
+    """
+
+    name: str
+    add: Callable[[], Column]
+    combine: Callable[[Column], Column]
+    result: Callable[[Column], Column]
+
+    def partial(self, event_time: str) -> Column:
+        return self.add().alias(self.name)
+
+    def merge(self) -> Column:
+        return self.combine(F.col(self.name))
+
+    def finish(self) -> Column:
+        return self.result(F.col(self.name)).alias(self.name)
+
+
+def distinct_count(name: str, column: str, bits: int = 12) -> Merged:
+    """About how many values a column has: a HyperLogLog sketch of 2^``bits`` registers, whose
+    error is 1.04 / 2^(bits/2) (1.6 % by default). Nulls are no value."""
+    return Merged(
+        name,
+        lambda: F.hll_sketch_agg(column, bits),
+        lambda buffers: F.hll_union_agg(buffers, True),
+        F.hll_sketch_estimate,
+    )
+
+
+def quantiles(name: str, column: str, ranks: Sequence[float], k: int = 200) -> Merged:
+    """Values of a whole-number column at some ranks: a KLL sketch, whose rank error is about
+    2.296 / k^0.9021 (1.9 % at ``k`` 200)."""
+    return Merged(
+        name,
+        lambda: F.kll_sketch_agg_bigint(F.col(column).cast(WHOLE), k),
+        lambda buffers: F.kll_merge_agg_bigint(buffers, k),
+        lambda buffer: F.array(*[F.kll_sketch_get_quantile_bigint(buffer, F.lit(r)) for r in ranks]),
+    )
+
+
+def with_results(features: DataFrame, measures: Sequence[Measure | Accumulator | Merged]) -> DataFrame:
     """Accumulators' columns in place of those of their parts; the others stay as they are."""
     own = {a.name: a for a in measures if isinstance(a, Accumulator)}
     if not own:
@@ -111,8 +160,8 @@ def with_results(features: DataFrame, measures: Sequence[Measure | Accumulator])
 
 
 def typed(
-    measures: Sequence[Measure | Accumulator], schema: T.StructType
-) -> tuple[Measure, ...]:
+    measures: Sequence[Measure | Accumulator | Merged], schema: T.StructType
+) -> tuple[Measure | Merged, ...]:
     """The measures with the types of their columns, accumulators as their parts; batch and
     stream then compute alike.
 
@@ -121,6 +170,9 @@ def typed(
     """
     found = []
     for m in [m for a in measures for m in (a.measures() if isinstance(a, Accumulator) else [a])]:
+        if isinstance(m, Merged):
+            found.append(m)
+            continue
         kind = None if m.kind == "count" else schema[m.column].dataType
         if kind is None:
             found.append(m)

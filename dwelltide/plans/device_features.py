@@ -7,18 +7,20 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from dwelltide.functions.measures import DEFAULT_MEASURES, Accumulator, Measure
+from dwelltide.functions.measures import DEFAULT_MEASURES, Accumulator, Measure, Merged
 from dwelltide.operators.project import device_input, view_input, viewed, with_event_time
 from dwelltide.operators.sessions import session_features
 from dwelltide.session import STATEFUL_SETTINGS, settings
 from dwelltide.sources.decode import MALFORMED
 from dwelltide.sources.streams import KeyFunction, Stream
-from dwelltide.streaming.append import closed_sessions
+from dwelltide.streaming.append import closed_sessions, merged_sessions
 from dwelltide.streaming.early import early_sessions
-from dwelltide.streaming.folders import register_run
 from dwelltide.streaming.metrics import observe_emitted, observe_latency
+from dwelltide.streaming.open_sessions import IDLE_AFTER, OpenSessions, with_ticks
+from dwelltide.streaming.runs import run_of
 from dwelltide.streaming.sinks import FeatureSinks, FeatureTable
 
 # The job's session gap, lateness bound and interval of early results.
@@ -52,8 +54,8 @@ class JobFolders:
         return self._folder("log")
 
     @property
-    def runs(self) -> str:
-        return self._folder("runs")
+    def open_sessions(self) -> str:
+        return self._folder("open")
 
     @property
     def final(self) -> JobFolders:
@@ -113,19 +115,21 @@ def final_features(
     lateness: str = LATENESS,
     measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
     event_ms: str | Column = RECEIVED,
+    merge_late: bool = False,
 ) -> DataFrame:
-    """The streaming form that emits a session once it has closed, for output mode append."""
+    """The streaming form that emits a session once it has closed, for output mode append.
+    ``merge_late`` keeps a row behind the limit if it touches an open session."""
     views = timed_views(events, lateness, event_ms=event_ms)
-    return observe_emitted(closed_sessions(views, gap, measures=measures))
+    sessions = merged_sessions if merge_late else closed_sessions
+    return observe_emitted(sessions(views, gap, measures=measures))
 
 
-def feature_table(
-    features: DataFrame, path: str, buckets: int = 256, writers: int = 16
-) -> FeatureTable:
-    """The table that takes the rows of ``running_features``."""
+def feature_table(features: DataFrame | T.StructType, path: str, buckets: int = 256) -> FeatureTable:
+    """The table that takes the rows of ``running_features``, or of that schema."""
+    schema = features.schema if isinstance(features, DataFrame) else features
     order = ("last_recv_ts", "n_views", "closed")
-    present = [name for name in order if name in features.columns]
-    return FeatureTable(path, features.schema, order=present, buckets=buckets, writers=writers)
+    present = [name for name in order if name in schema.fieldNames()]
+    return FeatureTable(path, schema, order=present, buckets=buckets)
 
 
 def _start(
@@ -199,13 +203,24 @@ def start_running(
     writers: int | None = None,
     state_partitions: int | None = None,
     trigger: dict | None = None,
-    measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
-    compact_every: int = 720,
+    measures: Sequence[Measure | Accumulator | Merged] = DEFAULT_MEASURES,
     event_ms: str | Column = RECEIVED,
     key: KeyFunction | None = None,
+    state: str = "keyed",
+    fire_every: str | None = None,
+    source: str | None = None,
+    sources: Sequence[str] = (),
+    idle_after: str = IDLE_AFTER,
+    clock: Callable[[], int] | None = None,
 ) -> StreamingQuery:
     """Early and final results into feature table and record log.
 
+    ``state`` says where open sessions are: ``keyed`` in Spark's state store, where a micro-batch costs
+    what it changes, or in a ``table``, where no row passes through Python but the buckets that
+    a micro-batch touches are written anew. Only the table emits open sessions again without
+    input (``fire_every``; not with a trigger that ends, as then the stream has no end), takes
+    event time from the active ones of several ``sources``, and has measures that are ``Merged``.
+
     ``state_partitions`` is fixed when the job first starts; by default the session's
     number of shuffle partitions. A job that starts on a new checkpoint goes on in the same
     table and log, as their next run. What a quarantined source could not decode goes to the
@@ -213,15 +228,32 @@ def start_running(
     record's key of the names in ``key_columns``.
     """
     writers = _writers(spark, writers, state_partitions)
-    run = register_run(spark, folders.checkpoint, folders.runs, "early results")
+    if state not in ("keyed", "table"):
+        raise ValueError(f"open sessions are keyed or a table, not {state!r}")
+    if state == "keyed" and (fire_every or source):
+        raise ValueError("the keyed state fires on changes only and has one event time")
+    if fire_every and trigger and "processingTime" not in trigger:
+        raise ValueError("firing by the clock needs a trigger without an end")
+    run = run_of(spark, folders.checkpoint, f"early results, {state}")
     events = _well_formed(spark, events, folders, trigger)
-    features = running_features(events, gap, lateness, measures, event_ms)
-    table = feature_table(features, folders.table, buckets, writers)
-    table.create(spark)
-    log = Stream(folders.log, key_columns=key_columns, key=key).sink(run=run)
-    sinks = FeatureSinks(table, log, compact_every, run)
     name = folders.job_name
-    return _start(spark, features, "update", sinks, folders, name, state_partitions, trigger)
+    log = Stream(folders.log, key_columns=key_columns, key=key).sink(run=run)
+    if state == "keyed":
+        features = running_features(events, gap, lateness, measures, event_ms)
+        sinks = FeatureSinks(feature_table(features, folders.table, buckets), log, run)
+        return _start(spark, features, "update", sinks, folders, name, state_partitions, trigger)
+    own = F.col(event_ms) if isinstance(event_ms, str) else event_ms
+    rows = events.withColumn(RECEIVED, own)
+    how = {"source": source, "sources": sources, "idle_after": idle_after, "fire_every": fire_every}
+    how |= {"clock": clock} if clock else {}
+    sessions = OpenSessions(
+        spark, folders.open_sessions, rows.schema, gap, lateness, measures=measures, counted=viewed(None),
+        buckets=buckets, run=run, **how,
+    )
+    sessions.sink = FeatureSinks(feature_table(sessions.features_schema(spark), folders.table, buckets), log, run)
+    observed = observe_latency(rows.withColumn("viewed_ms", F.when(viewed(None), F.col(RECEIVED))), event_ms="viewed_ms")
+    rows = with_ticks(observed.drop("viewed_ms")) if fire_every else observed.drop("viewed_ms")
+    return _start(spark, rows, "append", sessions, folders, name, state_partitions, trigger)
 
 
 def start_final(
@@ -237,13 +269,14 @@ def start_final(
     measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
     event_ms: str | Column = RECEIVED,
     key: KeyFunction | None = None,
+    merge_late: bool = False,
 ) -> StreamingQuery:
     """Closed sessions into a record log, with checkpoint and log in ``folders.final``."""
     writers = _writers(spark, writers, state_partitions)
     own = folders.final
-    run = register_run(spark, own.checkpoint, own.runs, "closed sessions")
+    run = run_of(spark, own.checkpoint, "closed sessions" + ", late ones merged" * merge_late)
     events = _well_formed(spark, events, own, trigger)
-    features = final_features(events, gap, lateness, measures, event_ms)
+    features = final_features(events, gap, lateness, measures, event_ms, merge_late)
     log = Stream(own.log, key_columns=key_columns, key=key).sink(writers=writers, run=run)
     name = f"{folders.job_name}-final"
     return _start(spark, features, "append", log, own, name, state_partitions, trigger)

@@ -56,9 +56,11 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     features.add_argument("--state-partitions", type=int)
     features.add_argument("--writers", type=int, help="files per micro-batch")
     features.add_argument("--buckets", type=int, default=256, help="of the feature table")
-    features.add_argument("--compact-every", type=int, default=720, help="micro-batches; 0: never")
+    features.add_argument("--state", choices=["keyed", "table"], default="keyed", help="of open sessions")
+    features.add_argument("--fire-every", help="emit all open sessions that often; state table only")
+    features.add_argument("--merge-late", action="store_true", help="with --final: late rows join open sessions")
     features.add_argument("--quarantine", action="store_true", help="keep what cannot be decoded")
-    features.add_argument("--metrics-every", type=int, default=60, help="reports per write")
+    features.add_argument("--metrics-every", type=int, default=1, help="reports per write")
 
     printing = jobs.add_parser("print-clients-and-events", parents=[common, typed])
     printing.add_argument("--raw-schema", required=True, help="columns of the raw events")
@@ -87,8 +89,10 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
         )
     flat = preset("flat", args.streams, starting=args.starting, **how)
     settings = {"writers": args.writers, "state_partitions": args.state_partitions}
-    if not args.final:
-        settings |= {"buckets": args.buckets, "compact_every": args.compact_every}
+    if args.final:
+        settings["merge_late"] = args.merge_late
+    else:
+        settings |= {"buckets": args.buckets, "state": args.state, "fire_every": args.fire_every}
     return [
         (start_final if args.final else start_running)(
             spark,

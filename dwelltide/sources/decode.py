@@ -42,11 +42,14 @@ def holds_one_value(text: Column, record: T.StructType) -> Column:
 def one_record(
     text: Column, record: T.StructType | str, options: Mapping[str, str] | None = None
 ) -> Column:
-    """The record a text holds; a text that is not exactly one fails the query."""
-    record = as_struct(record)
-    parsed = F.from_json(text, record, {"mode": "FAILFAST", **(options or {})})
+    """The record a text holds; a text that is not exactly one fails the query.
+
+    It is read once, as the first of two elements of an array."""
+    both = F.concat(F.lit("["), text, F.lit(",null]"))
+    parsed = F.from_json(both, T.ArrayType(as_struct(record)), {"mode": "FAILFAST", **(options or {})})
     fault = F.concat(F.lit("malformed, not one JSON record: "), F.coalesce(text, F.lit("null")))
-    return F.when(holds_one_value(text, record), parsed).otherwise(F.raise_error(fault))
+    one = (F.size(parsed) == 2) & parsed[0].isNotNull()
+    return F.when(one, parsed[0]).otherwise(F.raise_error(fault))
 
 
 def decode_json(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dwelltide.durations import duration_ms, interval
 from dwelltide.functions.measures import DEFAULT_MEASURES, Accumulator, Measure, typed, with_results
 from dwelltide.operators.sessions import feature_columns
+from dwelltide.streaming.early import early_sessions
 
 
 def closed_sessions(
@@ -23,7 +24,7 @@ def closed_sessions(
     """Session features for output mode append, on Spark's own session windows.
 
     A row is dropped as late when its own window, time to time + gap, has ended, even if it
-    would touch a session that is still open; ``early_sessions`` keeps such a row. Spark
+    would touch a session that is still open; ``merged_sessions`` keeps such a row. Spark
     applies a new limit one micro-batch after it is known, so some rows get one more chance.
     """
     given, measures = measures, typed(measures, timed.schema)
@@ -37,3 +38,16 @@ def closed_sessions(
         .select(*feature_columns(duration_ms(gap), key, measures))
     )
     return with_results(found, given)
+
+
+def merged_sessions(
+    timed: DataFrame,
+    gap: int | str,
+    key: str = "device_id",
+    event_ms: str = "recv_timestamp",
+    measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
+) -> DataFrame:
+    """The same, but a row is late only if the session that it would join, once merged, had
+    ended. For output mode append, from the keyed state of the early results."""
+    found = early_sessions(timed, gap, key, event_ms, measures, early=False, mode="append")
+    return found.drop("closed", "absorbed")

@@ -27,6 +27,7 @@ from dwelltide.functions.measures import (
     WHOLE,
     Accumulator,
     Measure,
+    Merged,
     typed,
     with_results,
 )
@@ -258,14 +259,17 @@ def early_sessions(
     event_ms: str = "recv_timestamp",
     measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
     early: bool = True,
+    mode: str = "update",
 ) -> DataFrame:
-    """Session features for output mode update, from rows with a watermark.
+    """Session features for output mode update, or ``mode``, from rows with a watermark.
 
     Besides the features, ``closed`` marks a session's last result and ``absorbed`` the
     start of a session that became part of another, to be deleted downstream. With ``early``
     off only closed sessions come out. Late rows are counted, as the sessions they would
     have made, in the metric ``late``.
     """
+    if any(isinstance(m, Merged) for m in measures):
+        raise ValueError("the keyed state merges in Python: keep open sessions in a table for these measures")
     gap_ms, given, measures = duration_ms(gap), measures, typed(measures, timed.schema)
     names, types = slot_names(measures), [WHOLE, WHOLE, *slot_types(measures)]
     key_type = timed.schema[key].dataType.simpleString()
@@ -297,7 +301,7 @@ def early_sessions(
         gap_ms, [m.kind for m in measures], [key, *slots, "status"], session, early
     )
     emitted = parts.groupBy(key).transformWithState(
-        processor, f"{layout}, status string", "update", "eventTime"
+        processor, f"{layout}, status string", mode, "eventTime"
     )
     absorbed, late = F.col("status") == ABSORBED, F.col("status") == LATE
     on_time = emitted.observe("late", F.count_if(late).alias("sessions")).filter(~late)

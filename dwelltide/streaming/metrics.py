@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import json
 import threading
 from collections.abc import Callable, Iterator
@@ -15,18 +16,21 @@ from dwelltide.functions.clock import lag_seconds
 
 # Upper bounds of the latency histogram, in seconds.
 LAG_BOUNDS = (1, 5, 30, 60, 300, 1800, 7200)
+#: Size of the sketch of latencies: percentiles are right to about 2.296 / 400^0.9021, a rank of 1 %.
+LAG_SKETCH = 400
 
 
 def latency_measures(event_ms: str = "recv_timestamp", now_ms: int | None = None) -> list[Column]:
     """Aggregates that describe the distribution of ingest latency, in seconds."""
     lag = lag_seconds(event_ms, now_ms)
     return [
-        F.count(F.lit(1)).alias("n"),
+        F.count(lag).alias("n"),
         F.min(lag).alias("min_s"),
         F.max(lag).alias("max_s"),
         F.avg(lag).alias("avg_s"),
         F.percentile_approx(lag, [0.5, 0.95, 0.99]).alias("percentiles_s"),
         *[F.count_if(lag <= bound).alias(f"le_{bound}_s") for bound in LAG_BOUNDS],
+        F.kll_sketch_agg_bigint(lag, LAG_SKETCH).alias("sketch"),
     ]
 
 
@@ -103,17 +107,37 @@ METRICS_SCHEMA = (
 )
 
 
+def _as_text(value: bytes | bytearray) -> str:
+    return base64.b64encode(bytes(value)).decode()
+
+
+def latency_over(reports: DataFrame, *by: Column, metric: str = "latency", ranks=(0.5, 0.95, 0.99)) -> DataFrame:
+    """Latencies of all micro-batches of a metrics table together, or per value of ``by``: ``n``,
+    ``min_s``, ``max_s`` and ``percentiles_s``, merged from the sketches that they left. Filter the table
+    for a period."""
+    held = F.from_json(F.col("metrics")[metric], "n bigint, min_s bigint, max_s bigint, sketch string")
+    rows = reports.select(*by, held.alias("held")).filter("held.n > 0")
+    names = rows.columns[:-1]
+    sketch = F.kll_merge_agg_bigint(F.unbase64("held.sketch"), LAG_SKETCH)
+    merged = rows.groupBy(*names).agg(
+        F.sum("held.n").alias("n"), F.min("held.min_s").alias("min_s"), F.max("held.max_s").alias("max_s"), sketch.alias("sketch")
+    )
+    quantiles = F.array(*[F.kll_sketch_get_quantile_bigint("sketch", F.lit(r)) for r in ranks])
+    return merged.filter("n > 0").withColumn("percentiles_s", quantiles).drop("sketch")
+
+
 class MetricsTable:
-    """Keeps one job's reports as rows of a table, written a number at a time."""
+    """Keeps one job's reports as rows of a table, written a number at a time; a process that dies
+    loses those that wait, so by default none does."""
 
-    def __init__(self, spark: SparkSession, path: str, every: int = 60) -> None:
+    def __init__(self, spark: SparkSession, path: str, every: int = 1) -> None:
         self.spark, self.path, self.every = spark, path, every
         self.waiting: list[tuple] = []
         self.writing = threading.Lock()  # two writes at once would undo each other
 
     def __call__(self, report: dict) -> None:
         known = ("query", "batch_id", "input_rows", "rows_per_second", "watermark")
-        observed = {k: json.dumps(v) for k, v in report.items() if k not in (*known, "state")}
+        observed = {k: json.dumps(v, default=_as_text) for k, v in report.items() if k not in (*known, "state")}
         self.waiting.append((*[report[k] for k in known], json.dumps(report["state"]), observed))
         if len(self.waiting) >= self.every:
             self.flush()
@@ -129,7 +153,7 @@ class MetricsTable:
 
 
 @contextmanager
-def metrics_table(spark: SparkSession, path: str, every: int = 60) -> Iterator[MetricsTable]:
+def metrics_table(spark: SparkSession, path: str, every: int = 1) -> Iterator[MetricsTable]:
     """Reports of all streams go to a table while the block runs; what waits is written at
     its end, after the reports still on their way have come in."""
     table = MetricsTable(spark, path, every)

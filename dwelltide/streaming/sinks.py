@@ -1,15 +1,14 @@
 """Sinks of a stream: the record log, the keyed feature table, and both at once.
 
-Every write goes to a folder of its micro-batch and replaces what is there, so running a
-micro-batch again changes nothing. Folders are numbered by run and micro-batch, see
-``folders``, so a new checkpoint replaces nothing either.
+A micro-batch of the log is a folder of its own, and one of the table replaces the hash buckets
+that it touches, so running a micro-batch again changes nothing. Micro-batches are numbered by
+run and batch, see ``runs``, so a new checkpoint replaces nothing either.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import Future, ThreadPoolExecutor
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,20 +23,57 @@ from dwelltide.functions.payload import (
 )
 from dwelltide.operators.latest import newest_per_key
 from dwelltide.sources.decode import as_struct
-from dwelltide.streaming.folders import (
-    Part,
-    batch_number,
-    chain,
-    file_system,
-    finished_batches,
-    merge_from,
-    names_in,
-    parts_in,
-    remove,
-    size_of,
+from dwelltide.streaming.keyed import BucketedRows
+from dwelltide.streaming.runs import batch_number
+
+# Records, and bytes of payload, that are put at once.
+PUT_RECORDS = 500
+PUT_BYTES = 5 * 1024 * 1024
+
+LOG_SCHEMA = (
+    "partition_key string, payload binary, writer int, put bigint, batch_id bigint, oversized boolean"
 )
 
-LOG_SCHEMA = "partition_key string, payload binary, batch_id bigint, oversized boolean"
+
+def put_batches(
+    records: DataFrame, payload: str = "payload", max_records: int = PUT_RECORDS, max_bytes: int = PUT_BYTES
+) -> DataFrame:
+    """``records`` with ``writer``, their partition, and ``put``, the batch of it in which they are put.
+
+    A batch is closed when the next record would be one too many, or would make its payloads
+    too many bytes, and then holds at least one. Records keep their partitions and order; a
+    null payload has no bytes. The sums restart where a batch does, which no window function can, so
+    this goes through Arrow, batch by batch, and looks at lengths only.
+    """
+    if max_records < 1 or max_bytes < 1:
+        raise ValueError("a batch holds at least one record and one byte")
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        writer, put, held, size = TaskContext.get().partitionId(), 0, 0, 0
+        for batch in batches:
+            count = batch.num_rows
+            lengths = pc.fill_null(pc.binary_length(batch.column(payload)), 0)
+            sums = np.append(0, np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64)))
+            puts, at = np.zeros(count, dtype=np.int64), 0
+            while at < count:
+                fits = int(np.searchsorted(sums, sums[at] + max_bytes - size, side="right")) - 1
+                end = min(max(fits, at), at + max_records - held, count)
+                if end == at and not held:
+                    end = at + 1  # larger than a batch by itself
+                puts[at:end] = put
+                held, size, at = held + end - at, size + int(sums[end] - sums[at]), end
+                if at < count:
+                    put, held, size = put + 1, 0, 0
+            columns = [*batch.columns, pa.array(np.full(count, writer, dtype=np.int32)), pa.array(puts)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "writer", "put"])
+
+    more = [T.StructField("writer", T.IntegerType()), T.StructField("put", T.LongType())]
+    return records.mapInArrow(run, T.StructType([*records.schema.fields, *more]))
 
 
 def write_log_batch(
@@ -51,23 +87,31 @@ def write_log_batch(
     run: int = 0,
     encoder: Callable[[Sequence[str]], Column] | None = None,
     key: Callable[[Sequence[str]], Column] | None = None,
+    put_records: int = PUT_RECORDS,
+    put_bytes: int = PUT_BYTES,
 ) -> None:
     """Rows as records of one micro-batch; oversized ones into a partition of their own.
 
-    A stateful stream has as many partitions as its state; ``writers`` limits the files.
+    A stateful stream has as many partitions as its state; ``writers`` limits the files. The others
+    are numbered as they would be put, by at most ``put_records`` records and ``put_bytes`` bytes.
     """
-    records = to_records(rows, key_columns, encoder, key).withColumn(
-        "oversized", is_oversized("payload", max_bytes)
-    )
+    records = to_records(rows, key_columns, encoder, key)
     if writers:
         records = records.repartition(writers, "partition_key")
-    writer = records.write.mode("overwrite").options(**(options or {}))
+    # In an order of their own, so that a micro-batch run again is put alike.
+    records = records.sortWithinPartitions("partition_key", "payload")
+    oversized = is_oversized("payload", max_bytes)
+    # What goes to quarantine is put nowhere, and takes no room.
+    room = records.withColumn("room", F.when(~oversized, F.col("payload")))
+    numbered = put_batches(room, "room", put_records, put_bytes).drop("room")
+    marked = numbered.withColumn("oversized", oversized).withColumn("put", F.when(~F.col("oversized"), F.col("put")))
+    writer = marked.write.mode("overwrite").options(**(options or {}))
     writer.partitionBy("oversized").parquet(f"{path}/batch_id={batch_number(run, batch_id)}")
 
 
 def read_log(spark: SparkSession, path: str, oversized: bool = False) -> DataFrame:
     """Records of the log, or the quarantined ones."""
-    log = RecordLog(path).read(spark)
+    log = spark.read.schema(LOG_SCHEMA).parquet(path)
     return log.filter(F.col("oversized") == oversized).drop("oversized")
 
 
@@ -78,81 +122,13 @@ def decode_log(records: DataFrame, schema: T.StructType | str) -> DataFrame:
     ).select("batch_id", "row.*")
 
 
-class RecordLog:
-    """The log's folders: one per micro-batch, and the segments they are merged into."""
-
-    def __init__(self, path: str) -> None:
-        self.path = path.rstrip("/")
-        self.merged = f"{self.path}_segments"
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        """All records, quarantined ones included."""
-        segments = chain(parts_in(spark, self.merged))
-        if not segments:
-            return spark.read.schema(LOG_SCHEMA).parquet(self.path)
-        end = segments[-1].upto
-        rest = [n for n in finished_batches(spark, self.path) if n > end]
-        folders = [f"{self.merged}/{s.name}" for s in segments if self._kept(spark, s)]
-        frames = [spark.read.schema(LOG_SCHEMA).parquet(folder) for folder in folders]
-        frames += [self._batches(spark, rest)] if rest else []
-        if not frames:
-            return spark.createDataFrame([], LOG_SCHEMA)
-        return reduce(DataFrame.unionByName, frames)
-
-    def _kept(self, spark: SparkSession, segment: Part) -> bool:
-        return "_EXPIRED" not in names_in(spark, f"{self.merged}/{segment.name}")
-
-    def _batches(self, spark: SparkSession, numbers: Sequence[int]) -> DataFrame:
-        reader = spark.read.schema(LOG_SCHEMA).option("basePath", self.path)
-        return reader.parquet(*[f"{self.path}/batch_id={n}" for n in numbers])
-
-    def compact(self, spark: SparkSession, upto: int, file_rows: int = 1_000_000) -> None:
-        """Micro-batches up to one become a segment of few files. Safe while a stream writes
-        later ones; ``tidy`` removes what was merged."""
-        segments = chain(parts_in(spark, self.merged))
-        end = segments[-1].upto if segments else -1
-        numbers = [n for n in finished_batches(spark, self.path) if end < n <= upto]
-        if not numbers:
-            return
-        rows = self._batches(spark, numbers)
-        tasks = max(1, -(-rows.count() // file_rows))
-        target = f"{self.merged}/{Part(numbers[-1], end).name}"
-        # By key, so that an entity's records stay together and in order.
-        ordered = rows.repartition(tasks, "partition_key").sortWithinPartitions("batch_id")
-        ordered.write.mode("overwrite").partitionBy("oversized").parquet(target)
-
-    def tidy(self, spark: SparkSession) -> None:
-        """Removes the micro-batches that a segment holds. Readers that began before the
-        segment was written should be done."""
-        segments = chain(parts_in(spark, self.merged))
-        end = segments[-1].upto if segments else -1
-        for n in finished_batches(spark, self.path):
-            if n <= end:
-                remove(spark, f"{self.path}/batch_id={n}")
-
-    def expire(self, spark: SparkSession, before: int) -> None:
-        """Drops segments whose micro-batches all come before a number: the retention."""
-        for segment in chain(parts_in(spark, self.merged)):
-            if segment.upto < before and self._kept(spark, segment):
-                folder = f"{self.merged}/{segment.name}"
-                empty = spark.createDataFrame([], LOG_SCHEMA)
-                # The folder stays as a link of the chain, without its records.
-                empty.write.mode("overwrite").parquet(folder)
-                fs, mark = file_system(spark, f"{folder}/_EXPIRED")
-                fs.create(mark, True).close()
-
-
 @dataclass(frozen=True)
 class FeatureTable:
-    """A keyed table: parts, each holding the newest rows of a range of micro-batches, and
-    the changes since.
-
-    A micro-batch appends its changes; a reader takes the newest row per key. So a write
-    costs what changed and not what the table holds. ``compact`` merges the changes with those parts
-    that they have outgrown, so old sessions are not written again for a few new ones.
-    Rows with ``deleted`` true remove their key. ``writers`` is the number of files of a micro-batch;
-    parts of some size are divided into ``buckets`` by the first key, one task and file each,
-    so let a bucket of the whole table be about a gigabyte.
+    """A keyed table: the newest row per key, in hash buckets of the first key.
+
+    A micro-batch is merged with the buckets that it touches, and these are written anew; so a
+    write costs what they hold, and a read is of plain files. Rows with ``deleted`` true remove
+    their key.
     """
 
     path: str
@@ -161,196 +137,61 @@ class FeatureTable:
     order: Sequence[str] = ("last_recv_ts",)
     deleted: str = "absorbed"
     buckets: int = 256
-    writers: int = 16
-    bucketed_from: int = 256 * 1024 * 1024
-
-    @property
-    def _parts(self) -> str:
-        return f"{self.path}/parts"
 
     @property
-    def _changes(self) -> str:
-        return f"{self.path}/changes"
-
-    def _columns(self) -> T.StructType:
-        return T.StructType(
-            [*as_struct(self.schema).fields, T.StructField("batch_id", T.LongType())]
-        )
-
-    def _bucket(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
-
-    def create(self, spark: SparkSession) -> None:
-        """An empty table, before the stream starts; an existing one stays."""
-        if not parts_in(spark, self._parts):
-            empty = spark.createDataFrame([], self._columns())
-            empty.write.mode("overwrite").parquet(f"{self._parts}/{Part(-1, -1).name}")
-
-    def write_batch(self, rows: DataFrame, batch_id: int) -> None:
+    def _rows(self) -> BucketedRows:
+        kept = [f for f in as_struct(self.schema).fields if f.name != self.deleted]
+        return BucketedRows(self.path, T.StructType(kept), self.keys[0], self.buckets)
+
+    def write_batch(self, rows: DataFrame, number: int) -> None:
+        """Merges a micro-batch; done again, it is the same."""
+        spark, held = rows.sparkSession, self._rows
+        state = held.state(spark, before=number)
         columns = as_struct(self.schema).fieldNames()
-        changes = rows.select(*columns).repartition(self.writers, *self.keys)
-        changes.write.mode("overwrite").parquet(f"{self._changes}/batch_id={batch_id}")
-
-    def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """What one micro-batch wrote."""
-        return spark.read.schema(as_struct(self.schema)).parquet(
-            f"{self._changes}/batch_id={batch_id}"
-        )
-
-    def latest(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
-        """The newest row of each key, without deleted keys.
+        newest = newest_per_key(rows.select(*columns), self.keys, self.order)
+        # One number per bucket, however many rows there are.
+        found = rows.select(held.bucket(F.col(self.keys[0])).alias("bucket")).distinct().collect()
+        touched = sorted(r["bucket"] for r in found)
+        before = held.read(spark, state, touched)
+        same = [before[k].eqNullSafe(F.col(f"changed_{k}")) for k in self.keys]
+        changed = newest.select(*[F.col(k).alias(f"changed_{k}") for k in self.keys])
+        live = newest.filter(~F.coalesce(self.deleted, F.lit(False))).drop(self.deleted)
+        held.replace(spark, state, touched, before.join(changed, same, "left_anti").unionByName(live), number)
 
-        Only changed keys are aggregated; the oldest part is unique by key and loses the
-        changed ones in an anti join, which Spark broadcasts if the changes are small.
-        """
-        return self._read(spark, upto, None).drop("batch_id", self.deleted)
+    def latest(self, spark: SparkSession) -> DataFrame:
+        """The newest row of each key, without deleted keys."""
+        return self._rows.read(spark, self._rows.state(spark))
 
-    def lookup(self, spark: SparkSession, *values, upto: int | None = None) -> DataFrame:
+    def lookup(self, spark: SparkSession, *values) -> DataFrame:
         """The newest rows of some values of the first key: reads their buckets only."""
-        return self._read(spark, upto, values).drop("batch_id", self.deleted)
-
-    def _read(self, spark: SparkSession, upto: int | None, values) -> DataFrame:
-        parts = parts_in(spark, self._parts)
-        if not parts:
-            raise ValueError(f"no feature table at {self.path}: create it first")
-        links = chain(parts, upto)
-        end = links[-1].upto if links else -1
-        numbers = [
-            n
-            for n in finished_batches(spark, self._changes)
-            if n > end and (upto is None or n <= upto)
-        ]
-        return self._merged(spark, links, numbers, True, values)
-
-    def _part(self, spark: SparkSession, part: Part, values) -> DataFrame:
-        names = self._columns().fieldNames()
-        rows = spark.read.schema(self._columns()).parquet(f"{self._parts}/{part.name}")
-        if part.buckets and values is not None:
-            # The partition column is not in the schema given: add it.
-            with_bucket = self._columns().add("bucket", T.IntegerType())
-            rows = spark.read.schema(with_bucket).parquet(f"{self._parts}/{part.name}")
-            kind = as_struct(self.schema)[self.keys[0]].dataType
-            wanted = [self._bucket(F.lit(v).cast(kind)) for v in values]
-            rows = rows.filter(F.col("bucket").isin(*wanted))
-        if values is not None:
-            rows = rows.filter(self._is_wanted(values))
-        return rows.select(*names)
-
-    def _is_wanted(self, values) -> Column:
-        return reduce(
-            lambda a, b: a | b,
-            [F.col(self.keys[0]).eqNullSafe(F.lit(v)) for v in values],
-            F.lit(False),
-        )
-
-    def _merged(
-        self,
-        spark: SparkSession,
-        links: Sequence[Part],
-        numbers: Sequence[int],
-        live_only: bool,
-        values=None,
-    ) -> DataFrame:
-        """The newest rows by key of some following parts and micro-batches. ``live_only``
-        needs the first part to be that from the start."""
-        names = self._columns().fieldNames()
-        frames = [self._part(spark, part, values) for part in links]
-        if numbers:
-            changes = spark.read.schema(self._columns()).option("basePath", self._changes)
-            rows = changes.parquet(*[f"{self._changes}/batch_id={n}" for n in numbers])
-            frames.append((rows if values is None else rows.filter(self._is_wanted(values))).select(*names))
-        if not frames:
-            return spark.createDataFrame([], self._columns())
-        live = ~F.coalesce(self.deleted, F.lit(False))
-        whole = bool(links) and links[0].after == -1
-        base, newer = (frames[0], frames[1:]) if whole else (None, frames)
-        if not newer:
-            return base
-        newest = newest_per_key(reduce(DataFrame.unionByName, newer), self.keys, ["batch_id", *self.order])
-        if base is None:
-            return newest.filter(live).select(*names) if live_only else newest.select(*names)
-        same = [base[k].eqNullSafe(F.col(f"changed_{k}")) for k in self.keys]
-        changed = newest.select(*[F.col(k).alias(f"changed_{k}") for k in self.keys])
-        untouched = base.join(changed, same, "left_anti")
-        return untouched.select(*names).unionByName(newest.filter(live).select(*names))
-
-    def compact(self, spark: SparkSession, upto: int) -> None:
-        """The changes up to a micro-batch become a part, with the parts they have outgrown;
-        done twice, it is the same. Safe while a stream writes later micro-batches."""
-        links = chain(parts_in(spark, self._parts))
-        end = links[-1].upto if links else -1
-        numbers = [n for n in finished_batches(spark, self._changes) if end < n <= upto]
-        if not numbers:
-            return
-        sizes = [size_of(spark, f"{self._parts}/{p.name}") for p in links]
-        new = sum(size_of(spark, f"{self._changes}/batch_id={n}") for n in numbers)
-        at = merge_from(sizes, new)
-        bucketed = sum(sizes[at:]) + new >= self.bucketed_from
-        part = Part(numbers[-1], links[at - 1].upto if at else -1, self.buckets if bucketed else 0)
-        rows = self._merged(spark, links[at:], numbers, live_only=not at)
-        target = f"{self._parts}/{part.name}"
-        if not bucketed:
-            rows.repartition(self.writers, self.keys[0]).write.mode("overwrite").parquet(target)
-            return
-        divided = rows.withColumn("bucket", self._bucket(F.col(self.keys[0])))
-        (
-            divided.repartition(self.buckets, "bucket")
-            .write.mode("overwrite")
-            .option("maxRecordsPerFile", 5_000_000)
-            .partitionBy("bucket")
-            .parquet(target)
-        )
-
-    def expire(self, spark: SparkSession, keep: int = 2) -> None:
-        """Removes what no reader of the newest ``keep`` states of the table needs."""
-        parts = parts_in(spark, self._parts)
-        states = sorted({p.upto for p in parts if p.upto > p.after})[-keep:]
-        if not states:
-            return
-        needed = {p for upto in states for p in chain(parts, upto)}
-        for part in parts:
-            if part not in needed and part.upto > part.after:
-                remove(spark, f"{self._parts}/{part.name}")
-        for n in finished_batches(spark, self._changes):
-            if n <= states[0] and n < states[-1]:
-                remove(spark, f"{self._changes}/batch_id={n}")
+        held, kind = self._rows, as_struct(self.schema)[self.keys[0]].dataType
+        if not values:
+            return held.read(spark, held.state(spark), ())
+        wanted = [F.lit(v).cast(kind) for v in values]
+        buckets = spark.range(1).select(*[held.bucket(v) for v in wanted]).first()
+        rows = held.read(spark, held.state(spark), set(buckets))
+        return rows.filter(reduce(lambda a, b: a | b, [F.col(self.keys[0]).eqNullSafe(v) for v in wanted]))
 
 
 @dataclass(frozen=True)
 class FeatureSinks:
     """One stream into table and log: a ``foreachBatch`` function.
 
-    The result of the micro-batch is computed once, by the table write; the log is written
-    from those files. Nothing is held in executor memory that a lost executor would take
-    with it. ``run`` numbers the checkpoint. Every ``compact_every`` micro-batches the table
-    is compacted beside the stream, not in its way; zero leaves that to others.
+    The result of the micro-batch is computed once, into a folder that the next one replaces, and
+    both sinks are written from there. Nothing is held in executor memory that a lost executor
+    would take with it. ``run`` numbers the checkpoint.
     """
 
     table: FeatureTable
     log: Callable[[DataFrame, int], None] | None = None
-    compact_every: int = 720
     run: int = 0
-    compactions: list[Future] = field(default_factory=list)
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
-        spark = rows.sparkSession
-        number = batch_number(self.run, batch_id)
-        self.table.write_batch(rows, number)
+        spark, folder = rows.sparkSession, f"{self.table.path}/arrived"
+        rows.select(*as_struct(self.table.schema).fieldNames()).write.mode("overwrite").parquet(folder)
+        arrived = spark.read.schema(as_struct(self.table.schema)).parquet(folder)
         if self.log:
-            self.log(self.table.batch(spark, number), batch_id)
-        if self.compact_every and batch_id and batch_id % self.compact_every == 0:
-            self._compact(spark, number)
-
-    def _compact(self, spark: SparkSession, number: int) -> None:
-        if self.compactions and not self.compactions[-1].done():
-            return  # the next one takes these micro-batches too
-        for done in self.compactions:
-            done.result()  # a failed compaction stops the stream here, and not in silence
-        self.compactions[:] = [_COMPACTING.submit(self._fold, spark, number)]
-
-    def _fold(self, spark: SparkSession, number: int) -> None:
-        self.table.compact(spark, number)
-        self.table.expire(spark)
+            self.log(arrived, batch_id)
+        self.table.write_batch(arrived, batch_number(self.run, batch_id))
 
 
-_COMPACTING = ThreadPoolExecutor(max_workers=1, thread_name_prefix="compaction")

@@ -1,8 +1,10 @@
 """Whole jobs: append mode, sinks, replay, restart, metrics, printing."""
 
+import random
 import threading
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from dwelltide.functions.payload import MAX_RECORD_BYTES
@@ -17,10 +19,19 @@ from dwelltide.plans.device_features import (
     start_running,
 )
 from dwelltide.plans.printing import await_any, start_client_and_event_print, start_text_print
-from dwelltide.sources.streams import CLIENT_LOG, FLAT_EVENT
+from dwelltide.session import settings
+from dwelltide.sources.streams import CLIENT_LOG, FLAT_EVENT, Stream
 from dwelltide.streaming.append import closed_sessions
 from dwelltide.streaming.metrics import MetricsTable, observe_latency, report_metrics
-from dwelltide.streaming.sinks import FeatureTable, decode_log, read_log, write_log_batch
+from dwelltide.streaming.runs import RUN_SPAN, batch_number, run_of
+from dwelltide.streaming.sinks import (
+    FeatureSinks,
+    FeatureTable,
+    decode_log,
+    put_batches,
+    read_log,
+    write_log_batch,
+)
 from tests.streams import HOUR, Feed, run
 
 NOW = {"availableNow": True}
@@ -33,10 +44,10 @@ def rows_of(frame, *columns):
 
 def job(spark, feed, folders, gap="10 hours", **how):
     query = start_running(
-        spark, feed.stream(), folders, gap, "1 day", buckets=3, writers=2, trigger=NOW, **how
+        spark, feed.stream(), folders, gap, "1 day", **{"buckets": 3, "trigger": NOW, **how}
     )
     query.awaitTermination()
-    return feature_table(running_features(feed.stream(), gap), folders.table, 3)
+    return feature_table(running_features(feed.stream(), gap), folders.table, how.get("buckets", 3))
 
 
 def history(feed):
@@ -97,32 +108,36 @@ def test_running_a_batch_again_changes_nothing(spark, tmp_path):
     folders = JobFolders(str(tmp_path), "job")
     table = job(spark, feed, folders)
     before = rows_of(table.latest(spark), "*"), rows_of(read_log(spark, folders.log), "*")
-    for batch_id in (1, 2):
-        again = spark.createDataFrame(table.batch(spark, batch_id).collect(), table.schema)
-        table.write_batch(again, batch_id)
-        write_log_batch(again, batch_id, folders.log, ["device_id"])
+    newest = table._rows.state(spark).number
+    run, batch_id = divmod(newest, RUN_SPAN)
+    written = decode_log(read_log(spark, folders.log).filter(F.col("batch_id") == newest), table.schema).drop("batch_id")
+    again = spark.createDataFrame(written.collect(), table.schema)
+    sinks = FeatureSinks(table, Stream(folders.log, key_columns=["device_id"]).sink(run=run), run)
+    for _ in range(2):
+        sinks(again, batch_id)
+    with pytest.raises(ValueError, match="is past micro-batch"):
+        table.write_batch(again, newest - 1)
     assert (rows_of(table.latest(spark), "*"), rows_of(read_log(spark, folders.log), "*")) == before
 
 
-def test_a_batch_has_no_more_files_than_writers(spark, tmp_path):
-    feed = Feed(spark, tmp_path).hours(*[(f"d{i}", 1, 1) for i in range(40)])
-    folders = JobFolders(str(tmp_path), "job")
-    job(spark, feed, folders)
-    for path in ("table/changes/batch_id=0", "log/batch_id=0/oversized=false"):
-        assert len(list(tmp_path.glob(f"job/{path}/*.parquet"))) == 2
+def test_a_batch_of_the_log_has_no_more_files_than_writers(spark, tmp_path):
+    rows = spark.createDataFrame([(f"d{i}", i) for i in range(40)], "d string, n int").repartition(8)
+    write_log_batch(rows, 0, f"{tmp_path}/log", ["d"], writers=2)
+    assert len(list(tmp_path.glob("log/batch_id=0/oversized=false/*.parquet"))) == 2
 
 
-def test_restart_from_the_checkpoint(spark, tmp_path):
+@pytest.mark.parametrize("state", ["keyed", "table"])
+def test_restart_from_the_checkpoint(spark, tmp_path, state):
     whole = history(Feed(spark, tmp_path / "whole"))
     expected = job(spark, whole, JobFolders(str(tmp_path), "whole"))
     parts = Feed(spark, tmp_path / "parts")
     folders = JobFolders(str(tmp_path), "parts")
     parts.hours(("a", 1, 1), ("b", 2, 1))
-    job(spark, parts, folders)
+    job(spark, parts, folders, state=state)
     parts.hours(("a", 3, 20), ("b", 0, 21))
-    job(spark, parts, folders)
+    job(spark, parts, folders, state=state)
     parts.hours(("a", 4, 10.5), ("c", 5, 30))
-    table = job(spark, parts, folders)
+    table = job(spark, parts, folders, state=state)
     assert rows_of(table.latest(spark), *FEATURES) == rows_of(expected.latest(spark), *FEATURES)
 
 
@@ -157,48 +172,93 @@ SMALL = "k string, v int, t int, gone boolean"
 
 def test_feature_table(spark, tmp_path):
     table = FeatureTable(f"{tmp_path}/t", SMALL, ["k"], ["t"], "gone", buckets=2)
-    table.create(spark)
-    assert table.latest(spark).collect() == []
+    assert table.latest(spark).collect() == [] and table.lookup(spark, "a").collect() == []
 
     def write(batch_id, *rows):
         table.write_batch(spark.createDataFrame(list(rows), SMALL), batch_id)
 
-    write(0, ("a", 1, 1, False), ("b", 1, 1, False), ("b", 2, 2, False), (None, 9, 1, False))
-    write(1, ("a", None, 1, True), ("c", 3, 1, None))
-    expected = [("b", 2, 2), ("c", 3, 1), (None, 9, 1)]
-    assert rows_of(table.latest(spark), "*") == sorted(expected, key=repr)
+    first = ("a", 1, 1, False), ("b", 1, 1, False), ("b", 2, 2, False), (None, 9, 1, False)
+    second = ("a", None, 1, True), ("c", 3, 1, None)
+    write(0, *first)
+    write(1, *second)
+    expected = sorted([("b", 2, 2), ("c", 3, 1), (None, 9, 1)], key=repr)
+    assert rows_of(table.latest(spark), "*") == expected
+    write(1, *second)
+    assert rows_of(table.latest(spark), "*") == expected
+    write(2, ("a", 7, 3, False), ("c", 0, 2, True), (None, 10, 2, False))
+    expected = sorted([("a", 7, 3), ("b", 2, 2), (None, 10, 2)], key=repr)
+    assert rows_of(table.latest(spark), "*") == expected
+    for value in ("a", "b", "c", None, "absent"):
+        assert rows_of(table.lookup(spark, value), "*") == [r for r in expected if r[0] == value]
+    assert rows_of(table.lookup(spark, "a", "b"), "k") == [("a",), ("b",)]
+    write(3, ("a", 0, 9, True), ("b", 0, 9, True), (None, 0, 9, True))
+    assert table.latest(spark).collect() == []
+    write(4)
+    write(5, ("z", 1, 1, False))
+    assert rows_of(table.latest(spark), "*") == [("z", 1, 1)]
 
-    table.compact(spark, 1)
-    table.compact(spark, 1)
-    assert rows_of(table.latest(spark), "*") == sorted(expected, key=repr)
 
-    write(2, ("a", 7, 3, False), ("c", 0, 2, True), (None, 10, 2, False))
-    expected = [("a", 7, 3), ("b", 2, 2), (None, 10, 2)]
-    assert rows_of(table.latest(spark), "*") == sorted(expected, key=repr)
-    table.compact(spark, 2)
-    table.expire(spark, keep=1)
-    assert rows_of(table.latest(spark), "*") == sorted(expected, key=repr)
-    table.create(spark)  # an existing table stays
-    assert rows_of(table.latest(spark), "*") == sorted(expected, key=repr)
+def test_a_new_checkpoint_replaces_and_hides_nothing(spark, tmp_path):
+    feed = history(Feed(spark, tmp_path / "one"))
+    folders = JobFolders(str(tmp_path), "job")
+    table = job(spark, feed, folders)
+    before, log = rows_of(table.latest(spark), *FEATURES), rows_of(read_log(spark, folders.log), "*")
+    (tmp_path / "job/checkpoint").rename(tmp_path / "old_checkpoint")
+    more = Feed(spark, tmp_path / "two").hours(("x", 1, 900)).hours(("y", 2, 901), ("a", 9, 950))
+    table = job(spark, more, folders)
+    after = rows_of(table.latest(spark), *FEATURES)
+    assert set(before) < set(after) and {r[0] for r in set(after) - set(before)} == {"x", "y", "a"}
+    assert set(log) < set(rows_of(read_log(spark, folders.log), "*"))
 
 
-def test_compaction_during_the_job(spark, tmp_path):
-    feed = history(Feed(spark, tmp_path))
-    plain = job(spark, feed, JobFolders(str(tmp_path), "plain"))
-    compacted = job(spark, feed, JobFolders(str(tmp_path), "compacted"), compact_every=1)
-    assert rows_of(compacted.latest(spark), *FEATURES) == rows_of(plain.latest(spark), *FEATURES)
-
-
-def test_an_unfinished_batch_is_not_read(spark, tmp_path):
-    table = FeatureTable(f"{tmp_path}/t", SMALL, ["k"], ["t"], "gone")
-    table.create(spark)
-    rows = spark.createDataFrame([("a", 1, 1, False)], SMALL)
-    table.write_batch(rows, 0)
-    unfinished = rows.withColumn("v", F.lit(99))
-    unfinished.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
-        f"{tmp_path}/t/changes/batch_id=1"
-    )
-    assert rows_of(table.latest(spark), "k", "v") == [("a", 1)]
+def test_a_checkpoint_keeps_its_run_and_kind(spark, tmp_path):
+    runs = [run_of(spark, f"{tmp_path}/c{i}", "x") for i in (0, 1, 0, 2)]
+    assert runs[0] == runs[2] < runs[1] < runs[3]
+    with pytest.raises(ValueError, match="another job: x"):
+        run_of(spark, f"{tmp_path}/c1", "y")
+    assert batch_number(2, 5) == 2 * RUN_SPAN + 5
+
+
+def test_early_and_final_results_have_folders_of_their_own(spark, tmp_path):
+    feed = Feed(spark, tmp_path).hours(("a", 1, 1)).hours(("b", 1, 100)).hours(("b", 1, 101))
+    folders = JobFolders(str(tmp_path), "job")
+    for start in (start_running, start_final):
+        start(spark, feed.stream(), folders, "10 hours", "2 hours", trigger=NOW).awaitTermination()
+    assert read_log(spark, folders.log).count() == 4
+    assert read_log(spark, folders.final.log).count() == 1
+    assert folders.final.checkpoint != folders.checkpoint
+
+
+def test_what_cannot_be_decoded_is_kept(spark, tmp_path):
+    texts = ['{"device_id":"a","view_time":1,"recv_timestamp":5}', "broken", '{"device_id":"b","view_time":2,"recv_timestamp":6}{"x":1}', ""]
+    spark.createDataFrame([(t.encode(),) for t in texts], "value binary").coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = Stream(f"{tmp_path}/in", "device_id string, view_time int, recv_timestamp bigint", decoder="json")
+    for start, folders in ((start_running, JobFolders(str(tmp_path), "j")), (start_final, JobFolders(str(tmp_path), "j"))):
+        start(spark, stream.source(spark, quarantine=True), folders, trigger=NOW).awaitTermination()
+        kept = folders.quarantine if start is start_running else folders.final.quarantine
+        assert rows_of(spark.read.parquet(kept), "malformed_payload") == rows_of(spark.createDataFrame([(t,) for t in texts if t != texts[0]], "t string"), "t")
+    table = feature_table(running_features(stream.source(spark, quarantine=True).drop("malformed_payload")), f"{tmp_path}/j/table")
+    assert rows_of(table.latest(spark), "device_id", "cvt_total") == [("a", 1)]
+
+
+@pytest.mark.parametrize("records,size", [(500, 5 << 20), (7, 100), (3, 40), (1, 1)])
+def test_records_are_put_in_batches(spark, records, size):
+    dice = random.Random(records)
+    lengths = [dice.choice([0, 1, 5, 30, 60, 150, None]) for _ in range(400)]
+    rows = spark.createDataFrame([(i, None if n is None else b"x" * n) for i, n in enumerate(lengths)], "i int, p binary")
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "23"}):
+        found = put_batches(rows.repartition(3), "p", records, size).collect()
+    assert [r["i"] for r in sorted(found)] == list(range(400))
+    for writer in {r["writer"] for r in found}:
+        own, put, held, total = [r for r in found if r["writer"] == writer], 0, 0, 0
+        for r in own:
+            n = len(r["p"] or b"")
+            if held and (held == records or total + n > size):
+                put, held, total = put + 1, 0, 0
+            held, total = held + 1, total + n
+            assert r["put"] == put
+    with pytest.raises(ValueError):
+        put_batches(rows, "p", 0)
 
 
 def test_metrics(spark, tmp_path):

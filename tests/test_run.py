@@ -18,17 +18,19 @@ def streams(spark, tmp_path):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("final", [False, True])
-def test_device_features(spark, streams, final):
+@pytest.mark.parametrize("more", [[], ["--state", "table"], ["--final"], ["--final", "--merge-late"]])
+def test_device_features(spark, streams, more):
+    final = "--final" in more
     main(
         ["device-features", "--streams", streams, "--jobs", f"{streams}/jobs", "--once"]
         + ["--state-partitions", "2", "--option", "maxFilesPerTrigger=100"]
-        + ["--final"] * final
+        + ["--buckets", "3", *more]
     )
     records = read_log(
         spark, f"{streams}/jobs/device_features/{'final/' if final else ''}log"
     ).count()
-    assert records == (1 if final else 2)  # live, and closed
+    # Live, and closed; in a table at once, as all rows come in one micro-batch.
+    assert records == (1 if final or more else 2)
 
 
 def test_printing(spark, streams):
@@ -54,7 +56,7 @@ def test_settings_metrics_and_quarantine(spark, tmp_path):
     spark.createDataFrame([(t.encode(),) for t in texts], "value binary").write.parquet(f"{tmp_path}/flat")
     main(
         ["device-features", "--streams", str(tmp_path), "--jobs", f"{tmp_path}/jobs", "--once", "--decoder", "json"]
-        + ["--quarantine", "--writers", "1", "--buckets", "2", "--compact-every", "1", "--state-partitions", "2"]
+        + ["--quarantine", "--writers", "1", "--buckets", "2", "--state-partitions", "2"]
         + ["--starting", "earliest"]
     )
     own = f"{tmp_path}/jobs/device_features"
