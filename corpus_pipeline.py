@@ -7,8 +7,9 @@ documents.
 Documents may have further columns, of any name and type, those of an operator's own results and
 names with dots included: a stage carries the whole row as one column past its operator.
 Nulls may stand in any column. Repeated rows are documents of their own, but for the
-near-duplicate stage, which keeps one of them. An empty table gives an empty one. Stages leave
-the session's settings as they are.
+near-duplicate stage, which keeps one of them. An empty table gives an empty one. Stages that send
+texts to Python write their result themselves, in small Arrow batches, and leave the session's
+settings as they are.
 """
 
 from __future__ import annotations
@@ -22,10 +23,22 @@ from dwelltide.llm.mixing import mixed, plan_mix
 from dwelltide.llm.packing import pack_sequences
 from dwelltide.llm.rows import carried, quoted, row_hash, unpacked
 from dwelltide.llm.simhash import fingerprint, near_duplicates
-from dwelltide.session import run_folder
+from dwelltide.session import run_folder, settings
 
 #: Words of a shingle of the near-duplicate stage, and bits by which fingerprints may differ.
 SHINGLE, MAX_BITS = 3, 2
+#: Documents per Arrow batch: they are long, and a batch stands in memory several times on its
+#: way to Python and back.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
+
+def _written(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
+    """``rows`` as files, made in small batches. Spark reads that setting when it runs, so a result that is
+    written later would not have it."""
+    path = f"{run_folder(spark, name)}/rows"
+    with settings(spark, BATCHES):
+        rows.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +49,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     near go by name, so repeated rows are answered alike. Documents of a null language teach
     nothing, and are answered. Columns called like the operator's results stay.
     """
-    found = identify_languages(carried(docs, F.col("text")), learn_languages(docs))
-    return unpacked(found.filter("lang_accepted"), docs.columns, lang=F.col("lang_pred"))
+    with settings(spark, BATCHES):
+        model = learn_languages(docs)
+    found = identify_languages(carried(docs, F.col("text")), model).filter("lang_accepted")
+    return _written(spark, "language", unpacked(found, docs.columns, lang=F.col("lang_pred")))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,12 +63,10 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     these have. Null ids stand in as many classes as their texts do. Fingerprints are computed once,
     and written beside the documents.
     """
-    marked = f"{run_folder(spark, 'prints')}/documents"
     rows = carried(
         docs, F.col("doc_id").alias("id"), fingerprint(F.col("text"), SHINGLE).alias("print"), row_hash(docs).alias("tie")
     )
-    rows.write.parquet(marked)
-    rows = spark.read.parquet(marked)
+    rows = _written(spark, "prints", rows)
     classes = near_duplicates(rows, id_col="id", print_col="print", max_bits=MAX_BITS)
     staying = classes.filter("stays").select(
         F.col("id").alias("kept_id"), F.col("fingerprint").alias("kept_print"), "copies"
@@ -75,7 +88,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     proportional to them. Overlapping findings become one. Repeated rows are answered alike.
     """
     found = secret_scan.redact(secret_scan.find_secrets(carried(docs, F.col("text"))))
-    return unpacked(found, docs.columns, text=F.col("text"), n_chars=F.length("text").cast("long"))
+    cleaned = unpacked(found, docs.columns, text=F.col("text"), n_chars=F.length("text").cast("long"))
+    return _written(spark, "secrets", cleaned)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -97,7 +111,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     words into pieces that are the whole text together. Repeated rows are packed each. Pieces of
     equal length go to the bin opened first. Columns but id and text are not read.
     """
-    return pack_sequences(docs, with_text=True)
+    return _written(spark, "packed", pack_sequences(docs, with_text=True))
 
 
 STAGES = [
