@@ -10,17 +10,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dwelltide.session import shared_folder
+
 #: Intervals are filed by periods of so many seconds, so that a capture meets only its own.
 PERIOD = 90 * 86_400
-#: Longer hosts are not valid and match no entry of a domain.
-HOST_LENGTH = 253
+#: Captures of a key and period that one task of the join may take.
+KEY_ROWS = 100_000
 
 
 def url_host(url: Column) -> Column:
     """The host in lower case, without user, port and final dot; null if there is none."""
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1))
     host = F.regexp_replace(host, r"\.$", "")
-    return F.when((host != "") & (F.length(host) <= HOST_LENGTH), host)
+    return F.when(host != "", host)
 
 
 def exact_url(url: Column) -> Column:
@@ -28,13 +30,19 @@ def exact_url(url: Column) -> Column:
     return F.regexp_replace(url, r"#.*$", "")
 
 
-def host_suffixes(host: Column) -> Column:
-    """The host and every domain above it, down to one label."""
-    labels = F.split(host, r"\.")
-    return F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
-    )
+def host_suffixes(host: Column, labels: list[int]) -> Column:
+    """The host or the domain above it of each number of labels, as far as it has so many."""
+    has = F.length(host) - F.length(F.replace(host, F.lit("."))) + 1
+    found = [F.when(has >= n, F.substring_index(host, ".", -n)) for n in labels]
+    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+
+
+def _period(at: str | Column) -> Column:
+    """The period that holds a time, also before 1970 and at the ends of a long."""
+    at = F.col(at) if isinstance(at, str) else at
+    return F.call_function("div", at.cast("long"), F.lit(PERIOD)) - F.when(
+        (at < 0) & (at % PERIOD != 0), 1
+    ).otherwise(0)
 
 
 def validity_intervals(entries: DataFrame) -> DataFrame:
@@ -77,46 +85,56 @@ def listed_captures(
     Entries of kind ``domain`` match a host and all below it, of kind ``url`` the URL without
     its fragment; host names compare in lower case. An entry is active from the time it is added
     to just before the time it is removed. A capture is blocked if an entry of a list is active and none of
-    ``allow_lists``. Null ids are kept. A capture of null URL or time, without a host, or with
-    one longer than names can be, matches no such entry and is not blocked. Repeated captures
+    ``allow_lists``. Null ids are kept. A capture of null URL or time, or without a host, matches
+    no such entry and is not blocked. Repeated captures
     keep a row each; without entries none is blocked. No captures give an empty table. Other
-    columns are not read.
+    columns are not read. Times may be any long, hosts of any length.
 
-    Equal (URL, time) pairs are joined once. The join is on (key, period), so a host that
-    holds a third of all captures is spread over its periods, and a larger part is split by
-    Spark as no rows of a key need to stand together before the matches are gathered by URL and time.
+    Equal (URL, time) pairs are joined once. A host has keys for those numbers of labels only that
+    entries have, and an interval is filed in those periods only in which its key was fetched.
+    The join is on (key, period); a key and period of very many captures is dealt out by a hash of them, and
+    only its entries are copied. Those are sent to all executors as one row each: by their count
+    no more than ``KEY_ROWS`` can be.
     """
+    shared_folder(captures.sparkSession)
     rows = captures.select(
         F.col(id_col).alias("id"),
         F.col(url_col).cast("string").alias("url"),
         F.col(time_col).cast("long").alias("fetched_at"),
     )
+    value = F.when(F.col("kind") == "domain", F.lower("value")).otherwise(F.col("value"))
+    active = validity_intervals(entries).withColumn("value", value)
+    # A few small numbers, whatever the lists hold.
+    sizes = active.filter("kind = 'domain'").select(F.size(F.split("value", r"\.")).alias("n")).distinct()
+    labels = sorted(r["n"] for r in sizes.collect())
     asked = rows.filter(F.col("url").isNotNull() & F.col("fetched_at").isNotNull())
     asked = asked.select("url", "fetched_at").distinct()
     domains = F.transform(
-        F.coalesce(host_suffixes(url_host(F.col("url"))), F.array().cast("array<string>")),
+        F.coalesce(host_suffixes(url_host(F.col("url")), labels), F.array().cast("array<string>")),
         lambda v: F.struct(F.lit("domain").alias("kind"), v.alias("value")),
     )
     whole = F.array(
         F.struct(F.lit("url").alias("kind"), exact_url(F.col("url")).alias("value"))
     )
-    keys = asked.withColumn("period", F.expr(f"floor(fetched_at / {PERIOD})")).select(
+    keys = asked.withColumn("period", _period("fetched_at")).select(
         "url", "fetched_at", "period", F.explode(F.concat(domains, whole)).alias("key")
     ).select("url", "fetched_at", "period", "key.kind", "key.value")
-    span = asked.agg(F.min("fetched_at").alias("first"), F.max("fetched_at").alias("last")).first()
-    first, last = span["first"] or 0, span["last"] or 0
-    active = validity_intervals(entries).filter(
-        (F.col("valid_from") <= last) & (F.coalesce("valid_to", F.lit(last + 1)) > first)
+    periods = keys.groupBy("kind", "value", "period").agg(F.count(F.lit(1)).alias("n"))
+    met_in = F.col("period").between(
+        _period("valid_from"), F.coalesce(_period(F.col("valid_to") - 1), F.col("period"))
     )
-    value = F.when(F.col("kind") == "domain", F.lower("value")).otherwise(F.col("value"))
-    filed = active.select(
-        "list", "kind", value.alias("value"), "valid_from", "valid_to",
-        F.explode(F.sequence(
-            F.floor(F.greatest(F.col("valid_from"), F.lit(first)) / PERIOD),
-            F.floor(F.least(F.coalesce(F.col("valid_to") - 1, F.lit(last)), F.lit(last)) / PERIOD),
-        )).alias("period"),
-    )
-    met = keys.join(filed, ["kind", "value", "period"]).filter(
+    filed = active.join(periods, ["kind", "value"]).filter(met_in).checkpoint()
+    total = filed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    limit = max(KEY_ROWS, -(-total // KEY_ROWS))
+    filed = filed.withColumn("lanes", F.expr(f"1 + (n - 1) div {limit}"))
+    hot = filed.filter("lanes > 1").select(
+        F.col("kind").alias("h_kind"), F.col("value").alias("h_value"), F.col("period").alias("h_period"), F.col("lanes").alias("h_lanes")
+    ).distinct()
+    is_hot = (F.col("kind") == F.col("h_kind")) & (F.col("value") == F.col("h_value")) & (F.col("period") == F.col("h_period"))
+    lane = F.pmod(F.xxhash64("url", "fetched_at"), F.coalesce("h_lanes", F.lit(1).cast("long")))
+    keys = keys.join(F.broadcast(hot), is_hot, "left").withColumn("lane", lane).drop(*hot.columns)
+    copies = filed.withColumn("lane", F.explode(F.expr("sequence(0L, lanes - 1)"))).drop("n", "lanes")
+    met = keys.join(copies, ["kind", "value", "period", "lane"]).filter(
         (F.col("fetched_at") >= F.col("valid_from"))
         & (F.col("valid_to").isNull() | (F.col("fetched_at") < F.col("valid_to")))
     )

@@ -1,5 +1,8 @@
 """URL lists: histories, and captures as of their own time, against plain loops."""
 
+import pytest
+
+from dwelltide.llm import url_lists
 from dwelltide.llm.url_lists import PERIOD, listed_captures, validity_intervals
 
 ENTRIES = "list string, kind string, value string, action string, at long, extra string"
@@ -34,6 +37,8 @@ def history():
         ("bad", "domain", "org", "remove", 10, "x"), ("bad", "domain", "b.org", "other", 10, "x"),
         (None, "domain", "b.org", "add", 10, "x"), ("bad", "domain", None, "add", 10, "x"), ("bad", "domain", "b.org", "add", None, "x"),
         ("bad", "domain", "c.org", "remove", 5, "x"), ("bad", "domain", "c.org", "add", 7, "x"),
+        ("bad", "domain", "a." * 300 + "org", "add", 0, "x"), ("bad", "url", "nothing", "add", -(10**18), "x"),
+        ("bad", "url", "nothing", "remove", -5, "x"), ("bad", "domain", "ORG", "add", 9 * 10**12, "x"),
     ]
     return rows
 
@@ -49,14 +54,16 @@ def plain_keys(url):
     rest = url.split("://", 1)[1] if "://" in url else ""
     host = rest.replace("?", "/").replace("#", "/").split("/")[0].split("@")[-1].split(":")[0].lower().rstrip(".")
     labels = host.split(".")
-    keys = [("domain", ".".join(labels[i:])) for i in range(len(labels))] if 0 < len(host) <= 253 else []
+    keys = [("domain", ".".join(labels[i:])) for i in range(len(labels))] if host else []
     return [*keys, ("url", url.split("#")[0])]
 
 
-def test_captures_meet_the_entries_of_their_time(spark):
+@pytest.mark.parametrize("rows_of_a_key", [100_000, 3])
+def test_captures_meet_the_entries_of_their_time(spark, monkeypatch, rows_of_a_key):
+    monkeypatch.setattr(url_lists, "KEY_ROWS", rows_of_a_key)
     urls = ["http://example.com/", "https://u@WWW.Example.com:80/x?y#z", "http://a.org/p#top", "http://a.org/p/", "http://b.c.org./",
             "nothing", "", "http:///x", "http://" + "a." * 40_000 + "org/"]
-    times = [0, 7, 99, 100, 150, 159, 160, 199, 200, 5 * PERIOD - 1, 5 * PERIOD, 9 * PERIOD]
+    times = [-(2**63), -9 * 10**17, -PERIOD, -1, 9 * 10**12, 9 * 10**17, 2**63 - 1, 0, 7, 99, 100, 150, 159, 160, 199, 200, 5 * PERIOD - 1, 5 * PERIOD, 9 * PERIOD]
     rows = [(n, u, t, "v", "l", "b") for n, (u, t) in enumerate((u, t) for u in urls for t in times)]
     rows += [rows[3], (None, urls[0], 100, "v", "l", "b"), (7, None, 100, "v", "l", "b"), (8, urls[0], None, "v", "l", "b")]
     rows += [(1000 + n, "http://x.example.com/", 150, "v", "l", "b") for n in range(200)]  # a hot key
