@@ -29,7 +29,7 @@ CACHED_LENGTH = 64
 # Fixed value: the split of byte-level BPE vocabularies of this kind.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Characters that both this process's and the library's character tables class alike; texts
-# with others are counted by the library as a whole.
+# with others are split by the library, and their pre-tokens looked up like the rest.
 _OTHER = regex.compile(r"[^\u0000-ԯ -⁤₠-₿぀-ゖァ-ヺ一-鿋가-힣]")
 _SPLIT = regex.compile(SPLIT)
 
@@ -46,16 +46,21 @@ def _byte_letters() -> dict[int, str]:
 _BYTES = _byte_letters()
 
 
+def _lettered(piece: str) -> str:
+    return piece.encode().decode("latin-1").translate(_BYTES)
+
+
 class _Lengths(dict):
-    """Pre-token lengths: the sent ones, and those met since."""
+    """Pre-token lengths: the sent ones, and those met since; by the pre-tokens' characters, or by
+    the letters of their bytes."""
 
-    def __init__(self, known: dict[str, int], tokenizer: Tokenizer):
-        super().__init__(known)
-        self.known = known
-        self.encode = tokenizer.model.tokenize
+    def __init__(self, known: dict[str, int], tokenizer: Tokenizer, lettered: bool):
+        self.known = {_lettered(p): n for p, n in known.items()} if lettered else known
+        super().__init__(self.known)
+        self.encode, self.lettered = tokenizer.model.tokenize, lettered
 
     def __missing__(self, piece: str) -> int:
-        length = len(self.encode(piece.encode().decode("latin-1").translate(_BYTES)))
+        length = len(self.encode(piece if self.lettered else _lettered(piece)))
         if len(piece) <= CACHED_LENGTH:
             if len(self) >= len(self.known) + CACHED:
                 self.clear()
@@ -64,19 +69,46 @@ class _Lengths(dict):
         return length
 
 
+#: Where a long text may be cut without changing its pre-tokens: before a space between
+#: letters, and between a letter and a full stop or comma of CJK texts.
+_CUT = regex.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])|(?<=[一-鿋])(?=[。，、])")
+
+
+def _parts(text: str) -> Iterator[str]:
+    """The text in parts of about ``LISTED_LENGTH``, so that no list of all its pre-tokens exists."""
+    at = 0
+    while len(text) - at > LISTED_LENGTH:
+        cut = _CUT.search(text, at + LISTED_LENGTH)
+        if not cut:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
 class _Counter:
     def __init__(self, definition: str, known: dict[str, int]):
         self.tokenizer = Tokenizer.from_str(definition)
         # A special token's string in a text is one token, and splits the text.
         special = [t["content"] for t in json.loads(definition).get("added_tokens") or []]
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
-        self.lengths = _Lengths(known, self.tokenizer)
+        self.lengths = _Lengths(known, self.tokenizer, False)
+        self.split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.known, self._by_letters = known, None
+
+    def by_letters(self) -> _Lengths:
+        if self._by_letters is None:  # built with the first text that needs it
+            self._by_letters = _Lengths(self.known, self.tokenizer, True)
+        return self._by_letters
 
     def count(self, text: str | None) -> int:
         if not text:
             return 0
-        if _OTHER.search(text) or (self.special and self.special.search(text)):
+        if self.special and self.special.search(text):
             return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if _OTHER.search(text):
+            lengths = self.by_letters()
+            return sum(lengths[piece] for part in _parts(text) for piece, _ in self.split(part))
         if len(text) <= LISTED_LENGTH:
             return sum(map(self.lengths.__getitem__, _SPLIT.findall(text)))
         return sum(self.lengths[match[0]] for match in _SPLIT.finditer(text))
