@@ -146,8 +146,9 @@ def learn_languages(
 
     The rarity of n-grams is counted over all of them. Centroids and rejection bounds come
     from a sample of at most ``sample_per_language`` documents of each language, those of the
-    lowest hashes of id and text; equal rows count once. Beside it, one count per component and
-    a few times as many hashes reach the driver.
+    lowest hashes of id and text; equal rows count once. They are clustered where they are, a task
+    per language; the centroids, one count per component and a few times as many hashes reach
+    the driver.
     Rows of null language or text, and without letters, teach nothing. Without any row left,
     no language is known.
     """
@@ -210,23 +211,30 @@ def learn_languages(
                     names=["lang", "size", "vector"],
                 )
 
+    def clustered(table: pa.Table) -> pa.Table:
+        """Centroids of one language, and how near the lengths of its sample come to them."""
+        packed, sizes = table.column("vector").to_pylist(), np.asarray(table.column("size"))
+        vectors = np.stack([np.frombuffer(p, dtype=np.float16) for p in packed]).astype(np.float32)
+        # Rows come in no order of their own.
+        order = np.lexsort((vectors @ idf, sizes))
+        vectors, lengths = vectors[order], sizes[order]
+        centres = _centroids(vectors, CENTROIDS)
+        nearest = (vectors @ centres.T).max(axis=1)
+        parts = (centres.astype(np.float32), lengths.astype(np.float64), nearest.astype(np.float64))
+        arrays = [table.column("lang").slice(0, 1).combine_chunks(), *(pa.array([p.tobytes()], pa.binary()) for p in parts)]
+        return pa.Table.from_arrays(arrays, names=["lang", "centres", "lengths", "nearest"])
+
     sample = drawn.select("lang", "text").mapInArrow(sampled, "lang string, size double, vector binary")
-    sample = sample.toArrow()
-    langs = np.array(sample.column("lang").to_pylist(), dtype=object)
-    sizes = np.asarray(sample.column("size"))
-    packed = sample.column("vector").to_pylist()
+    # At most a sample of rows per language, which one task clusters.
+    learned = sample.groupBy("lang").applyInArrow(clustered, "lang string, centres binary, lengths binary, nearest binary")
+    by_name = {r["lang"]: r for r in learned.toArrow().to_pylist()}
     centroids, of_language, reached, known = [], [], [], []
     for name in names:
-        own = np.flatnonzero(langs == name)
-        if not len(own):
+        if name not in by_name:
             continue
-        vectors = np.stack([np.frombuffer(packed[i], dtype=np.float16) for i in own]).astype(np.float32)
-        # Rows come in no order of their own.
-        order = np.lexsort((vectors @ idf, sizes[own]))
-        vectors, lengths = vectors[order], sizes[own][order]
-        centres = _centroids(vectors, CENTROIDS)
-        nearest = (vectors @ centres.T).max(axis=1)
-        reached.append((lengths, nearest))
+        row = by_name[name]
+        centres = np.frombuffer(row["centres"], dtype=np.float32).reshape(-1, WIDTH)
+        reached.append(tuple(np.frombuffer(row[c], dtype=np.float64) for c in ("lengths", "nearest")))
         centroids.append(centres)
         of_language += [len(known)] * len(centres)
         known.append(name)
