@@ -3,9 +3,11 @@
 Patterns of high recall propose spans, which may overlap. Findings of the four base patterns
 that pass their checks always count. What else is proposed is scored by boosted trees over
 its format and its surroundings, and counts where the score reaches a threshold that held-out
-documents calibrate. Extraction, checks, scoring and redaction are DataFrame expressions; the trees
-are fitted on the driver from counts per combination of features, whose number the features'
-values bound.
+documents calibrate. Nobody has labelled the texts: what teaches the trees are base findings, and
+for the other proposals what stands farther off or in their digits, which the trees do not
+see (a check digit, a country code before a number, words up to a line away). Extraction, checks,
+scoring and redaction are DataFrame expressions; the trees are fitted on the driver from counts over
+all documents, one per combination of features, whose number the features' values bound.
 """
 
 from __future__ import annotations
@@ -44,15 +46,26 @@ MORE = (
 #: What a text must hold for a pattern to be tried.
 _NEEDS = {"email": r"@|[\[(](?:at|AT)[\])]", "ip": "[0-9]", "card": "[0-9]", "phone": "[0-9]"}
 _CUES = r"(?i)mail|contact|write|phone|tel|call|fax|mobile|card|visa|pay|server|host|addr|ip\b"
-CONTEXT = 24
+#: Characters before a proposal that its features look at, and that what teaches them does.
+CONTEXT, FAR = 24, 120
+#: What teaches, by kind: words at some distance, and forms that are rarely anything else.
+_FAR_CUES = {
+    "email": r"(?i)mail|contact|write|address",
+    "ip": r"(?i)server|host|addr|\bip\b|network|gateway",
+    "card": r"(?i)card|visa|amex|express|pay|credit",
+    "phone": r"(?i)phone|tel\b|call|fax|mobile|dial",
+}
+_COUNTRY_CODE = r"\+[0-9]{1,3}[\x20.(-]{0,2}$"
+_DOMAIN = r"(?:\.|[\[(](?:dot|DOT)[\])])\x20?[A-Za-z]{2,6}$"
 
 _MARK, _OTHER_MARK = "\u0001", "\u0002"
 _TOGETHER = 512
 
-#: Documents from which trees and thresholds are fitted, about so many, by a hash of the id.
-SAMPLE_DOCUMENTS = 20_000
 TREES, RATE = 24, 0.4
+#: Share of right ones among the held-out proposals that a threshold selects, and the least number
+#: of them that says anything.
 PRECISION = 0.95
+ENOUGH = 3
 
 _SPAN = "array<struct<kind:int,way:int,start:long,end:long,hit:string,before:string,after:string>>"
 
@@ -109,7 +122,7 @@ def _found(text: Column, kind: str, way: int, pattern: str) -> Column:
                 F.element_at(starts, i).alias("start"),
                 (F.element_at(starts, i) + F.length(F.element_at(parts, i))).alias("end"),
                 F.element_at(parts, i).alias("hit"),
-                F.right(F.element_at(parts, i - 1), F.lit(CONTEXT)).alias("before"),
+                F.right(F.element_at(parts, i - 1), F.lit(FAR)).alias("before"),
                 F.left(F.element_at(parts, i + 1), F.lit(1)).alias("after"),
             ),
         )
@@ -146,7 +159,7 @@ def _luhn(digits: Column) -> Column:
     return _sum(F.transform(F.sequence(F.lit(1), F.length(digits)), worth)) % 10 == 0
 
 
-def _passes(kind: Column, hit: Column, card_from: int = 16) -> Column:
+def _passes(kind: Column, hit: Column) -> Column:
     """The check of a base finding."""
     digits = _digits(hit)
     octets = F.forall(F.split(hit, r"\."), lambda p: p.try_cast("double") <= 255)
@@ -154,7 +167,7 @@ def _passes(kind: Column, hit: Column, card_from: int = 16) -> Column:
     return (
         F.when(kind == 0, F.lit(True))
         .when(kind == 1, octets)
-        .when(kind == 2, F.when(count.between(card_from, 19), _luhn(digits)).otherwise(False))
+        .when(kind == 2, F.when(count.between(16, 19), _luhn(digits)).otherwise(False))
         .otherwise(count.between(8, 15))
     )
 
@@ -168,25 +181,48 @@ def _edge(char: Column) -> Column:
     )
 
 
-FEATURES = ("kind", "digits", "valid", "separators", "left", "right", "cue")
+FEATURES = ("kind", "way", "digits", "separators", "left", "right", "cue")
 
 
 def _features(c: Column) -> Column:
     """Small whole numbers, few values each; so few combinations exist."""
-    count = F.length(_digits(c["hit"]))
-    bins = sum((F.when(count >= n, 1).otherwise(0) for n in (1, 8, 12, 16, 20)), F.lit(0))
-    hit = c["hit"]
-    kinds = sum((F.when(F.contains(hit, F.lit(s)), 1).otherwise(0) for s in " -.("), F.lit(0))
-    obscured = F.rlike(hit, F.lit(r"^[0-9A-Fa-f:]+:[0-9A-Fa-f:]+$"))
-    valid = F.when((c["kind"] == 1) & obscured, True).otherwise(_passes(c["kind"], hit, 13))
+    hit, count = c["hit"], F.length(_digits(c["hit"]))
+    bins = sum((F.when(count >= n, 1).otherwise(0) for n in (1, 8, 10, 12, 15, 16, 20)), F.lit(0))
+    signs = sum((F.when(F.contains(hit, F.lit(s)), 1 << i).otherwise(0) for i, s in enumerate(" -.(")), F.lit(0))
+    near = F.right(c["before"], F.lit(CONTEXT))
     return F.struct(
         c["kind"].alias("kind"),
+        c["way"].alias("way"),
         bins.alias("digits"),
-        valid.cast("int").alias("valid"),
-        F.least(kinds, F.lit(2)).alias("separators"),
+        signs.alias("separators"),
         _edge(F.right(c["before"], F.lit(1))).alias("left"),
         _edge(c["after"]).alias("right"),
-        F.rlike(c["before"], F.lit(_CUES)).cast("int").alias("cue"),
+        F.rlike(near, F.lit(_CUES)).cast("int").alias("cue"),
+    )
+
+
+def _is_base(c: Column) -> Column:
+    """Whether a proposal, of whatever pattern, is what a base pattern and its check find."""
+    fits = F.lit(False)
+    for kind, name in enumerate(KINDS):
+        fits = fits | ((c["kind"] == kind) & F.rlike(c["hit"], F.lit(f"^(?:{BASE[name]})$")))
+    return fits & _passes(c["kind"], c["hit"])
+
+
+def _taught(c: Column) -> Column:
+    """What the trees learn a proposal to be, from what their features do not state."""
+    hit, count = c["hit"], F.length(_digits(c["hit"]))
+    far = F.left(c["before"], F.greatest(F.lit(0), F.length(c["before"]) - CONTEXT))
+
+    def cued(kind: int) -> Column:
+        return F.rlike(far, F.lit(_FAR_CUES[KINDS[kind]]))
+
+    number = F.rlike(c["before"], F.lit(_COUNTRY_CODE)) | cued(3)
+    return (
+        F.when(c["kind"] == 0, F.rlike(hit, F.lit(_DOMAIN)) | cued(0))
+        .when(c["kind"] == 1, ~F.contains(hit, F.lit(".")) & (F.rlike(hit, F.lit("[A-Fa-f]")) | cued(1)))
+        .when(c["kind"] == 2, F.when(count.between(13, 19), _luhn(_digits(hit))).otherwise(False))
+        .otherwise(count.between(7, 15) & number & ~F.rlike(hit, F.lit(r"^[0-9.]+$")))
     )
 
 
@@ -237,7 +273,8 @@ def _grown(rows: list[dict], depth: int) -> Tree:
 
 def fit_trees(counts: list[dict]) -> Trees:
     """Gradient boosting of logistic loss, from rows of the features with ``n``, ``yes`` (how
-    many are positive) and ``held_out``; thresholds from the held-out rows."""
+    many are positive), ``is_base`` and ``held_out``. All proposals teach; thresholds come from the
+    held-out ones that are no base findings, as only those need one."""
     learned = [dict(r) for r in counts if not r["held_out"]]
     n, yes = sum(r["n"] for r in learned), sum(r["yes"] for r in learned)
     if not yes:
@@ -254,14 +291,14 @@ def fit_trees(counts: list[dict]) -> Trees:
     model = Trees(start, tuple(trees), ())
     thresholds: list[float | None] = []
     for kind in range(len(KINDS)):
-        own = [r for r in counts if r["kind"] == kind and r["held_out"]]
+        own = [r for r in counts if r["kind"] == kind and r["held_out"] and not r["is_base"]]
         ranked = sorted(((model.score(r), r["n"], r["yes"]) for r in own), reverse=True)
         seen = right = 0
         threshold = None
         for place, (score, n, yes) in enumerate(ranked):
             seen, right = seen + n, right + yes
-            last = place + 1 == len(ranked) or ranked[place + 1][0] < score
-            if last and right >= PRECISION * seen:
+            last = place + 1 == len(ranked) or ranked[place + 1][0] < score - 1e-9
+            if last and seen >= ENOUGH and right >= PRECISION * seen:
                 threshold = score
         thresholds.append(threshold)
     return Trees(start, tuple(trees), tuple(thresholds))
@@ -309,37 +346,27 @@ def _key(s: Column) -> Column:
     )
 
 
-def fit_pii(
-    docs: DataFrame,
-    text_col: str = "text",
-    id_col: str = "doc_id",
-    sample_documents: int = SAMPLE_DOCUMENTS,
-) -> Trees:
-    """Trees and thresholds from about ``sample_documents`` documents, drawn by a hash of the
-    id; a fifth of them is held out.
+def fit_pii(docs: DataFrame, text_col: str = "text") -> Trees:
+    """Trees and thresholds from the proposals in all documents; about a fifth of these, by a hash of
+    the text, is held out, so equal texts are on one side and ids play no part.
 
-    A proposal is a positive example if it is a base finding, or passes its kind's check with
-    a word nearby that speaks of such data. Without a positive example nothing is added to
-    the base findings.
+    A proposal is a positive example if it is a base finding, or if what its features do not
+    state speaks for it, see ``_taught``. Of a kind with fewer than ``ENOUGH`` held-out proposals
+    that are no base findings, and without positive examples, nothing is added to the base
+    findings. Null and empty texts propose nothing; repeated rows count as often as they stand there.
     """
-    every = max(1, docs.count() // sample_documents)
-    drawn = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    rows = docs.filter(F.pmod(drawn, F.lit(every)) == 0).select(
-        (F.pmod(F.floor(drawn / F.lit(every)), F.lit(5)) == 0).alias("held_out"),
-        F.col(text_col).alias("text"),
-    )
-    proposed = _proposed(rows, "text").select(
-        "doc.held_out", F.transform("base", _key).alias("base"), F.explode("candidates").alias("c")
-    )
-    described = proposed.select(
-        "held_out", F.array_contains("base", _key(F.col("c"))).alias("is_base"), _features(F.col("c")).alias("f")
-    ).select("held_out", "is_base", "f.*")
-    yes = F.col("is_base") | ((F.col("valid") == 1) & (F.col("cue") == 1))
-    counts = described.groupBy("held_out", *FEATURES).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(yes).alias("yes")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    held_out = F.pmod(F.xxhash64(text), F.lit(5)) == 0
+    rows = docs.select(held_out.alias("held_out"), text.alias("text"))
+    proposed = _proposed(rows, "text").select("doc.held_out", F.explode("candidates").alias("c"))
+    c = F.col("c")
+    described = proposed.select("held_out", _is_base(c).alias("is_base"), _taught(c).alias("taught"), _features(c).alias("f"))
+    yes = F.col("is_base") | F.col("taught")
+    counts = described.select("held_out", "is_base", yes.alias("yes"), "f.*").groupBy("held_out", "is_base", *FEATURES).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("yes").alias("yes")
     )
     found = [row.asDict() for row in counts.collect()]
-    return fit_trees(sorted(found, key=lambda r: [r["held_out"], *(r[f] for f in FEATURES)]))
+    return fit_trees(sorted(found, key=lambda r: [r["held_out"], r["is_base"], *(r[f] for f in FEATURES)]))
 
 
 def find_pii(
