@@ -10,6 +10,7 @@ import zlib
 
 import public_tokenizers
 import pytest
+import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -279,6 +280,29 @@ def test_pieces_are_the_texts_and_sequences_hold_them(spark):
         packing.pack_sequences(docs, ())
 
 
+def test_whole_packing_as_by_loops(spark, monkeypatch):
+    monkeypatch.setattr(packing, "ROWS_TOGETHER", 37)
+    rng, lengths = random.Random(8), (8, 16, 32)
+    rows = [(i, " ".join("w" * rng.randint(1, 4) for _ in range(rng.choice([0, 1, 3, 8, 17, 40, 90]))), "x") for i in range(150)]
+    expected = []
+    for chunk, at in enumerate(range(0, len(rows), 37)):
+        pieces = []
+        for i, text, _ in rows[at : at + 37]:
+            words = text.split()
+            cuts = [words[k : k + 32] for k in range(0, max(1, len(words)), 32)]
+            pieces += [(i, n, len(cut)) for n, cut in enumerate(cuts)]
+        sizes = [n for _, _, n in pieces]
+        plans = [plain_best_fit(sizes, lengths, c) for c in lengths]
+        where, bins = min(plans, key=lambda p: sum(map(packing.sequence_cost, p[1])))
+        filled = [0] * len(bins)
+        for (i, n, words), b in zip(pieces, where):
+            expected.append((i, n, words, f"0-{chunk}-{b}", filled[b], bins[b]))
+            filled[b] += words
+    found = packing.pack_sequences(frame(spark, rows).coalesce(1), lengths)
+    columns = ["doc_id", "piece", "words", "sequence", "place", "sequence_length"]
+    assert sorted(map(tuple, found.select(*columns).collect())) == sorted(expected)
+
+
 def test_packing_query(spark, sf_dir, llm):
     texts = texts_of(spark, sf_dir)
     found = llm["op9_packed_sequences"](spark, sf_dir).collect()
@@ -354,6 +378,48 @@ def test_query_of_personal_data(spark, sf_dir, llm):
         assert set(base) <= set(r["spans"].split(",")) | {""}
 
 
+def plain_features(kind, way, hit, before, after):
+    digits = len(re.sub("[^0-9]", "", hit))
+
+    def edge(c):
+        return 0 if not c or re.match(r"[\t\n\x0b\f\r ]", c) else 2 if regex.match(r"[\p{L}\p{N}]", c) else 1
+
+    return {
+        "kind": kind, "way": way, "digits": sum(digits >= n for n in (1, 8, 10, 12, 15, 16, 20)),
+        "separators": sum((s in hit) << i for i, s in enumerate(" -.(")), "left": edge(before[-1:]), "right": edge(after),
+        "cue": int(bool(re.search(pii._CUES, before[-pii.CONTEXT :]))),
+    }
+
+
+def plain_all(text, model):
+    """Base findings, and what the trees select of the other proposals."""
+    text = text or ""
+    base = set(plain_pii(text))
+    ways = [(k, PLAIN_PII[k]) for k in pii.KINDS] + [(k, p) for k, p in pii.MORE]
+    spans = set(base)
+    for way, (kind, pattern) in enumerate(ways):
+        matches = list(regex.finditer(pattern, text))
+        for i, m in enumerate(matches):
+            done = matches[i - 1].end() if i else 0
+            then = matches[i + 1].start() if i + 1 < len(matches) else len(text)
+            row = plain_features(pii.KINDS.index(kind), way, m[0], text[done : m.start()][-pii.FAR :], text[m.end() : then][:1])
+            least = model.thresholds[row["kind"]]
+            if least is not None and model.score(row) >= least - 1e-9:
+                spans.add(f"{kind}:{m.start()}:{m.end()}")
+    key = lambda s: (pii.KINDS.index(s.split(":")[0]), *map(int, s.split(":")[1:]))
+    return ",".join(sorted(spans, key=key))
+
+
+def test_all_spans_are_those_of_plain_loops(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    model = pii.fit_pii(docs)
+    rows = [(r["doc_id"], r["text"], "x") for r in docs.collect()] + planted(5)[0]
+    found = pii.find_pii(frame(spark, rows), model).select("text", secret_scan.joined_spans(F.col("spans")).alias("s")).collect()
+    assert sum(r["s"] != ",".join(plain_pii(r["text"])) for r in found) >= 20
+    for r in found:
+        assert r["s"] == plain_all(r["text"], model)
+
+
 def counted(n, yes, held, base=False, **features):
     known = {"kind": 3, "way": 9, "digits": 3, "separators": 0, "left": 0, "right": 0, "cue": 0}
     return {**known, **features, "n": n, "yes": yes, "held_out": held, "is_base": base}
