@@ -7,9 +7,8 @@ documents.
 Documents may have further columns, of any name and type, those of an operator's own results and
 names with dots included: a stage carries the whole row as one column past its operator.
 Nulls may stand in any column. Repeated rows are documents of their own, but for the
-near-duplicate stage, which keeps one of them. An empty table gives an empty one. Stages that send
-texts to Python write their result themselves, in small Arrow batches, and leave the session's
-settings as they are.
+near-duplicate stage, which keeps one of them. An empty table gives an empty one. Stages leave
+the session's settings as they are.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ from dwelltide.llm.mixing import mixed, plan_mix
 from dwelltide.llm.packing import pack_sequences
 from dwelltide.llm.rows import carried, quoted, row_hash, unpacked
 from dwelltide.llm.simhash import fingerprint, near_duplicates
-from dwelltide.session import run_folder, settings
+from dwelltide.session import remove_folder, run_folder, settings
 
 #: Words of a shingle of the near-duplicate stage, and bits by which fingerprints may differ.
 SHINGLE, MAX_BITS = 3, 2
@@ -34,7 +33,7 @@ BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 def _written(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
     """``rows`` as files, made in small batches. Spark reads that setting when it runs, so a result that is
-    written later would not have it."""
+    written later would not have it. For the stages that need it most: it is a copy on disk."""
     path = f"{run_folder(spark, name)}/rows"
     with settings(spark, BATCHES):
         rows.write.parquet(path)
@@ -52,7 +51,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with settings(spark, BATCHES):
         model = learn_languages(docs)
     found = identify_languages(carried(docs, F.col("text")), model).filter("lang_accepted")
-    return _written(spark, "language", unpacked(found, docs.columns, lang=F.col("lang_pred")))
+    return unpacked(found, docs.columns, lang=F.col("lang_pred"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -88,8 +87,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     proportional to them. Overlapping findings become one. Repeated rows are answered alike.
     """
     found = secret_scan.redact(secret_scan.find_secrets(carried(docs, F.col("text"))))
-    cleaned = unpacked(found, docs.columns, text=F.col("text"), n_chars=F.length("text").cast("long"))
-    return _written(spark, "secrets", cleaned)
+    return unpacked(found, docs.columns, text=F.col("text"), n_chars=F.length("text").cast("long"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -127,11 +125,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each from the files of the one before."""
-    folder = run_folder(spark, "corpus")
+    """All stages, each from the files of the one before, which then go."""
+    folder, before = run_folder(spark, "corpus"), None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            remove_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

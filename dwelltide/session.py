@@ -76,3 +76,9 @@ def shared_folder(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder of the shared folder for one run."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Removes a run's folder once nothing reads it any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from dwelltide.session import run_folder, settings, shared_folder
+from dwelltide.session import remove_folder, run_folder, settings, shared_folder
 
 
 def fake(master, configured=None, folder=None):
@@ -39,3 +39,11 @@ def test_settings_are_put_back(spark):
         assert spark.conf.get(key) == "3"
         raise RuntimeError
     assert (spark.conf.get(key), spark.conf.get(other)) == before
+
+
+def test_a_folder_is_removed(spark, tmp_path):
+    folder = f"{tmp_path}/run"
+    spark.range(3).write.parquet(folder)
+    remove_folder(spark, folder)
+    remove_folder(spark, folder)
+    assert list(tmp_path.iterdir()) == []
