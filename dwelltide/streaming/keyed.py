@@ -9,7 +9,7 @@ micro-batch before the generation that they read is replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -24,8 +24,8 @@ _PLACES = "bucket int, generation int, least bigint, number bigint, mark string,
 
 @dataclass(frozen=True)
 class State:
-    """What a finished micro-batch left: generations of the buckets, for each the least value of a
-    column if one is asked for, and a text of the writer's own."""
+    """What a finished micro-batch left: generations of the buckets, a number of the writer's own for
+    each, and a text of its own."""
 
     number: int = -1
     half: int = 1
@@ -43,7 +43,6 @@ class BucketedRows:
     schema: T.StructType | str
     key: str
     buckets: int = 256
-    least: str | None = None
 
     def bucket(self, key: Column) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
@@ -80,12 +79,18 @@ class BucketedRows:
         return rows.filter("filler IS NULL").drop("filler")
 
     def replace(
-        self, spark: SparkSession, state: State, touched: Sequence[int], rows: DataFrame, number: int, mark: str | None = None
+        self,
+        spark: SparkSession,
+        state: State,
+        touched: Sequence[int],
+        rows: DataFrame,
+        number: int,
+        mark: str | None = None,
+        least: Mapping[int, int | None] | None = None,
     ) -> State:
         """The rows of the touched buckets become ``rows``; others stay. ``state`` is the one
         before the micro-batch ``number``."""
         generations = {**state.generations, **{b: 1 - state.generations.get(b, 1) for b in touched}}
-        least = dict(state.least)
         if touched:
             fillers = spark.createDataFrame([(b, generations[b]) for b in touched], "bucket int, generation int")
             names = as_struct(self.schema).fieldNames()
@@ -103,12 +108,9 @@ class BucketedRows:
                 .partitionBy("bucket", "generation")
                 .parquet(f"{self.path}/rows")
             )
-        new = State(number, 1 - state.half, generations, least, mark)
-        if self.least and touched:
-            found = self.read(spark, new, touched).groupBy(self.bucket(F.col(self.key)).alias("bucket"))
-            known = {r["bucket"]: r["least"] for r in found.agg(F.min(self.least).alias("least")).collect()}
-            least.update({b: known.get(b) for b in touched})
-        held = [(b, g, least.get(b), number, mark, new.half) for b, g in sorted(generations.items())]
+        own = {**state.least, **{b: (least or {}).get(b) for b in touched}}
+        new = State(number, 1 - state.half, generations, own, mark)
+        held = [(b, g, own.get(b), number, mark, new.half) for b, g in sorted(generations.items())]
         held = held or [(None, None, None, number, mark, new.half)]
         places = spark.createDataFrame(held, _PLACES).coalesce(1)
         writer = places.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -73,7 +73,7 @@ class OpenSessions:
         empty = spark.createDataFrame([], as_struct(schema))
         self.given, self.measures = measures, typed(measures, empty.schema)
         kept = self._parts(empty).drop("span").schema
-        self.rows = BucketedRows(path, kept, key, buckets, least="last_ms")
+        self.rows = BucketedRows(path, kept, key, buckets)
         self.late = 0
 
     # --- Sessions ---------------------------------------------------------------------
@@ -178,13 +178,16 @@ class OpenSessions:
 
         is_late = (F.size("members") == 0) & ended(before)
         sessions = sessions.withColumn("late", is_late).withColumn("ended", ended(limit)).persist()
-        self.late += sessions.agg(F.count_if("late")).first()[0]
+        # A row per bucket: how many were late, and the earliest that stays.
+        stays = F.when(~F.col("late") & ~F.col("ended"), F.col("last_ms"))
+        found = sessions.groupBy(bucket).agg(F.count_if("late").alias("late"), F.min(stays).alias("least")).collect()
+        self.late += sum(r["late"] for r in found)
         on_time = sessions.filter("NOT late")
         left = on_time.filter("NOT ended").withColumnRenamed("session_ms", "first_ms")
         fires = self.fire_every is not None and now - mark["fired"] >= self.fire_every
-        new = self.rows.replace(
-            spark, state, sorted(touched), left, number, json.dumps({**after, "fired": now if fires else mark["fired"]})
-        )
+        mark_after = json.dumps({**after, "fired": now if fires else mark["fired"]})
+        least = {r["bucket"]: r["least"] for r in found}
+        new = self.rows.replace(spark, state, sorted(touched), left, number, mark_after, least)
         if self.sink:
             found = self._features(on_time.filter("changed OR ended"), F.col("ended"))
             found = found.unionByName(self._absorbed(on_time, found.schema))
