@@ -150,15 +150,18 @@ class FeatureTable:
         spark, held = rows.sparkSession, self._rows
         state = held.state(spark, before=number)
         columns = as_struct(self.schema).fieldNames()
-        newest = newest_per_key(rows.select(*columns), self.keys, self.order)
+        newest = newest_per_key(rows.select(*columns), self.keys, self.order).persist()
         # One number per bucket, however many rows there are.
-        found = rows.select(held.bucket(F.col(self.keys[0])).alias("bucket")).distinct().collect()
+        found = newest.select(held.bucket(F.col(self.keys[0])).alias("bucket")).distinct().collect()
         touched = sorted(r["bucket"] for r in found)
-        before = held.read(spark, state, touched)
-        same = [before[k].eqNullSafe(F.col(f"changed_{k}")) for k in self.keys]
-        changed = newest.select(*[F.col(k).alias(f"changed_{k}") for k in self.keys])
-        live = newest.filter(~F.coalesce(self.deleted, F.lit(False))).drop(self.deleted)
-        held.replace(spark, state, touched, before.join(changed, same, "left_anti").unionByName(live), number)
+        merged = newest.filter(~F.coalesce(self.deleted, F.lit(False))).drop(self.deleted)
+        if state.generations.keys() & set(touched):
+            before = held.read(spark, state, touched)
+            same = [before[k].eqNullSafe(F.col(f"changed_{k}")) for k in self.keys]
+            changed = newest.select(*[F.col(k).alias(f"changed_{k}") for k in self.keys])
+            merged = before.join(changed, same, "left_anti").unionByName(merged)
+        held.replace(spark, state, touched, merged, number)
+        newest.unpersist()
 
     def latest(self, spark: SparkSession) -> DataFrame:
         """The newest row of each key, without deleted keys."""
