@@ -280,7 +280,8 @@ def identify_languages(docs: DataFrame, model: Languages, text_col: str = "text"
             names, scores, accepted = _predicted(texts.tolist(), sent.value)
             yield pd.DataFrame({"lang_pred": names, "score": scores, "lang_accepted": accepted})
 
-    answer = F.pandas_udf(predicted, "lang_pred string, score double, lang_accepted boolean")
+    # Spark computes a function again on either side of a filter on its result, unless it may change.
+    answer = F.pandas_udf(predicted, "lang_pred string, score double, lang_accepted boolean").asNondeterministic()
     found = "found"
     while found in docs.columns:
         found += "_"

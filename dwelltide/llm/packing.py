@@ -25,6 +25,8 @@ LENGTHS = (512, 1024, 2048, 4096)
 #: Rows, and words, that are packed together.
 ROWS_TOGETHER = 8192
 WORDS_TOGETHER = 4_000_000
+#: Rows that go back to Spark at once.
+ROWS_SENT = 1000
 
 #: Words of longer texts are counted without a list of them.
 LISTED_LENGTH = 1_000_000
@@ -137,11 +139,15 @@ def pack_sequences(
                 ids.append(batch.column(0)[row].as_py())
                 texts.append(text if with_text else None)
                 if len(ids) == ROWS_TOGETHER or words_held >= WORDS_TOGETHER:
-                    yield packed(pa.array(ids, type=id_type), texts, held, f"{task}-{chunk}")
+                    yield from sent(packed(pa.array(ids, type=id_type), texts, held, f"{task}-{chunk}"))
                     chunk += 1
                     ids, texts, held, words_held = [], [], [], 0
         if ids:
-            yield packed(pa.array(ids, type=id_type), texts, held, f"{task}-{chunk}")
+            yield from sent(packed(pa.array(ids, type=id_type), texts, held, f"{task}-{chunk}"))
+
+    def sent(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for at in range(0, rows.num_rows, ROWS_SENT):
+            yield rows.slice(at, ROWS_SENT)
 
     def packed(ids, texts, held, name: str) -> pa.RecordBatch:
         where, sizes = packed_together([h[4] for h in held], lengths)
