@@ -234,7 +234,7 @@ def start_running(
         raise ValueError("the keyed state fires on changes only and has one event time")
     if fire_every and trigger and "processingTime" not in trigger:
         raise ValueError("firing by the clock needs a trigger without an end")
-    run = run_of(spark, folders.checkpoint, f"early results, {state}")
+    run = run_of(spark, folders.checkpoint, f"early results, {state}" + " in groups" * (state == "keyed"))
     events = _well_formed(spark, events, folders, trigger)
     name = folders.job_name
     log = Stream(folders.log, key_columns=key_columns, key=key).sink(run=run)
@@ -274,7 +274,7 @@ def start_final(
     """Closed sessions into a record log, with checkpoint and log in ``folders.final``."""
     writers = _writers(spark, writers, state_partitions)
     own = folders.final
-    run = run_of(spark, own.checkpoint, "closed sessions" + ", late ones merged" * merge_late)
+    run = run_of(spark, own.checkpoint, "closed sessions" + ", late ones merged in groups" * merge_late)
     events = _well_formed(spark, events, own, trigger)
     features = final_features(events, gap, lateness, measures, event_ms, merge_late)
     log = Stream(own.log, key_columns=key_columns, key=key).sink(writers=writers, run=run)

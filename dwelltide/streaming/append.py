@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from dwelltide.durations import duration_ms, interval
 from dwelltide.functions.measures import DEFAULT_MEASURES, Accumulator, Measure, typed, with_results
 from dwelltide.operators.sessions import feature_columns
-from dwelltide.streaming.early import early_sessions
+from dwelltide.streaming.early import GROUPS, early_sessions
 
 
 def closed_sessions(
@@ -46,8 +46,9 @@ def merged_sessions(
     key: str = "device_id",
     event_ms: str = "recv_timestamp",
     measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
+    groups: int = GROUPS,
 ) -> DataFrame:
     """The same, but a row is late only if the session that it would join, once merged, had
     ended. For output mode append, from the keyed state of the early results."""
-    found = early_sessions(timed, gap, key, event_ms, measures, early=False, mode="append")
+    found = early_sessions(timed, gap, key, event_ms, measures, early=False, mode="append", groups=groups)
     return found.drop("closed", "absorbed")

@@ -4,6 +4,7 @@ After every micro-batch each session that changed is emitted with its running va
 once more when it closes. Spark's own session windows cannot do that (no update mode), so
 this is a stateful processor. Before the shuffle, rows are aggregated to partial sessions
 per Arrow batch, so a key that holds much of a micro-batch reaches its task as a few rows.
+State is kept per group of keys.
 
 A row is late, and dropped, only if the session it would belong to has ended at the
 watermark. Rows of one micro-batch are joined to each other and to the open sessions first,
@@ -17,7 +18,7 @@ from collections.abc import Iterator, Sequence
 from typing import Any
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -41,6 +42,13 @@ FIRST, LAST, SLOTS = 0, 1, 2
 
 LIVE, CLOSED, ABSORBED, LATE = "live", "closed", "absorbed", "late"
 
+# What stands in a slot on its way to the processor and back.
+PRESENT, MISSING, NOT_A_NUMBER = "0", "1", "2"
+
+#: Groups of keys, by hash. A micro-batch reads and writes the groups that it touches: with some
+#: hundreds of keys each that costs no more than the messages of a key by itself.
+GROUPS = 8192
+
 
 def slot_names(measures: Sequence[Measure]) -> list[str]:
     names = []
@@ -158,10 +166,11 @@ def merge_sessions(
 
 
 class SessionProcessor(StatefulProcessor):
-    """Open sessions of one key, usually one, with a timer at the earliest end.
+    """Open sessions of a group of keys, with a timer at the earliest end.
 
-    Extending a session leaves its timer alone; a timer that finds nothing ended is set
-    again. So an update costs one read and one write of state.
+    Each read and write of state is a message to the JVM and back, so they are per group and not
+    per key. Extending a session leaves the timer alone; a timer that finds nothing ended is
+    set again. Results leave group by group, however many end at once.
     """
 
     def __init__(
@@ -179,79 +188,112 @@ class SessionProcessor(StatefulProcessor):
         self.early = early
 
     def init(self, handle) -> None:
-        self.result = Row(*self.columns)
         self.handle = handle
         self.state = handle.getValueState(
-            "open", f"sessions array<struct<{self.session}>>, timer bigint"
+            "open", f"sessions array<struct<name:string,{self.session}>>, timer bigint"
         )
 
     def _ended(self, session: list, watermark: int) -> bool:
         return session[LAST] + self.gap_ms <= watermark
 
-    def _row(self, key, session: list, status: str) -> Row:
-        return self.result(key[0], *session, status)
+    def _stored(self) -> tuple[dict[str | None, list[list]], int | None]:
+        stored, sessions = self.state.get(), {}
+        for name, *session in stored[0] if stored else ():
+            sessions.setdefault(name, []).append(session)
+        return sessions, stored[1] if stored else None
 
-    def _keep(self, sessions: list[list], timer: int | None) -> None:
-        if not sessions:
+    def _keep(self, sessions: dict[str | None, list[list]], timer: int | None) -> None:
+        kept = [(name, *session) for name, own in sessions.items() for session in own]
+        if not kept:
             self.state.clear()
             return
-        first_end = min(session[LAST] for session in sessions) + self.gap_ms
+        first_end = min(session[1 + LAST] for session in kept) + self.gap_ms
         if timer is None or first_end < timer:
             self.handle.registerTimer(first_end)
             timer = first_end
-        self.state.update(([tuple(session) for session in sessions], timer))
+        self.state.update((kept, timer))
+
+    def _results(self, found: list[tuple[str | None, list, str]]) -> Iterator[Any]:
+        """As a table without nulls in numbers, which pandas would make fractions of them."""
+        import pandas as pd
+
+        rows = []
+        for name, (first, last, *slots), status in found:
+            marks = "".join(MISSING if x is None else NOT_A_NUMBER if x != x else PRESENT for x in slots)
+            filled = [x if mark == PRESENT else 0 for x, mark in zip(slots, marks)]
+            rows.append((name, marks, first, last, *filled, status))
+        if rows:
+            yield pd.DataFrame(rows, columns=list(self.columns))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Any]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        stored = self.state.get()
-        sessions = [list(session) for session in stored[0]] if stored else []
-        timer = stored[1] if stored else None
-
-        # However many rows come, at most one part per span is held.
-        arrived: dict[int, list] = {}
-        for row in rows:
-            part = list(row)[1:]
-            span = part[FIRST] // self.gap_ms
-            known = arrived.get(span)
-            arrived[span] = part if known is None else merge_two(known, part, self.kinds)
-
-        # What ended before this micro-batch takes no more rows.
-        for session in sessions:
-            if self._ended(session, watermark):
-                yield self._row(key, session, CLOSED)
-        live = [session for session in sessions if not self._ended(session, watermark)]
-
-        kept = []
-        for session, members, changed in merge_sessions(
-            live, list(arrived.values()), self.gap_ms, self.kinds
-        ):
-            if not members and self._ended(session, watermark):
-                yield self._row(key, session, LATE)
-                continue
-            kept.append(session)
-            if changed and self.early:
-                yield self._row(key, session, LIVE)
-                for start in members:
-                    if start != session[FIRST]:
-                        absorbed = [start, start] + [None] * (len(session) - SLOTS)
-                        yield self._row(key, absorbed, ABSORBED)
-        self._keep(kept, timer)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        stored = self.state.get()
-        if not stored or stored[1] != expiredTimerInfo.getExpiryTimeInMs():
+
+        # However many rows come, at most one part per key and span is held.
+        arrived: dict[str | None, dict[int, list]] = {}
+        for table in rows:
+            for _, name, marks, *part in table.itertuples(index=False, name=None):
+                if MISSING in marks:
+                    part[SLOTS:] = [None if m == MISSING else x for x, m in zip(part[SLOTS:], marks)]
+                # A null among strings may have become NaN.
+                spans = arrived.setdefault(name if isinstance(name, str) else None, {})
+                span = part[FIRST] // self.gap_ms
+                known = spans.get(span)
+                spans[span] = part if known is None else merge_two(known, part, self.kinds)
+
+        stored, timer = self._stored()
+        found = []
+        for name, spans in arrived.items():
+            # What ended before this micro-batch takes no more rows.
+            sessions = stored.get(name, [])
+            found += [(name, s, CLOSED) for s in sessions if self._ended(s, watermark)]
+            live = [s for s in sessions if not self._ended(s, watermark)]
+            kept = []
+            for session, members, changed in merge_sessions(
+                live, list(spans.values()), self.gap_ms, self.kinds
+            ):
+                if not members and self._ended(session, watermark):
+                    found.append((name, session, LATE))
+                    continue
+                kept.append(session)
+                if changed and self.early:
+                    found.append((name, session, LIVE))
+                    for start in members:
+                        if start != session[FIRST]:
+                            absorbed = [start, start] + [None] * (len(session) - SLOTS)
+                            found.append((name, absorbed, ABSORBED))
+            stored[name] = kept
+        self._keep(stored, timer)
+        yield from self._results(found)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Any]:
+        stored, timer = self._stored()
+        if timer != expiredTimerInfo.getExpiryTimeInMs():
             return
         watermark = timerValues.getCurrentWatermarkInMs()
-        sessions = [list(session) for session in stored[0]]
-        for session in sessions:
-            if self._ended(session, watermark):
-                yield self._row(key, session, CLOSED)
-        self._keep([s for s in sessions if not self._ended(s, watermark)], None)
+        found = []
+        for name, sessions in stored.items():
+            found += [(name, s, CLOSED) for s in sessions if self._ended(s, watermark)]
+            stored[name] = [s for s in sessions if not self._ended(s, watermark)]
+        self._keep(stored, None)
+        yield from self._results(found)
 
     def close(self) -> None:
         pass
 
 
+def _as_text(key: str, kind: str) -> Column:
+    """A key as text, from which ``_from_text`` makes the key again."""
+    if kind == "binary":
+        return F.hex(key)
+    return F.col(key).cast("string") if kind != "timestamp" else F.unix_micros(key).cast("string")
+
+
+def _from_text(text: str, kind: str) -> Column:
+    if kind == "binary":
+        return F.unhex(text)
+    return F.col(text).cast(kind) if kind != "timestamp" else F.timestamp_micros(F.col(text).cast("bigint"))
+
+
 def early_sessions(
     timed: DataFrame,
     gap: int | str,
@@ -260,13 +302,15 @@ def early_sessions(
     measures: Sequence[Measure | Accumulator] = DEFAULT_MEASURES,
     early: bool = True,
     mode: str = "update",
+    groups: int = GROUPS,
 ) -> DataFrame:
     """Session features for output mode update, or ``mode``, from rows with a watermark.
 
     Besides the features, ``closed`` marks a session's last result and ``absorbed`` the
     start of a session that became part of another, to be deleted downstream. With ``early``
     off only closed sessions come out. Late rows are counted, as the sessions they would
-    have made, in the metric ``late``.
+    have made, in the metric ``late``. State is kept per hash group of keys; their number ``groups``
+    stays as it is while the checkpoint lives.
     """
     if any(isinstance(m, Merged) for m in measures):
         raise ValueError("the keyed state merges in Python: keep open sessions in a table for these measures")
@@ -297,12 +341,28 @@ def early_sessions(
         )
         .mapInArrow(partial_rows(gap_ms, key, event_ms, measures), layout)
     )
-    processor = SessionProcessor(
-        gap_ms, [m.kind for m in measures], [key, *slots, "status"], session, early
-    )
-    emitted = parts.groupBy(key).transformWithState(
-        processor, f"{layout}, status string", mode, "eventTime"
+    own = dict(zip(slots[2:], types[2:]))
+    marks = [F.when(F.col(c).isNull(), MISSING).otherwise(PRESENT) for c in own]
+    sent = parts.select(_as_text(key, key_type).alias("name"), *slots).select(
+        F.pmod(F.xxhash64("name"), F.lit(groups)).alias("group"), "name", F.concat(*marks).alias("marks"),
+        "first_ms", "last_ms", *[F.coalesce(c, F.lit(0).cast(t)).alias(c) for c, t in own.items()],
+    )
+    columns = ["name", "marks", *slots, "status"]
+    processor = SessionProcessor(gap_ms, [m.kind for m in measures], columns, session, early)
+    numbers = ", ".join(f"{n} {t}" for n, t in zip(slots, types))
+    answered = sent.groupBy("group").transformWithStateInPandas(
+        processor, f"name string, marks string, {numbers}, status string", mode, "eventTime"
     )
+
+    def restored(place: int, column: str, kind: str) -> Column:
+        mark = F.substring("marks", place + 1, 1)
+        number = F.when(mark == PRESENT, F.col(column))
+        return number.when(mark == NOT_A_NUMBER, F.lit(float("nan"))) if kind == "double" else number
+
+    emitted = answered.select(
+        _from_text("name", key_type).alias(key), "first_ms", "last_ms", "status",
+        *[restored(i, c, t).alias(c) for i, (c, t) in enumerate(own.items())],
+    )
     absorbed, late = F.col("status") == ABSORBED, F.col("status") == LATE
     on_time = emitted.observe("late", F.count_if(late).alias("sessions")).filter(~late)
     found = on_time.select(

@@ -1,14 +1,18 @@
 """Early results: running sessions of a stream."""
 
 import random
+from types import SimpleNamespace
 
+import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from dwelltide.functions.measures import DEFAULT_MEASURES, Measure
 from dwelltide.operators.project import with_event_time
 from dwelltide.plans.device_features import running_features
 from dwelltide.streaming.early import (
+    SessionProcessor,
     early_sessions,
     merge_sessions,
     partial_rows,
@@ -168,3 +172,63 @@ def test_merging_keeps_sessions_apart():
     merged = merge_sessions([[0, 5, 1], [30, 31, 2]], [[15, 20, 4], [60, 60, 8]], 10, ["sum"])
     assert merged == [([0, 31, 7], [0, 30], True), ([60, 60, 8], [], True)]
     assert merge_sessions([[0, 5, 1]], [], 10, ["sum"]) == [([0, 5, 1], [0], False)]
+
+
+class OneGroup:
+    """State and timers of a group, and how often they are asked for."""
+
+    def __init__(self):
+        self.value, self.calls, self.timers = None, [], []
+
+    def getValueState(self, name, schema):
+        return self
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    def clear(self):
+        self.calls.append("clear")
+        self.value = None
+
+
+def test_a_group_of_keys_is_read_and_written_once():
+    state = OneGroup()
+    processor = SessionProcessor(10, ["sum"], ["name", "marks", "first_ms", "last_ms", "slot_0", "status"], "x", True)
+    processor.init(state)
+    at = lambda ms: SimpleNamespace(getCurrentWatermarkInMs=lambda: ms)
+    large = 2**53 + 1
+    names = [*(f"d{i}" for i in range(50)), None, ""]
+    rows = [(0, n, "0", t, t, v) for n in names for t, v in ((0, large), (100, 0))]
+    rows.append((0, "e", "1", 5, 5, 0))
+    (live,) = processor.handleInputRows((0,), iter([pd.DataFrame(rows)]), at(0))
+    assert state.calls == ["get", "update"] and state.timers == [10]
+    found = list(live.itertuples(index=False, name=None))
+    assert len(found) == 105 and sum(r[0] is None for r in found) == 2
+    assert {r[4] for r in found if r[2] == 0} == {large} and ("e", "1", 5, 5, 0, "live") in found
+    # Those that end leave as one table; the others have the next timer.
+    (closed,) = processor.handleExpiredTimer((0,), at(15), SimpleNamespace(getExpiryTimeInMs=lambda: 10))
+    assert len(closed) == 53 and set(closed["status"]) == {"closed"}
+    assert len(state.value[0]) == 52 and state.timers == [10, 110]
+    assert state.calls == ["get", "update"] * 2
+    assert not list(processor.handleExpiredTimer((0,), at(120), SimpleNamespace(getExpiryTimeInMs=lambda: 10)))
+
+
+def test_not_a_number_and_null_stay_apart(spark, tmp_path):
+    rows = [(1, 1000, float("nan")), (2, 2000, None), (None, 3000, 0.5)]
+    path = f"{tmp_path}/in"
+    spark.createDataFrame(rows, "k long, t long, x double").write.parquet(path)
+    stream = spark.readStream.schema("k long, t long, x double").parquet(path)
+    timed = stream.withColumn("et", F.timestamp_millis("t")).withWatermark("et", "1 hour")
+    measures = [Measure("total", "sum", "x"), Measure("last", "latest", "x")]
+    rows = early_sessions(timed, "1 hour", "k", "t", measures)
+    batches, _ = run(spark, rows, "update", tmp_path)
+    found = {r["k"]: (repr(r["total"]), repr(r["last"])) for b in batches for r in b}
+    assert found == {1: ("nan", "nan"), 2: ("None", "None"), None: ("0.5", "0.5")}
