@@ -37,6 +37,15 @@ LOG_SCHEMA = (
 )
 
 
+#: Bytes of records that a writer of a large batch takes, about.
+WRITER_BYTES = 64 * 1024 * 1024
+
+
+def writers_for(size: int) -> int:
+    """How many writers share records of ``size`` bytes, so that none has more to sort as these grow."""
+    return max(1, -(-size // WRITER_BYTES))
+
+
 def put_batches(
     records: DataFrame, payload: str = "payload", max_records: int = PUT_RECORDS, max_bytes: int = PUT_BYTES
 ) -> DataFrame:
@@ -94,7 +103,8 @@ def write_log_batch(
 ) -> None:
     """Rows as records of one micro-batch; oversized ones into a partition of their own.
 
-    A stateful stream has as many partitions as its state; ``writers`` limits the files. The others
+    A stateful stream has as many partitions as its state; ``writers`` limits the files, each of which is
+    one task's work: ``writers_for`` gives a number for batches of any size. The others
     are numbered as they would be put, by at most ``put_records`` records and ``put_bytes`` bytes.
     """
     records = to_records(rows, key_columns, encoder, key)

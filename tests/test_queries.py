@@ -45,3 +45,15 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
+
+
+def test_writers_of_the_log_grow_with_the_documents(spark, monkeypatch):
+    import __spark_entry__ as entry
+    from dwelltide.streaming import sinks
+
+    used, write = [], entry.write_log_batch
+    monkeypatch.setattr(entry, "write_log_batch", lambda *a, writers: (used.append(writers), write(*a, writers=writers)))
+    whole = [tuple(r) for r in entry.log_puts(spark, "/root/testdata/sf0.001").collect()]
+    monkeypatch.setattr(sinks, "WRITER_BYTES", 50_000)
+    assert [tuple(r) for r in entry.log_puts(spark, "/root/testdata/sf0.001").collect()] == whole
+    assert used[0] == 4 < used[1] and whole[0][1:] == (0, 0)
