@@ -13,7 +13,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +38,8 @@ OUTSIDE = 0.001
 #: With fewer sampled texts of its length, a long text's bound is from all long ones as long or
 #: shorter; with fewer of these too, it is that of short texts.
 ENOUGH = 100
-ROWS_AT_ONCE = 256
+#: Texts whose vectors stand in memory together.
+ROWS_AT_ONCE = 64
 BYTES_AT_ONCE = 1 << 20
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -71,12 +71,17 @@ def _grams(text: str) -> np.ndarray:
 
 
 def _vectors(texts: list[str], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors, a row per text, and the texts' numbers of n-grams."""
-    counts = np.stack([_grams(t) for t in texts])
-    sizes = counts.sum(axis=1)
-    weighted = np.log1p(counts) * idf
-    length = np.sqrt((weighted**2).sum(axis=1, keepdims=True))
-    return weighted / np.maximum(length, 1e-12), sizes
+    """Unit vectors, a row per text, and the texts' numbers of n-grams. Nothing but the vectors is
+    as large as these: a Python worker keeps what it once took."""
+    vectors, sizes = np.empty((len(texts), WIDTH), dtype=np.float32), np.empty(len(texts), dtype=np.float32)
+    for at, text in enumerate(texts):
+        vector = vectors[at]
+        vector[:] = _grams(text)
+        sizes[at] = vector.sum()
+        np.log1p(vector, out=vector)
+        vector *= idf
+        vector /= np.maximum(np.sqrt((vector**2).sum()), np.float32(1e-12))
+    return vectors, sizes
 
 
 @dataclass(frozen=True)
@@ -104,10 +109,9 @@ def _centroids(vectors: np.ndarray, count: int) -> np.ndarray:
     centres = np.stack(chosen)
     for _ in range(ROUNDS):
         own = (vectors @ centres.T).argmax(axis=1)
-        sums = np.stack([
-            vectors[own == c].sum(axis=0) if (own == c).any() else centres[c]
-            for c in range(len(centres))
-        ])
+        sums = np.where(np.bincount(own, minlength=len(centres))[:, None] > 0, np.float32(0), centres)
+        for c, vector in zip(own, vectors):
+            sums[c] += vector
         centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
     return centres
 
@@ -213,11 +217,13 @@ def learn_languages(
 
     def clustered(table: pa.Table) -> pa.Table:
         """Centroids of one language, and how near the lengths of its sample come to them."""
-        packed, sizes = table.column("vector").to_pylist(), np.asarray(table.column("size"))
-        vectors = np.stack([np.frombuffer(p, dtype=np.float16) for p in packed]).astype(np.float32)
+        packed, sizes = table.column("vector"), np.asarray(table.column("size"))
+        unpacked = lambda at: np.frombuffer(packed[int(at)].as_buffer(), dtype=np.float16).astype(np.float32)
         # Rows come in no order of their own.
-        order = np.lexsort((vectors @ idf, sizes))
-        vectors, lengths = vectors[order], sizes[order]
+        order = np.lexsort(([unpacked(at) @ idf for at in range(len(packed))], sizes))
+        vectors, lengths = np.empty((len(order), WIDTH), dtype=np.float32), sizes[order]
+        for row, at in enumerate(order):
+            vectors[row] = unpacked(at)
         centres = _centroids(vectors, CENTROIDS)
         nearest = (vectors @ centres.T).max(axis=1)
         parts = (centres.astype(np.float32), lengths.astype(np.float64), nearest.astype(np.float64))
@@ -249,9 +255,8 @@ def learn_languages(
 def _predicted(texts: list[str | None], model: Languages) -> tuple[list[str], np.ndarray, np.ndarray]:
     names = [UNDETERMINED] * len(texts)
     scores, accepted = np.zeros(len(texts)), np.zeros(len(texts), dtype=bool)
-    known = [i for i, t in enumerate(texts) if _has_letter(t)] if model.names else []
-    for at in range(0, len(known), ROWS_AT_ONCE):
-        part = known[at : at + ROWS_AT_ONCE]
+    part = [i for i, t in enumerate(texts) if _has_letter(t)] if model.names else []
+    if part:
         vectors, sizes = _vectors([texts[i] for i in part], model.idf)
         cosines = vectors @ model.centroids.T
         best = cosines.argmax(axis=1)
@@ -275,13 +280,25 @@ def identify_languages(docs: DataFrame, model: Languages, text_col: str = "text"
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            names, scores, accepted = _predicted(texts.tolist(), sent.value)
-            yield pd.DataFrame({"lang_pred": names, "score": scores, "lang_accepted": accepted})
+            # A batch has as many documents as Spark was set to send, however long: few are objects at a time.
+            parts = [
+                _predicted(texts.slice(at, ROWS_AT_ONCE).to_pylist(), sent.value)
+                for at in range(0, len(texts), ROWS_AT_ONCE)
+            ]
+            names, scores, accepted = zip(*parts) if parts else ((), (), ())
+            yield pa.StructArray.from_arrays(
+                [
+                    pa.array([n for part in names for n in part], pa.string()),
+                    pa.array([s for part in scores for s in part.tolist()], pa.float64()),
+                    pa.array([a for part in accepted for a in part.tolist()], pa.bool_()),
+                ],
+                names=["lang_pred", "score", "lang_accepted"],
+            )
 
     # Spark computes a function again on either side of a filter on its result, unless it may change.
-    answer = F.pandas_udf(predicted, "lang_pred string, score double, lang_accepted boolean").asNondeterministic()
+    answer = F.arrow_udf(predicted, "lang_pred string, score double, lang_accepted boolean").asNondeterministic()
     found = "found"
     while found in docs.columns:
         found += "_"

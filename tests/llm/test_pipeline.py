@@ -22,6 +22,13 @@ def test_language_is_found_once_per_text(spark, sf_dir, capsys):
     assert plan.count("predicted(") == plan.count("ArrowEvalPython") == 1, plan
 
 
+def test_secrets_need_one_python_worker_per_task(spark, sf_dir, capsys):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    corpus_pipeline.redact_secrets(spark, docs, sf_dir).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("replaced(") == plan.count("ArrowEvalPython") == 1, plan
+
+
 def test_whole_run(spark, sf_dir, tmp_path):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     given = {r["doc_id"]: r for r in docs.collect()}
